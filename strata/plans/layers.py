@@ -40,6 +40,10 @@ class Layers:
     def raw_events(self) -> DataFrame:
         return D.raw_events(self.spark, self.sf_dir)
 
+    @cached_property
+    def raw_reviews_df(self) -> DataFrame:
+        return D.raw_reviews(self.spark, self.sf_dir)
+
     # silver
     @cached_property
     def orders(self) -> DataFrame:

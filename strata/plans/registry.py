@@ -199,3 +199,7 @@ def q_customer_segmentation(spark, sf):
 def q_order_value_metrics(spark, sf):
     L = Layers(spark, sf)
     return G.order_value_metrics(L.unified_orders, L.order_values)
+
+
+# Query groups register themselves on import.
+from . import q_quality  # noqa: E402,F401
