@@ -84,10 +84,15 @@ def dedup_events(events: DataFrame, keys: Sequence[str] = ("order_id",)) -> Data
     """Drop repeats of a key seen within the watermark.
 
     On a stream the state per key lives until the watermark passes its event
-    time, so state is bounded by the watermark delay. On a static DataFrame
-    this is a plain key dedup.
+    time, so state is bounded by the watermark delay, and the first row seen
+    wins. Spark rejects that operator on static data, so a static DataFrame
+    gets the deterministic analogue: the earliest event of each key wins.
     """
-    return events.dropDuplicatesWithinWatermark(list(keys))
+    if events.isStreaming:
+        return events.dropDuplicatesWithinWatermark(list(keys))
+    from ..operators.dedup import dedup_latest
+    rest = [c for c in events.columns if c not in keys and c != "event_timestamp"]
+    return dedup_latest(events, list(keys), ["event_timestamp", *rest])
 
 
 def with_lateness(events: DataFrame, ingest_ts: Column | None = None) -> DataFrame:
@@ -104,7 +109,7 @@ def hourly_counts(events: DataFrame, ts: str = "event_timestamp", by: Sequence[s
     w = F.window(F.col(ts), size)
     return events.groupBy(w.alias("window"), *by).agg(
         F.count(F.lit(1)).alias("n_events"),
-        F.sum("order_value").alias("total_value"),
+        F.sum(F.col("order_value").cast(C.MONEY)).cast("double").alias("total_value"),
     ).select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
              *by, "n_events", "total_value")
 
