@@ -157,7 +157,10 @@ def sql(body: str, *views: str) -> str:
     if not order:
         return body.strip()
     ctes = ",\n".join(f"{n} AS ({VIEWS[n][0].strip()})" for n in order)
-    return f"WITH {ctes}\n{body.strip()}"
+    body = body.strip()
+    if body[:5].upper() == "WITH ":  # merge the body's own CTEs into ours
+        return f"WITH {ctes},\n{body[5:]}"
+    return f"WITH {ctes}\n{body}"
 
 
 def translated(expr: str = "product_category_name") -> str:
