@@ -86,6 +86,6 @@ def hourly_counts_job(events: DataFrame, out_path: str, checkpoint: str, waterma
 
 
 def dropped_by_watermark(query: StreamingQuery) -> int:
-    """Rows the stateful operators dropped as late in the last progress report."""
-    p = query.lastProgress or {}
-    return sum(int(s.get("numRowsDroppedByWatermark", 0)) for s in p.get("stateOperators", []))
+    """Rows the stateful operators dropped as late, over the run's recent progress reports."""
+    return sum(int(s.get("numRowsDroppedByWatermark", 0))
+               for p in (query.recentProgress or []) for s in p.get("stateOperators", []))
