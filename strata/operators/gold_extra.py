@@ -126,19 +126,31 @@ def weather_band(col: str) -> F.Column:
     return F.when(c < BAND_COOL_BELOW, "cool").when(c < BAND_MILD_BELOW, "mild").otherwise("warm")
 
 
+def calendar_hour_profile(weather: DataFrame) -> DataFrame:
+    """Hourly weather folded onto calendar hours (month, day, hour): the
+    reading-weighted mean, so it equals the mean of all raw readings of that
+    calendar hour. At most 366 × 24 rows whatever the data volume."""
+    return weather.groupBy(F.month("obs_hour").alias("__m"), F.dayofmonth("obs_hour").alias("__d"),
+                           F.hour("obs_hour").alias("__h")).agg(
+        (F.sum(F.col("temperature") * F.col("readings")) / F.sum("readings")).alias("temperature"))
+
+
 def weather_impact(orders: DataFrame, values: DataFrame, weather: DataFrame) -> DataFrame:
     """Per (year, month, band): orders and revenue under each weather band.
 
-    J13: orders and hourly weather meet on (month, day, hour) of their time,
-    because the fixture's order and weather years do not overlap.
+    J13: orders meet the weather of their calendar hour (month, day, hour),
+    because the fixture's order and weather years do not overlap. The
+    calendar profile has a fixed upper bound of 8,784 rows, so it is
+    broadcast: the order side is never shuffled for this join, which also
+    keeps it safe when orders pile up on a few hours (e.g. all at midnight).
     """
     v = valued_orders(orders, values)
     ts = F.col("order_purchase_timestamp")
     o = v.select("order_id", "year", "month", "final_order_value",
                  F.month(ts).alias("__m"), F.dayofmonth(ts).alias("__d"), F.hour(ts).alias("__h"))
-    w = weather.select(F.month("obs_hour").alias("__m"), F.dayofmonth("obs_hour").alias("__d"),
-                       F.hour("obs_hour").alias("__h"), weather_band("temperature").alias("condition_band"))
-    j = o.join(w, ["__m", "__d", "__h"])
+    w = calendar_hour_profile(weather).select("__m", "__d", "__h",
+                                              weather_band("temperature").alias("condition_band"))
+    j = o.join(F.broadcast(w), ["__m", "__d", "__h"])
     return j.groupBy("year", "month", "condition_band").agg(
         F.count("order_id").alias("n_orders"), money_sum("final_order_value").alias("revenue"))
 

@@ -121,10 +121,14 @@ def _unique(df: DataFrame, table: str, r: Unique) -> DataFrame:
 
 
 def _exists_in(df: DataFrame, table: str, r: ExistsIn) -> DataFrame:
-    """Orphans via left_anti; a NULL child key never matches, so it is an orphan."""
+    """Orphans via left_anti; a NULL child key never matches, so it is an orphan.
+
+    Child rows are first reduced to (key, rows) with a grouped count, so the
+    anti join shuffles distinct keys only and a hot key is one row."""
     parent = r.parent.select(F.col(r.parent_column).alias("__pk"))
-    orphans = df.select(F.col(r.column).alias("__fk")).join(parent, F.col("__fk") == F.col("__pk"), "left_anti") \
-        .agg(F.count(F.lit(1)).alias("__orphans"))
+    keys = df.groupBy(F.col(r.column).alias("__fk")).agg(F.count(F.lit(1)).alias("__n"))
+    orphans = keys.join(parent, F.col("__fk") == F.col("__pk"), "left_anti") \
+        .agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("__orphans"))
     return orphans.select(_result(table, "referential_integrity", r.column, F.col("__orphans") > 0,
                                   F.col("__orphans"), "0", r.severity).alias("r")).select("r.*")
 

@@ -89,8 +89,9 @@ def q_product_profitability(spark, sf):
 
 
 @query("gold_weather_impact", O.sql(f"""
-    WITH w AS (SELECT date_trunc('hour', ts) AS obs_hour, avg(value) AS temperature FROM events GROUP BY 1),
-    wb AS (SELECT month(obs_hour) AS m, day(obs_hour) AS d, hour(obs_hour) AS h,
+    WITH w AS (SELECT month(ts) AS m, day(ts) AS d, hour(ts) AS h, avg(value) AS temperature
+               FROM events GROUP BY 1, 2, 3),
+    wb AS (SELECT m, d, h,
                   CASE WHEN temperature < {GX.BAND_COOL_BELOW} THEN 'cool'
                        WHEN temperature < {GX.BAND_MILD_BELOW} THEN 'mild' ELSE 'warm' END AS condition_band
            FROM w)
