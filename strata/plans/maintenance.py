@@ -54,6 +54,15 @@ def swap(spark: SparkSession, path: str, staging: str) -> None:
         fs.delete(backup, True)
 
 
+def list_tables(spark: SparkSession, root: str) -> list[str]:
+    """Names of the table folders directly under ``root`` (hidden/staging ones skipped)."""
+    fs, p = _fs(spark, root)
+    if not fs.exists(p):
+        return []
+    names = [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
+    return sorted(n for n in names if not n.startswith((".", "_")) and ".__" not in n)
+
+
 def publish_swap(spark: SparkSession, df: DataFrame, path: str, partition_by: Sequence[str] | None = None,
                  **write_opts) -> int:
     """Write ``df`` to a new folder, verify its row count, swap it in. Returns rows."""
