@@ -117,8 +117,8 @@ def product_profitability(items: DataFrame, products: DataFrame) -> DataFrame:
 
 
 # Temperature bands of the weather-impact table.
-BAND_COOL_BELOW = 200.0
-BAND_MILD_BELOW = 300.0
+BAND_COOL_BELOW = 45.0
+BAND_MILD_BELOW = 55.0
 
 
 def weather_band(col: str) -> F.Column:

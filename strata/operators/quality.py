@@ -175,6 +175,18 @@ def gate(results: DataFrame, halt: bool = True) -> bool:
     return not failed
 
 
+def report(results: DataFrame) -> DataFrame:
+    """Human-readable report: fractions as percentages, counts as integers.
+
+    Formatting happens only here; the result log keeps the numbers."""
+    pct = F.format_string("%.2f%%", F.col("observed_value") * 100)
+    cnt = F.format_string("%d", F.col("observed_value").cast("long"))
+    return results.select(
+        "table_name", "expectation", "column", "status",
+        F.when(F.col("expectation") == "not_be_null", pct).otherwise(cnt).alias("observed"),
+        "threshold", "severity")
+
+
 def summary(results: DataFrame) -> DataFrame:
     """Rule counts per table and status (the DQ dashboard view)."""
     return results.groupBy("table_name", "status").agg(F.count(F.lit(1)).alias("n_rules"))

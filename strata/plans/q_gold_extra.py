@@ -89,7 +89,8 @@ def q_product_profitability(spark, sf):
 
 
 @query("gold_weather_impact", O.sql(f"""
-    WITH w AS (SELECT month(ts) AS m, day(ts) AS d, hour(ts) AS h, avg(value) AS temperature
+    WITH w AS (SELECT month(ts) AS m, day(ts) AS d, hour(ts) AS h,
+                      CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS temperature
                FROM events GROUP BY 1, 2, 3),
     wb AS (SELECT m, d, h,
                   CASE WHEN temperature < {GX.BAND_COOL_BELOW} THEN 'cool'

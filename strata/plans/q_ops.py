@@ -169,3 +169,52 @@ def q_view_dq(spark, sf):
     _serving(spark, sf)
     return spark.sql("SELECT * FROM v_dq_audit_summary")
 
+
+
+# ---------------------------------------------------------------- JSON source, preview
+
+WEATHER_COLD_BELOW = 40.0  # fixed value: hours colder than this are written as damaged lines
+
+
+@query("weather_json_ingest", O.sql(f"""
+    SELECT date_trunc('hour', ts) AS obs_hour,
+           CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS temperature, count(*) AS readings
+    FROM events GROUP BY 1
+    HAVING CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / count(*) >= {WEATHER_COLD_BELOW}"""))
+def q_weather_json(spark, sf):
+    """Weather history as nested JSON lines (damaged lines included), read back
+    with a declared schema in PERMISSIVE mode, quarantined and flattened (S7, P3)."""
+    from pyspark.sql import types as T
+
+    from ..sources import readers as R
+    from ..sources import testdata as D
+    path = scratch_path(spark, "weather_json", uuid.uuid4().hex)
+    w = D.weather_hourly(spark, sf)
+    line = F.to_json(F.struct(F.struct("obs_hour", F.struct("temperature", "readings").alias("reading"))
+                              .alias("station")))
+    damaged = F.substring(line, 1, (F.length(line) / 2).cast("int"))
+    w.select(F.when(F.col("temperature") < WEATHER_COLD_BELOW, damaged).otherwise(line).alias("value")) \
+        .write.text(path)
+    schema = T.StructType([T.StructField("station", T.StructType([
+        T.StructField("obs_hour", T.TimestampType()),
+        T.StructField("reading", T.StructType([T.StructField("temperature", T.DoubleType()),
+                                               T.StructField("readings", T.LongType())]))]))])
+    good, _bad = R.split_corrupt(R.read_json(spark, path, schema))
+    flat = R.flatten(good)
+    return flat.select(F.col("station_obs_hour").alias("obs_hour"),
+                       F.col("station_reading_temperature").alias("temperature"),
+                       F.col("station_reading_readings").alias("readings"))
+
+
+@query("row_preview", O.sql("""
+    SELECT * FROM (SELECT order_id, customer_id, order_status, order_purchase_timestamp, year, month, origin,
+                          CAST(final_order_value AS DOUBLE) AS final_order_value
+                   FROM valued) v ORDER BY order_id LIMIT 10""", "valued"))
+def q_row_preview(spark, sf):
+    """First rows of the lambda order table by key (N2): a top-k, so each task
+    keeps only its 10 smallest keys (TakeOrderedAndProject), no global sort."""
+    from ..operators import lambda_union as LU
+    L = Layers(spark, sf)
+    v = LU.valued_orders(L.unified_orders, L.order_values)
+    return publish(v.select("order_id", "customer_id", "order_status", "order_purchase_timestamp", "year", "month",
+                            "origin", "final_order_value").orderBy("order_id").limit(10))

@@ -228,9 +228,13 @@ def event_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def weather_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hourly measurement: mean event value per hour (the weather stand-in)."""
+    """Hourly measurement: mean event value per hour (the weather stand-in).
+
+    The mean is the exact decimal sum over the count, so it does not depend
+    on the order in which partial sums are combined."""
     ev = table(spark, sf_dir, "events")
     return (
         ev.groupBy(F.date_trunc("hour", F.col("ts")).alias("obs_hour"))
-        .agg(F.avg("value").alias("temperature"), F.count(F.lit(1)).alias("readings"))
+        .agg((F.sum(F.col("value").cast(C.MONEY)).cast("double") / F.count(F.lit(1))).alias("temperature"),
+             F.count(F.lit(1)).alias("readings"))
     )

@@ -22,6 +22,9 @@ CASES = [
     ("{'order_id': 1, 'customer_id': 2}", False),       # single quotes
     ('{"order_id": 1}', False),                          # missing key
     (None, False),
+    # known deviation: trailing text after a complete object is not seen by
+    # either native function, so the payload is accepted
+    ('{"order_id": 1, "customer_id": 2} trailing', True),
 ]
 
 
