@@ -62,9 +62,14 @@ def _start(df: DataFrame, path: str, checkpoint: str, trigger: dict | None, part
 
 
 def ingest_job(payloads: DataFrame, raw_path: str, quarantine_path: str, checkpoint: str,
-               trigger: dict | None = None) -> list[StreamingQuery]:
+               trigger: dict | None = None, files_per_hour: int = 2) -> list[StreamingQuery]:
+    """Each micro-batch is clustered by hour before the hour-partitioned write,
+    so a batch adds about ``files_per_hour`` files per hour folder instead of
+    one per task per hour; the salt (hash of order_id) keeps a hot hour spread
+    over that many tasks."""
     valid, bad = speed.ingest_events(payloads, watermark=None)
-    raw = speed.hour_partition_cols(valid)
+    salt = F.pmod(F.hash("order_id"), F.lit(files_per_hour))
+    raw = speed.hour_partition_cols(valid).repartition(*[F.col(c) for c in RAW_PARTITIONS], salt)
     q1 = _start(raw, raw_path, f"{checkpoint}/raw", trigger, RAW_PARTITIONS)
     q2 = _start(bad, quarantine_path, f"{checkpoint}/quarantine", trigger)
     return [q1, q2]
