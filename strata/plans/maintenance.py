@@ -68,7 +68,7 @@ def publish_swap(spark: SparkSession, df: DataFrame, path: str, partition_by: Se
     """Write ``df`` to a new folder, verify its row count, swap it in. Returns rows."""
     staging = path.rstrip("/") + f".__staging_{uuid.uuid4().hex[:8]}"
     obs = Observation("publish")
-    write_table(df.observe(obs, F.count(F.lit(1)).alias("rows")), staging, partition_by, **write_opts)
+    write_table(df, staging, partition_by, observation=obs, **write_opts)
     written = int(obs.get["rows"])
     read_back = spark.read.parquet(staging).count()
     if read_back != written:

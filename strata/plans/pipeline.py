@@ -107,7 +107,8 @@ def raw_to_silver(spark: SparkSession, cfg: PipelineConfig) -> None:
         new_dim = K.scd2_merge(current, delivery, "customer_id", cfg.as_of)
     else:
         new_dim = K.scd2_initial(delivery, cfg.as_of)
-    cfg.results["dim_customers_rows"] = MT.publish_swap(spark, new_dim, dim_path, ["customer_state"])
+    cfg.results["dim_customers_rows"] = MT.publish_swap(spark, new_dim, dim_path, ["customer_state"],
+                                                        cluster_by=["customer_id"])
 
 
 def dq_audit(spark: SparkSession, cfg: PipelineConfig) -> None:

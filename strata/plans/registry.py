@@ -28,17 +28,32 @@ AS_OF = "2024-02-01"
 
 
 def query(name: str, oracle: str | None):
+    """Register ``fn`` under ``name``; its result is published through ``publish``."""
     def deco(fn: QueryFn) -> QueryFn:
-        REGISTRY[name] = (fn, oracle)
+        def published(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return publish(fn(spark, sf_dir))
+        published.__name__ = fn.__name__
+        published.__doc__ = fn.__doc__
+        REGISTRY[name] = (published, oracle)
         return fn
     return deco
 
 
 def publish(df: DataFrame) -> DataFrame:
-    """Decimal columns → DOUBLE for the published result."""
-    cols = [F.col(f.name).cast("double").alias(f.name) if isinstance(f.dataType, T.DecimalType)
-            else F.col(f.name) for f in df.schema.fields]
-    return df.select(*cols)
+    """Published column types: decimal → DOUBLE, session-zone timestamp → TIMESTAMP_NTZ.
+
+    The NTZ value is the wall-clock time in the session zone, which is the
+    time the data was read and computed in, so the published result is the
+    same whatever zone the reading session uses."""
+    def conv(f):
+        if isinstance(f.dataType, T.DecimalType):
+            return F.col(f.name).cast("double").alias(f.name)
+        if isinstance(f.dataType, T.TimestampType):
+            return F.col(f.name).cast("timestamp_ntz").alias(f.name)
+        return F.col(f.name)
+    if not any(isinstance(f.dataType, (T.DecimalType, T.TimestampType)) for f in df.schema.fields):
+        return df
+    return df.select(*[conv(f) for f in df.schema.fields])
 
 
 # ---------------------------------------------------------------- silver

@@ -12,17 +12,22 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] | None = None, mode: str = "overwrite",
                 dynamic: bool = False, cluster_by: Sequence[str] | None = None,
                 num_partitions: int | None = None, max_records_per_file: int | None = None,
-                table_name: str | None = None, fmt: str = "parquet") -> None:
+                table_name: str | None = None, fmt: str = "parquet", observation: Observation | None = None) -> None:
+    """``observation`` (a row count, named ``rows``) is attached after the
+    clustering step, so the sampling pass of range partitioning is not counted."""
     out = df
     if cluster_by is not None:
         cols = [*(partition_by or []), *cluster_by]
         out = out.repartitionByRange(num_partitions, *cols) if num_partitions else out.repartitionByRange(*cols)
+    if observation is not None:
+        out = out.observe(observation, F.count(F.lit(1)).alias("rows"))
     w = out.write.format(fmt).mode(mode).option("compression", "snappy")
     if partition_by:
         w = w.partitionBy(*partition_by)

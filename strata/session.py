@@ -41,11 +41,15 @@ def get_session(master: str = "local[8]", app: str = "strata", **conf: str) -> S
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster names a shared folder there; it is used as is. Only when the
-    setting is missing (local tests) a scratch folder is created for it.
+    A cluster names a shared folder there; it is used as is. Only a local
+    session (tests, ``local[N]``) without the setting gets a scratch folder;
+    a cluster session without it is an error, because a machine-local folder
+    is not visible to other executors and does not survive their loss.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         path = tempfile.mkdtemp(prefix="strata-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     if spark.sparkContext.getCheckpointDir() is None:
