@@ -40,11 +40,19 @@ def _stream_side(stream: DataFrame, ts_type) -> DataFrame:
     return stream.select(*keep).withColumn("origin", F.lit(ORIGIN_STREAM))
 
 
-def unify_orders(batch: DataFrame, stream: DataFrame | None = None, gate: bool = True) -> DataFrame:
-    """One row per order_id from batch orders and (optionally) stream events."""
+def union_candidates(batch: DataFrame, stream: DataFrame | None = None) -> DataFrame:
+    """Batch ∪ stream before survivor selection (U1), with ``origin``.
+
+    Checking this for duplicate keys reports overlap between the lanes; the
+    same check after ``unify_orders`` would be true by construction."""
     ts_type = batch.schema["order_purchase_timestamp"].dataType
     b = batch.select(*[c for c in batch.columns if c in UNIFIED_COLUMNS]).withColumn("origin", F.lit(ORIGIN_BATCH))
-    u = b if stream is None else b.unionByName(_stream_side(stream, ts_type), allowMissingColumns=True)
+    return b if stream is None else b.unionByName(_stream_side(stream, ts_type), allowMissingColumns=True)
+
+
+def unify_orders(batch: DataFrame, stream: DataFrame | None = None, gate: bool = True) -> DataFrame:
+    """One row per order_id from batch orders and (optionally) stream events."""
+    u = union_candidates(batch, stream)
     ts = F.col("order_purchase_timestamp")
     u = u.withColumns({
         "year": F.coalesce(F.col("year"), F.year(ts)) if "year" in u.columns else F.year(ts),

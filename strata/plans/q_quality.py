@@ -182,3 +182,18 @@ def q_layer_reconciliation(spark, sf):
     return keys.agg(F.count_distinct("order_id").alias("silver_keys")) \
         .select("silver_keys", gold_rows.alias("gold_rows")) \
         .withColumn("counts_match", F.col("silver_keys") == F.col("gold_rows"))
+
+
+@query("lambda_duplicate_report", O.sql("""
+    SELECT 'lambda_union' AS table_name, 'be_unique' AS expectation, 'order_id' AS "column",
+           CASE WHEN dup > 0 THEN 'FAIL' ELSE 'PASS' END AS status, CAST(dup AS DOUBLE) AS observed_value,
+           '0' AS threshold, 'warn' AS severity
+    FROM (SELECT COALESCE(SUM(n - 1), 0) AS dup FROM
+           (SELECT count(*) AS n FROM (SELECT order_id FROM s_orders UNION ALL SELECT order_id FROM stream_orders) u
+            GROUP BY order_id))""", "s_orders", "stream_orders"))
+def q_lambda_duplicate_report(spark, sf):
+    """Q7: overlap of batch and stream keys, reported before survivor selection."""
+    from ..operators import lambda_union as LU
+    L = Layers(spark, sf)
+    cand = LU.union_candidates(L.orders, L.stream_orders)
+    return Q.run_rules(cand, "lambda_union", [Q.Unique("order_id", Q.WARN)])

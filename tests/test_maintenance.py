@@ -100,3 +100,16 @@ def test_compaction_refuses_row_loss(spark, tmp_dir, monkeypatch):
     with pytest.raises(MT.PublishError):
         MT.compact(spark, path, ["part"])
     assert spark.read.parquet(path).count() == 300
+
+
+def test_partition_pruning_and_optional_scan(spark, tmp_dir):
+    from strata.plans.pipeline import read_optional
+    from strata.sources import contracts as C
+    path = os.path.join(tmp_dir, "pp")
+    df = spark.createDataFrame([(i, 2020 + i % 3) for i in range(30)], "id long, year int")
+    write_table(df, path, ["year"])
+    q = spark.read.parquet(path).filter("year = 2021")
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan and q.count() == 10
+    empty = read_optional(spark, os.path.join(tmp_dir, "nope"), C.EVENTS)
+    assert empty.count() == 0 and empty.schema == C.EVENTS
