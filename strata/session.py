@@ -60,3 +60,46 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder for intermediate tables."""
     return os.path.join(ensure_checkpoint_dir(spark), *parts)
+
+
+def cluster_conf(input_bytes: float, total_cores: int, executor_memory_gb: float = 16.0) -> dict[str, str]:
+    """Settings for a cluster run, sized from the input volume and the core count.
+
+    Meant for the launcher (spark-submit ``--conf`` or the builder); the
+    library never sets them on a running cluster session.
+
+    * input splits of 256 MB: a task's working set stays well inside its
+      share of executor memory (``executor_memory_gb / cores`` per task);
+    * shuffle partitions: about one per GB of input (at least 3 per core), so
+      AQE has enough initial partitions to coalesce toward 256 MB targets;
+    * skew: a partition over 1 GB and 5× the median is split by AQE;
+    * broadcast: only sides measured under 64 MB (AQE checks at run time);
+    * streaming state in RocksDB (off-heap, spills to disk) so dedup state
+      bounded by the watermark does not pressure the JVM heap;
+    * executor loss: decommissioning migrates shuffle and cached blocks, and
+      shuffle tracking lets dynamic allocation release executors safely.
+    """
+    gb = float(input_bytes) / 2**30
+    shuffle_parts = int(max(3 * total_cores, min(200_000, gb)))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+        "spark.sql.shuffle.partitions": str(shuffle_parts),
+        "spark.sql.files.maxPartitionBytes": "256m",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.autoBroadcastJoinThreshold": "64m",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.decommission.enabled": "true",
+        "spark.storage.decommission.enabled": "true",
+        "spark.storage.decommission.shuffleBlocks.enabled": "true",
+        "spark.storage.decommission.rddBlocks.enabled": "true",
+        "spark.dynamicAllocation.shuffleTracking.enabled": "true",
+        "spark.task.maxFailures": "8",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+        "spark.executor.memory": f"{int(executor_memory_gb)}g",
+    }
