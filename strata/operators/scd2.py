@@ -75,8 +75,10 @@ def scd2_merge(dim: DataFrame, updates: DataFrame, key: str, as_of: date | str |
     upd = updates.filter(F.col(key).isNotNull()).select(key, *attrs)
     upd = dedup_latest(upd, [key], list(tracked))
 
-    history = dim.filter(~F.col("is_current"))
-    cur = dim.filter(F.col("is_current"))
+    # a NULL flag counts as "not current", so no row can fall out of both branches
+    current_flag = F.coalesce(F.col("is_current"), F.lit(False))
+    history = dim.filter(~current_flag)
+    cur = dim.filter(current_flag)
 
     # current version ⟕ incoming row of its key
     u_side = upd.select(F.col(key), F.lit(True).alias("__matched"),

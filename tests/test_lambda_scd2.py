@@ -120,3 +120,12 @@ def test_scd2_invariants_and_point_in_time(spark):
     got = {r.order_id: r.state for r in K.point_in_time_join(facts, out, "customer_id", "ts", ["state"]).collect()}
     assert got == {10: "A", 11: "A2", 12: None}
     assert {r.customer_id for r in K.scd2_as_of(out, "2024-01-10").collect()} == {1, 2}
+
+
+def test_scd2_null_current_flag_is_kept_as_history(spark):
+    dim = _dim(spark, [(1, "A")]).unionByName(
+        spark.createDataFrame([(9, "Z")], DIM_SCHEMA).withColumns(
+            {"effective_date": F.lit(D1).cast("date"), "end_date": F.lit(D2).cast("date"),
+             "is_current": F.lit(None).cast("boolean")}))
+    out = K.scd2_merge(dim, spark.createDataFrame([(1, "B")], DIM_SCHEMA), "customer_id", D2)
+    assert out.count() == 3 and out.filter("customer_id = 9").count() == 1
