@@ -72,8 +72,10 @@ def read_optional(spark: SparkSession, path: str, schema) -> DataFrame:
 # ---------------------------------------------------------------- stages
 
 def raw_to_silver(spark: SparkSession, cfg: PipelineConfig) -> None:
-    orders_raw = D.raw_orders(spark, cfg.sf_dir)
-    customers_raw = D.raw_customers(spark, cfg.sf_dir)
+    # every raw delivery is projected onto its contract first (try_cast, missing
+    # columns NULL-filled, extra columns dropped)
+    orders_raw = C.enforce_schema(D.raw_orders(spark, cfg.sf_dir), C.ORDERS)
+    customers_raw = C.enforce_schema(D.raw_customers(spark, cfg.sf_dir), C.CUSTOMERS)
     # soft gate on the raw deliveries (log only), as the reference does before dedup
     soft = Q.union_results(
         Q.run_rules(orders_raw, "raw_orders", [Q.NotNull("order_id", 0.01, Q.WARN), Q.Unique("order_id", Q.WARN)]),
@@ -84,23 +86,24 @@ def raw_to_silver(spark: SparkSession, cfg: PipelineConfig) -> None:
     orders = S.clean_orders(orders_raw)
     write_table(orders, cfg.p("silver", "fact_orders"), ["year", "month"], dynamic=True, cluster_by=["order_id"])
     o = spark.read.parquet(cfg.p("silver", "fact_orders"))
-    items = S.items_with_order_partition(S.clean_order_items(D.raw_order_items(spark, cfg.sf_dir)), o)
+    items = S.items_with_order_partition(S.clean_order_items(C.enforce_schema(D.raw_order_items(spark, cfg.sf_dir), C.ORDER_ITEMS)), o)
     write_table(items, cfg.p("silver", "fact_order_items"), ["year", "month"], dynamic=True,
                 cluster_by=["order_id"])
     write_table(S.clean_payments(D.raw_payments(spark, cfg.sf_dir)), cfg.p("silver", "fact_payments"),
                 ["payment_type"], dynamic=True, cluster_by=["order_id"])
-    write_table(S.clean_products(D.raw_products(spark, cfg.sf_dir)), cfg.p("silver", "dim_products"))
-    write_table(S.clean_sellers(D.raw_sellers(spark, cfg.sf_dir)), cfg.p("silver", "dim_sellers"),
+    write_table(S.clean_products(C.enforce_schema(D.raw_products(spark, cfg.sf_dir), C.PRODUCTS)), cfg.p("silver", "dim_products"))
+    write_table(S.clean_sellers(C.enforce_schema(D.raw_sellers(spark, cfg.sf_dir), C.SELLERS)), cfg.p("silver", "dim_sellers"),
                 ["seller_state"])
-    write_table(S.clean_geolocation(D.raw_geolocation(spark, cfg.sf_dir)), cfg.p("silver", "dim_geolocation"),
+    write_table(S.clean_geolocation(C.enforce_schema(D.raw_geolocation(spark, cfg.sf_dir), C.GEOLOCATION)), cfg.p("silver", "dim_geolocation"),
                 ["geolocation_state"])
-    write_table(S.clean_reviews(D.raw_reviews(spark, cfg.sf_dir)), cfg.p("silver", "fact_order_reviews"),
+    write_table(S.clean_reviews(C.enforce_schema(D.raw_reviews(spark, cfg.sf_dir), C.REVIEWS)), cfg.p("silver", "fact_order_reviews"),
                 ["review_score"])
     write_table(D.category_translation(spark), cfg.p("silver", "dim_category_translation"))
 
     # SCD2 customers: first load, or merge into the published dimension
     dim_path = cfg.p("silver", "dim_customers")
-    delivery = D.customer_updates(spark, cfg.sf_dir) if cfg.customer_updates else customers_raw
+    delivery = C.enforce_schema(D.customer_updates(spark, cfg.sf_dir), C.CUSTOMERS) if cfg.customer_updates \
+        else customers_raw
     delivery = S.clean_customers(delivery)
     if MT.path_exists(spark, dim_path):
         current = spark.read.parquet(dim_path).select(*delivery.columns, *K.META)
