@@ -60,6 +60,14 @@ class Between:
     severity: str = ERROR
 
 
+@dataclass(frozen=True)
+class CastsCleanly:
+    """Every non-NULL value of ``column`` converts to ``dtype`` (schema enforcement)."""
+    column: str
+    dtype: str
+    severity: str = ERROR
+
+
 @dataclass(frozen=True)
 class ExistsIn:
     column: str
@@ -89,9 +97,13 @@ def _single_pass(df: DataFrame, table: str, rules: Sequence) -> DataFrame | None
     """All NotNull/Between rules of one table from a single aggregate."""
     nn = [r for r in rules if isinstance(r, NotNull)]
     bt = [r for r in rules if isinstance(r, Between)]
-    if not nn and not bt:
+    cc = [r for r in rules if isinstance(r, CastsCleanly)]
+    if not nn and not bt and not cc:
         return None
     aggs = [F.count(F.lit(1)).alias("__total")]
+    for i, r in enumerate(cc):
+        c = F.col(r.column)
+        aggs.append(F.count_if(c.isNotNull() & c.try_cast(r.dtype).isNull()).alias(f"__cc{i}"))
     for i, r in enumerate(nn):
         aggs.append(F.count_if(F.col(r.column).isNull()).alias(f"__nn{i}"))
     for i, r in enumerate(bt):
@@ -108,7 +120,10 @@ def _single_pass(df: DataFrame, table: str, rules: Sequence) -> DataFrame | None
         oob = F.col(f"__bt{i}")
         rows.append(_result(table, "be_between", r.column, oob > 0, oob,
                             f"[{_fmt_num(r.min_value)}, {_fmt_num(r.max_value)}]", r.severity))
-    # an empty table records nothing for these two expectations
+    for i, r in enumerate(cc):
+        bad = F.col(f"__cc{i}")
+        rows.append(_result(table, "casts_cleanly", r.column, bad > 0, bad, r.dtype, r.severity))
+    # an empty table records nothing for these expectations
     return metrics.filter(total > 0).select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 

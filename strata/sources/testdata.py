@@ -20,7 +20,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _money(c) -> F.Column:
-    return F.col(c).cast(C.MONEY) if isinstance(c, str) else c.cast(C.MONEY)
+    """Source double → decimal(18,2). ``try_cast``: a value that does not fit
+    becomes NULL (reported by the not-null rules) instead of failing the job."""
+    return F.col(c).try_cast(C.MONEY) if isinstance(c, str) else c.try_cast(C.MONEY)
 
 
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,9 +46,9 @@ def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_suppkey").alias("seller_id"),
         F.col("l_shipdate").alias("shipping_limit_date"),
         price.alias("price"),
-        F.round(price * _money("l_tax"), 2).cast(C.MONEY).alias("freight_value"),
-        F.col("l_quantity").cast("int").alias("quantity"),
-        F.col("l_discount").cast("decimal(4,2)").alias("discount"),
+        F.round(price * _money("l_tax"), 2).try_cast(C.MONEY).alias("freight_value"),
+        F.col("l_quantity").try_cast("int").alias("quantity"),
+        F.col("l_discount").try_cast("decimal(4,2)").alias("discount"),
     )
 
 
@@ -56,7 +58,7 @@ def raw_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_orderkey").alias("order_id"),
         F.col("l_linenumber").alias("payment_sequential"),
         F.col("l_returnflag").alias("payment_type"),
-        F.col("l_quantity").cast("int").alias("payment_installments"),
+        F.col("l_quantity").try_cast("int").alias("payment_installments"),
         _money("l_extendedprice").alias("payment_value"),
         F.col("l_shipdate").alias("paid_at"),
         # tie-break columns carried for a total dedup order

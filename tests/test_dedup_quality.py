@@ -81,3 +81,14 @@ def test_observe_rules_on_write(spark, tmp_dir):
     observed.write.mode("overwrite").parquet(f"{tmp_dir}/o")
     m = obs.get
     assert m["total"] == 3 and m["nulls:a"] == 1 and m["out_of_range:a"] == 1
+
+
+def test_casts_cleanly_rule(spark):
+    df = spark.createDataFrame([("1",), ("x",), (None,), ("99999999999",)], "a string")
+    r = _rows(Q.run_rules(df, "t", [Q.CastsCleanly("a", "int")]))[("casts_cleanly", "a")]
+    assert r.status == "FAIL" and r.observed_value == 2.0
+
+
+def test_public_api_imports():
+    import strata
+    assert all(hasattr(strata, n) for n in strata.__all__)
