@@ -10,7 +10,7 @@ Layout under ``out_root``::
 
     silver/<table>/...           partitioned Parquet (dynamic overwrite per write)
     silver/dim_customers/        SCD2 dimension, published by write + swap
-    stream/raw, stream/processed, stream/quarantine, stream/_checkpoints
+    stream/raw (valid + rejected payloads), stream/processed, stream/_checkpoints
     gold/<table>/...             gold tables (lambda_orders first, read back)
     dq/results                   DQ result log (append)
     ops/inventory                file / byte / row inventory
@@ -138,11 +138,10 @@ def speed_layer(spark: SparkSession, cfg: PipelineConfig) -> None:
     if not cfg.payload_dir:
         return
     ck = cfg.p("stream", "_checkpoints")
-    for q in jobs.ingest_job(jobs.file_payload_source(spark, cfg.payload_dir), cfg.p("stream", "raw"),
-                             cfg.p("stream", "quarantine"), f"{ck}/ingest"):
-        q.awaitTermination()
+    jobs.ingest_job(jobs.file_payload_source(spark, cfg.payload_dir), cfg.p("stream", "raw"),
+                    f"{ck}/ingest").awaitTermination()
     customers = spark.read.parquet(cfg.p("silver", "dim_customers"))
-    q = jobs.process_job(jobs.event_file_source(spark, cfg.p("stream", "raw")), customers,
+    q = jobs.process_job(jobs.valid_event_source(spark, cfg.p("stream", "raw")), customers,
                          cfg.p("stream", "processed"), f"{ck}/processed")
     q.awaitTermination()
     cfg.results["late_rows_dropped"] = jobs.dropped_by_watermark(q)

@@ -17,6 +17,8 @@ from pyspark.sql import types as T
 from ..sources import contracts as C
 from ..sources.testdata import EVENT_TS_FORMAT
 
+REJECT_REASON = "missing required keys or invalid JSON"
+
 
 def has_required_keys(payload: str | Column, required: Sequence[str]) -> Column:
     """True when ``payload`` is a JSON object holding every required key.
@@ -54,7 +56,7 @@ def ingest_events(payloads: DataFrame, schema: T.StructType = C.EVENTS,
     if watermark:
         valid = valid.withWatermark("event_timestamp", watermark)
     quarantine = flagged.filter(~F.col("__valid")).select(
-        text.alias("payload"), F.lit("missing required keys or invalid JSON").alias("reason"))
+        text.alias("payload"), F.lit(REJECT_REASON).alias("reason"))
     return valid, quarantine
 
 

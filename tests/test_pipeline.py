@@ -19,7 +19,8 @@ def test_pipeline_end_to_end_and_scd2_rerun(spark, tmp_dir):
     origins = {r.origin for r in orders.select("origin").distinct().collect()}
     assert origins == {"batch", "stream"}
     assert orders.groupBy("order_id").count().filter("count > 1").count() == 0
-    assert spark.read.parquet(lake("stream", "quarantine")).count() > 0
+    from strata.streaming import jobs
+    assert jobs.quarantine(spark, lake("stream", "raw")).count() > 0
     assert spark.read.parquet(lake("dq", "results")).count() > 0
     inv = {r.table_name: r for r in spark.read.parquet(lake("ops", "inventory")).collect()}
     assert inv["silver/fact_orders"].rows == spark.read.parquet(lake("silver", "fact_orders")).count()

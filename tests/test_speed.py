@@ -85,15 +85,22 @@ def test_two_drains_dedup_late_and_enrichment(spark, tmp_dir):
 
 
 def test_ingest_job_quarantines_and_partitions(spark, tmp_dir):
-    src, raw, bad, ck = (os.path.join(tmp_dir, p) for p in ("topic", "raw", "bad", "ck"))
+    src, raw, ck = (os.path.join(tmp_dir, p) for p in ("topic", "raw", "ck"))
     good = ('{"order_id": 1, "customer_id": 2, "order_status": "x", '
             '"event_timestamp": "2024-01-01T05:00:00.000001", "order_value": 1.5}')
     spark.createDataFrame([(good,), ('{"order_id": 1}',), ("junk",)], "value string").write.parquet(src)
-    for q in jobs.ingest_job(jobs.file_payload_source(spark, src), raw, bad, ck):
-        q.awaitTermination()
-    r = spark.read.parquet(raw)
+    jobs.ingest_job(jobs.file_payload_source(spark, src), raw, ck).awaitTermination()
+    r = spark.read.parquet(raw).filter("cast(is_valid as boolean)")
     assert r.count() == 1 and r.first().hour == 5
-    assert spark.read.parquet(bad).count() == 2
+    assert r.first().event_timestamp == dt.datetime(2024, 1, 1, 5, 0, 0, 1)
+    bad = jobs.quarantine(spark, raw)
+    assert sorted(x.payload for x in bad.collect()) == ["junk", '{"order_id": 1}']
+    # the valid-event stream sees only the valid row
+    out = os.path.join(tmp_dir, "valid")
+    q = jobs.valid_event_source(spark, raw).writeStream.format("parquet").option("path", out) \
+        .option("checkpointLocation", os.path.join(tmp_dir, "ck2")).trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert spark.read.parquet(out).count() == 1
 
 
 def test_hourly_counts_streaming(spark, tmp_dir):
