@@ -37,6 +37,7 @@ from ..sources import contracts as C
 from ..sources import testdata as D
 from ..streaming import jobs
 from . import maintenance as MT
+from .serving import register_catalog
 from .writers import write_table
 
 STAGES = ["raw_to_silver", "dq_audit", "speed_layer", "silver_to_gold", "maintenance"]
@@ -51,6 +52,7 @@ class PipelineConfig:
     customer_updates: bool = False   # use the second customer delivery (SCD2 merge)
     halt_on_dq: bool = True
     extra_gold: bool = True
+    catalog_database: str | None = None   # register gold as catalog tables + serving views
     results: dict = field(default_factory=dict)
 
     def p(self, *parts: str) -> str:
@@ -151,6 +153,7 @@ def silver_to_gold(spark: SparkSession, cfg: PipelineConfig) -> None:
     sv = lambda t: spark.read.parquet(cfg.p("silver", t))
     customers = sv("dim_customers").filter("is_current")
     items, products, payments = sv("fact_order_items"), sv("dim_products"), sv("fact_payments")
+    translation = sv("dim_category_translation")
     processed_schema = T.StructType(C.EVENTS.fields + [T.StructField("customer_state", T.StringType()),
                                                         T.StructField("customer_city", T.StringType())])
     stream = read_optional(spark, cfg.p("stream", "processed"), processed_schema)
@@ -160,8 +163,8 @@ def silver_to_gold(spark: SparkSession, cfg: PipelineConfig) -> None:
     orders = spark.read.parquet(cfg.p("gold", "lambda_orders"))
     values = LU.order_values(payments)
     gold = {
-        "gold_sales_by_category_time": (G.sales_by_category(items.drop("year", "month"), products, orders),
-                                        ["year", "month"]),
+        "gold_sales_by_category_time": (G.sales_by_category(items.drop("year", "month"), products, orders,
+                                                            translation), ["year", "month"]),
         "gold_sales_by_payment": (G.sales_by_payment(payments, orders), ["payment_type"]),
         "gold_sales_by_region": (G.sales_by_region(orders, customers), None),
         "gold_customer_segmentation": (G.customer_segmentation(orders, customers, values, cfg.as_of), None),
@@ -180,6 +183,10 @@ def silver_to_gold(spark: SparkSession, cfg: PipelineConfig) -> None:
     for name, (df, parts) in gold.items():
         write_table(df, cfg.p("gold", name), parts)
     cfg.results["gold_tables"] = sorted(gold)
+    if cfg.catalog_database:
+        tables = {name: cfg.p("gold", name) for name in gold}
+        tables["dq_results"] = cfg.p("dq", "results")
+        cfg.results["views"] = register_catalog(spark, tables, cfg.catalog_database)
 
 
 def maintenance(spark: SparkSession, cfg: PipelineConfig) -> None:

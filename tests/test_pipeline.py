@@ -10,7 +10,8 @@ from strata.sources import testdata as D
 def test_pipeline_end_to_end_and_scd2_rerun(spark, tmp_dir):
     landing = os.path.join(tmp_dir, "landing")
     D.event_payloads(spark, SF_SMALL).select("value").write.parquet(landing)
-    cfg = P.PipelineConfig(SF_SMALL, os.path.join(tmp_dir, "lake"), "2024-01-01", payload_dir=landing)
+    cfg = P.PipelineConfig(SF_SMALL, os.path.join(tmp_dir, "lake"), "2024-01-01", payload_dir=landing,
+                           catalog_database="strata_gold_test")
     res = P.run(spark, cfg)
     assert res["dq_passed"] in (True, False)
     lake = cfg.p
@@ -22,6 +23,13 @@ def test_pipeline_end_to_end_and_scd2_rerun(spark, tmp_dir):
     from strata.streaming import jobs
     assert jobs.quarantine(spark, lake("stream", "raw")).count() > 0
     assert spark.read.parquet(lake("dq", "results")).count() > 0
+    assert set(res["views"]) == {"v_sales_by_region", "v_sales_by_category", "v_payment_metrics",
+                                 "v_dq_audit_summary"}
+    cat = spark.sql("SELECT * FROM strata_gold_test.v_sales_by_category")
+    assert cat.count() == spark.read.parquet(lake("gold", "gold_sales_by_category_time")).count()
+    assert "otros" in {r[0] for r in cat.select("product_category_name_english").distinct().collect()}
+    pruned = spark.sql("SELECT * FROM strata_gold_test.v_payment_metrics WHERE payment_type = 'A'")
+    assert "PartitionFilters: [isnotnull(payment_type" in pruned._jdf.queryExecution().executedPlan().toString()
     inv = {r.table_name: r for r in spark.read.parquet(lake("ops", "inventory")).collect()}
     assert inv["silver/fact_orders"].rows == spark.read.parquet(lake("silver", "fact_orders")).count()
 
