@@ -10,7 +10,8 @@ Layout under ``out_root``::
 
     silver/<table>/...           partitioned Parquet (dynamic overwrite per write)
     silver/dim_customers/        SCD2 dimension, published by write + swap
-    stream/raw (valid + rejected payloads), stream/processed, stream/_checkpoints
+    stream/raw (valid + rejected payloads), stream/processed, stream/hourly_counts,
+    stream/_checkpoints
     gold/<table>/...             gold tables (lambda_orders first, read back)
     dq/results                   DQ result log (append)
     ops/inventory                file / byte / row inventory
@@ -27,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
+from ..operators import brief as B
 from ..operators import gold as G
 from ..operators import gold_extra as GX
 from ..operators import lambda_union as LU
@@ -42,6 +44,12 @@ from .writers import write_table
 
 STAGES = ["raw_to_silver", "dq_audit", "speed_layer", "silver_to_gold", "maintenance"]
 
+HOURLY_SCHEMA = T.StructType([T.StructField("window_start", T.TimestampType()),
+                              T.StructField("window_end", T.TimestampType()),
+                              T.StructField("order_status", T.StringType()),
+                              T.StructField("n_events", T.LongType()),
+                              T.StructField("total_value", T.DoubleType())])
+
 
 @dataclass
 class PipelineConfig:
@@ -147,6 +155,10 @@ def speed_layer(spark: SparkSession, cfg: PipelineConfig) -> None:
                          cfg.p("stream", "processed"), f"{ck}/processed")
     q.awaitTermination()
     cfg.results["late_rows_dropped"] = jobs.dropped_by_watermark(q)
+    # tumbling hourly demand per status (closed windows are appended)
+    h = jobs.hourly_counts_job(jobs.valid_event_source(spark, cfg.p("stream", "raw")).drop("is_valid"),
+                               cfg.p("stream", "hourly_counts"), f"{ck}/hourly_counts")
+    h.awaitTermination()
 
 
 def silver_to_gold(spark: SparkSession, cfg: PipelineConfig) -> None:
@@ -179,7 +191,13 @@ def silver_to_gold(spark: SparkSession, cfg: PipelineConfig) -> None:
             "gold_product_profitability": (GX.product_profitability(items, products), None),
             "sales_obt": (GX.sales_obt(orders, values, items.drop("year", "month"), products, customers),
                           ["year", "month"]),
+            "gold_top_products": (B.top_products_per_category(items.drop("year", "month"), products, orders),
+                                  ["year"]),
+            "gold_discount_impact": (B.discount_impact(items), None),
+            "gold_co_purchase": (B.co_purchase_affinity(items, products), None),
         })
+        hourly = read_optional(spark, cfg.p("stream", "hourly_counts"), HOURLY_SCHEMA)
+        gold["gold_demand_anomalies"] = (B.demand_anomalies(hourly), None)
     for name, (df, parts) in gold.items():
         write_table(df, cfg.p("gold", name), parts)
     cfg.results["gold_tables"] = sorted(gold)

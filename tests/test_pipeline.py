@@ -16,6 +16,9 @@ def test_pipeline_end_to_end_and_scd2_rerun(spark, tmp_dir):
     assert res["dq_passed"] in (True, False)
     lake = cfg.p
     assert spark.read.parquet(lake("gold", "gold_sales_by_category_time")).count() > 0
+    assert spark.read.parquet(lake("stream", "hourly_counts")).count() > 0
+    assert spark.read.parquet(lake("gold", "gold_demand_anomalies")).count() > 0
+    assert spark.read.parquet(lake("gold", "gold_top_products")).count() > 0
     orders = spark.read.parquet(lake("gold", "lambda_orders"))
     origins = {r.origin for r in orders.select("origin").distinct().collect()}
     assert origins == {"batch", "stream"}
