@@ -21,6 +21,7 @@ Semantics kept from the reference framework:
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -30,6 +31,8 @@ from pyspark.sql import functions as F
 WARN = "warn"
 ERROR = "error"
 
+_log = logging.getLogger("strata.quality")
+
 
 class DataQualityError(Exception):
     """Raised by ``gate`` when an error-severity rule fails."""
@@ -180,9 +183,9 @@ def gate(results: DataFrame, halt: bool = True) -> bool:
     rows = results.collect()
     failed = [r for r in rows if r["status"] == "FAIL"]
     for r in rows:
-        mark = "PASS" if r["status"] == "PASS" else "FAIL"
-        print(f"[{mark}] {r['table_name']}.{r['column']} {r['expectation']} "
-              f"observed={r['observed_value']} threshold={r['threshold']} ({r['severity']})")
+        level = logging.INFO if r["status"] == "PASS" else logging.WARNING
+        _log.log(level, "[%s] %s.%s %s observed=%s threshold=%s (%s)", r["status"], r["table_name"], r["column"],
+                 r["expectation"], r["observed_value"], r["threshold"], r["severity"])
     hard = [r for r in failed if r["severity"] == ERROR]
     if halt and hard:
         names = ", ".join(f"{r['table_name']}.{r['column']}:{r['expectation']}" for r in hard)
