@@ -106,11 +106,12 @@ def valid_event_source(spark: SparkSession, raw_path: str) -> DataFrame:
 
 
 def process_job(events: DataFrame, customers: DataFrame, processed_path: str, checkpoint: str,
-                watermark: str = "2 hours", trigger: dict | None = None) -> StreamingQuery:
+                watermark: str = "2 hours", trigger: dict | None = None,
+                customers_unique: bool = False) -> StreamingQuery:
     """Speed layer: filter, dedup within the watermark, enrich, append."""
     ev = events.select(*[f.name for f in C.EVENTS.fields]).withWatermark("event_timestamp", watermark)
     ev = speed.dedup_events(speed.speed_filter(ev), ["order_id"])
-    out = speed.with_lateness(speed.enrich_events(ev, customers))
+    out = speed.with_lateness(speed.enrich_events(ev, customers, static_unique=customers_unique))
     return _start(out, processed_path, checkpoint, trigger)
 
 
