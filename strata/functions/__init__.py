@@ -1,0 +1 @@
+from .columns import *  # noqa: F401,F403

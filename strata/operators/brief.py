@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .gold import money_sum
+from ..functions.columns import band, money_sum
 
 # Discount bands (upper bounds, exclusive) and anomaly settings.
 DISCOUNT_BANDS = [(0.03, "low"), (0.06, "mid")]
@@ -65,11 +65,7 @@ def demand_anomalies(hourly: DataFrame, by: str = "order_status", k: int = ANOMA
 
 
 def discount_band(col: str = "discount") -> F.Column:
-    c = F.col(col)
-    expr = None
-    for upper, name in DISCOUNT_BANDS:
-        expr = F.when(c < upper, name) if expr is None else expr.when(c < upper, name)
-    return expr.otherwise(DISCOUNT_TOP_BAND)
+    return band(col, DISCOUNT_BANDS, DISCOUNT_TOP_BAND)
 
 
 def discount_impact(items: DataFrame) -> DataFrame:

@@ -13,23 +13,13 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import exact_avg, money_sum
 from .lambda_union import valued_orders
 
 
-def money_sum(col: str | Column) -> Column:
-    c = F.col(col) if isinstance(col, str) else col
-    return F.sum(c).cast("double")
-
-
-def exact_avg(col: str | Column) -> Column:
-    """Exact decimal sum / count, as double (NULLs ignored like ``avg``)."""
-    c = F.col(col) if isinstance(col, str) else col
-    return F.sum(c).cast("double") / F.count(c).cast("double")
-
-
 def current_customers(dim: DataFrame) -> DataFrame:
     """Current version of an SCD2 dimension; a plain table passes through."""
     return dim.filter(F.col("is_current")) if "is_current" in dim.columns else dim

@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .gold import current_customers, exact_avg, money_sum
+from ..functions.columns import band, exact_avg, money_sum
+from .gold import current_customers
 from .lambda_union import valued_orders
 
 
@@ -122,8 +123,7 @@ BAND_MILD_BELOW = 55.0
 
 
 def weather_band(col: str) -> F.Column:
-    c = F.col(col)
-    return F.when(c < BAND_COOL_BELOW, "cool").when(c < BAND_MILD_BELOW, "mild").otherwise("warm")
+    return band(col, [(BAND_COOL_BELOW, "cool"), (BAND_MILD_BELOW, "mild")], "warm")
 
 
 def calendar_hour_profile(weather: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources import contracts as C
+from ..functions.columns import final_order_value
 from .dedup import dedup_latest
 
 ORIGIN_BATCH = "batch"
@@ -77,9 +78,7 @@ def order_values(payments: DataFrame) -> DataFrame:
     return payments.groupBy("order_id").agg(F.sum("payment_value").cast(C.MONEY).alias("order_value"))
 
 
-def final_value_expr(batch_value: str = "batch_order_value", stream_value: str = "order_value") -> Column:
-    """coalesce(payments sum, stream value, 0.00) in decimal(18,2) (L2)."""
-    return F.coalesce(F.col(batch_value), F.col(stream_value).cast(C.MONEY), F.lit(0).cast(C.MONEY)).cast(C.MONEY)
+final_value_expr = final_order_value
 
 
 def valued_orders(unified: DataFrame, values: DataFrame) -> DataFrame:

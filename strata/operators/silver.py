@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import year_month
 from ..sources import contracts as C
 from ..sources.testdata import UNKNOWN_CATEGORY
 from .dedup import dedup_latest
@@ -33,7 +34,7 @@ REVIEW_MESSAGE_FILL = "sin_comentario"
 
 
 def add_year_month(df: DataFrame, ts: str) -> DataFrame:
-    return df.withColumns({"year": F.year(ts), "month": F.month(ts)})
+    return df.withColumns(year_month(ts))
 
 
 def clean_orders(orders: DataFrame) -> DataFrame:

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from ..functions.columns import as_date, in_date_range
 from .writers import write_table
 
 
@@ -110,20 +111,13 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFra
     return target.join(source.select(*keys), list(keys), "left_anti").unionByName(source)
 
 
-def _as_date(v: date | str) -> Column:
-    return F.lit(str(v)).cast("date")
-
-
 def date_slice(df: DataFrame, ts_col: str, start: date | str = "1900-01-01",
                end: date | str = "9999-12-30") -> DataFrame:
     """Rows whose time falls on start..end, both dates inclusive.
 
     Written as ts >= start AND ts < end + 1 day, so Parquet min/max stats and
     partition pruning apply and no per-row date conversion is needed."""
-    t = F.col(ts_col)
-    lo = _as_date(start).cast(df.schema[ts_col].dataType)
-    hi = F.date_add(_as_date(end), 1).cast(df.schema[ts_col].dataType)
-    return df.filter((t >= lo) & (t < hi))
+    return df.filter(in_date_range(ts_col, start, end, df.schema[ts_col].dataType))
 
 
 def incremental_slice(df: DataFrame, col: str, low, high) -> DataFrame:
@@ -205,7 +199,7 @@ def expired_partitions(df: DataFrame, partition_cols: Sequence[str], date_expr:
 
     Returns every partition with its row count and an ``expired`` flag; the
     caller deletes the expired folders."""
-    cutoff = F.date_sub(_as_date(as_of), retention_days)
+    cutoff = F.date_sub(as_date(as_of), retention_days)
     return df.groupBy(*partition_cols).agg(F.count(F.lit(1)).alias("n_rows"), F.min(date_expr).alias("__d")) \
         .withColumn("expired", F.col("__d") < cutoff).drop("__d")
 

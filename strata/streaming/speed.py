@@ -14,25 +14,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.columns import has_required_keys, hour_parts
 from ..sources import contracts as C
 from ..sources.testdata import EVENT_TS_FORMAT
 
 REJECT_REASON = "missing required keys or invalid JSON"
 
 
-def has_required_keys(payload: str | Column, required: Sequence[str]) -> Column:
-    """True when ``payload`` is a JSON object holding every required key.
-
-    Key presence is checked, not non-null values. Arrays, scalars, malformed
-    or truncated text, single-quoted objects, NaN and repeated keys are
-    rejected (``try_parse_json`` is NULL for the last four). NULL → false.
-    """
-    p = F.col(payload) if isinstance(payload, str) else payload
-    req = F.array(*[F.lit(k) for k in required])
-    ok = F.try_parse_json(p).isNotNull() & (F.size(F.array_except(req, F.json_object_keys(p))) == 0)
-    return F.coalesce(ok, F.lit(False))
-
-
 def parse_events(payloads: DataFrame, schema: T.StructType = C.EVENTS, value_col: str = "value",
                  ts_format: str = EVENT_TS_FORMAT) -> DataFrame:
     """Binary/string payload → typed event columns (``from_json`` + flatten)."""
@@ -124,5 +112,4 @@ def hourly_counts(events: DataFrame, ts: str = "event_timestamp", by: Sequence[s
 
 def hour_partition_cols(events: DataFrame, ts: str = "event_timestamp") -> DataFrame:
     """year/month/day/hour of event time, for an hour-partitioned sink."""
-    t = F.col(ts)
-    return events.withColumns({"year": F.year(t), "month": F.month(t), "day": F.dayofmonth(t), "hour": F.hour(t)})
+    return events.withColumns(hour_parts(ts))
