@@ -118,3 +118,12 @@ def test_hot_customer_lambda_and_new_vs_returning(spark):
     nv = GX.new_vs_returning(u, values, customers).agg(F.sum("new_orders"), F.sum("returning_orders")).first()
     # 300 orders of the hot customer: one is new; the 600 others are all first orders
     assert tuple(nv) == (601, 299)
+
+
+def test_cluster_conf_scales_with_input():
+    from strata.session import cluster_conf
+    big = cluster_conf(100 * 2**40, 8000)
+    small = cluster_conf(10 * 2**30, 64)
+    assert int(big["spark.sql.shuffle.partitions"]) == 102_400
+    assert int(small["spark.sql.shuffle.partitions"]) == 192  # at least 3 per core
+    assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
