@@ -11,21 +11,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..sources import contracts as C
 from ..functions.columns import final_order_value
+from ..sources import contracts as C
 from .dedup import dedup_latest
 
 ORIGIN_BATCH = "batch"
 ORIGIN_STREAM = "stream"
 
 
-def _origin_rank() -> Column:
-    return F.when(F.col("origin") == ORIGIN_BATCH, 0).otherwise(1)
-
 UNIFIED_COLUMNS = ["order_id", "customer_id", "order_status", "order_purchase_timestamp",
                    "year", "month", "order_value", "origin"]
 
 
+def _origin_rank() -> Column:
+    return F.when(F.col("origin") == ORIGIN_BATCH, 0).otherwise(1)
+
+
 def require_not_null(df: DataFrame, col: str, message: str | None = None) -> DataFrame:
     """Lazy hard gate: fail the job if ``col`` is NULL in any row."""
     msg = message or f"data quality halt: NULL {col}"
@@ -78,10 +79,7 @@ def order_values(payments: DataFrame) -> DataFrame:
     return payments.groupBy("order_id").agg(F.sum("payment_value").cast(C.MONEY).alias("order_value"))
 
 
-final_value_expr = final_order_value
-
-
 def valued_orders(unified: DataFrame, values: DataFrame) -> DataFrame:
     """Unified orders ⟕ payment sums, with ``final_order_value``."""
     v = values.select("order_id", F.col("order_value").alias("batch_order_value"))
-    return unified.join(v, "order_id", "left").withColumn("final_order_value", final_value_expr())
+    return unified.join(v, "order_id", "left").withColumn("final_order_value", final_order_value())
