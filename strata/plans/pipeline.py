@@ -203,10 +203,12 @@ def silver_to_gold(spark: SparkSession, cfg: PipelineConfig) -> None:
         hourly = read_optional(spark, cfg.p("stream", "hourly_counts"), HOURLY_SCHEMA)
         gold["gold_demand_anomalies"] = (B.demand_anomalies(hourly), None)
     # order-grain tables grow with the data: range-cluster them on their
-    # partition columns + order key so each partition gets few, large files
+    # partition columns + order key so each partition gets few, large files.
+    # Each table is published by write + row check + swap, so a failed or
+    # interrupted run leaves the previous version readable.
     clustered = {"sales_obt": ["order_id"]}
     for name, (df, parts) in gold.items():
-        write_table(df, cfg.p("gold", name), parts, cluster_by=clustered.get(name))
+        MT.publish_swap(spark, df, cfg.p("gold", name), parts, cluster_by=clustered.get(name))
     cfg.results["gold_tables"] = sorted(gold)
     if cfg.catalog_database:
         tables = {name: cfg.p("gold", name) for name in gold}
