@@ -132,6 +132,40 @@ def q_customers_geo(spark, sf):
     return S.customers_with_geo(L.customers, L.geolocation)
 
 
+@query("silver_sellers_dedup", O.sql("SELECT * FROM s_sellers", "s_sellers"))
+def q_sellers_dedup(spark, sf):
+    return Layers(spark, sf).sellers
+
+
+@query("silver_products_dedup", O.sql("SELECT * FROM s_products", "s_products"))
+def q_products_dedup(spark, sf):
+    return Layers(spark, sf).products
+
+
+@query("silver_reviews_single_key", O.sql("""
+    SELECT review_id, order_id, review_score,
+           COALESCE(review_comment_title, '') AS review_comment_title,
+           COALESCE(review_comment_message, 'sin_comentario') AS review_comment_message
+    FROM raw_reviews
+    QUALIFY ROW_NUMBER() OVER (PARTITION BY review_id ORDER BY order_id ASC NULLS LAST,
+             review_score DESC NULLS LAST) = 1""", "raw_reviews"))
+def q_reviews_single_key(spark, sf):
+    """The reference keys reviews by review_id alone (D5); kept as an option."""
+    from ..sources import testdata as D
+    return S.clean_reviews(D.raw_reviews(spark, sf), single_key=True)
+
+
+@query("items_order_partition", O.sql("""
+    SELECT i.order_id, i.order_item_id, i.product_id, i.seller_id, i.shipping_limit_date,
+           CAST(i.price AS DOUBLE) AS price, CAST(i.freight_value AS DOUBLE) AS freight_value, i.quantity,
+           CAST(i.discount AS DOUBLE) AS discount, o.year, o.month
+    FROM s_items i LEFT JOIN s_orders o ON i.order_id = o.order_id""", "s_items", "s_orders"))
+def q_items_order_partition(spark, sf):
+    """Items carrying their order's year/month, the layout key of the items table."""
+    L = Layers(spark, sf)
+    return S.items_with_order_partition(L.items, L.orders)
+
+
 # ---------------------------------------------------------------- lambda
 
 @query("order_values", O.sql("SELECT order_id, CAST(order_value AS DOUBLE) AS order_value FROM order_values",
