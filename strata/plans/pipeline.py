@@ -101,14 +101,19 @@ def raw_to_silver(spark: SparkSession, cfg: PipelineConfig) -> None:
                 cluster_by=["order_id"])
     write_table(S.clean_payments(D.raw_payments(spark, cfg.sf_dir)), cfg.p("silver", "fact_payments"),
                 ["payment_type"], dynamic=True, cluster_by=["order_id"])
-    write_table(S.clean_products(C.enforce_schema(D.raw_products(spark, cfg.sf_dir), C.PRODUCTS)), cfg.p("silver", "dim_products"))
-    write_table(S.clean_sellers(C.enforce_schema(D.raw_sellers(spark, cfg.sf_dir), C.SELLERS)), cfg.p("silver", "dim_sellers"),
-                ["seller_state"])
-    write_table(S.clean_geolocation(C.enforce_schema(D.raw_geolocation(spark, cfg.sf_dir), C.GEOLOCATION)), cfg.p("silver", "dim_geolocation"),
-                ["geolocation_state"])
-    write_table(S.clean_reviews(C.enforce_schema(D.raw_reviews(spark, cfg.sf_dir), C.REVIEWS)), cfg.p("silver", "fact_order_reviews"),
-                ["review_score"])
-    write_table(D.category_translation(spark), cfg.p("silver", "dim_category_translation"))
+    # full-refresh dimensions: published by write + row check + swap
+    dims = {
+        "dim_products": (S.clean_products(C.enforce_schema(D.raw_products(spark, cfg.sf_dir), C.PRODUCTS)), None),
+        "dim_sellers": (S.clean_sellers(C.enforce_schema(D.raw_sellers(spark, cfg.sf_dir), C.SELLERS)),
+                        ["seller_state"]),
+        "dim_geolocation": (S.clean_geolocation(C.enforce_schema(D.raw_geolocation(spark, cfg.sf_dir),
+                                                                 C.GEOLOCATION)), ["geolocation_state"]),
+        "fact_order_reviews": (S.clean_reviews(C.enforce_schema(D.raw_reviews(spark, cfg.sf_dir), C.REVIEWS)),
+                               ["review_score"]),
+        "dim_category_translation": (D.category_translation(spark), None),
+    }
+    for name, (df, parts) in dims.items():
+        MT.publish_swap(spark, df, cfg.p("silver", name), parts)
 
     # SCD2 customers: first load, or merge into the published dimension
     dim_path = cfg.p("silver", "dim_customers")
@@ -175,7 +180,7 @@ def silver_to_gold(spark: SparkSession, cfg: PipelineConfig) -> None:
     stream = read_optional(spark, cfg.p("stream", "processed"), processed_schema)
     unified = LU.unify_orders(sv("fact_orders"), stream)
     # one materialisation: every gold table sees the same survivors
-    write_table(unified, cfg.p("gold", "lambda_orders"), ["year", "month"], cluster_by=["order_id"])
+    MT.publish_swap(spark, unified, cfg.p("gold", "lambda_orders"), ["year", "month"], cluster_by=["order_id"])
     orders = spark.read.parquet(cfg.p("gold", "lambda_orders"))
     values = LU.order_values(payments)
     gold = {
