@@ -203,3 +203,23 @@ def expired_partitions(df: DataFrame, partition_cols: Sequence[str], date_expr:
     return df.groupBy(*partition_cols).agg(F.count(F.lit(1)).alias("n_rows"), F.min(date_expr).alias("__d")) \
         .withColumn("expired", F.col("__d") < cutoff).drop("__d")
 
+
+
+def delete_partitions(spark: SparkSession, table_path: str, partitions: DataFrame,
+                      partition_cols: Sequence[str]) -> list[str]:
+    """Remove the partition folders listed in ``partitions`` (M8 applied).
+
+    ``partitions`` holds one row per partition (for example
+    ``expired_partitions(...).filter("expired")``), so the list that reaches
+    the driver is bounded by the partition count, not by the data. Only
+    folders named exactly ``col=value/...`` under ``table_path`` are removed.
+    """
+    fs, _ = _fs(spark, table_path)
+    jvm = spark.sparkContext._jvm
+    removed = []
+    for row in partitions.select(*partition_cols).distinct().collect():
+        rel = "/".join(f"{c}={row[c]}" for c in partition_cols)
+        p = jvm.org.apache.hadoop.fs.Path(f"{table_path.rstrip('/')}/{rel}")
+        if fs.exists(p) and fs.delete(p, True):
+            removed.append(rel)
+    return sorted(removed)

@@ -113,3 +113,16 @@ def test_partition_pruning_and_optional_scan(spark, tmp_dir):
     assert "PartitionFilters: [isnotnull(year" in plan and q.count() == 10
     empty = read_optional(spark, os.path.join(tmp_dir, "nope"), C.EVENTS)
     assert empty.count() == 0 and empty.schema == C.EVENTS
+
+
+def test_retention_deletes_only_expired_partitions(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "events")
+    rows = [(i, dt.date(2024, 1, 1 + i % 30)) for i in range(90)]
+    df = spark.createDataFrame(rows, "id long, d date").withColumn("day", F.dayofmonth("d"))
+    write_table(df, path, ["day"])
+    t = spark.read.parquet(path)
+    exp = MT.expired_partitions(t, ["day"], F.col("d"), 20, "2024-02-01").filter("expired")
+    removed = MT.delete_partitions(spark, path, exp, ["day"])
+    assert removed == sorted(f"day={d}" for d in range(1, 12))
+    left = spark.read.parquet(path)
+    assert left.count() == 90 - 11 * 3 and left.agg(F.min("day")).first()[0] == 12
