@@ -52,3 +52,22 @@ def test_pipeline_end_to_end_and_scd2_rerun(spark, tmp_dir):
     dim = spark.read.parquet(lake("silver", "dim_customers"))
     assert dim.filter("is_current").groupBy("customer_id").count().filter("count > 1").count() == 0
     assert dim.filter(~F.col("is_current")).count() > 0
+
+
+def test_pipeline_backfill_replaces_only_its_partitions(spark, tmp_dir):
+    import glob
+    cfg = P.PipelineConfig(SF_SMALL, os.path.join(tmp_dir, "lake"), "2024-01-01")
+    P.run(spark, cfg, ["raw_to_silver"])
+    orders = spark.read.parquet(cfg.p("silver", "fact_orders"))
+    items_n = spark.read.parquet(cfg.p("silver", "fact_order_items")).count()
+    files = glob.glob(cfg.p("silver", "fact_orders", "**", "*.parquet"), recursive=True)
+    outside = {f: os.path.getmtime(f) for f in files if "year=1997/month=3" not in f}
+    inside = [f for f in files if "year=1997/month=3" in f]
+    before = orders.count()
+    bf = P.PipelineConfig(SF_SMALL, cfg.out_root, "2024-01-02", date_range=("1997-03-01", "1997-03-31"))
+    P.run(spark, bf, ["raw_to_silver"])
+    after = spark.read.parquet(cfg.p("silver", "fact_orders"))
+    assert after.count() == before and spark.read.parquet(cfg.p("silver", "fact_order_items")).count() == items_n
+    for f, m in outside.items():
+        assert os.path.exists(f) and os.path.getmtime(f) == m
+    assert inside and not any(os.path.exists(f) for f in inside)  # the range's files were replaced
