@@ -82,7 +82,7 @@ def ingest_job(payloads: DataFrame, raw_path: str, checkpoint: str, trigger: dic
     flagged = payloads.select(text.alias("payload")).withColumn("is_valid", speed.has_required_keys("payload",
                                                                                                    required))
     parsed = flagged.select("payload", "is_valid",
-                            F.from_json("payload", schema, {"timestampFormat": speed.EVENT_TS_FORMAT}).alias("e"))
+                            F.from_json("payload", schema).alias("e"))
     events = parsed.select("is_valid", "e.*",
                            F.when(~F.col("is_valid"), F.col("payload")).alias("payload"),
                            F.when(~F.col("is_valid"), F.lit(speed.REJECT_REASON)).alias("reason"))

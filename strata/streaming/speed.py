@@ -16,16 +16,20 @@ from pyspark.sql import types as T
 
 from ..functions.columns import has_required_keys, hour_parts
 from ..sources import contracts as C
-from ..sources.testdata import EVENT_TS_FORMAT
 
 REJECT_REASON = "missing required keys or invalid JSON"
 
 
 def parse_events(payloads: DataFrame, schema: T.StructType = C.EVENTS, value_col: str = "value",
-                 ts_format: str = EVENT_TS_FORMAT) -> DataFrame:
-    """Binary/string payload → typed event columns (``from_json`` + flatten)."""
+                 ts_format: str | None = None) -> DataFrame:
+    """Binary/string payload → typed event columns (``from_json`` + flatten).
+
+    Without ``ts_format`` timestamps use Spark's ISO-8601 parser, which takes
+    a fraction of 0–6 digits, no fraction, a ``T`` or space separator and an
+    optional zone; a fixed pattern would turn e.g. whole-second times into NULL.
+    """
     text = F.col(value_col).cast("string")
-    parsed = F.from_json(text, schema, {"timestampFormat": ts_format})
+    parsed = F.from_json(text, schema, {"timestampFormat": ts_format} if ts_format else {})
     return payloads.select(parsed.alias("data")).select("data.*")
 
 

@@ -39,6 +39,8 @@ def test_parse_keeps_microseconds(spark):
                                  '"event_timestamp": "2024-01-01T00:00:07.179575", "order_value": 1.5}',)], "value string")
     r = speed.parse_events(df).first()
     assert r.event_timestamp == dt.datetime(2024, 1, 1, 0, 0, 7, 179575)
+    whole = spark.createDataFrame([('{"event_timestamp": "2024-01-01T00:00:07"}',)], "value string")
+    assert speed.parse_events(whole).first().event_timestamp == dt.datetime(2024, 1, 1, 0, 0, 7)
     bad = spark.createDataFrame([('{"order_id": "x1", "order_value": "abc"}',)], "value string")
     r = speed.parse_events(bad).first()
     assert r.order_id is None and r.order_value is None
