@@ -82,10 +82,16 @@ class Layers:
         return D.category_translation(self.spark)
 
     # speed
+    @cached_property
+    def valid_events(self) -> DataFrame:
+        """Payloads validated and parsed, as the ingest job writes them."""
+        valid, _ = speed.ingest_events(D.event_payloads(self.spark, self.sf_dir), watermark=None)
+        return valid
+
     @cached_property
     def stream_orders(self) -> DataFrame:
-        """Speed-layer output as gold reads it: filtered events."""
-        return speed.speed_filter(self.raw_events)
+        """Speed-layer output as gold reads it: valid events, filtered, one per order."""
+        return speed.dedup_events(speed.speed_filter(self.valid_events), ["order_id"])
 
     # gold inputs
     @cached_property

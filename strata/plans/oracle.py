@@ -8,6 +8,7 @@ needs, in dependency order.
 
 from __future__ import annotations
 
+from ..sources.contracts import EVENT_REQUIRED_KEYS
 from ..sources.testdata import (CATEGORY_TRANSLATION, MOVING_SEGMENT, NEW_KEY_OFFSET,
                                 UNKNOWN_CATEGORY)
 
@@ -15,6 +16,12 @@ M = "DECIMAL(18,2)"
 
 _translation_rows = ", ".join(f"('{a}', '{b}')" for a, b in CATEGORY_TRANSLATION)
 
+_REQ = ", ".join(f"'{k}'" for k in EVENT_REQUIRED_KEYS)
+_FULL = ("CAST(json_object('order_id', order_id, 'customer_id', customer_id, 'order_status', order_status, "
+         "'event_timestamp', event_timestamp, 'order_value', order_value) AS VARCHAR)")
+_MISSING = ("CAST(json_object('order_id', order_id, 'customer_id', customer_id, 'order_status', order_status, "
+            "'event_timestamp', event_timestamp) AS VARCHAR)")
+
 VIEWS: dict[str, tuple[str, tuple[str, ...]]] = {
     "raw_orders": ("""
         SELECT o_orderkey AS order_id, o_custkey AS customer_id, o_orderstatus AS order_status,
@@ -117,8 +124,25 @@ VIEWS: dict[str, tuple[str, tuple[str, ...]]] = {
         SELECT event_id + (SELECT count(*) FROM events) AS order_id, user_id AS customer_id,
                event_type AS order_status, ts AS event_timestamp, value AS order_value, event_id
         FROM events""", ()),
+    # payloads as the topic carries them: 'error' events lack order_value,
+    # events under 1.0 are cut to half their text (FIXTURES.md §B)
+    "payloads": (f"""
+        SELECT event_id, CASE WHEN order_status = 'error' THEN {_MISSING}
+                              WHEN order_value < 1.0 THEN substr({_FULL}, 1, length({_FULL}) // 2)
+                              ELSE {_FULL} END AS payload
+        FROM raw_events""", ("raw_events",)),
+    # validation = a JSON object holding every required key
+    "valid_events": (f"""
+        SELECT e.order_id, e.customer_id, e.order_status, e.event_timestamp, e.order_value
+        FROM payloads p JOIN raw_events e ON p.event_id = e.event_id
+        WHERE CASE WHEN json_valid(p.payload) THEN json_type(p.payload) = 'OBJECT'
+                   AND list_has_all(json_keys(p.payload), [{_REQ}]) ELSE FALSE END""", ("payloads", "raw_events")),
+    # the speed layer's output as gold reads it: filter, then one row per order
     "stream_orders": ("""
-        SELECT * FROM raw_events WHERE order_value > 0 AND order_status IS NOT NULL""", ("raw_events",)),
+        SELECT * FROM valid_events WHERE order_value > 0 AND order_status IS NOT NULL
+        QUALIFY ROW_NUMBER() OVER (PARTITION BY order_id ORDER BY event_timestamp ASC NULLS LAST,
+                 customer_id ASC NULLS LAST, order_status ASC NULLS LAST, order_value ASC NULLS LAST) = 1""",
+                      ("valid_events",)),
     "unified": (f"""
         SELECT order_id, customer_id, order_status, order_purchase_timestamp, year, month, order_value, origin
         FROM (SELECT order_id, customer_id, order_status, order_purchase_timestamp, year, month,

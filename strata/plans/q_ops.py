@@ -109,7 +109,7 @@ _CUTOFF = (date.fromisoformat(AS_OF) - timedelta(days=RETENTION_DAYS)).isoformat
     SELECT CAST(year(event_timestamp) AS INTEGER) AS year, CAST(month(event_timestamp) AS INTEGER) AS month,
            CAST(day(event_timestamp) AS INTEGER) AS day, count(*) AS n_rows,
            min(CAST(event_timestamp AS DATE)) < DATE '{_CUTOFF}' AS expired
-    FROM ({_VALID_EVENTS}) v GROUP BY 1, 2, 3""", "raw_events"))
+    FROM ({_VALID_EVENTS}) v GROUP BY 1, 2, 3""", "valid_events"))
 def q_expired_partitions(spark, sf):
     ev = speed.hour_partition_cols(valid_events(spark, sf))
     return MT.expired_partitions(ev, ["year", "month", "day"], F.to_date("event_timestamp"), RETENTION_DAYS, AS_OF)

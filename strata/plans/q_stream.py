@@ -17,18 +17,10 @@ from . import oracle as O
 from .q_scd2 import _with, merged_dim
 from .registry import AS_OF, query
 
-_REQ = ", ".join(f"'{k}'" for k in C.EVENT_REQUIRED_KEYS)
-_FULL = ("CAST(json_object('order_id', order_id, 'customer_id', customer_id, 'order_status', order_status, "
-         "'event_timestamp', event_timestamp, 'order_value', order_value) AS VARCHAR)")
-_MISSING = ("CAST(json_object('order_id', order_id, 'customer_id', customer_id, 'order_status', order_status, "
-            "'event_timestamp', event_timestamp) AS VARCHAR)")
-_PAYLOADS = f"""SELECT event_id, CASE WHEN order_status = 'error' THEN {_MISSING}
-                      WHEN order_value < 1.0 THEN substr({_FULL}, 1, length({_FULL}) // 2)
-                      ELSE {_FULL} END AS payload FROM raw_events"""
-_VALID_EVENTS = f"""SELECT order_id, customer_id, order_status, event_timestamp, order_value
-    FROM ({_PAYLOADS}) p JOIN raw_events e USING (event_id)
-    WHERE CASE WHEN json_valid(payload) THEN json_type(payload) = 'OBJECT'
-               AND list_has_all(json_keys(payload), [{_REQ}]) ELSE FALSE END"""
+_REQ = O._REQ
+_PAYLOADS = "SELECT event_id, payload FROM payloads"
+_VALID_EVENTS = "SELECT * FROM valid_events"
+_EV = ("raw_events", "payloads", "valid_events")
 
 
 def valid_events(spark, sf):
@@ -39,13 +31,13 @@ def valid_events(spark, sf):
 @query("event_validation", O.sql(f"""
     SELECT event_id, CASE WHEN json_valid(payload) THEN json_type(payload) = 'OBJECT'
                           AND list_has_all(json_keys(payload), [{_REQ}]) ELSE FALSE END AS is_valid
-    FROM ({_PAYLOADS}) p""", "raw_events"))
+    FROM ({_PAYLOADS}) p""", *_EV))
 def q_event_validation(spark, sf):
     p = D.event_payloads(spark, sf)
     return p.select("event_id", speed.has_required_keys("value", C.EVENT_REQUIRED_KEYS).alias("is_valid"))
 
 
-@query("event_ingest", O.sql(_VALID_EVENTS, "raw_events"))
+@query("event_ingest", O.sql(_VALID_EVENTS, *_EV))
 def q_event_ingest(spark, sf):
     return valid_events(spark, sf)
 
@@ -53,14 +45,14 @@ def q_event_ingest(spark, sf):
 @query("event_quarantine_counts", O.sql(f"""
     SELECT count(*) AS n_quarantined FROM ({_PAYLOADS}) p
     WHERE NOT CASE WHEN json_valid(payload) THEN json_type(payload) = 'OBJECT'
-                   AND list_has_all(json_keys(payload), [{_REQ}]) ELSE FALSE END""", "raw_events"))
+                   AND list_has_all(json_keys(payload), [{_REQ}]) ELSE FALSE END""", *_EV))
 def q_event_quarantine(spark, sf):
     _, bad = speed.ingest_events(D.event_payloads(spark, sf), watermark=None)
     return bad.agg(F.count(F.lit(1)).alias("n_quarantined"))
 
 
 @query("speed_filter", O.sql(f"""
-    SELECT * FROM ({_VALID_EVENTS}) v WHERE order_value > 0 AND order_status IS NOT NULL""", "raw_events"))
+    SELECT * FROM ({_VALID_EVENTS}) v WHERE order_value > 0 AND order_status IS NOT NULL""", *_EV))
 def q_speed_filter(spark, sf):
     return speed.speed_filter(valid_events(spark, sf))
 
@@ -69,7 +61,7 @@ def q_speed_filter(spark, sf):
 SELECT v.customer_id, v.order_id, v.order_status, v.event_timestamp, v.order_value,
        m.customer_state, m.customer_city, TIMESTAMP '{AS_OF} 00:00:00' AS processing_timestamp
 FROM ({_VALID_EVENTS}) v LEFT JOIN (SELECT * FROM merged WHERE is_current) m ON v.customer_id = m.customer_id
-WHERE v.order_value > 0 AND v.order_status IS NOT NULL""", "raw_events", merged=True))
+WHERE v.order_value > 0 AND v.order_status IS NOT NULL""", *_EV, merged=True))
 def q_stream_enriched(spark, sf):
     ev = speed.speed_filter(valid_events(spark, sf))
     dim = merged_dim(spark, sf, "on_change")
@@ -80,7 +72,7 @@ def q_stream_enriched(spark, sf):
     SELECT * FROM ({_VALID_EVENTS}) v
     QUALIFY ROW_NUMBER() OVER (PARTITION BY order_id ORDER BY event_timestamp ASC NULLS LAST,
              customer_id ASC NULLS LAST, order_status ASC NULLS LAST, order_value ASC NULLS LAST) = 1""",
-                              "raw_events"))
+                              *_EV))
 def q_stream_dedup(spark, sf):
     return speed.dedup_events(valid_events(spark, sf), ["order_id"])
 
@@ -91,7 +83,7 @@ def q_stream_dedup(spark, sf):
            order_status, count(*) AS n_events,
            CAST(SUM(CAST(order_value AS DECIMAL(18,2))) AS DOUBLE) AS total_value
     FROM ({_VALID_EVENTS}) v WHERE order_value > 0 AND order_status IS NOT NULL
-    GROUP BY 1, 2, 3""", "raw_events"))
+    GROUP BY 1, 2, 3""", *_EV))
 def q_stream_hourly(spark, sf):
     return speed.hourly_counts(speed.speed_filter(valid_events(spark, sf)))
 
@@ -100,7 +92,7 @@ def q_stream_hourly(spark, sf):
     SELECT CAST(year(event_timestamp) AS INTEGER) AS year, CAST(month(event_timestamp) AS INTEGER) AS month,
            CAST(day(event_timestamp) AS INTEGER) AS day, CAST(hour(event_timestamp) AS INTEGER) AS hour,
            count(*) AS n_events
-    FROM ({_VALID_EVENTS}) v GROUP BY 1, 2, 3, 4""", "raw_events"))
+    FROM ({_VALID_EVENTS}) v GROUP BY 1, 2, 3, 4""", *_EV))
 def q_stream_hour_partitions(spark, sf):
     ev = speed.hour_partition_cols(valid_events(spark, sf))
     return ev.groupBy("year", "month", "day", "hour").agg(F.count(F.lit(1)).alias("n_events"))
