@@ -31,6 +31,14 @@ from pyspark.sql import functions as F
 WARN = "warn"
 ERROR = "error"
 
+# Expectation names and statuses of the result log.
+EXP_NOT_NULL = "not_be_null"
+EXP_UNIQUE = "be_unique"
+EXP_BETWEEN = "be_between"
+EXP_EXISTS = "referential_integrity"
+PASS = "PASS"
+FAIL = "FAIL"
+
 _log = logging.getLogger("strata.quality")
 
 
@@ -89,7 +97,7 @@ def _result(table: str, expectation: str, column: str, failed: Column, observed:
         F.lit(table).alias("table_name"),
         F.lit(expectation).alias("expectation"),
         F.lit(column).alias("column"),
-        F.when(failed, F.lit("FAIL")).otherwise(F.lit("PASS")).alias("status"),
+        F.when(failed, F.lit(FAIL)).otherwise(F.lit(PASS)).alias("status"),
         observed.cast("double").alias("observed_value"),
         F.lit(threshold).alias("threshold"),
         F.lit(severity).alias("severity"),
@@ -117,11 +125,11 @@ def _single_pass(df: DataFrame, table: str, rules: Sequence) -> DataFrame | None
     rows = []
     for i, r in enumerate(nn):
         frac = F.col(f"__nn{i}").cast("double") / total.cast("double")
-        rows.append(_result(table, "not_be_null", r.column, frac > F.lit(r.threshold), frac,
+        rows.append(_result(table, EXP_NOT_NULL, r.column, frac > F.lit(r.threshold), frac,
                             _fmt_num(r.threshold), r.severity))
     for i, r in enumerate(bt):
         oob = F.col(f"__bt{i}")
-        rows.append(_result(table, "be_between", r.column, oob > 0, oob,
+        rows.append(_result(table, EXP_BETWEEN, r.column, oob > 0, oob,
                             f"[{_fmt_num(r.min_value)}, {_fmt_num(r.max_value)}]", r.severity))
     for i, r in enumerate(cc):
         bad = F.col(f"__cc{i}")
@@ -134,7 +142,7 @@ def _unique(df: DataFrame, table: str, r: Unique) -> DataFrame:
     """Duplicates = Σ(count − 1) over key groups; NULL keys form one group."""
     groups = df.groupBy(*r.columns).agg(F.count(F.lit(1)).alias("__n"))
     dup = groups.agg(F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).alias("__dup"))
-    return dup.select(_result(table, "be_unique", ",".join(r.columns), F.col("__dup") > 0, F.col("__dup"),
+    return dup.select(_result(table, EXP_UNIQUE, ",".join(r.columns), F.col("__dup") > 0, F.col("__dup"),
                               "0", r.severity).alias("r")).select("r.*")
 
 
@@ -147,7 +155,7 @@ def _exists_in(df: DataFrame, table: str, r: ExistsIn) -> DataFrame:
     keys = df.groupBy(F.col(r.column).alias("__fk")).agg(F.count(F.lit(1)).alias("__n"))
     orphans = keys.join(parent, F.col("__fk") == F.col("__pk"), "left_anti") \
         .agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("__orphans"))
-    return orphans.select(_result(table, "referential_integrity", r.column, F.col("__orphans") > 0,
+    return orphans.select(_result(table, EXP_EXISTS, r.column, F.col("__orphans") > 0,
                                   F.col("__orphans"), "0", r.severity).alias("r")).select("r.*")
 
 
@@ -181,9 +189,9 @@ def gate(results: DataFrame, halt: bool = True) -> bool:
     Returns True when nothing failed. Warn-severity failures only report.
     """
     rows = results.collect()
-    failed = [r for r in rows if r["status"] == "FAIL"]
+    failed = [r for r in rows if r["status"] == FAIL]
     for r in rows:
-        level = logging.INFO if r["status"] == "PASS" else logging.WARNING
+        level = logging.INFO if r["status"] == PASS else logging.WARNING
         _log.log(level, "[%s] %s.%s %s observed=%s threshold=%s (%s)", r["status"], r["table_name"], r["column"],
                  r["expectation"], r["observed_value"], r["threshold"], r["severity"])
     hard = [r for r in failed if r["severity"] == ERROR]
@@ -201,7 +209,7 @@ def report(results: DataFrame) -> DataFrame:
     cnt = F.format_string("%d", F.col("observed_value").cast("long"))
     return results.select(
         "table_name", "expectation", "column", "status",
-        F.when(F.col("expectation") == "not_be_null", pct).otherwise(cnt).alias("observed"),
+        F.when(F.col("expectation") == EXP_NOT_NULL, pct).otherwise(cnt).alias("observed"),
         "threshold", "severity")
 
 

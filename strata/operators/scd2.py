@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from .dedup import dedup_latest
 
+# The open-ended version's end date and the version columns.
 OPEN_END = "9999-12-31"
 META = ["effective_date", "end_date", "is_current"]
 

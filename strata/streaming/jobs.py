@@ -24,6 +24,9 @@ from pyspark.sql.streaming import StreamingQuery
 from ..sources import contracts as C
 from . import speed
 
+# Event-time lateness allowed before a row is late, and the
+# raw table's partition columns.
+WATERMARK = "2 hours"
 RAW_PARTITIONS = ["year", "month", "day", "hour"]
 
 
@@ -106,7 +109,7 @@ def valid_event_source(spark: SparkSession, raw_path: str) -> DataFrame:
 
 
 def process_job(events: DataFrame, customers: DataFrame, processed_path: str, checkpoint: str,
-                watermark: str = "2 hours", trigger: dict | None = None,
+                watermark: str = WATERMARK, trigger: dict | None = None,
                 customers_unique: bool = False) -> StreamingQuery:
     """Speed layer: filter, dedup within the watermark, enrich, append."""
     ev = events.select(*[f.name for f in C.EVENTS.fields]).withWatermark("event_timestamp", watermark)
@@ -115,7 +118,7 @@ def process_job(events: DataFrame, customers: DataFrame, processed_path: str, ch
     return _start(out, processed_path, checkpoint, trigger)
 
 
-def hourly_counts_job(events: DataFrame, out_path: str, checkpoint: str, watermark: str = "2 hours",
+def hourly_counts_job(events: DataFrame, out_path: str, checkpoint: str, watermark: str = WATERMARK,
                       trigger: dict | None = None) -> StreamingQuery:
     ev = events.withWatermark("event_timestamp", watermark)
     return _start(speed.hourly_counts(ev), out_path, checkpoint, trigger)

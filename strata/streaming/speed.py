@@ -35,7 +35,7 @@ def parse_events(payloads: DataFrame, schema: T.StructType = C.EVENTS, value_col
 
 def ingest_events(payloads: DataFrame, schema: T.StructType = C.EVENTS,
                   required: Sequence[str] | None = None, value_col: str = "value",
-                  watermark: str | None = "2 hours") -> tuple[DataFrame, DataFrame]:
+                  watermark: str | None = "2 hours") -> tuple[DataFrame, DataFrame]:  # = jobs.WATERMARK
     """Validate → parse → watermark. Returns (valid events, quarantined payloads).
 
     Invalid payloads go to the quarantine output with a reason instead of
