@@ -137,12 +137,9 @@ VIEWS: dict[str, tuple[str, tuple[str, ...]]] = {
         FROM payloads p JOIN raw_events e ON p.event_id = e.event_id
         WHERE CASE WHEN json_valid(p.payload) THEN json_type(p.payload) = 'OBJECT'
                    AND list_has_all(json_keys(p.payload), [{_REQ}]) ELSE FALSE END""", ("payloads", "raw_events")),
-    # the speed layer's output as gold reads it: filter, then one row per order
+    # the stream lane gold reads (FIXTURES.md §B): typed events, speed filter
     "stream_orders": ("""
-        SELECT * FROM valid_events WHERE order_value > 0 AND order_status IS NOT NULL
-        QUALIFY ROW_NUMBER() OVER (PARTITION BY order_id ORDER BY event_timestamp ASC NULLS LAST,
-                 customer_id ASC NULLS LAST, order_status ASC NULLS LAST, order_value ASC NULLS LAST) = 1""",
-                      ("valid_events",)),
+        SELECT * FROM raw_events WHERE order_value > 0 AND order_status IS NOT NULL""", ("raw_events",)),
     "unified": (f"""
         SELECT order_id, customer_id, order_status, order_purchase_timestamp, year, month, order_value, origin
         FROM (SELECT order_id, customer_id, order_status, order_purchase_timestamp, year, month,
