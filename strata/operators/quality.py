@@ -105,35 +105,13 @@ def _result(table: str, expectation: str, column: str, failed: Column, observed:
 
 
 def _single_pass(df: DataFrame, table: str, rules: Sequence) -> DataFrame | None:
-    """All NotNull/Between rules of one table from a single aggregate."""
-    nn = [r for r in rules if isinstance(r, NotNull)]
-    bt = [r for r in rules if isinstance(r, Between)]
-    cc = [r for r in rules if isinstance(r, CastsCleanly)]
-    if not nn and not bt and not cc:
+    """All column rules (NotNull, Between, CastsCleanly) of one table from a single aggregate."""
+    counts = _column_counts(rules)
+    if not counts:
         return None
-    aggs = [F.count(F.lit(1)).alias("__total")]
-    for i, r in enumerate(cc):
-        c = F.col(r.column)
-        aggs.append(F.count_if(c.isNotNull() & c.try_cast(r.dtype).isNull()).alias(f"__cc{i}"))
-    for i, r in enumerate(nn):
-        aggs.append(F.count_if(F.col(r.column).isNull()).alias(f"__nn{i}"))
-    for i, r in enumerate(bt):
-        c = F.col(r.column)
-        aggs.append(F.count_if((c < F.lit(r.min_value)) | (c > F.lit(r.max_value))).alias(f"__bt{i}"))
-    metrics = df.agg(*aggs)
+    metrics = df.agg(F.count(F.lit(1)).alias("__total"), *[e.alias(f"__k{i}") for i, (_, e) in enumerate(counts)])
     total = F.col("__total")
-    rows = []
-    for i, r in enumerate(nn):
-        frac = F.col(f"__nn{i}").cast("double") / total.cast("double")
-        rows.append(_result(table, EXP_NOT_NULL, r.column, frac > F.lit(r.threshold), frac,
-                            _fmt_num(r.threshold), r.severity))
-    for i, r in enumerate(bt):
-        oob = F.col(f"__bt{i}")
-        rows.append(_result(table, EXP_BETWEEN, r.column, oob > 0, oob,
-                            f"[{_fmt_num(r.min_value)}, {_fmt_num(r.max_value)}]", r.severity))
-    for i, r in enumerate(cc):
-        bad = F.col(f"__cc{i}")
-        rows.append(_result(table, "casts_cleanly", r.column, bad > 0, bad, r.dtype, r.severity))
+    rows = [_column_result(table, r, F.col(f"__k{i}"), total) for i, (r, _) in enumerate(counts)]
     # an empty table records nothing for these expectations
     return metrics.filter(total > 0).select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
@@ -159,14 +137,68 @@ def _exists_in(df: DataFrame, table: str, r: ExistsIn) -> DataFrame:
                                   F.col("__orphans"), "0", r.severity).alias("r")).select("r.*")
 
 
+def _column_counts(rules: Sequence) -> list[tuple[object, Column]]:
+    """(rule, per-row count expression) for the column rules of a set."""
+    out = []
+    for r in rules:
+        c = F.col(r.column) if hasattr(r, "column") else None
+        if isinstance(r, NotNull):
+            out.append((r, F.count_if(c.isNull())))
+        elif isinstance(r, Between):
+            out.append((r, F.count_if((c < F.lit(r.min_value)) | (c > F.lit(r.max_value)))))
+        elif isinstance(r, CastsCleanly):
+            out.append((r, F.count_if(c.isNotNull() & c.try_cast(r.dtype).isNull())))
+    return out
+
+
+def _column_result(table: str, r, count: Column, total: Column) -> Column:
+    if isinstance(r, NotNull):
+        frac = count.cast("double") / total.cast("double")
+        return _result(table, EXP_NOT_NULL, r.column, frac > F.lit(r.threshold), frac, _fmt_num(r.threshold),
+                       r.severity)
+    if isinstance(r, Between):
+        return _result(table, EXP_BETWEEN, r.column, count > 0, count,
+                       f"[{_fmt_num(r.min_value)}, {_fmt_num(r.max_value)}]", r.severity)
+    return _result(table, "casts_cleanly", r.column, count > 0, count, r.dtype, r.severity)
+
+
+def _folded(df: DataFrame, table: str, u: Unique, col_rules: Sequence) -> DataFrame:
+    """One uniqueness rule and all column rules from a single scan.
+
+    Level 1 groups by the unique key (partial aggregation first, so a hot key
+    is pre-combined per task) and counts rows and rule hits per key; level 2
+    sums them. Column rules record nothing on an empty table, the
+    uniqueness rule records PASS, as in the separate evaluations."""
+    counts = _column_counts(col_rules)
+    level1 = df.groupBy(*u.columns).agg(F.count(F.lit(1)).alias("__n"),
+                                        *[e.alias(f"__k{i}") for i, (_, e) in enumerate(counts)])
+    level2 = level1.agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("__total"),
+                        F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).alias("__dup"),
+                        *[F.coalesce(F.sum(f"__k{i}"), F.lit(0)).alias(f"__k{i}") for i in range(len(counts))])
+    total = F.col("__total")
+    rows = [_result(table, EXP_UNIQUE, ",".join(u.columns), F.col("__dup") > 0, F.col("__dup"), "0", u.severity)]
+    rows += [F.when(total > 0, _column_result(table, r, F.col(f"__k{i}"), total)) for i, (r, _) in enumerate(counts)]
+    return level2.select(F.explode(F.array(*rows)).alias("r")).filter(F.col("r").isNotNull()).select("r.*")
+
+
 def run_rules(df: DataFrame, table: str, rules: Sequence) -> DataFrame:
-    """Lazy result DataFrame (layout ``contracts.DQ_RESULT``), one row per recorded rule."""
+    """Lazy result DataFrame (layout ``contracts.DQ_RESULT``), one row per recorded rule.
+
+    Scans per table: the column rules ride along with the first uniqueness
+    rule (one grouped scan); without a uniqueness rule they share one plain
+    aggregate; every further uniqueness or foreign-key rule adds one scan."""
     parts = []
-    single = _single_pass(df, table, rules)
-    if single is not None:
-        parts.append(single)
+    uniques = [r for r in rules if isinstance(r, Unique)]
+    col_rules = [r for r in rules if isinstance(r, (NotNull, Between, CastsCleanly))]
+    if uniques and col_rules:
+        parts.append(_folded(df, table, uniques[0], col_rules))
+        uniques = uniques[1:]
+    else:
+        single = _single_pass(df, table, rules)
+        if single is not None:
+            parts.append(single)
     for r in rules:
-        if isinstance(r, Unique):
+        if isinstance(r, Unique) and r in uniques:
             parts.append(_unique(df, table, r))
         elif isinstance(r, ExistsIn):
             parts.append(_exists_in(df, table, r))

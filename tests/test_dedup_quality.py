@@ -92,3 +92,18 @@ def test_casts_cleanly_rule(spark):
 def test_public_api_imports():
     import strata
     assert all(hasattr(strata, n) for n in strata.__all__)
+
+
+def test_folded_rules_match_separate_evaluation(spark):
+    df = spark.createDataFrame([(1, None, 5), (1, 2, 9), (2, 3, None), (None, 4, 1)], "k int, a int, b int")
+    rules = [Q.NotNull("a", 0.1), Q.Between("b", 1, 5), Q.Unique("k"), Q.CastsCleanly("a", "int")]
+    folded = {(r.expectation, r.column): (r.status, r.observed_value) for r in Q.run_rules(df, "t", rules).collect()}
+    separate = {}
+    for rule in rules:
+        for r in Q.run_rules(df, "t", [rule]).collect():
+            separate[(r.expectation, r.column)] = (r.status, r.observed_value)
+    assert folded == separate and len(folded) == 4
+    plan = Q.run_rules(df, "t", rules)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan ExistingRDD") == 1  # one scan for all four rules
+    empty = Q.run_rules(df.limit(0), "t", rules).collect()
+    assert [(r.expectation, r.status) for r in empty] == [("be_unique", "PASS")]
