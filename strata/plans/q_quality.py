@@ -64,12 +64,14 @@ def _rules_by_table(L, kind):
 
 
 def _results(spark, sf, kinds):
+    """All rules of the requested kinds, evaluated per table in one ``run_rules``
+    call, so a table's column rules fold into its uniqueness scan."""
     L = Layers(spark, sf)
-    parts = []
+    per_table: dict[str, list] = {}
     for kind in kinds:
         for table, rules in _rules_by_table(L, kind).items():
-            parts.append(Q.run_rules(_TABLES[table][0](L), table, rules))
-    return Q.union_results(*parts)
+            per_table.setdefault(table, []).extend(rules)
+    return Q.union_results(*[Q.run_rules(_TABLES[t][0](L), t, rules) for t, rules in per_table.items()])
 
 
 def _sql_row(table, exp, col, failed, observed, threshold, sev, src, where=""):
