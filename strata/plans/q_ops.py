@@ -218,3 +218,20 @@ def q_row_preview(spark, sf):
     v = LU.valued_orders(L.unified_orders, L.order_values)
     return publish(v.select("order_id", "customer_id", "order_status", "order_purchase_timestamp", "year", "month",
                             "origin", "final_order_value").orderBy("order_id").limit(10))
+
+
+@query("pipeline_sales_by_category", O.sql("""
+    SELECT p.product_category_name, o.year, o.month, CAST(SUM(i.price) AS DOUBLE) AS total_revenue,
+           COUNT(i.order_item_id) AS total_items_sold
+    FROM s_items i JOIN s_products p ON i.product_id = p.product_id
+    JOIN s_orders o ON i.order_id = o.order_id
+    GROUP BY p.product_category_name, o.year, o.month""", "s_items", "s_products", "s_orders"))
+def q_pipeline_sales_by_category(spark, sf):
+    """The production path: raw → silver → gold written as tables (no stream
+    lane), then the published gold table read back. Runs the two batch
+    stages when called, into a fresh folder under the checkpoint folder."""
+    from . import pipeline as P
+    cfg = P.PipelineConfig(sf, scratch_path(spark, "pipeline", uuid.uuid4().hex), AS_OF, extra_gold=False)
+    P.run(spark, cfg, ["raw_to_silver", "silver_to_gold"])
+    return spark.read.parquet(cfg.p("gold", "gold_sales_by_category_time")).select(
+        "product_category_name", "year", "month", "total_revenue", "total_items_sold")
