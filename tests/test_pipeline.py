@@ -71,3 +71,16 @@ def test_pipeline_backfill_replaces_only_its_partitions(spark, tmp_dir):
     for f, m in outside.items():
         assert os.path.exists(f) and os.path.getmtime(f) == m
     assert inside and not any(os.path.exists(f) for f in inside)  # the range's files were replaced
+
+
+def test_command_line(spark, tmp_dir, capsys):
+    from strata.__main__ import main
+    assert main(["list"]) == 0
+    assert "gold_sales_by_category\tsql-checked" in capsys.readouterr().out
+    out = os.path.join(tmp_dir, "q")
+    assert main(["query", "gold_sales_by_region", "--sf-dir", SF_SMALL, "--out", out]) == 0
+    assert spark.read.parquet(out).count() > 0
+    lake = os.path.join(tmp_dir, "lake")
+    assert main(["pipeline", "--sf-dir", SF_SMALL, "--out", lake, "--as-of", "2024-01-01",
+                 "--stages", "raw_to_silver", "dq_audit"]) == 0
+    assert spark.read.parquet(os.path.join(lake, "silver", "fact_orders")).count() > 0
