@@ -129,3 +129,14 @@ def test_scd2_null_current_flag_is_kept_as_history(spark):
              "is_current": F.lit(None).cast("boolean")}))
     out = K.scd2_merge(dim, spark.createDataFrame([(1, "B")], DIM_SCHEMA), "customer_id", D2)
     assert out.count() == 3 and out.filter("customer_id = 9").count() == 1
+
+
+def test_scd2_two_current_rows_for_one_key_are_repaired(spark):
+    dim = _dim(spark, [(1, "A"), (1, "B"), (2, "X")])  # corrupt: key 1 has two current versions
+    out = K.scd2_merge(dim, spark.createDataFrame([(1, "C")], DIM_SCHEMA), "customer_id", D2)
+    assert _current(out) == {1: "C", 2: "X"}
+    assert out.filter("customer_id = 1 AND NOT is_current").count() == 2
+    # a delivery equal to one of the two current rows keeps that one and closes the other
+    same = K.scd2_merge(dim, spark.createDataFrame([(1, "A")], DIM_SCHEMA), "customer_id", D2)
+    assert _current(same) == {1: "A", 2: "X"}
+    assert same.filter("customer_id = 1").count() == 2
