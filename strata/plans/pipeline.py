@@ -8,11 +8,13 @@ A ``DataQualityError`` from the audit halts the run before gold is touched.
 
 Layout under ``out_root``::
 
-    silver/<table>/...           partitioned Parquet (dynamic overwrite per write)
-    silver/dim_customers/        SCD2 dimension, published by write + swap
+    silver/fact_*/               facts: dynamic partition overwrite (a run or backfill
+                                 replaces exactly the partitions it produces)
+    silver/dim_*/, reviews       full-refresh tables, published by write + row check + swap
+    silver/dim_customers/        SCD2 dimension, published by write + row check + swap
     stream/raw (valid + rejected payloads), stream/processed, stream/hourly_counts,
     stream/_checkpoints
-    gold/<table>/...             gold tables (lambda_orders first, read back)
+    gold/<table>/...             gold tables, published by swap (lambda_orders first, read back)
     dq/results                   DQ result log (append)
     ops/inventory                file / byte / row inventory
 """
