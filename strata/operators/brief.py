@@ -81,10 +81,14 @@ def discount_impact(items: DataFrame) -> DataFrame:
 
 
 def co_purchase_affinity(items: DataFrame, products: DataFrame) -> DataFrame:
-    """(product, other category) → number of orders holding both."""
+    """(product, other category) → number of orders holding both.
+
+    (order, product) pairs are made distinct first (partial aggregation, so
+    an order repeating a product shrinks before the shuffle), and the order's
+    categories are distinct too, so the join emits each (order, product,
+    other category) once and the count needs no further distinct."""
     p = products.select("product_id", "product_category_name")
-    ip = items.select("order_id", "product_id").join(p, "product_id")
+    ip = items.select("order_id", "product_id").distinct().join(p, "product_id")
     order_cats = ip.select("order_id", F.col("product_category_name").alias("co_category")).distinct()
     pairs = ip.join(order_cats, "order_id").filter(F.col("co_category") != F.col("product_category_name"))
-    return pairs.select("order_id", "product_id", "co_category").distinct() \
-        .groupBy("product_id", "co_category").agg(F.count(F.lit(1)).alias("n_orders"))
+    return pairs.groupBy("product_id", "co_category").agg(F.count(F.lit(1)).alias("n_orders"))
