@@ -142,6 +142,10 @@ def raw_to_silver(spark: SparkSession, cfg: PipelineConfig) -> None:
         new_dim = K.scd2_initial(delivery, cfg.as_of)
     cfg.results["dim_customers_rows"] = MT.publish_swap(spark, new_dim, dim_path, ["customer_state"],
                                                         cluster_by=["customer_id"])
+    if cfg.catalog_database:
+        # external catalog tables over the silver folders (W1), partitions recovered
+        silver = {t: cfg.p("silver", t) for t in MT.list_tables(spark, cfg.p("silver"))}
+        register_catalog(spark, silver, f"{cfg.catalog_database}_silver")
 
 
 def dq_audit(spark: SparkSession, cfg: PipelineConfig) -> None:

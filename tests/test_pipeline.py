@@ -31,6 +31,8 @@ def test_pipeline_end_to_end_and_scd2_rerun(spark, tmp_dir):
     cat = spark.sql("SELECT * FROM strata_gold_test.v_sales_by_category")
     assert cat.count() == spark.read.parquet(lake("gold", "gold_sales_by_category_time")).count()
     assert "otros" in {r[0] for r in cat.select("product_category_name_english").distinct().collect()}
+    assert spark.table("strata_gold_test_silver.fact_orders").count() == \
+        spark.read.parquet(lake("silver", "fact_orders")).count()
     pruned = spark.sql("SELECT * FROM strata_gold_test.v_payment_metrics WHERE payment_type = 'A'")
     assert "PartitionFilters: [isnotnull(payment_type" in pruned._jdf.queryExecution().executedPlan().toString()
     inv = {r.table_name: r for r in spark.read.parquet(lake("ops", "inventory")).collect()}
