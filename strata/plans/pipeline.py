@@ -13,7 +13,7 @@ Layout under ``out_root``::
     silver/dim_*/, reviews       full-refresh tables, published by write + row check + swap
     silver/dim_customers/        SCD2 dimension, published by write + row check + swap
     stream/raw (valid + rejected payloads), stream/processed, stream/hourly_counts,
-    stream/_checkpoints
+    stream/demand_alerts, stream/_checkpoints
     gold/<table>/...             gold tables, published by swap (lambda_orders first, read back)
     dq/results                   DQ result log (append)
     ops/inventory                file / byte / row inventory
@@ -180,10 +180,12 @@ def speed_layer(spark: SparkSession, cfg: PipelineConfig) -> None:
     q = jobs.process_job(jobs.valid_event_source(spark, cfg.p("stream", "raw")), customers,
                          cfg.p("stream", "processed"), f"{ck}/processed",
                          customers_unique=cfg.results.get("dq_passed", False))
-    # tumbling hourly demand per status (closed windows are appended); an
-    # independent query over the same raw table, drained concurrently
-    h = jobs.hourly_counts_job(jobs.valid_event_source(spark, cfg.p("stream", "raw")).drop("is_valid"),
-                               cfg.p("stream", "hourly_counts"), f"{ck}/hourly_counts")
+    # tumbling hourly demand per status, scored against the previous hours as
+    # each window closes (real-time alerts); an independent query over the
+    # same raw table, drained concurrently
+    h = jobs.demand_alerts_job(jobs.valid_event_source(spark, cfg.p("stream", "raw")).drop("is_valid"),
+                               cfg.p("stream", "hourly_counts"), cfg.p("stream", "demand_alerts"),
+                               f"{ck}/hourly_counts")
     q.awaitTermination()
     h.awaitTermination()
     cfg.results["late_rows_dropped"] = jobs.dropped_by_watermark(q)

@@ -16,6 +16,8 @@ scheduled form); pass ``{"processingTime": "5 minutes"}`` for a long-running one
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -128,3 +130,51 @@ def dropped_by_watermark(query: StreamingQuery) -> int:
     """Rows the stateful operators dropped as late, over the run's recent progress reports."""
     return sum(int(s.get("numRowsDroppedByWatermark", 0))
                for p in (query.recentProgress or []) for s in p.get("stateOperators", []))
+
+
+def demand_alerts_job(events: DataFrame, counts_path: str, alerts_path: str, checkpoint: str,
+                      lookback_hours: int = 24, z: float = 3.0, watermark: str = WATERMARK,
+                      trigger: dict | None = None) -> StreamingQuery:
+    """Real-time demand anomalies (N4, streaming form).
+
+    Hourly windows are counted with a watermark; as windows close, each
+    micro-batch (``foreachBatch``):
+    1. writes its closed windows to ``counts_path``, partitioned by
+       (window date, batch_id) with dynamic overwrite, so a retried batch
+       replaces its own output and nothing else;
+    2. reads back only the windows of the last ``lookback_hours`` before its
+       earliest new window (a date filter prunes partitions), scores the new
+       windows against them, and writes the scores to ``alerts_path`` the same way.
+    Work per batch is bounded by the look-back, not by the history length.
+    """
+    from ..operators.brief import demand_anomalies
+
+    counts = speed.hourly_counts(events.withWatermark("event_timestamp", watermark))
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        # the batch holds only the windows that closed in it (a few rows per
+        # status and hour); it is used twice, and a stateful batch must not be
+        # recomputed, so it is kept for the duration of this call
+        batch = batch.persist()
+        try:
+            first = batch.agg(F.min("window_start")).first()[0]
+            if first is None:
+                return
+            tag = {"window_date": F.to_date("window_start"), "batch_id": F.lit(batch_id)}
+            batch.withColumns(tag).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+                .partitionBy("window_date", "batch_id").parquet(counts_path)
+            lo = first - timedelta(hours=lookback_hours)
+            recent = spark.read.parquet(counts_path).filter(
+                (F.col("window_date") >= F.lit(lo.date())) & (F.col("window_start") >= F.lit(lo)))
+            scored = demand_anomalies(recent.select("window_start", "order_status", "n_events"),
+                                      k=lookback_hours, z=z)
+            out = scored.join(batch.select("window_start", "order_status"), ["window_start", "order_status"],
+                              "left_semi")
+            out.withColumns(tag).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+                .partitionBy("window_date", "batch_id").parquet(alerts_path)
+        finally:
+            batch.unpersist()
+
+    w = counts.writeStream.outputMode("append").foreachBatch(on_batch).option("checkpointLocation", checkpoint)
+    return w.trigger(**(trigger or {"availableNow": True})).start()

@@ -120,3 +120,29 @@ def test_hourly_counts_streaming(spark, tmp_dir):
 
 def test_event_contract_fields():
     assert C.EVENT_REQUIRED_KEYS == ["order_id", "customer_id", "order_status", "event_timestamp", "order_value"]
+
+
+def test_demand_alerts_stream_flags_a_spike(spark, tmp_dir):
+    src, counts, alerts, ck = (os.path.join(tmp_dir, p) for p in ("raw", "counts", "alerts", "ck"))
+    t0 = dt.datetime(2024, 1, 10, 0, 0)
+    # 30 quiet hours with 2-3 views each, then one hour with 40
+    rows, oid = [], 0
+    for h in range(30):
+        for _ in range(2 + h % 2):
+            rows.append((oid, 1, "view", t0 + dt.timedelta(hours=h, minutes=5), 1.0))
+            oid += 1
+    for _ in range(40):
+        rows.append((oid, 1, "view", t0 + dt.timedelta(hours=30, minutes=5), 1.0))
+        oid += 1
+    _drop(spark, rows, src)
+    jobs.demand_alerts_job(jobs.event_file_source(spark, src), counts, alerts, ck).awaitTermination()
+    # a later event closes the spike hour's window
+    _drop(spark, [(oid, 1, "view", t0 + dt.timedelta(hours=40), 1.0)], src)
+    jobs.demand_alerts_job(jobs.event_file_source(spark, src), counts, alerts, ck).awaitTermination()
+    jobs.demand_alerts_job(jobs.event_file_source(spark, src), counts, alerts, ck).awaitTermination()
+    a = spark.read.parquet(alerts)
+    spikes = a.filter("is_spike").collect()
+    assert [(r.window_start, r.n_events) for r in spikes] == [(t0 + dt.timedelta(hours=30), 40)]
+    # every closed window was scored exactly once
+    assert a.groupBy("window_start", "order_status").count().filter("count > 1").count() == 0
+    assert a.count() == spark.read.parquet(counts).count() == 31
