@@ -157,7 +157,7 @@ def q_view_payment(spark, sf):
     return spark.sql("SELECT * FROM v_payment_metrics")
 
 
-@query("view_pipeline_latency", None)
+@query("view_file_latency", None)
 def q_view_latency(spark, sf):
     MT.freshness(spark, _table_paths(sf), FRESHNESS_AS_OF).createOrReplaceTempView("pipeline_file_freshness")
     register_views(spark, {})
@@ -220,13 +220,13 @@ def q_row_preview(spark, sf):
                             "origin", "final_order_value").orderBy("order_id").limit(10))
 
 
-@query("pipeline_sales_by_category", O.sql("""
+@query("published_sales_by_category", O.sql("""
     SELECT p.product_category_name, o.year, o.month, CAST(SUM(i.price) AS DOUBLE) AS total_revenue,
            COUNT(i.order_item_id) AS total_items_sold
     FROM s_items i JOIN s_products p ON i.product_id = p.product_id
     JOIN s_orders o ON i.order_id = o.order_id
     GROUP BY p.product_category_name, o.year, o.month""", "s_items", "s_products", "s_orders"))
-def q_pipeline_sales_by_category(spark, sf):
+def q_published_sales_by_category(spark, sf):
     """The production path: raw → silver → gold written as tables (no stream
     lane), then the published gold table read back. Runs the two batch
     stages when called, into a fresh folder under the checkpoint folder."""

@@ -32,7 +32,7 @@ def test_entry_smoke(spark):
 
 def test_every_query_has_oracle_or_is_file_metadata():
     rows_only = {n for n in QUERIES if n not in ORACLE}
-    assert rows_only == {"file_inventory", "freshness", "readiness", "view_pipeline_latency"}
+    assert rows_only == {"file_inventory", "freshness", "readiness", "view_file_latency"}
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
