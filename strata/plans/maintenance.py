@@ -138,9 +138,11 @@ def backfill(df: DataFrame, out_path: str, ts_col: str, start, end, partition_by
 
 
 def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
+    if not path_exists(spark, path):
+        return None
     try:
         return spark.read.parquet(path)
-    except AnalysisException:
+    except AnalysisException:  # e.g. a folder without data files
         return None
 
 

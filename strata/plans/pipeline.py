@@ -74,6 +74,8 @@ def read_optional(spark: SparkSession, path: str, schema) -> DataFrame:
     """A table that may not exist yet: missing path → empty DataFrame of the contract.
 
     Only a missing path is tolerated; any other read error propagates."""
+    if not MT.path_exists(spark, path):
+        return spark.createDataFrame([], schema)
     try:
         return spark.read.schema(schema).parquet(path)
     except AnalysisException as e:
