@@ -292,3 +292,44 @@ def schema_results(df: DataFrame, contract, table: str, spark) -> DataFrame:
     if not rows:
         rows = [(table, "schema_match", "*", "PASS", 0.0, "0", ERROR)]
     return spark.createDataFrame(rows, schema=DQ_RESULT)
+
+
+class RuleSet:
+    """Chainable rule set for one table, evaluated together by ``run_rules``.
+
+        ok = (RuleSet(orders, "orders")
+              .not_null("order_id").unique("order_id").between("quantity", 0, 100)
+              .validate(halt=True))
+
+    Nothing runs until ``results`` or ``validate``; all rules of the set share
+    the scans ``run_rules`` plans (one grouped scan for column rules plus the
+    first uniqueness rule)."""
+
+    def __init__(self, df: DataFrame, table: str):
+        self.df, self.table, self.rules = df, table, []
+
+    def not_null(self, column: str, threshold: float = 0.0, severity: str = ERROR) -> "RuleSet":
+        self.rules.append(NotNull(column, threshold, severity))
+        return self
+
+    def unique(self, columns: str | Sequence[str], severity: str = ERROR) -> "RuleSet":
+        self.rules.append(Unique(columns, severity))
+        return self
+
+    def between(self, column: str, min_value: float, max_value: float, severity: str = ERROR) -> "RuleSet":
+        self.rules.append(Between(column, min_value, max_value, severity))
+        return self
+
+    def exists_in(self, column: str, parent: DataFrame, parent_column: str, severity: str = ERROR) -> "RuleSet":
+        self.rules.append(ExistsIn(column, parent, parent_column, severity))
+        return self
+
+    def casts_cleanly(self, column: str, dtype: str, severity: str = ERROR) -> "RuleSet":
+        self.rules.append(CastsCleanly(column, dtype, severity))
+        return self
+
+    def results(self) -> DataFrame:
+        return run_rules(self.df, self.table, self.rules)
+
+    def validate(self, halt: bool = False) -> bool:
+        return gate(self.results(), halt=halt)

@@ -107,3 +107,13 @@ def test_folded_rules_match_separate_evaluation(spark):
     assert plan.count("Scan ExistingRDD") == 1  # one scan for all four rules
     empty = Q.run_rules(df.limit(0), "t", rules).collect()
     assert [(r.expectation, r.status) for r in empty] == [("be_unique", "PASS")]
+
+
+def test_chainable_rule_set(spark):
+    df = spark.createDataFrame([(1, 5), (2, None), (2, 7)], "k int, q int")
+    rs = Q.RuleSet(df, "t").not_null("q", 0.5).unique("k").between("q", 0, 6)
+    got = {(r.expectation, r.status) for r in rs.results().collect()}
+    assert got == {("not_be_null", "PASS"), ("be_unique", "FAIL"), ("be_between", "FAIL")}
+    assert rs.validate(halt=False) is False
+    with pytest.raises(Q.DataQualityError):
+        rs.validate(halt=True)
