@@ -7,10 +7,13 @@
   within the watermark → current-customer enrichment → processed table.
 * ``hourly_counts_job``: raw event stream → watermark → tumbling hourly
   counts per status, appended once each window closes.
+* ``demand_alerts_job``: the same counts, scored against the preceding hours
+  as windows close (``foreachBatch``, idempotent per batch id).
 
 Every job takes a checkpoint location; a restart resumes from the offsets
-and state kept there, and the file sink's commit log makes each output
-exactly-once. ``trigger`` defaults to ``availableNow`` (drain and stop, the
+and state kept there. The file sinks' commit log makes their output
+exactly-once; the ``foreachBatch`` job overwrites only its batch's
+partitions, so a replayed batch replaces its own output. ``trigger`` defaults to ``availableNow`` (drain and stop, the
 scheduled form); pass ``{"processingTime": "5 minutes"}`` for a long-running one.
 """
 
