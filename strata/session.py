@@ -16,6 +16,7 @@ from pyspark.sql import SparkSession
 # splits skewed join partitions and turns sort-merge joins into broadcast
 # joins only after measuring the real size of a side at run time.
 LOCAL_DEFAULTS = {
+    "spark.driver.memory": "8g",  # local mode: the driver JVM is the only executor
     "spark.sql.shuffle.partitions": "8",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
