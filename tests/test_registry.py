@@ -49,3 +49,10 @@ def test_query_matches_oracle(spark, con, name):
     cols = [d[0] for d in cur.description]
     assert sorted(cols) == sorted(df.columns)
     assert rows_key(df.columns, rows, False) == rows_key(cols, cur.fetchall(), False)
+
+
+def test_query_names():
+    import re
+    for name in QUERIES:
+        assert re.fullmatch(r"[a-z][a-z0-9_]*", name), name
+        assert "pipeline" not in name and not re.match(r"op\d+_", name), name
