@@ -119,7 +119,8 @@ def process_job(events: DataFrame, customers: DataFrame, processed_path: str, ch
     """Speed layer: filter, dedup within the watermark, enrich, append."""
     ev = events.select(*[f.name for f in C.EVENTS.fields]).withWatermark("event_timestamp", watermark)
     ev = speed.dedup_events(speed.speed_filter(ev), ["order_id"])
-    out = speed.with_lateness(speed.enrich_events(ev, customers, static_unique=customers_unique))
+    out = speed.with_lateness(speed.enrich_events(ev, customers, static_unique=customers_unique),
+                              watermark=watermark)
     return _start(out, processed_path, checkpoint, trigger)
 
 

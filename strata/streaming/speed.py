@@ -95,12 +95,24 @@ def dedup_events(events: DataFrame, keys: Sequence[str] = ("order_id",)) -> Data
     return dedup_latest(events, list(keys), ["event_timestamp", *rest])
 
 
-def with_lateness(events: DataFrame, ingest_ts: Column | None = None) -> DataFrame:
-    """Seconds between arrival and event time (evidence of late data)."""
+_UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
+
+
+def interval_seconds(delay: str) -> int:
+    """'2 hours' → 7200 (the watermark delay strings used here)."""
+    n, unit = delay.split()
+    return int(float(n) * _UNIT_SECONDS[unit.rstrip("s")])
+
+
+def with_lateness(events: DataFrame, ingest_ts: Column | None = None, watermark: str | None = None) -> DataFrame:
+    """Seconds between arrival and event time, and (with ``watermark``) an
+    ``is_late`` flag for rows that arrived later than the watermark delay."""
     arrival = ingest_ts if ingest_ts is not None else F.current_timestamp()
-    return events.withColumn(
-        "lateness_seconds",
-        F.unix_micros(arrival.cast("timestamp")) / 1_000_000 - F.unix_micros(F.col("event_timestamp")) / 1_000_000)
+    late = F.unix_micros(arrival.cast("timestamp")) / 1_000_000 - F.unix_micros(F.col("event_timestamp")) / 1_000_000
+    out = events.withColumn("lateness_seconds", late)
+    if watermark:
+        out = out.withColumn("is_late", F.col("lateness_seconds") > F.lit(interval_seconds(watermark)))
+    return out
 
 
 def hourly_counts(events: DataFrame, ts: str = "event_timestamp", by: Sequence[str] = ("order_status",),
