@@ -40,7 +40,7 @@ def exact_avg(col: str | Column) -> Column:
 
 def final_order_value(batch_value: str = "batch_order_value", stream_value: str = "order_value") -> Column:
     """coalesce(payments sum, stream value, 0.00) in decimal(18,2) (L2)."""
-    return F.coalesce(F.col(batch_value), F.col(stream_value).cast(MONEY), F.lit(0).cast(MONEY)).cast(MONEY)
+    return F.coalesce(F.col(batch_value), F.col(stream_value).try_cast(MONEY), F.lit(0).cast(MONEY)).cast(MONEY)
 
 
 def band(col: str | Column, bounds: Sequence[tuple[float, str]], top: str) -> Column:

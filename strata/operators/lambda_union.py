@@ -59,7 +59,7 @@ def unify_orders(batch: DataFrame, stream: DataFrame | None = None, gate: bool =
     u = u.withColumns({
         "year": F.coalesce(F.col("year"), F.year(ts)) if "year" in u.columns else F.year(ts),
         "month": F.coalesce(F.col("month"), F.month(ts)) if "month" in u.columns else F.month(ts),
-        "order_value": F.col("order_value").cast(C.MONEY) if "order_value" in u.columns
+        "order_value": F.col("order_value").try_cast(C.MONEY) if "order_value" in u.columns
         else F.lit(None).cast(C.MONEY),
     })
     if gate:

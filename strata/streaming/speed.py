@@ -121,7 +121,7 @@ def hourly_counts(events: DataFrame, ts: str = "event_timestamp", by: Sequence[s
     w = F.window(F.col(ts), size)
     return events.groupBy(w.alias("window"), *by).agg(
         F.count(F.lit(1)).alias("n_events"),
-        F.sum(F.col("order_value").cast(C.MONEY)).cast("double").alias("total_value"),
+        F.sum(F.col("order_value").try_cast(C.MONEY)).cast("double").alias("total_value"),
     ).select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
              *by, "n_events", "total_value")
 
