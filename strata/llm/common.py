@@ -2,7 +2,29 @@
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+from ..session import ensure_checkpoint_dir
+
 
 def quoted(name: str) -> str:
     """A column name safe for ``F.col``: dots and backticks are part of the name."""
     return "`" + name.replace("`", "``") + "`"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet to the shared folder of the session, and read again.
+
+    It cuts the lineage: what is lost with an executor is read again rather
+    than computed again, and branches that share ``df`` don't repeat it.
+    """
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named by spark.checkpoint.dir (a scratch folder in local sessions without it)."""
+    return ensure_checkpoint_dir(spark).rstrip("/")
