@@ -4,7 +4,7 @@ Severity grades 0 < 1 < ... < K share one weight vector; ordered thresholds
 t1 < ... < tK cut the same score: P(grade >= k) = sigmoid(w.x - tk). The
 expected severity is the sum of these probabilities over k.
 
-Features are the lower-cased words of a text and their first ``PREFIX`` bytes,
+Features are the lower-cased words of a text and their first ``PREFIXES`` bytes,
 present or not. The model is fitted on a bounded sample of labelled rows: at
 most ``per_class`` toxic and ``per_class`` other documents (default 4096),
 the first by a hash of the id. Feature counts, the choice of the ``n_features``
@@ -12,7 +12,7 @@ features that depart most from the sample's toxic share, the grades and the
 fit use all of that sample. Scoring reads every document and every word.
 
 Labels of two values (0/1) are refined to grades 0 to 3: toxic documents are
-cut at the terciles of their rate of strongly toxic features per 100 words.
+cut at the terciles of how many different strongly toxic features they hold.
 
 Defined results: null and empty texts have no features and get the score of
 the intercepts. Without both classes among the labels there is no model:
@@ -39,8 +39,8 @@ QUERY = "op10_toxicity"
 ORACLE = None  # a fitted model; tests/llm/test_toxicity.py measures held-out accuracy
 
 PER_CLASS = 4096
-N_FEATURES = 512
-PREFIX = 5
+N_FEATURES = 1024
+PREFIXES = (4, 6)
 LEAST_DOCS = 5
 CUT = 0.4  # P(grade >= 1) from which a document counts as toxic
 
@@ -49,14 +49,15 @@ _LETTERS[65:91] = _LETTERS[97:123] = True
 _LETTERS[128:] = True
 
 
-def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, feature) of every word and word prefix, and the number of words of each row."""
+def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Row and feature of every word and word prefix."""
     data, ends = text_bytes(texts)
     starts, stops = word_spans(data, ends, _LETTERS)
     rows = np.searchsorted(ends, starts, side="right") - 1
-    words = span_hashes(data, starts, stops)
-    heads = mix(span_hashes(data, starts, np.minimum(stops, starts + PREFIX)) ^ np.uint64(PREFIX))
-    return np.concatenate([rows, rows]), np.concatenate([words, heads]), np.bincount(rows, minlength=len(texts))
+    found = [span_hashes(data, starts, stops)]
+    for n in PREFIXES:
+        found.append(mix(span_hashes(data, starts, np.minimum(stops, starts + n)) ^ np.uint64(n)))
+    return np.tile(rows, len(found)), np.concatenate(found)
 
 
 @dataclass(frozen=True)
@@ -69,7 +70,7 @@ class OrdinalModel:
 
     def at_least(self, texts: pa.Array) -> np.ndarray:
         """P(grade >= k) for k = 1 ... K, a row per text."""
-        rows, found, _ = features(texts)
+        rows, found = features(texts)
         seen = np.zeros(1 << 16, bool)
         seen[(self.ids >> np.uint64(48)).astype(np.int64)] = True
         maybe = seen[(found >> np.uint64(48)).astype(np.int64)]
@@ -86,7 +87,7 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def fit_ordinal(rows: np.ndarray, cols: np.ndarray, n_cols: int, grades: np.ndarray, steps: int = 400,
-                rate: float = 0.3, decay: float = 1e-4) -> tuple[np.ndarray, np.ndarray]:
+                rate: float = 1.0, decay: float = 1e-5) -> tuple[np.ndarray, np.ndarray]:
     """Weights and thresholds of the cumulative-link model, by gradient steps with per-coordinate rates.
 
     ``rows, cols`` are the places of ones in the feature matrix. Thresholds
@@ -124,7 +125,7 @@ def fit_ordinal(rows: np.ndarray, cols: np.ndarray, n_cols: int, grades: np.ndar
 
 def _featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in pieces(batches, "text"):
-        rows, found, words = features(batch.column("text"))
+        rows, found = features(batch.column("text"))
         order = np.lexsort((found, rows))
         rows, found = rows[order], found[order]
         first = np.ones(len(rows), bool)
@@ -132,9 +133,8 @@ def _featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ends = np.searchsorted(rows[first], np.arange(batch.num_rows + 1))
         kept = found[first]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("grade"), pa.array(words, pa.int64()),
-             pa.array([kept[a:b].tobytes() for a, b in zip(ends, ends[1:])], pa.binary())],
-            ["grade", "n_words", "features"])
+            [batch.column("grade"), pa.array([kept[a:b].tobytes() for a, b in zip(ends, ends[1:])], pa.binary())],
+            ["grade", "features"])
 
 
 def sample_labels(labels: DataFrame, doc_id: str, grade: str, per_class: int) -> DataFrame:
@@ -146,11 +146,11 @@ def sample_labels(labels: DataFrame, doc_id: str, grade: str, per_class: int) ->
         known.where("grade <= 0").orderBy(*order).limit(per_class))
 
 
-def severity_grades(toxic: np.ndarray, rows: np.ndarray, strong: np.ndarray, words: np.ndarray) -> np.ndarray:
-    """Grades 0 to 3 from 0/1 labels: toxic documents by terciles of strong features per 100 words."""
-    rate = np.bincount(rows, strong, len(toxic)) * 100 / np.maximum(words, 1)
-    cuts = np.quantile(rate[toxic > 0], [1 / 3, 2 / 3])
-    return np.where(toxic > 0, 1 + np.searchsorted(cuts, rate, side="left"), 0)
+def severity_grades(toxic: np.ndarray, rows: np.ndarray, strong: np.ndarray) -> np.ndarray:
+    """Grades 0 to 3 from 0/1 labels: toxic documents by terciles of their number of strong features."""
+    count = np.bincount(rows, strong, len(toxic))
+    cuts = np.quantile(count[toxic > 0], [1 / 3, 2 / 3])
+    return np.where(toxic > 0, 1 + np.searchsorted(cuts, count, side="left"), 0)
 
 
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", grade: str = "toxic",
@@ -159,7 +159,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     sample = sample_labels(labels, doc_id, grade, per_class)  # at most 2 * per_class rows: small enough to broadcast
     texts = docs.select(F.col(quoted(doc_id)).alias("id"), F.col(quoted(text)).alias("text")).join(
         F.broadcast(sample), F.col("id") == F.col("labelled")).select("grade", "text")
-    got = texts.mapInArrow(_featurise, "grade int, n_words long, features binary").limit(4 * per_class).toArrow()
+    got = texts.mapInArrow(_featurise, "grade int, features binary").limit(4 * per_class).toArrow()
     grades = np.maximum(got.column("grade").to_numpy(), 0).astype(np.int64)
     if len(grades) == 0 or grades.max() == 0 or grades.min() > 0:
         return None
@@ -179,7 +179,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     used = place[cols] >= 0
     if grades.max() == 1:
         strong = (departs > 0) & (hits >= 0.9 * n) & (place >= 0)
-        grades = severity_grades(grades, rows, strong[cols].astype(float), got.column("n_words").to_numpy())
+        grades = severity_grades(grades, rows, strong[cols].astype(float))
         grades = np.searchsorted(np.unique(grades), grades)  # no empty grades when rates tie
     w, cuts = fit_ordinal(rows[used], place[cols[used]], len(top), grades)
     return OrdinalModel(ids[top], w, cuts)
