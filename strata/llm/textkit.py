@@ -151,7 +151,8 @@ def shingle_hashes(words: np.ndarray, first: np.ndarray, k: int) -> tuple[np.nda
     out[_ranges(offsets[full], count[full])] = rolled[where]
     for row in np.flatnonzero((n > 0) & (n < k)):
         w = words[first[row]:first[row + 1]]
-        out[offsets[row]] = (w * np.array(_STEP[:len(w)])).sum(dtype=np.uint64) + np.uint64(len(w) * _ODD & _MASK)
+        salted = (w * np.array(_STEP[:len(w)])).sum(dtype=np.uint64, keepdims=True)
+        out[offsets[row]] = (salted + np.uint64(len(w) * _ODD & _MASK))[0]
     return mix(out), offsets
 
 
