@@ -39,7 +39,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """r**j and r**-j modulo 2**64 for j below n, kept between calls."""
     global _POW
     if len(_POW[0]) < n:
@@ -109,7 +109,7 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray, fold: n
         base = starts[at]
         to = max(at + 1, int(np.searchsorted(stops, base + BLOCK_BYTES, side="right")))
         part = data[base:stops[to - 1]]
-        up, down = _powers(len(part) + 1)
+        up, down = powers(len(part) + 1)
         sums = np.empty(len(part) + 1, np.uint64)
         sums[0] = 0
         np.cumsum(_BYTE[fold[part]] * up[:len(part)], out=sums[1:])
