@@ -7,7 +7,9 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES = ("quality_rules", "license_scan", "jaccard_join", "secret_scan", "toxicity")
+MODULES = (
+    "quality_rules", "license_scan", "jaccard_join", "token_files", "token_count", "packing", "secret_scan", "toxicity",
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
