@@ -14,12 +14,11 @@ import unicodedata
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
-from .textkit import BLOCK_BYTES, mix, powers, ranges
+from .textkit import BLOCK_BYTES, IdTable, mix, powers
 
 KEPT = 1_500_000  # distinct pre-tokens kept per worker
 CHUNK = 4096      # pre-tokens that the library encodes in one text
@@ -94,44 +93,26 @@ class ByteBpe:
     def __init__(self, path: str):
         self.library = Tokenizer.from_file(path)
         self.added = [t["content"] for t in json.load(open(path))["added_tokens"]]
-        self.clear()
+        self.table = IdTable(KEPT)
 
-    def clear(self) -> None:
-        self.keys, self.first = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        self.count, self.ids, self.used = np.zeros(0, np.int64), np.zeros(1 << 16, np.int32), 0
-
-    def _learn(self, keys: np.ndarray, words: list[str]) -> None:
-        """Encode new pre-tokens: many in one text, each on a line of its own, taken apart by word number."""
-        if len(self.keys) + len(keys) > KEPT:
-            self.clear()
-        ids, counts = [], np.zeros(len(words), np.int64)
+    def _learn(self, words: list[str]) -> list[np.ndarray]:
+        """Ids of pre-tokens: many in one text, each on a line of its own, taken apart by word number."""
+        out: list[np.ndarray] = [np.zeros(0, np.int32)] * len(words)
         plain = [i for i, w in enumerate(words) if not w.isspace() and "\n" not in w]
+        alone = list(set(range(len(words))) - set(plain))
         for s in range(0, len(plain), CHUNK):
             part = plain[s:s + CHUNK]
             got = self.library.encode("\n".join(words[i] for i in part) + "\n", add_special_tokens=False)
             number = np.array(got.word_ids, np.int64)
-            if number[-1] != 2 * len(part) - 1:  # a word was cut further: encode each alone
-                for i in part:
-                    alone = self.library.encode(words[i], add_special_tokens=False).ids
-                    ids.append((i, np.array(alone, np.int32)))
+            if number[-1] != 2 * len(part) - 1:  # a word was cut further
+                alone += part
                 continue
             tokens, edges = np.array(got.ids, np.int32), np.searchsorted(number, np.arange(0, 2 * len(part) + 1))
-            ids += [(i, tokens[edges[2 * k]:edges[2 * k + 1]]) for k, i in enumerate(part)]
-        for i in set(range(len(words))) - set(plain):
-            ids.append((i, np.array(self.library.encode(words[i], add_special_tokens=False).ids, np.int32)))
-        ids.sort(key=lambda x: x[0])
-        flat = np.concatenate([x[1] for x in ids])
-        counts = np.array([len(x[1]) for x in ids], np.int64)
-        if self.used + len(flat) > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros(max(len(self.ids), len(flat)), np.int32)])
-        self.ids[self.used:self.used + len(flat)] = flat
-        first = self.used + np.concatenate([[0], np.cumsum(counts)[:-1]])
-        self.used += len(flat)
-        keys = np.concatenate([self.keys, keys])
-        order = np.argsort(keys)
-        self.keys = keys[order]
-        self.first = np.concatenate([self.first, first])[order]
-        self.count = np.concatenate([self.count, counts])[order]
+            for k, i in enumerate(part):
+                out[i] = tokens[edges[2 * k]:edges[2 * k + 1]]
+        for i in alone:
+            out[i] = np.array(self.library.encode(words[i], add_special_tokens=False).ids, np.int32)
+        return out
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after the other, and offsets (rows + 1); null texts have none."""
@@ -162,20 +143,8 @@ class ByteBpe:
             return np.zeros(0, np.int32), np.zeros(len(ends), np.int64)
         starts = cuts(codes, ends)
         stops = np.append(starts[1:], len(codes))
-        code, keys = pd.factorize(_code_hashes(codes, starts, stops))
-        at = np.minimum(np.searchsorted(self.keys, keys), max(len(self.keys) - 1, 0))
-        new = np.ones(len(keys), bool) if len(self.keys) == 0 else self.keys[at] != keys
-        if new.any():
-            first = np.empty(len(keys), np.int64)
-            first[code[::-1]] = np.arange(len(code) - 1, -1, -1)
-            before = len(self.keys)
-            self._learn(keys[new], [whole[starts[i]:stops[i]] for i in first[new]])
-            if len(self.keys) < before + new.sum():  # the table was emptied: meet the others again
-                self._learn(keys[~new], [whole[starts[i]:stops[i]] for i in first[~new]])
-            at = np.searchsorted(self.keys, keys)
-        counts = self.count[at][code]
-        ids = self.ids[ranges(self.first[at][code], counts)]
-        sums = np.concatenate([[0], np.cumsum(counts)])
+        ids, sums = self.table.encode(
+            _code_hashes(codes, starts, stops), lambda at: self._learn([whole[starts[i]:stops[i]] for i in at]))
         return ids, sums[np.searchsorted(starts, ends, side="left")]
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 
@@ -147,8 +148,8 @@ def shingle_hashes(words: np.ndarray, first: np.ndarray, k: int) -> tuple[np.nda
         rolled += words[j:j + len(rolled)] * _STEP[j]
     out = np.empty(offsets[-1], np.uint64)
     full = np.flatnonzero(n >= k)
-    where = np.repeat(first[full] - offsets[full], count[full]) + _ranges(offsets[full], count[full])
-    out[_ranges(offsets[full], count[full])] = rolled[where]
+    where = np.repeat(first[full] - offsets[full], count[full]) + ranges(offsets[full], count[full])
+    out[ranges(offsets[full], count[full])] = rolled[where]
     for row in np.flatnonzero((n > 0) & (n < k)):
         w = words[first[row]:first[row + 1]]
         salted = (w * np.array(_STEP[:len(w)])).sum(dtype=np.uint64, keepdims=True)
@@ -156,7 +157,7 @@ def shingle_hashes(words: np.ndarray, first: np.ndarray, k: int) -> tuple[np.nda
     return mix(out), offsets
 
 
-def _ranges(start: np.ndarray, count: np.ndarray) -> np.ndarray:
+def ranges(start: np.ndarray, count: np.ndarray) -> np.ndarray:
     """The integers start[i] ... start[i] + count[i] - 1, one range after the other."""
     total = int(count.sum())
     if total == 0:
@@ -165,4 +166,52 @@ def _ranges(start: np.ndarray, count: np.ndarray) -> np.ndarray:
     return step + np.arange(total)
 
 
-ranges = _ranges
+
+class IdTable:
+    """Id lists of 64-bit keys: sorted keys, and all lists in one array."""
+
+    def __init__(self, most: int):
+        self.most = most
+        self.clear()
+
+    def clear(self) -> None:
+        self.keys, self.first, self.count = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ids, self.used = np.zeros(1 << 16, np.int32), 0
+
+    def missing(self, keys: np.ndarray) -> np.ndarray:
+        if len(self.keys) == 0:
+            return np.ones(len(keys), bool)
+        return self.keys[np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)] != keys
+
+    def add(self, keys: np.ndarray, lists: list[np.ndarray]) -> None:
+        flat, counts = np.concatenate(lists), np.array([len(x) for x in lists], np.int64)
+        if self.used + len(flat) > len(self.ids):
+            self.ids = np.concatenate([self.ids[:self.used], np.zeros(max(self.used, len(flat)) + (1 << 16), np.int32)])
+        self.ids[self.used:self.used + len(flat)] = flat
+        first = self.used + np.concatenate([[0], np.cumsum(counts)[:-1]])
+        self.used += len(flat)
+        keys = np.concatenate([self.keys, keys])
+        order = np.argsort(keys)
+        self.keys, self.first = keys[order], np.concatenate([self.first, first])[order]
+        self.count = np.concatenate([self.count, counts])[order]
+
+    def encode(self, hashes: np.ndarray, learn) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all spans in order, and their running number of ids (spans + 1).
+
+        ``learn(places)`` gives the id lists of the spans at some places; it is
+        asked for spans not met before. The table is emptied when it would
+        outgrow its bound.
+        """
+        code, keys = pd.factorize(hashes)
+        new = self.missing(keys)
+        if new.any():
+            if len(self.keys) + int(new.sum()) > self.most and len(self.keys):
+                self.clear()
+                new = np.ones(len(keys), bool)
+            first = np.empty(len(keys), np.int64)
+            first[code[::-1]] = np.arange(len(code) - 1, -1, -1)
+            self.add(keys[new], learn(first[new]))
+        at = np.searchsorted(self.keys, keys)
+        counts = self.count[at][code]
+        ids = self.ids[ranges(self.first[at][code], counts)]
+        return ids, np.concatenate([[0], np.cumsum(counts)])
