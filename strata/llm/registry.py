@@ -8,7 +8,7 @@ from importlib import import_module
 from pyspark.sql import DataFrame, SparkSession
 
 MODULES = (
-    "quality_rules", "license_scan", "jaccard_join", "token_files", "token_count", "packing", "secret_scan", "toxicity",
+    "quality_rules", "license_scan", "topk_search", "jaccard_join", "viterbi", "token_files", "token_count", "packing", "secret_scan", "toxicity",
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
