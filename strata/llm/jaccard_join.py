@@ -57,7 +57,7 @@ LOCAL_COUNT = 3             # a chunk of documents reports shingles from so many
 CHUNK = 2_000_000           # shingles of a chunk
 MOST_SUBSETS = 20           # bound of the size up to which subsets may be enumerated
 BLOCK = 1024                # members of a block of a long list
-BITS = 1024                 # size of a class's parity bitmap
+LEAST_BITS = 1024           # size of a class's parity bitmap, which grows with the set
 MAX_BROADCAST = 1_000_000   # ids of documents to read again: broadcast up to so many, else shuffled
 
 
@@ -121,8 +121,7 @@ def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, cls = _classes(tokens, at)
         bits = []
         for i, (a, b) in enumerate(zip(at, at[1:])):
-            parity = np.bincount((tokens[a:b] >> np.uint64(54)).astype(np.int64), minlength=BITS) & 1
-            bits.append(np.packbits(parity.astype(bool)).tobytes())
+            bits.append(parity_bits(tokens[a:b]))
             if n[i] and int(cls[i]) not in seen:
                 seen.add(int(cls[i]))
                 kept.append(tokens[a:b])
@@ -270,7 +269,20 @@ def _paired(cols: list[np.ndarray], starts: np.ndarray) -> Iterator[pa.RecordBat
                 yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
 
 
-_POPCOUNT = np.array([bin(i).count("1") for i in range(256)], np.int32)
+def parity_bits(tokens: np.ndarray) -> bytes:
+    """Bitmap of a set: bit k is the parity of its shingles whose leading bits are k; at least a bit per shingle."""
+    size = max(LEAST_BITS, 1 << max(len(tokens) - 1, 0).bit_length())
+    place = (tokens >> np.uint64(65 - size.bit_length())).astype(np.int64)
+    return np.packbits((np.bincount(place, minlength=size) & 1).astype(bool)).tobytes()
+
+
+def bits_apart(x: bytes, y: bytes) -> int:
+    """Bits in which two bitmaps differ, the longer folded to the length of the other."""
+    if len(x) < len(y):
+        x, y = y, x
+    while len(x) > len(y):
+        x = np.packbits(np.bitwise_xor.reduce(np.unpackbits(np.frombuffer(x, np.uint8)).reshape(-1, 2), axis=1)).tobytes()
+    return (int.from_bytes(x) ^ int.from_bytes(y)).bit_count()
 
 
 def _bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -280,14 +292,11 @@ def _bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     linked sets have at most (n + m) / 9 of those.
     """
     for batch in batches:
-        if batch.num_rows == 0:
-            continue
-        x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(batch.num_rows, -1)
-                for c in ("bits_a", "bits_b"))
-        alone = _POPCOUNT[x ^ y].sum(axis=1)
+        alone = np.array([bits_apart(x, y) for x, y in zip(
+            batch.column("bits_a").to_pylist(), batch.column("bits_b").to_pylist())], np.int64)
         n = batch.column("n_a").to_numpy().astype(np.int64) + batch.column("n_b").to_numpy()
-        ok = alone * 9 <= n
-        yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(ok)) for c in ("a", "b")], ["a", "b"])
+        ok = pa.array(alone * 9 <= n)
+        yield pa.RecordBatch.from_arrays([batch.column(c).filter(ok) for c in ("a", "b")], ["a", "b"])
 
 
 def _whole_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
