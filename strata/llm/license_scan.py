@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import quoted
+from .common import quoted, written
 
 QUERY = "op2_license_scan"
 
@@ -64,6 +64,7 @@ TEXTS = {
 
 SHORT, LONG = 2, 4          # words in a voting k-gram of phrases and of longer templates
 MAX_TEMPLATE_WORDS = 20_000
+MAX_BROADCAST = 500_000     # texts to verify: their keys are broadcast up to so many, else shuffled
 GAP = 8                     # diagonals up to so many words apart are merged
 LEAST_VOTES = 0.3           # share of a template's k-grams that must vote before a span is verified
 LEAST_SHARE = 0.8           # verified share from which a template's label is reported
@@ -126,21 +127,22 @@ def verified_spans(votes_: DataFrame, keyed: DataFrame, templates: DataFrame) ->
         F.size(F.array_distinct(F.flatten(F.collect_list("voted")))).alias("n_voted"),
         F.collect_list("diagonal").alias("diagonals")).where(F.col("n_voted") >= F.col("n_grams") * LEAST_VOTES)
     whole = templates.where(~F.col("exact")).select("template", "template_words").distinct()
-    texts = keyed.select(F.col("doc").alias("of_doc"), F.col("hash").alias("of_hash"), "text").dropDuplicates(
-        ["of_doc", "of_hash"])
-    spans = spans.join(F.broadcast(whole), "template")
+    spans = written(spans.join(F.broadcast(whole), "template"), "spans")
     same = F.col("doc").eqNullSafe(F.col("of_doc")) & (F.col("hash") == F.col("of_hash"))
-    met = spans.join(_only(texts, spans), same).withColumn("words", text_words(F.col("text")))
+    met = spans.join(_only(keyed, spans), same).withColumn("words", text_words(F.col("text")))
     found = F.filter(F.sequence(F.lit(0), F.size("template_words") - 1), lambda t: F.exists(
         "diagonals", lambda d: F.get("words", (d + t).cast("int")) == F.get("template_words", t)))
     return met.select("doc", "hash", "label", (F.size(found) / F.size("template_words")).alias("share"),
                       F.size("words"), F.size("diagonals")).select("doc", "hash", "label", "share")
 
 
-def _only(texts: DataFrame, spans: DataFrame) -> DataFrame:
-    """The texts that spans were found in, before they are cut into words."""
-    of = spans.select("doc", "hash").distinct()
-    return texts.join(of, texts["of_doc"].eqNullSafe(of["doc"]) & (texts["of_hash"] == of["hash"]), "left_semi")
+def _only(keyed: DataFrame, spans: DataFrame) -> DataFrame:
+    """The texts that spans were found in, once each, before they are cut into words."""
+    of = spans.select(F.col("doc").alias("of_doc"), F.col("hash").alias("of_hash")).distinct()
+    small = of.count() <= MAX_BROADCAST
+    same = F.col("doc").eqNullSafe(F.col("of_doc")) & (F.col("hash") == F.col("of_hash"))
+    return keyed.join(F.broadcast(of) if small else of, same).select("of_doc", "of_hash", "text").dropDuplicates(
+        ["of_doc", "of_hash"])
 
 
 RESULT = ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
@@ -151,10 +153,11 @@ def license_scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ph
     """``docs`` with n_words, the phrase places, all labels and the best verified share (score)."""
     rest = [c for c in docs.columns if c.lower() not in RESULT]
     body = F.col(quoted(text))
-    keyed = docs.select(F.struct(*[F.col(quoted(c)) for c in rest]).alias("row"), F.col(quoted(doc_id)).alias("doc"),
+    aside = {f"_{i}": c for i, c in enumerate(rest)}
+    keyed = docs.select(*[F.col(quoted(c)).alias(a) for a, c in aside.items()], F.col(quoted(doc_id)).alias("doc"),
                         F.xxhash64(body).alias("hash"), body.alias("text"))
     templates = template_positions(docs.sparkSession, phrases, texts)
-    voted = votes(keyed, templates)
+    voted = written(votes(keyed, templates), "votes")  # two branches read it
     exact = voted.where(F.col("exact") & (F.size("voted") == F.col("n_grams"))).select(
         "doc", "hash", "label", F.lit(1.0).alias("share"), F.col("diagonal").cast("long").alias("place"))
     spans = verified_spans(voted, keyed, templates).select("*", F.lit(None).cast("long").alias("place"))
@@ -163,11 +166,10 @@ def license_scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ph
         F.count("place").alias("n_base"), F.min("place").alias("first_word"), F.max("place").alias("last_word"),
         F.collect_set(F.when(F.col("place").isNotNull(), F.col("label"))).alias("base"),
         F.collect_set(F.when(good, F.col("label"))).alias("all"), F.max("share").alias("score"))
-    joined = keyed.withColumn("n_words", F.size(text_words(F.col("text"))).cast("long")).select(
-        "row", "doc", "hash", "n_words").join(
+    joined = keyed.withColumn("n_words", F.size(text_words(F.col("text"))).cast("long")).drop("text").join(
         found, F.col("doc").eqNullSafe(F.col("of_doc")) & (F.col("hash") == F.col("of_hash")), "left")
     return joined.select(
-        "row.*", "n_words", F.coalesce("n_base", F.lit(0)).alias("n_base"), "first_word", "last_word",
+        *[F.col(a).alias(c) for a, c in aside.items()], "n_words", F.coalesce("n_base", F.lit(0)).alias("n_base"), "first_word", "last_word",
         F.coalesce(F.array_join(F.sort_array("base"), ","), F.lit("")).alias("base_labels"),
         F.coalesce(F.array_join(F.sort_array("all"), ","), F.lit("")).alias("labels"),
         F.coalesce("score", F.lit(0.0)).alias("score"))
