@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 
@@ -28,3 +29,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by spark.checkpoint.dir (a scratch folder in local sessions without it)."""
     return ensure_checkpoint_dir(spark).rstrip("/")
+
+
+def settled(column: Column) -> Column:
+    """``column``, computed once per row at this place of the plan.
+
+    The optimizer moves a filter on a result below the projections that make
+    it and so puts whole expressions inside the lambdas that read them, to be
+    computed again for every element. It leaves expressions that look
+    non-deterministic where they are; this condition is always true.
+    """
+    return F.when(F.monotonically_increasing_id() >= 0, column)

@@ -21,7 +21,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import quoted
+from .common import quoted, settled
 
 QUERY = "op1_quality_rules"
 
@@ -116,18 +116,19 @@ def quality_rules(docs: DataFrame, text: str = "text", rules: LineRules = LineRu
     rest = [c for c in docs.columns if c.lower() not in RESULT]
     body = F.coalesce(F.col("text"), F.lit(""))
     step = docs.select(F.struct(*[F.col(quoted(c)) for c in rest]).alias("row"), F.col(quoted(text)).alias("text"))
-    step = step.withColumns({"words": _words(body), "lines": F.split(body, "\n")})
+    step = step.withColumns({"words": settled(_words(body)), "lines": F.split(body, "\n")})
     step = step.withColumns({
         "n_words": F.size("words").cast("long"),
         "word_chars": F.length(F.array_join("words", "")).cast("long"),
         "n_symbols": _count(body, SYMBOLS).cast("long"),
         "worded": F.filter("lines", lambda x: x.rlike(r"[^\x20\x09-\x0D]")),
-        "hashes": _window_hashes(F.col("words")),
+        "hashes": settled(_window_hashes(F.col("words"))),
         "has_shout": F.contains(body, F.lit("!!")),
     })
     has_symbols = (F.col("n_symbols") > 0) | F.contains(body, F.lit("»")) | F.contains(body, F.lit("•")) | F.contains(
         body, F.lit("·"))
-    step = step.withColumn("bad", F.transform("lines", lambda x: line_fails(x, has_symbols, F.col("has_shout"), rules)))
+    step = step.withColumn("bad", settled(F.transform(
+        "lines", lambda x: line_fails(x, has_symbols, F.col("has_shout"), rules))))
     step = step.withColumns({
         "n_dup_lines": (F.size("worded") - F.size(F.array_distinct("worded"))).cast("long"),
         "n_lines": F.size("worded").cast("long"),
