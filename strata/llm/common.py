@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import ensure_checkpoint_dir
 
@@ -40,3 +41,8 @@ def settled(column: Column) -> Column:
     non-deterministic where they are; this condition is always true.
     """
     return F.when(F.monotonically_increasing_id() >= 0, column)
+
+
+def extended(df: DataFrame, ddl: str) -> T.StructType:
+    """The schema of ``df`` with more fields."""
+    return T.StructType([*df.schema.fields, *T.StructType.fromDDL(ddl).fields])

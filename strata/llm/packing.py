@@ -31,7 +31,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .byte_bpe import byte_bpe
-from .common import quoted, written
+from .common import extended, quoted, written
 from .textkit import pieces as text_pieces
 
 QUERY = "op8_packing"
@@ -160,8 +160,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
                 [*batch.columns, pa.array(row[:, 4] + at // row[:, 3]), pa.array(row[:, 5] + at % row[:, 3] * length)],
                 [*names, "sequence_id", "offset"])
 
-    schema = rows.withColumns({"sequence_id": F.lit(0).cast("long"), "offset": F.lit(0).cast("long")}).schema
-    return rows.mapInArrow(run, schema).drop("number")
+    return rows.mapInArrow(run, extended(rows, "sequence_id long, offset long")).drop("number")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

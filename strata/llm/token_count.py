@@ -32,7 +32,7 @@ import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import quoted
+from .common import extended, quoted
 from .textkit import pieces, span_hashes, text_bytes
 
 QUERY = "op7_token_count"
@@ -252,9 +252,7 @@ def token_count(docs: DataFrame, path: str, text: str = "text", limit: int = LIM
                 [*batch.columns, pc.binary_length(texts).cast(pa.int64()), pa.array(n), pa.array(n > limit)],
                 [*batch.schema.names, "n_bytes", "n_tokens", "over_limit"])
 
-    schema = kept.withColumns({"n_bytes": F.lit(0).cast("long"), "n_tokens": F.lit(0).cast("long"),
-                               "over_limit": F.lit(False)}).schema
-    return kept.mapInArrow(run, schema)
+    return kept.mapInArrow(run, extended(kept, "n_bytes long, n_tokens long, over_limit boolean"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import quoted
+from .common import extended, quoted
 from .textkit import mix, pieces, span_hashes, text_bytes, word_spans
 
 QUERY = "op10_toxicity"
@@ -190,7 +190,7 @@ def score(docs: DataFrame, model: OrdinalModel | None, text: str = "text", cut:
     rest = [c for c in docs.columns if c.lower() not in ("severity", "grade", "toxic")]
     kept = docs.select(*[F.col(quoted(c)) for c in rest])
     if model is None:
-        return kept.withColumns({"severity": F.lit(0.0), "grade": F.lit(0), "toxic": F.lit(False)})
+        return kept.select("*", F.lit(0.0).alias("severity"), F.lit(0).alias("grade"), F.lit(False).alias("toxic"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, text):
@@ -201,8 +201,7 @@ def score(docs: DataFrame, model: OrdinalModel | None, text: str = "text", cut:
                  pa.array((full[:, :-1] - full[:, 1:]).argmax(axis=1).astype(np.int32)), pa.array(above[:, 0] >= cut)],
                 [*batch.schema.names, "severity", "grade", "toxic"])
 
-    schema = kept.withColumns({"severity": F.lit(0.0), "grade": F.lit(0), "toxic": F.lit(False)}).schema
-    return kept.mapInArrow(run, schema)
+    return kept.mapInArrow(run, extended(kept, "severity double, grade int, toxic boolean"))
 
 
 def _read(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

@@ -33,7 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import quoted
+from .common import extended, quoted
 from .textkit import IdTable, pieces, span_hashes
 from .token_count import SPACE, PieceModel, piece_model, plain_spaces, unit_spans
 
@@ -206,11 +206,8 @@ def sentencepiece_encode(docs: DataFrame, path: str, text: str = "text", with_id
                 columns.append(pa.array(parts, pa.list_(pa.int32())))
             yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*batch.schema.names, *made])
 
-    schema = kept.withColumns({"n_ids": F.lit(0).cast("long"), "ids_crc32": F.lit(0).cast("long"),
-                               "round_trip": F.lit(True)})
-    if with_ids:
-        schema = schema.withColumn("ids", F.array().cast("array<int>"))
-    return kept.mapInArrow(run, schema.schema)
+    ddl = "n_ids long, ids_crc32 long, round_trip boolean" + ", ids array<int>" * with_ids
+    return kept.mapInArrow(run, extended(kept, ddl))
 
 
 def sentencepiece_decode(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:
@@ -223,7 +220,7 @@ def sentencepiece_decode(encoded: DataFrame, path: str, ids: str = "ids") -> Dat
                      for x in batch.column(ids).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, "decoded"])
 
-    return kept.mapInArrow(run, kept.withColumn("decoded", F.lit("").cast("string")).schema)
+    return kept.mapInArrow(run, extended(kept, "decoded string"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

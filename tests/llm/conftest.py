@@ -1,0 +1,29 @@
+"""Fixtures of the corpus tests: one session, and tables written as the query folders are."""
+
+import os
+
+import pyarrow.parquet as pq
+import pytest
+
+
+@pytest.fixture
+def docs_of(spark):
+    """A DataFrame of (doc_id, text) rows with clashing and awkward extra columns."""
+    def make(rows, extra=True):
+        df = spark.createDataFrame(rows, "doc_id long, text string")
+        if extra:
+            df = df.selectExpr("*", "'x' AS hash", "1 AS n", "true AS kept", "'y' AS words", "2.5 AS score",
+                               "'z' AS `a.b`", "7 AS n_words", "8 AS spans", "9 AS severity")
+        return df
+    return make
+
+
+@pytest.fixture
+def folder(tmp_path):
+    """A folder with tables, given as name=pyarrow table."""
+    def make(**tables):
+        for name, table in tables.items():
+            pq.write_table(table, os.path.join(tmp_path, f"{name}.parquet"))
+        return str(tmp_path)
+    return make
+

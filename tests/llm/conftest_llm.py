@@ -1,0 +1,7 @@
+"""Rows that every operator must take: null, empty, blank, long, repeated, and odd characters."""
+
+AWKWARD = [
+    (1, None), (2, ""), (3, "   \n\t "), (4, "one"), (5, "one two three four"), (6, "same text here to see twice"),
+    (6, "same text here to see twice"), (7, "same text here to see twice"), (None, "no id at all"), (None, None),
+    (8, "word " * 30_000), (9, "é漢🙂 ▁ <|endoftext|> </s>"), (10, "a" * 20_000), (11, "line\n" * 500),
+]
