@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,3 +48,17 @@ def settled(column: Column) -> Column:
 def extended(df: DataFrame, ddl: str) -> T.StructType:
     """The schema of ``df`` with more fields."""
     return T.StructType([*df.schema.fields, *T.StructType.fromDDL(ddl).fields])
+
+
+def map_rows(df: DataFrame, column: str, ddl: str,
+             run: Callable[[str], Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]]) -> DataFrame:
+    """``df`` with the columns of ``ddl``, which ``run(name of column)`` appends to its batches.
+
+    Columns of the same names are replaced. The batches carry place names
+    (c0, c1, ...), so any column name of ``df`` will do.
+    """
+    added = T.StructType.fromDDL(ddl).names
+    kept = df.select(*[F.col(quoted(c)) for c in df.columns if c.lower() not in added])
+    names = kept.columns
+    plain = kept.toDF(*[f"c{i}" for i in range(len(names))])
+    return plain.mapInArrow(run(f"c{names.index(column)}"), extended(plain, ddl)).toDF(*names, *added)

@@ -30,9 +30,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from .common import extended, quoted
+from .common import map_rows
 from .textkit import pieces, span_hashes, text_bytes
 
 QUERY = "op7_token_count"
@@ -241,18 +240,17 @@ def count_tokens(path: str, texts: pa.Array) -> np.ndarray:
 
 def token_count(docs: DataFrame, path: str, text: str = "text", limit: int = LIMIT) -> DataFrame:
     """``docs`` with n_bytes, n_tokens (long) and over_limit (boolean)."""
-    rest = [c for c in docs.columns if c.lower() not in ("n_bytes", "n_tokens", "over_limit")]
-    kept = docs.select(*[F.col(quoted(c)) for c in rest])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, text):
-            texts = pc.fill_null(batch.column(text), "")
-            n = count_tokens(path, texts)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pc.binary_length(texts).cast(pa.int64()), pa.array(n), pa.array(n > limit)],
-                [*batch.schema.names, "n_bytes", "n_tokens", "over_limit"])
-
-    return kept.mapInArrow(run, extended(kept, "n_bytes long, n_tokens long, over_limit boolean"))
+    def on(column: str):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in pieces(batches, column):
+                texts = pc.fill_null(batch.column(column), "")
+                n = count_tokens(path, texts)
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns, pc.binary_length(texts).cast(pa.int64()), pa.array(n), pa.array(n > limit)],
+                    [*batch.schema.names, "n_bytes", "n_tokens", "over_limit"])
+        return run
+
+    return map_rows(docs, text, "n_bytes long, n_tokens long, over_limit boolean", on)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import extended, quoted
+from .common import map_rows, quoted
 from .textkit import mix, pieces, span_hashes, text_bytes, word_spans
 
 QUERY = "op10_toxicity"
@@ -187,21 +187,18 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
 
 def score(docs: DataFrame, model: OrdinalModel | None, text: str = "text", cut: float = CUT) -> DataFrame:
     """``docs`` with severity (expected grade, double), grade (most probable, int) and toxic (boolean)."""
-    rest = [c for c in docs.columns if c.lower() not in ("severity", "grade", "toxic")]
-    kept = docs.select(*[F.col(quoted(c)) for c in rest])
-    if model is None:
-        return kept.select("*", F.lit(0.0).alias("severity"), F.lit(0).alias("grade"), F.lit(False).alias("toxic"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, text):
-            above = model.at_least(batch.column(text))
-            full = np.hstack([np.ones((len(above), 1)), above, np.zeros((len(above), 1))])
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(above.sum(axis=1)),
-                 pa.array((full[:, :-1] - full[:, 1:]).argmax(axis=1).astype(np.int32)), pa.array(above[:, 0] >= cut)],
-                [*batch.schema.names, "severity", "grade", "toxic"])
-
-    return kept.mapInArrow(run, extended(kept, "severity double, grade int, toxic boolean"))
+    def on(column: str):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in pieces(batches, column):
+                above = model.at_least(batch.column(column)) if model else np.zeros((batch.num_rows, 1))
+                full = np.hstack([np.ones((len(above), 1)), above, np.zeros((len(above), 1))])
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns, pa.array(above.sum(axis=1)),
+                     pa.array((full[:, :-1] - full[:, 1:]).argmax(axis=1).astype(np.int32)), pa.array(above[:, 0] >= cut)],
+                    [*batch.schema.names, "severity", "grade", "toxic"])
+        return run
+
+    return map_rows(docs, text, "severity double, grade int, toxic boolean", on)
 
 
 def _read(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

@@ -31,9 +31,8 @@ import public_tokenizers
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from .common import extended, quoted
+from .common import map_rows
 from .textkit import IdTable, pieces, span_hashes
 from .token_count import SPACE, PieceModel, piece_model, plain_spaces, unit_spans
 
@@ -190,37 +189,37 @@ def decode(model: PieceModel, ids: Iterable[int]) -> bytes:
 
 def sentencepiece_encode(docs: DataFrame, path: str, text: str = "text", with_ids: bool = True) -> DataFrame:
     """``docs`` with n_ids, ids_crc32 (of the ids as little-endian unsigned 32-bit integers), round_trip and ids."""
-    made = ["n_ids", "ids_crc32", "round_trip"] + ["ids"] * with_ids
-    kept = docs.select(*[F.col(quoted(c)) for c in docs.columns if c.lower() not in made])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, text):
+    def on(column: str):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             model = piece_model(path)
-            ids, at = encode(path, batch.column(text))
-            parts = [ids[a:b] for a, b in zip(at, at[1:])]
-            same = [decode(model, x.tolist()) == t.encode("utf-8", "surrogatepass") for x, t in zip(
-                parts, plain_spaces(pc.fill_null(batch.column(text), "")).to_pylist())]
-            columns = [pa.array(np.diff(at)), pa.array([zlib.crc32(x.astype("<u4").tobytes()) for x in parts], pa.int64()),
-                       pa.array(same, pa.bool_())]
-            if with_ids:
-                columns.append(pa.array(parts, pa.list_(pa.int32())))
-            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*batch.schema.names, *made])
-
-    ddl = "n_ids long, ids_crc32 long, round_trip boolean" + ", ids array<int>" * with_ids
-    return kept.mapInArrow(run, extended(kept, ddl))
+            for batch in pieces(batches, column):
+                ids, at = encode(path, batch.column(column))
+                parts = [ids[a:b] for a, b in zip(at, at[1:])]
+                same = [decode(model, x.tolist()) == t.encode("utf-8", "surrogatepass") for x, t in zip(
+                    parts, plain_spaces(pc.fill_null(batch.column(column), "")).to_pylist())]
+                columns = [pa.array(np.diff(at)), pa.array([zlib.crc32(x.astype("<u4").tobytes()) for x in parts], pa.int64()),
+                           pa.array(same, pa.bool_())]
+                if with_ids:
+                    columns.append(pa.array(parts, pa.list_(pa.int32())))
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns, *columns],
+                    [*batch.schema.names, "n_ids", "ids_crc32", "round_trip", "ids"][:batch.num_columns + len(columns)])
+        return run
+
+    return map_rows(docs, text, "n_ids long, ids_crc32 long, round_trip boolean" + ", ids array<int>" * with_ids, on)
 
 
 def sentencepiece_decode(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:
     """``encoded`` with decoded, the text of its id lists; a null list decodes to null."""
-    kept = encoded.select(*[F.col(quoted(c)) for c in encoded.columns if c.lower() != "decoded"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [None if x is None else decode(piece_model(path), x).decode("utf-8", "replace")
-                     for x in batch.column(ids).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, "decoded"])
-
-    return kept.mapInArrow(run, extended(kept, "decoded string"))
+    def on(column: str):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                texts = [None if x is None else decode(piece_model(path), x).decode("utf-8", "replace")
+                         for x in batch.column(column).to_pylist()]
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, "decoded"])
+        return run
+
+    return map_rows(encoded, ids, "decoded string", on)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -48,7 +48,7 @@ def test_stops_early_only_with_the_whole_answer():
     vectors[::100] *= 8  # a few rows stand out: proof comes before the last segment
     index = t.ImpactIndex(np.arange(500), vectors)
     queries = np.abs(rng.integers(-200, 200, (3, 16))) * np.sign(vectors[100])
-    found, read = index.search(np.array([9000, 9001, 9002]), queries, 3)
+    found, read = index.search(np.array([9000, 9001, 9002]), queries, 1, few=1)
     score = queries @ vectors.T
-    want = [(q, c, score[q, c]) for q in range(3) for c in sorted(range(500), key=lambda c: (-score[q, c], c))[:3]]
+    want = [(q, c, score[q, c]) for q in range(3) for c in sorted(range(500), key=lambda c: (-score[q, c], c))[:1]]
     assert [(q - 9000, c, s) for q, c, s in zip(*found[0])] == want and read < len(index.segments)
