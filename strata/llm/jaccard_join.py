@@ -58,6 +58,7 @@ CHUNK = 2_000_000           # shingles of a chunk
 MOST_SUBSETS = 20           # bound of the size up to which subsets may be enumerated
 BLOCK = 1024                # members of a block of a long list
 LEAST_BITS = 1024           # size of a class's parity bitmap, which grows with the set
+SHORT_BITS = 512            # size of the bitmap that a class carries through the lists
 MAX_BROADCAST = 1_000_000   # ids of documents to read again: broadcast up to so many, else shuffled
 
 
@@ -98,10 +99,10 @@ def _classes(tokens: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
 
 def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of documents (doc, n, cls, bits), of shingles frequent in a chunk (tok, cnt), and of chunk sums."""
-    def told(doc, kind, n, cls, bits, tok, cnt):
+    def told(doc, kind, n, cls, bits, short, tok, cnt):
         return pa.RecordBatch.from_arrays(
-            [doc, pa.array(np.full(len(doc), kind, np.int32)), n, cls, bits, tok, cnt],
-            ["doc", "kind", "n", "cls", "bits", "tok", "cnt"])
+            [doc, pa.array(np.full(len(doc), kind, np.int32)), n, cls, bits, short, tok, cnt],
+            ["doc", "kind", "n", "cls", "bits", "short_bits", "tok", "cnt"])
 
     def counted(parts):
         toks, cnt = np.unique(np.concatenate(parts), return_counts=True)
@@ -109,26 +110,27 @@ def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         light = cnt[cnt < HEAVY_COUNT].astype(np.int64)
         k = int(often.sum())
         none, nones = pa.nulls(k, pa.binary()), pa.nulls(k, doc_type)
-        yield told(nones, 1, pa.nulls(k, pa.int32()), pa.nulls(k, pa.int64()), none,
+        yield told(nones, 1, pa.nulls(k, pa.int32()), pa.nulls(k, pa.int64()), none, none,
                    pa.array(toks[often].view(np.int64)), pa.array(cnt[often].astype(np.int64)))
         yield told(pa.nulls(1, doc_type), 2, pa.nulls(1, pa.int32()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()),
-                   pa.array([int(light.sum())], pa.int64()), pa.array([int((light * light).sum())], pa.int64()))
+                   pa.nulls(1, pa.binary()), pa.array([int(light.sum())], pa.int64()), pa.array([int((light * light).sum())], pa.int64()))
 
     doc_type, kept, size, seen = None, [], 0, set()
     for batch in pieces(batches, "text"):
         doc_type = batch.column("doc").type
         tokens, at = _sets(batch.column("text"))
         n, cls = _classes(tokens, at)
-        bits = []
+        bits, short = [], []
         for i, (a, b) in enumerate(zip(at, at[1:])):
             bits.append(parity_bits(tokens[a:b]))
+            short.append(parity_bits(tokens[a:b], SHORT_BITS))
             if n[i] and int(cls[i]) not in seen:
                 seen.add(int(cls[i]))
                 kept.append(tokens[a:b])
                 size += b - a
         rows = len(n)
         yield told(batch.column("doc"), 0, pa.array(n.astype(np.int32)), pa.array(cls), pa.array(bits, pa.binary()),
-                   pa.nulls(rows, pa.int64()), pa.nulls(rows, pa.int64()))
+                   pa.array(short, pa.binary()), pa.nulls(rows, pa.int64()), pa.nulls(rows, pa.int64()))
         if size >= CHUNK:
             yield from counted(kept)
             kept, size, seen = [], 0, set()
@@ -228,11 +230,14 @@ def _rows(kind, tok, salt, cls, n, p, salts) -> pa.RecordBatch:
 # ------------------------------------------------------------------ candidates
 
 def _cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs across components, of possible sizes, within runs of (tok, low, high); input is sorted by them."""
+    """Pairs across components, of possible sizes and bitmaps, within runs of (tok, low, high); input is sorted by them."""
     names = ("tok", "low", "high", "cls", "comp", "n", "own")
     rest: list[np.ndarray] | None = None
     for batch in batches:
+        if batch.num_rows == 0:
+            continue
         cols = [batch.column(c).to_numpy(zero_copy_only=False) for c in names]
+        cols.append(np.frombuffer(b"".join(batch.column("short_bits").to_pylist()), np.uint64).reshape(batch.num_rows, -1))
         if rest is not None:
             cols = [np.concatenate([a, b]) for a, b in zip(rest, cols)]
         starts = _run_starts(cols)
@@ -250,7 +255,7 @@ def _run_starts(cols: list[np.ndarray]) -> np.ndarray:
 
 
 def _paired(cols: list[np.ndarray], starts: np.ndarray) -> Iterator[pa.RecordBatch]:
-    _, low, high, cls, comp, n, own = cols
+    _, low, high, cls, comp, n, own, bits = cols
     lengths = np.diff(starts)
     for length in np.unique(lengths):
         if length < 2:
@@ -263,15 +268,19 @@ def _paired(cols: list[np.ndarray], starts: np.ndarray) -> Iterator[pa.RecordBat
             b = (runs[s:s + step, None] + j[None, :]).ravel()
             ok = (comp[a] != comp[b]) & (np.minimum(n[a], n[b]).astype(np.int64) * 5 >= np.maximum(n[a], n[b]).astype(np.int64) * 4)
             ok &= (low[a] == high[a]) | (own[a] != own[b])
+            a, b = a[ok], b[ok]
+            apart = np.bitwise_count(bits[a] ^ bits[b]).sum(axis=1, dtype=np.int64)
+            ok = apart * 9 <= n[a].astype(np.int64) + n[b]
             x, y = cls[a[ok]], cls[b[ok]]
             if len(x):
                 pairs = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)]), axis=1)
                 yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
 
 
-def parity_bits(tokens: np.ndarray) -> bytes:
-    """Bitmap of a set: bit k is the parity of its shingles whose leading bits are k; at least a bit per shingle."""
-    size = max(LEAST_BITS, 1 << max(len(tokens) - 1, 0).bit_length())
+def parity_bits(tokens: np.ndarray, size: int = 0) -> bytes:
+    """Bitmap of a set: bit k is the parity of its shingles whose leading bits are k; at least a bit per shingle,
+    or of a given size."""
+    size = size or max(LEAST_BITS, 1 << max(len(tokens) - 1, 0).bit_length())
     place = (tokens >> np.uint64(65 - size.bit_length())).astype(np.int64)
     return np.packbits((np.bincount(place, minlength=size) & 1).astype(bool)).tobytes()
 
@@ -390,15 +399,15 @@ def _stars(lists: DataFrame) -> DataFrame:
         F.least("cls", "best.cls").alias("a"), F.greatest("cls", "best.cls").alias("b")).distinct()
 
 
-def _across(lists: DataFrame, comps: DataFrame) -> DataFrame:
+def _across(lists: DataFrame, comps: DataFrame, classes: DataFrame) -> DataFrame:
     """Second wave: all pairs across components, list by list, long lists by pairs of blocks."""
     rows = written(_with_comp(lists.select("tok", "cls", "n"), comps), "listed-components")
     split = rows.groupBy("tok").agg(F.min("comp").alias("least"), F.max("comp").alias("most"), F.count("*").alias("c")).where(
         "least <> most").select("tok", F.ceil(F.col("c") / BLOCK).cast("int").alias("blocks"))
-    met = rows.join(split, "tok").withColumn("own", F.pmod(F.hash("cls"), F.col("blocks")))
+    met = rows.join(split, "tok").join(classes.select("cls", "short_bits"), "cls").withColumn("own", F.pmod(F.hash("cls"), F.col("blocks")))
     met = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     met = met.select("tok", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
-                     "cls", "comp", "n", "own")
+                     "cls", "comp", "n", "own", "short_bits")
     sorted_ = met.repartition("tok", "low", "high").sortWithinPartitions("tok", "low", "high")
     return sorted_.mapInArrow(_cross, "a long, b long").distinct()
 
@@ -409,10 +418,11 @@ def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     keyed = docs.select(F.col(quoted(doc_id)).alias("doc"), F.col(quoted(text)).alias("text"))
     kind = keyed.schema["doc"].dataType.simpleString()
     told = written(keyed.mapInArrow(
-        _profile, f"doc {kind}, kind int, n int, cls long, bits binary, tok long, cnt long"), "profile")
+        _profile, f"doc {kind}, kind int, n int, cls long, bits binary, short_bits binary, tok long, cnt long"), "profile")
     own = told.where("kind = 0")
     classes = written(own.where("n > 0").groupBy("cls", "n").agg(
-        F.min("doc").alias("first"), F.any_value("bits").alias("bits")), "classes")
+        F.min("doc").alias("first"), F.any_value("bits").alias("bits"),
+        F.any_value("short_bits").alias("short_bits")), "classes")
     sums = told.where("kind = 2").agg(F.sum("tok"), F.sum("cnt")).first()
     heavy = told.where("kind = 1").groupBy("tok").agg(F.sum("cnt").alias("c")).where(F.col("c") >= HEAVY_COUNT)
     heavy = heavy.orderBy(F.desc("c"), "tok").limit(MAX_HEAVY).toArrow()  # at most MAX_HEAVY rows of 16 bytes
@@ -429,7 +439,7 @@ def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
     links = written(verified(_stars(lists), classes, keyed).union(_small_links(rows.where("kind = 1"))), "links")
     comps = components(links)
-    more = verified(_across(lists, comps), classes, keyed)
+    more = verified(_across(lists, comps, classes), classes, keyed)
     raised = more
     for side in ("a", "b"):
         raised = raised.join(comps.select(F.col("node").alias(side), F.col("comp").alias(f"comp_{side}")), side, "left")
