@@ -16,6 +16,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _RN = "__strata_rn"
 
@@ -28,11 +29,13 @@ def order_cols(order_by: Sequence[Column | str]) -> list[Column]:
 def dedup_latest(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column | str]) -> DataFrame:
     """Keep one row per ``keys``: the first under ``order_by``.
 
-    NULL keys form one group (as ``dropDuplicates`` does). The caller must
-    make ``order_by`` total over the columns that can differ, or the survivor
-    among exact ties is any of them (they are then equal on ``order_by``).
+    NULL keys form one group (as ``dropDuplicates`` does). All other columns
+    follow ``order_by`` as tie-breakers, so rows that tie are equal and the
+    survivor does not depend on the input order.
     """
-    w = Window.partitionBy(*keys).orderBy(*order_cols(order_by))
+    named = {c for c in order_by if isinstance(c, str)} | set(keys)
+    rest = [f.name for f in df.schema.fields if f.name not in named and not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    w = Window.partitionBy(*keys).orderBy(*order_cols([*order_by, *sorted(rest)]))
     return df.withColumn(_RN, F.row_number().over(w)).filter(F.col(_RN) == 1).drop(_RN)
 
 

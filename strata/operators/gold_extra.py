@@ -122,6 +122,9 @@ BAND_COOL_BELOW = 45.0
 BAND_MILD_BELOW = 55.0
 
 
+NO_WEATHER = "unknown"  # orders whose hour has no reading
+
+
 def weather_band(col: str) -> F.Column:
     return band(col, [(BAND_COOL_BELOW, "cool"), (BAND_MILD_BELOW, "mild")], "warm")
 
@@ -139,7 +142,8 @@ def weather_impact(orders: DataFrame, values: DataFrame, weather: DataFrame) ->
     """Per (year, month, band): orders and revenue under each weather band.
 
     J13: orders meet the weather of their calendar hour (month, day, hour),
-    because the fixture's order and weather years do not overlap. The
+    because the fixture's order and weather years do not overlap; orders of
+    an hour without readings stay, as "unknown". The
     calendar profile has a fixed upper bound of 8,784 rows, so it is
     broadcast: the order side is never shuffled for this join, which also
     keeps it safe when orders pile up on a few hours (e.g. all at midnight).
@@ -150,7 +154,8 @@ def weather_impact(orders: DataFrame, values: DataFrame, weather: DataFrame) ->
                  F.month(ts).alias("__m"), F.dayofmonth(ts).alias("__d"), F.hour(ts).alias("__h"))
     w = calendar_hour_profile(weather).select("__m", "__d", "__h",
                                               weather_band("temperature").alias("condition_band"))
-    j = o.join(F.broadcast(w), ["__m", "__d", "__h"])
+    j = o.join(F.broadcast(w), ["__m", "__d", "__h"], "left") \
+        .withColumn("condition_band", F.coalesce("condition_band", F.lit(NO_WEATHER)))
     return j.groupBy("year", "month", "condition_band").agg(
         F.count("order_id").alias("n_orders"), money_sum("final_order_value").alias("revenue"))
 

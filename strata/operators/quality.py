@@ -246,8 +246,8 @@ def report(results: DataFrame) -> DataFrame:
 
 
 def summary(results: DataFrame) -> DataFrame:
-    """Rule counts per table and status (the DQ dashboard view)."""
-    return results.groupBy("table_name", "status").agg(F.count(F.lit(1)).alias("n_rules"))
+    """Rule counts per table, expectation and status (the DQ dashboard view)."""
+    return results.groupBy("table_name", "expectation", "status").agg(F.count(F.lit(1)).alias("n_rules"))
 
 
 def null_profile(df: DataFrame, table: str, cols: Sequence[str] | None = None) -> DataFrame:

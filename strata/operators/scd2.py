@@ -15,14 +15,16 @@ Modes:
 
 Incoming NULL keys never match a version; they are left out of the merge
 and returned by ``scd2_rejects``. Duplicate incoming keys are reduced to one
-row deterministically first. All work is joins on the key (shuffled on the
-key, or broadcast when a side measures under the threshold).
+row deterministically first. The merge is one full outer join on the key. A
+delivery dated before the current version of one of its keys is an error.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -58,13 +60,6 @@ def scd2_rejects(updates: DataFrame, key: str) -> DataFrame:
     return updates.filter(F.col(key).isNull())
 
 
-def _same(cols: Sequence[str], left: str, right: str) -> Column:
-    cond = F.lit(True)
-    for c in cols:
-        cond = cond & F.col(f"{left}{c}").eqNullSafe(F.col(f"{right}{c}"))
-    return cond
-
-
 def scd2_merge(dim: DataFrame, updates: DataFrame, key: str, as_of: date | str | Column,
                tracked: Sequence[str] | None = None, mode: str = "on_change") -> DataFrame:
     if mode not in ("always", "on_change"):
@@ -81,31 +76,31 @@ def scd2_merge(dim: DataFrame, updates: DataFrame, key: str, as_of: date | str |
     history = dim.filter(~current_flag)
     cur = dim.filter(current_flag)
 
-    # current version ⟕ incoming row of its key
-    u_side = upd.select(F.col(key), F.lit(True).alias("__matched"),
-                        *[F.col(c).alias(f"u__{c}") for c in tracked])
-    j = cur.join(u_side, key, "left")
-    matched = F.col("__matched").isNotNull()
-    if mode == "always":
-        changed = matched
-        replace = F.lit(False)
-    else:
-        changed = matched & ~_same(tracked, "", "u__")
-        replace = changed & (F.col("effective_date") == d)
-    kept = j.filter(~changed).select(*dim.columns)
-    closed = j.filter(changed & ~replace).withColumns({"end_date": d, "is_current": F.lit(False)}) \
-        .select(*dim.columns)
-
-    # new versions: every incoming row, except (on_change) keys whose current
-    # version already holds the same values
-    if mode == "always":
-        inserts = upd
-    else:
-        c_side = cur.select(F.col(key), *[F.col(c).alias(f"c__{c}") for c in tracked])
-        same_keys = upd.join(c_side, key).filter(_same(tracked, "", "c__")).select(key)
-        inserts = upd.join(same_keys, key, "left_anti")
-    new_versions = scd2_initial(inserts, d).select(*dim.columns)
-    return history.unionByName(kept).unionByName(closed).unionByName(new_versions)
+    # one shuffle per side and one join on the key (a key has one current
+    # version, or a few to repair); each key leaves with its next versions
+    old = cur.groupBy(F.col(key).alias("o__key")).agg(F.collect_list(F.struct(*dim.columns)).alias("old"))
+    new = scd2_initial(upd, d).select(F.col(key).alias("n__key"), F.struct(*dim.columns).alias("new"))
+    j = old.join(new, F.col("o__key") == F.col("n__key"), "full_outer")
+    # history only grows at its end: an older delivery must not close a newer version
+    newer = F.exists("old", lambda o: o["effective_date"] > d)
+    j = j.filter(F.assert_true(
+        F.coalesce(~(newer & F.col("new").isNotNull()), F.lit(True)),
+        "scd2_merge: as_of lies before the current version of a delivered key").isNull())
+
+    def same(o: Column) -> Column:
+        if mode == "always":
+            return F.lit(False)
+        return reduce(and_, [o[c].eqNullSafe(F.col("new")[c]) for c in tracked], F.lit(True))
+
+    def closed(o: Column) -> Column:
+        return F.when(same(o), o).otherwise(o.withField("end_date", d).withField("is_current", F.lit(False)))
+
+    # on_change: a version that began on the same day is replaced, not closed
+    stay = F.col("old") if mode == "always" else F.filter("old", lambda o: same(o) | (o["effective_date"] != d))
+    added = F.when(F.exists("old", same), F.array().cast(j.schema["old"].dataType)).otherwise(F.array("new"))
+    versions = (F.when(F.col("old").isNull(), F.array("new")).when(F.col("new").isNull(), F.col("old"))
+                .otherwise(F.concat(F.transform(stay, closed), added)))
+    return history.unionByName(j.select(F.inline(versions)).select(*dim.columns))
 
 
 def point_in_time_join(facts: DataFrame, dim: DataFrame, key: str, fact_date: Column | str,

@@ -33,6 +33,11 @@ REVIEW_TITLE_FILL = ""
 REVIEW_MESSAGE_FILL = "sin_comentario"
 
 
+def latest_first(df: DataFrame) -> list:
+    """Order by the delivery's change time, where it has one."""
+    return [F.col("updated_at").desc_nulls_last()] if "updated_at" in df.columns else []
+
+
 def add_year_month(df: DataFrame, ts: str) -> DataFrame:
     return df.withColumns(year_month(ts))
 
@@ -53,15 +58,15 @@ def clean_payments(payments: DataFrame) -> DataFrame:
 
 
 def clean_products(products: DataFrame) -> DataFrame:
-    return dedup_latest(products, ["product_id"], ["product_name", "product_category_name"])
+    return dedup_latest(products, ["product_id"], latest_first(products) + ["product_name", "product_category_name"])
 
 
 def clean_sellers(sellers: DataFrame) -> DataFrame:
-    return dedup_latest(sellers, ["seller_id"], ["seller_name", "seller_state"])
+    return dedup_latest(sellers, ["seller_id"], latest_first(sellers) + ["seller_name", "seller_state"])
 
 
 def clean_customers(customers: DataFrame) -> DataFrame:
-    return dedup_latest(customers, ["customer_id"], ["customer_unique_id", "customer_state"])
+    return dedup_latest(customers, ["customer_id"], latest_first(customers) + ["customer_unique_id", "customer_state"])
 
 
 def clean_geolocation(geo: DataFrame) -> DataFrame:

@@ -90,10 +90,9 @@ class Layers:
 
     @cached_property
     def stream_orders(self) -> DataFrame:
-        """The stream lane gold reads, as FIXTURES.md defines it: the typed
-        events with the speed filter. (The payload path — serialise, validate,
-        parse — is exercised by the event_* / stream_* queries and the pipeline.)"""
-        return speed.speed_filter(self.raw_events)
+        """The stream lane gold reads: the validated payloads with the speed
+        filter, as the pipeline's speed layer leaves them."""
+        return speed.speed_filter(self.valid_events)
 
     # gold inputs
     @cached_property

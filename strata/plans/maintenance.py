@@ -4,9 +4,9 @@ readiness, inventory, freshness and retention.
 Rewriting a table in place (read a path, overwrite the same path) deletes
 the data it is reading. Every rewrite here writes a new folder first,
 checks the row count, then swaps folders; a failed check leaves the old
-table untouched. On file systems with atomic rename (HDFS, local) the swap
-is atomic per folder; on object stores readers should go through a catalog
-location switch instead, which the same two-step shape supports.
+table untouched. A swap is two renames; if a run ends between them, ``recover``
+restores the old version. On object stores readers should go through a
+catalog location switch instead.
 """
 
 from __future__ import annotations
@@ -38,6 +38,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
 def swap(spark: SparkSession, path: str, staging: str) -> None:
     """Move ``staging`` into ``path``; the previous content is removed last."""
     fs, p = _fs(spark, path)
@@ -127,14 +132,82 @@ def incremental_slice(df: DataFrame, col: str, low, high) -> DataFrame:
     return df.filter((c > F.lit(str(low)).cast(dtype)) & (c <= F.lit(str(high)).cast(dtype)))
 
 
+def replace_rows(spark: SparkSession, new: DataFrame, path: str, partition_by: Sequence[str],
+                 stale: DataFrame | None = None, keys: Sequence[str] = (), outside: Column | None = None) -> None:
+    """Replace some rows of a table by ``new``; every other row stays.
+
+    Replaced are the rows whose ``keys`` are in ``stale`` and those for which
+    ``outside`` does not hold. Only partitions that lose or gain rows are
+    rewritten: their remaining rows are joined to the new ones in a staging
+    folder, which then overwrites exactly these partitions. A partition left
+    without rows is removed. So a slice that covers part of a partition, or a
+    row that moves to another one, neither loses nor doubles anything.
+    """
+    parts = list(partition_by)
+    staging = path.rstrip("/") + f".__replace_{uuid.uuid4().hex[:8]}"
+    if not path_exists(spark, path):
+        write_table(new, path, parts)
+        return
+    old = spark.read.parquet(path).select(*new.columns)
+    stays = F.lit(True) if outside is None else F.coalesce(outside, F.lit(True))
+    # one row per touched partition: bounded by the number of partitions
+    touched = new.select(*parts).union(old.filter(~stays).select(*parts))
+    kept = old.filter(stays)
+    if stale is not None:
+        stale = stale.select(*keys).distinct()
+        touched = touched.union(old.join(stale, list(keys), "left_semi").select(*parts))
+        kept = kept.join(stale, list(keys), "left_anti")
+    write_table(touched.distinct(), f"{staging}/touched")
+    touched = spark.read.schema(new.select(*parts).schema).parquet(f"{staging}/touched")
+    kept = kept.select(*new.columns)
+    kept = kept.join(touched, _null_safe(kept, touched, parts), "left_semi")
+    write_table(new.unionByName(kept), f"{staging}/rows", parts)
+    rows = spark.read.schema(new.schema).parquet(f"{staging}/rows")
+    write_table(rows, path, parts, mode="overwrite", dynamic=True)
+    left = rows.select(*parts).distinct()
+    delete_partitions(spark, path, touched.join(left, _null_safe(touched, left, parts), "left_anti"), parts)
+    remove_path(spark, staging)
+
+
+def _null_safe(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> Column:
+    cond = F.lit(True)
+    for c in columns:
+        cond = cond & left[c].eqNullSafe(right[c])
+    return cond
+
+
 def backfill(df: DataFrame, out_path: str, ts_col: str, start, end, partition_by: Sequence[str],
-             transform=None) -> None:
-    """Re-run a transform for a date range and replace only the partitions it
-    produces (dynamic partition overwrite); other partitions keep their files (M7)."""
+             transform=None, keys: Sequence[str] = ()) -> None:
+    """Re-run a transform for a date range and replace the rows of that range (M7).
+
+    Rows of the range give way to the new rows, with ``keys`` also older copies
+    of the new rows elsewhere; all others keep their place, also in
+    partitions that the range covers in part.
+    """
     part = date_slice(df, ts_col, start, end)
+    inside = in_date_range(ts_col, start, end, df.schema[ts_col].dataType)
     if transform is not None:
         part = transform(part)
-    write_table(part, out_path, partition_by, mode="overwrite", dynamic=True)
+    replace_rows(df.sparkSession, part, out_path, partition_by, part if keys else None, keys, ~inside)
+
+
+def recover(spark: SparkSession, path: str) -> bool:
+    """Put a table back that an interrupted ``swap`` left moved aside; True if it did.
+
+    Between the two renames of a swap the folder is missing. A leftover of that
+    moment is the last published version; a missing folder alone is no sign
+    of a first load.
+    """
+    fs, p = _fs(spark, path)
+    if fs.exists(p):
+        return False
+    found = fs.globStatus(_fs(spark, path.rstrip("/") + ".__old_*")[1])
+    if not found:
+        return False
+    latest = max(found, key=lambda st: st.getModificationTime())
+    if not fs.rename(latest.getPath(), p):
+        raise PublishError(f"could not restore {path}")
+    return True
 
 
 def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
@@ -220,7 +293,7 @@ def delete_partitions(spark: SparkSession, table_path: str, partitions: DataFram
     jvm = spark.sparkContext._jvm
     removed = []
     for row in partitions.select(*partition_cols).distinct().collect():
-        rel = "/".join(f"{c}={row[c]}" for c in partition_cols)
+        rel = "/".join(f"{c}={'__HIVE_DEFAULT_PARTITION__' if row[c] is None else row[c]}" for c in partition_cols)
         p = jvm.org.apache.hadoop.fs.Path(f"{table_path.rstrip('/')}/{rel}")
         if fs.exists(p) and fs.delete(p, True):
             removed.append(rel)

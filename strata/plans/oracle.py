@@ -137,9 +137,9 @@ VIEWS: dict[str, tuple[str, tuple[str, ...]]] = {
         FROM payloads p JOIN raw_events e ON p.event_id = e.event_id
         WHERE CASE WHEN json_valid(p.payload) THEN json_type(p.payload) = 'OBJECT'
                    AND list_has_all(json_keys(p.payload), [{_REQ}]) ELSE FALSE END""", ("payloads", "raw_events")),
-    # the stream lane gold reads (FIXTURES.md §B): typed events, speed filter
+    # the stream lane gold reads (FIXTURES.md §B): valid payloads, speed filter
     "stream_orders": ("""
-        SELECT * FROM raw_events WHERE order_value > 0 AND order_status IS NOT NULL""", ("raw_events",)),
+        SELECT * FROM valid_events WHERE order_value > 0 AND order_status IS NOT NULL""", ("valid_events",)),
     "unified": (f"""
         SELECT order_id, customer_id, order_status, order_purchase_timestamp, year, month, order_value, origin
         FROM (SELECT order_id, customer_id, order_status, order_purchase_timestamp, year, month,

@@ -98,22 +98,19 @@ def raw_to_silver(spark: SparkSession, cfg: PipelineConfig) -> None:
                     [Q.NotNull("customer_id", 0.01, Q.WARN), Q.Unique("customer_id", Q.WARN)]))
     _log_results(cfg, soft)
 
-    # facts: dynamic partition overwrite, so a run replaces exactly the
-    # (year, month) partitions it produces. With ``date_range`` (backfill) only
-    # orders of that range, and their items, are re-derived; the slice is
-    # taken after dedup, so the survivor of a key does not depend on the range.
+    # facts: dynamic partition overwrite. With ``date_range`` (backfill) only
+    # orders of that range, and their items, are re-derived and replaced row by
+    # row; the slice is taken after dedup, so the survivor of a key does not
+    # depend on the range.
     orders = S.clean_orders(orders_raw)
-    if cfg.date_range:
-        orders = MT.date_slice(orders, "order_purchase_timestamp", *cfg.date_range)
-    write_table(orders, cfg.p("silver", "fact_orders"), ["year", "month"], dynamic=True, cluster_by=["order_id"])
-    o = spark.read.parquet(cfg.p("silver", "fact_orders"))
     items = S.clean_order_items(C.enforce_schema(D.raw_order_items(spark, cfg.sf_dir), C.ORDER_ITEMS))
+    orders_path, items_path = cfg.p("silver", "fact_orders"), cfg.p("silver", "fact_order_items")
     if cfg.date_range:
-        o = MT.date_slice(o, "order_purchase_timestamp", *cfg.date_range)
-        items = items.join(o.select("order_id"), "order_id", "left_semi")
-    items = S.items_with_order_partition(items, o)
-    write_table(items, cfg.p("silver", "fact_order_items"), ["year", "month"], dynamic=True,
-                cluster_by=["order_id"])
+        _backfill_facts(spark, cfg, orders, items)
+    else:
+        write_table(orders, orders_path, ["year", "month"], dynamic=True, cluster_by=["order_id"])
+        items = S.items_with_order_partition(items, spark.read.parquet(orders_path))
+        write_table(items, items_path, ["year", "month"], dynamic=True, cluster_by=["order_id"])
     # payments are laid out by payment_type, which a date range does not align
     # with, so they are always rewritten whole
     write_table(S.clean_payments(D.raw_payments(spark, cfg.sf_dir)), cfg.p("silver", "fact_payments"),
@@ -132,8 +129,12 @@ def raw_to_silver(spark: SparkSession, cfg: PipelineConfig) -> None:
     for name, (df, parts) in dims.items():
         MT.publish_swap(spark, df, cfg.p("silver", name), parts)
 
-    # SCD2 customers: first load, or merge into the published dimension
+    # SCD2 customers: first load, or merge into the published dimension; a
+    # backfill of facts leaves the dimension's history alone
     dim_path = cfg.p("silver", "dim_customers")
+    MT.recover(spark, dim_path)
+    if cfg.date_range and MT.path_exists(spark, dim_path):
+        return
     delivery = C.enforce_schema(D.customer_updates(spark, cfg.sf_dir), C.CUSTOMERS) if cfg.customer_updates \
         else customers_raw
     delivery = S.clean_customers(delivery)
@@ -150,6 +151,24 @@ def raw_to_silver(spark: SparkSession, cfg: PipelineConfig) -> None:
         register_catalog(spark, silver, f"{cfg.catalog_database}_silver")
 
 
+def _backfill_facts(spark: SparkSession, cfg: PipelineConfig, orders: DataFrame, items: DataFrame) -> None:
+    """Replace the orders of the date range, older copies of them, and their items; keep all other rows."""
+    orders_path, items_path = cfg.p("silver", "fact_orders"), cfg.p("silver", "fact_order_items")
+    part = MT.date_slice(orders, "order_purchase_timestamp", *cfg.date_range)
+    stale = part.select("order_id")
+    if MT.path_exists(spark, orders_path):
+        stale = stale.union(MT.date_slice(spark.read.parquet(orders_path), "order_purchase_timestamp",
+                                          *cfg.date_range).select("order_id"))
+    stale_path = cfg.p("ops", f".__stale_{uuid.uuid4().hex[:8]}")
+    write_table(stale.distinct(), stale_path)  # the table it is read from is about to change
+    stale = spark.read.parquet(stale_path)
+    MT.replace_rows(spark, part, orders_path, ["year", "month"], stale, ["order_id"])
+    new_orders = MT.date_slice(spark.read.parquet(orders_path), "order_purchase_timestamp", *cfg.date_range)
+    new_items = S.items_with_order_partition(items.join(new_orders.select("order_id"), "order_id", "left_semi"), new_orders)
+    MT.replace_rows(spark, new_items, items_path, ["year", "month"], stale, ["order_id"])
+    MT.remove_path(spark, stale_path)
+
+
 def dq_audit(spark: SparkSession, cfg: PipelineConfig) -> None:
     """Hard gate over the published silver tables (reads files, not lineage)."""
     sv = lambda t: spark.read.parquet(cfg.p("silver", t))

@@ -96,9 +96,9 @@ def q_product_profitability(spark, sf):
                   CASE WHEN temperature < {GX.BAND_COOL_BELOW} THEN 'cool'
                        WHEN temperature < {GX.BAND_MILD_BELOW} THEN 'mild' ELSE 'warm' END AS condition_band
            FROM w)
-    SELECT v.year, v.month, wb.condition_band, count(v.order_id) AS n_orders,
+    SELECT v.year, v.month, COALESCE(wb.condition_band, '{GX.NO_WEATHER}') AS condition_band, count(v.order_id) AS n_orders,
            CAST(SUM(v.final_order_value) AS DOUBLE) AS revenue
-    FROM valued v JOIN wb ON month(v.order_purchase_timestamp) = wb.m AND day(v.order_purchase_timestamp) = wb.d
+    FROM valued v LEFT JOIN wb ON month(v.order_purchase_timestamp) = wb.m AND day(v.order_purchase_timestamp) = wb.d
                          AND hour(v.order_purchase_timestamp) = wb.h
     GROUP BY 1, 2, 3""", "valued"))
 def q_weather_impact(spark, sf):

@@ -76,11 +76,27 @@ def q_compaction_counts(spark, sf):
     Runs eagerly (it is a maintenance job): the table lives under the shared
     checkpoint folder, in a fresh sub-folder per call."""
     path = scratch_path(spark, "compaction", uuid.uuid4().hex)
-    write_table(Layers(spark, sf).orders, path, ["year"], max_records_per_file=100)
+    write_table(Layers(spark, sf).orders.repartition(16), path, ["year"])  # up to 16 files per partition
     MT.compact(spark, path, ["year"], cluster_by=["order_id"])
     return spark.read.parquet(path).groupBy("year").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+@query("backfill_partial_month", O.sql("""
+    SELECT year, month, count(*) AS n_orders, count(DISTINCT order_id) AS n_distinct FROM s_orders
+    GROUP BY year, month""", "s_orders"))
+def q_backfill_partial_month(spark, sf):
+    """Write silver orders, backfill six days in the middle of a month, count per month: nothing lost or doubled.
+
+    Runs eagerly, as a backfill does, on a table under the shared checkpoint folder."""
+    path = scratch_path(spark, "backfill", uuid.uuid4().hex)
+    orders = Layers(spark, sf).orders
+    write_table(orders, path, ["year", "month"])
+    MT.backfill(orders, path, "order_purchase_timestamp", "1997-03-10", "1997-03-15", ["year", "month"],
+                keys=["order_id"])
+    return spark.read.schema(orders.schema).parquet(path).groupBy("year", "month").agg(
+        F.count(F.lit(1)).alias("n_orders"), F.count_distinct("order_id").alias("n_distinct"))
+
+
 def _table_paths(sf):
     return {t: f"{sf.rstrip('/')}/{t}.parquet" for t in TABLES}
 
@@ -140,7 +156,7 @@ def q_view_region(spark, sf):
     FROM s_items i JOIN s_products p ON i.product_id = p.product_id
     JOIN unified o ON i.order_id = o.order_id
     LEFT JOIN translation t ON p.product_category_name = t.product_category_name
-    GROUP BY p.product_category_name, t.product_category_name_english, o.year, o.month""",
+    GROUP BY 1, o.year, o.month""",
                                        "s_items", "s_products", "unified", "translation"))
 def q_view_category(spark, sf):
     _serving(spark, sf)

@@ -147,9 +147,9 @@ def q_dq_referential(spark, sf):
 
 
 @query("dq_summary", O.sql(
-    "SELECT table_name, status, count(*) AS n_rules FROM ("
+    "SELECT table_name, expectation, status, count(*) AS n_rules FROM ("
     + "\nUNION ALL\n".join(_sql_not_null() + _sql_unique() + _sql_between() + _sql_exists())
-    + ") r GROUP BY table_name, status", *_ALL_VIEWS))
+    + ") r GROUP BY table_name, expectation, status", *_ALL_VIEWS))
 def q_dq_summary(spark, sf):
     return Q.summary(_results(spark, sf, ["not_null", "unique", "between", "exists"]))
 

@@ -16,14 +16,16 @@ VIEW_SQL = {
     "v_sales_by_region": ("gold_sales_by_region", """
         SELECT customer_state, year, month, total_orders FROM gold_sales_by_region"""),
     "v_sales_by_category": ("gold_sales_by_category", """
-        SELECT product_category_name_english, year, month, total_revenue, total_items_sold
-        FROM gold_sales_by_category"""),
+        SELECT product_category_name_english, year, month, sum(total_revenue) AS total_revenue,
+               sum(total_items_sold) AS total_items_sold
+        FROM gold_sales_by_category GROUP BY product_category_name_english, year, month"""),
     "v_payment_metrics": ("gold_sales_by_payment", """
         SELECT payment_type, year, month, total_revenue, total_transactions FROM gold_sales_by_payment"""),
     "v_pipeline_latency": ("pipeline_file_freshness", """
         SELECT table_name, n_files, mean_age_seconds, max_age_seconds FROM pipeline_file_freshness"""),
     "v_dq_audit_summary": ("dq_results_log", """
-        SELECT table_name, status, count(*) AS n_rules FROM dq_results_log GROUP BY table_name, status"""),
+        SELECT table_name, expectation, status, count(*) AS n_rules
+        FROM dq_results_log GROUP BY table_name, expectation, status"""),
 }
 
 
@@ -45,12 +47,14 @@ CATALOG_VIEWS = {
     "v_sales_by_region": ("gold_sales_by_region", """
         SELECT customer_state, year, month, total_orders FROM {db}.gold_sales_by_region"""),
     "v_sales_by_category": ("gold_sales_by_category_time", """
-        SELECT product_category_name_english, year, month, total_revenue, total_items_sold
-        FROM {db}.gold_sales_by_category_time"""),
+        SELECT product_category_name_english, year, month, sum(total_revenue) AS total_revenue,
+               sum(total_items_sold) AS total_items_sold
+        FROM {db}.gold_sales_by_category_time GROUP BY product_category_name_english, year, month"""),
     "v_payment_metrics": ("gold_sales_by_payment", """
         SELECT payment_type, year, month, total_revenue, total_transactions FROM {db}.gold_sales_by_payment"""),
     "v_dq_audit_summary": ("dq_results", """
-        SELECT table_name, status, count(*) AS n_rules FROM {db}.dq_results GROUP BY table_name, status"""),
+        SELECT table_name, expectation, status, count(*) AS n_rules
+        FROM {db}.dq_results GROUP BY table_name, expectation, status"""),
 }
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import SparkContext
 from pyspark.sql import SparkSession
 
 # Defaults for local runs. AQE stays on: it coalesces shuffle partitions,
@@ -29,8 +30,22 @@ LOCAL_DEFAULTS = {
 }
 
 
-def get_session(master: str = "local[8]", app: str = "strata", **conf: str) -> SparkSession:
-    builder = SparkSession.builder.master(master).appName(app)
+def get_session(master: str | None = None, app: str = "strata", **conf: str) -> SparkSession:
+    """The running session as it is, the launcher's session as it is, or a new local one.
+
+    A session that exists already, or that spark-submit is about to make, gets
+    none of these settings: master, partitions, time zone and memory are the
+    launcher's choice. Only a plain local start uses ``LOCAL_DEFAULTS``,
+    ``conf`` and ``master`` (default ``local[8]``).
+    """
+    running = SparkSession.getActiveSession()
+    if running is None and SparkContext._active_spark_context is not None:
+        running = SparkSession.builder.getOrCreate()
+    if running is None and "PYSPARK_GATEWAY_PORT" in os.environ:  # started by spark-submit
+        running = SparkSession.builder.appName(app).getOrCreate()
+    if running is not None:
+        return running
+    builder = SparkSession.builder.master(master or "local[8]").appName(app)
     for key, value in {**LOCAL_DEFAULTS, **conf}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()

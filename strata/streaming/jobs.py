@@ -69,11 +69,14 @@ def _start(df: DataFrame, path: str, checkpoint: str, trigger: dict | None, part
     return w.trigger(**(trigger or {"availableNow": True})).start()
 
 
-RAW_SCHEMA = T.StructType(C.EVENTS.fields + [T.StructField("is_valid", T.BooleanType())])
+RAW_SCHEMA = T.StructType(C.EVENTS.fields + [T.StructField("is_valid", T.BooleanType()),
+                                             T.StructField("arrived_at", T.TimestampType())])
+# One event: an order's status change at a time. A repeat of all three is a duplicate delivery.
+EVENT_KEY = ["order_id", "order_status", "event_timestamp"]
 
 
 def ingest_job(payloads: DataFrame, raw_path: str, checkpoint: str, trigger: dict | None = None,
-               files_per_hour: int = 2, schema: T.StructType = C.EVENTS) -> StreamingQuery:
+               files_per_hour: int | None = None, schema: T.StructType = C.EVENTS) -> StreamingQuery:
     """One read of the source, one exactly-once file sink.
 
     Every payload lands in the raw table, partitioned by ``is_valid`` and
@@ -84,7 +87,11 @@ def ingest_job(payloads: DataFrame, raw_path: str, checkpoint: str, trigger: dic
     Each micro-batch is clustered by hour before the write, so a batch adds
     about ``files_per_hour`` files per hour folder instead of one per task;
     the salt (hash of the payload) keeps a hot hour spread over that many tasks.
+    By default that is a quarter of the session's shuffle partitions (at least
+    2): it grows with the cluster, as a batch may hold one hour only.
     """
+    if files_per_hour is None:
+        files_per_hour = max(2, int(payloads.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 4)
     required = [f.name for f in schema.fields]
     text = F.col("value").cast("string")
     flagged = payloads.select(text.alias("payload")).withColumn("is_valid", speed.has_required_keys("payload",
@@ -95,6 +102,8 @@ def ingest_job(payloads: DataFrame, raw_path: str, checkpoint: str, trigger: dic
                            F.when(~F.col("is_valid"), F.col("payload")).alias("payload"),
                            F.when(~F.col("is_valid"), F.lit(speed.REJECT_REASON)).alias("reason"))
     salt = F.pmod(F.hash("order_id", "payload"), F.lit(files_per_hour))
+    # arrival is stamped once, here: later drains of the raw table must not shift it
+    events = events.withColumn("arrived_at", F.current_timestamp())
     raw = speed.hour_partition_cols(events).repartition(F.col("is_valid"), *[F.col(c) for c in RAW_PARTITIONS],
                                                         salt)
     return _start(raw, raw_path, checkpoint, trigger, ["is_valid", *RAW_PARTITIONS])
@@ -117,10 +126,11 @@ def process_job(events: DataFrame, customers: DataFrame, processed_path: str, ch
                 watermark: str = WATERMARK, trigger: dict | None = None,
                 customers_unique: bool = False) -> StreamingQuery:
     """Speed layer: filter, dedup within the watermark, enrich, append."""
-    ev = events.select(*[f.name for f in C.EVENTS.fields]).withWatermark("event_timestamp", watermark)
-    ev = speed.dedup_events(speed.speed_filter(ev), ["order_id"])
+    arrival = ["arrived_at"] if "arrived_at" in events.columns else []
+    ev = events.select(*[f.name for f in C.EVENTS.fields], *arrival).withWatermark("event_timestamp", watermark)
+    ev = speed.dedup_events(speed.speed_filter(ev), EVENT_KEY)
     out = speed.with_lateness(speed.enrich_events(ev, customers, static_unique=customers_unique),
-                              watermark=watermark)
+                              F.col("arrived_at") if arrival else None, watermark)
     return _start(out, processed_path, checkpoint, trigger)
 
 
@@ -173,8 +183,9 @@ def demand_alerts_job(events: DataFrame, counts_path: str, alerts_path: str, che
                 (F.col("window_date") >= F.lit(lo.date())) & (F.col("window_start") >= F.lit(lo)))
             scored = demand_anomalies(recent.select("window_start", "order_status", "n_events"),
                                       k=lookback_hours, z=z)
-            out = scored.join(batch.select("window_start", "order_status"), ["window_start", "order_status"],
-                              "left_semi")
+            new = batch.select(F.col("window_start").alias("new_start"), F.col("order_status").alias("new_status"))
+            out = scored.join(new, (F.col("window_start") == F.col("new_start"))
+                              & F.col("order_status").eqNullSafe(F.col("new_status")), "left_semi")
             out.withColumns(tag).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
                 .partitionBy("window_date", "batch_id").parquet(alerts_path)
         finally:
