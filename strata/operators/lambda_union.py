@@ -80,6 +80,11 @@ def order_values(payments: DataFrame) -> DataFrame:
 
 
 def valued_orders(unified: DataFrame, values: DataFrame) -> DataFrame:
-    """Unified orders ⟕ payment sums, with ``final_order_value``."""
+    """Unified orders ⟕ payment sums, with ``final_order_value``.
+
+    Orders that carry the value already (the published lambda table) are taken
+    as they are: payments are summed and joined once per run, not per table."""
+    if "final_order_value" in unified.columns:
+        return unified
     v = values.select("order_id", F.col("order_value").alias("batch_order_value"))
     return unified.join(v, "order_id", "left").withColumn("final_order_value", final_order_value())

@@ -46,6 +46,15 @@ from .writers import write_table
 
 STAGES = ["raw_to_silver", "dq_audit", "speed_layer", "silver_to_gold", "maintenance"]
 
+# Layout of the silver tables.
+SILVER_PARTITIONS = {
+    "fact_orders": ["year", "month"], "fact_order_items": ["year", "month"], "fact_payments": ["payment_type"],
+    "fact_order_reviews": ["review_score"], "dim_customers": ["customer_state"], "dim_sellers": ["seller_state"],
+    "dim_geolocation": ["geolocation_state"],
+}
+CLUSTERED = {"fact_orders": ["order_id"], "fact_order_items": ["order_id"], "fact_payments": ["order_id"],
+             "dim_customers": ["customer_id"]}
+
 HOURLY_SCHEMA = T.StructType([T.StructField("window_start", T.TimestampType()),
                               T.StructField("window_end", T.TimestampType()),
                               T.StructField("order_status", T.StringType()),
@@ -220,11 +229,11 @@ def silver_to_gold(spark: SparkSession, cfg: PipelineConfig) -> None:
     processed_schema = T.StructType(C.EVENTS.fields + [T.StructField("customer_state", T.StringType()),
                                                         T.StructField("customer_city", T.StringType())])
     stream = read_optional(spark, cfg.p("stream", "processed"), processed_schema)
-    unified = LU.unify_orders(sv("fact_orders"), stream)
-    # one materialisation: every gold table sees the same survivors
+    values = LU.order_values(payments)
+    unified = LU.valued_orders(LU.unify_orders(sv("fact_orders"), stream), values)
+    # one materialisation: every gold table sees the same survivors and values
     MT.publish_swap(spark, unified, cfg.p("gold", "lambda_orders"), ["year", "month"], cluster_by=["order_id"])
     orders = spark.read.parquet(cfg.p("gold", "lambda_orders"))
-    values = LU.order_values(payments)
     gold = {
         "gold_sales_by_category_time": (G.sales_by_category(items.drop("year", "month"), products, orders,
                                                             translation), ["year", "month"]),
@@ -245,6 +254,8 @@ def silver_to_gold(spark: SparkSession, cfg: PipelineConfig) -> None:
             "gold_top_products": (B.top_products_per_category(items.drop("year", "month"), products, orders),
                                   ["year"]),
             "gold_discount_impact": (B.discount_impact(items), None),
+            "gold_price_vs_volume": (GX.price_vs_volume(items, products), None),
+            "gold_weather_impact": (GX.weather_impact(orders, values, D.weather_hourly(spark, cfg.sf_dir)), None),
             "gold_co_purchase": (B.co_purchase_affinity(items, products), None),
         })
         hourly = read_optional(spark, cfg.p("stream", "hourly_counts"), HOURLY_SCHEMA)
@@ -265,7 +276,8 @@ def silver_to_gold(spark: SparkSession, cfg: PipelineConfig) -> None:
 
 def maintenance(spark: SparkSession, cfg: PipelineConfig) -> None:
     tables = {f"silver/{t}": cfg.p("silver", t) for t in MT.list_tables(spark, cfg.p("silver"))}
-    MT.compact(spark, cfg.p("silver", "fact_orders"), ["year", "month"], cluster_by=["order_id"])
+    for table in MT.list_tables(spark, cfg.p("silver")):
+        MT.compact(spark, cfg.p("silver", table), SILVER_PARTITIONS.get(table), cluster_by=CLUSTERED.get(table))
     write_table(MT.inventory(spark, tables), cfg.p("ops", "inventory"))
 
 

@@ -1,10 +1,10 @@
 """Table writers: partitioned / external / dynamic-overwrite Parquet writes.
 
-File-count control: with ``cluster_by`` the rows are range-partitioned on
-(partition columns + cluster columns) before the write. Range boundaries
-come from a sample, so one heavy partition value is spread over several
-tasks instead of landing in a single one, and each task still writes few
-files. ``max_records_per_file`` caps file size. Dynamic partition overwrite
+File-count control: with ``cluster_by`` the rows are rebalanced on the partition
+columns (the cluster columns if there are none) before the write: adaptive
+execution splits a heavy partition value over several tasks and merges small
+ones, from the sizes of the shuffle itself, so nothing is sampled or computed
+twice. With ``num_partitions`` they are range-partitioned into that many. ``max_records_per_file`` caps file size. Dynamic partition overwrite
 is a per-write option, never a session setting.
 """
 
@@ -21,11 +21,12 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] | None = N
                 num_partitions: int | None = None, max_records_per_file: int | None = None,
                 table_name: str | None = None, fmt: str = "parquet", observation: Observation | None = None) -> None:
     """``observation`` (a row count, named ``rows``) is attached after the
-    clustering step, so the sampling pass of range partitioning is not counted."""
+    clustering step, so a sampling pass of range partitioning is not counted."""
     out = df
     if cluster_by is not None:
         cols = [*(partition_by or []), *cluster_by]
-        out = out.repartitionByRange(num_partitions, *cols) if num_partitions else out.repartitionByRange(*cols)
+        out = out.repartitionByRange(num_partitions, *cols) if num_partitions \
+            else out.hint("rebalance", *(partition_by or cluster_by))
     if observation is not None:
         out = out.observe(observation, F.count(F.lit(1)).alias("rows"))
     w = out.write.format(fmt).mode(mode).option("compression", "snappy")

@@ -54,6 +54,10 @@ def get_session(master: str | None = None, app: str = "strata", **conf: str) ->
     return spark
 
 
+# Scratch folders of local applications that name no shared folder.
+_SCRATCH: dict[str, str] = {}
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
@@ -62,12 +66,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     a cluster session without it is an error, because a machine-local folder
     is not visible to other executors and does not survive their loss.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    path = spark.conf.get("spark.checkpoint.dir", None) or _SCRATCH.get(context.applicationId)
     if not path:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-        path = tempfile.mkdtemp(prefix="strata-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
+        path = _SCRATCH[context.applicationId] = tempfile.mkdtemp(prefix="strata-ckpt-")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(path)
     return path
