@@ -20,7 +20,7 @@ from tokenizers import Tokenizer
 
 from .textkit import BLOCK_BYTES, IdTable, mix, powers
 
-KEPT = 1_500_000  # distinct pre-tokens kept per worker
+KEPT = 600_000  # distinct pre-tokens kept per worker
 CHUNK = 4096      # pre-tokens that the library encodes in one text
 
 _LETTER, _DIGIT, _SPACE, _OTHER, _OUTSIDE = range(5)

@@ -15,8 +15,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # Work is cut into pieces of about so many text bytes, to bound a task's memory.
-PIECE_BYTES = 4 << 20
-BLOCK_BYTES = 2 << 20
+PIECE_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 20
 
 _ODD = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1

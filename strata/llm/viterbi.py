@@ -39,7 +39,7 @@ from .token_count import SPACE, PieceModel, piece_model, plain_spaces, unit_span
 QUERY = "op5_sentencepiece"
 ORACLE = None  # brute-force search, the library and round trips in tests/llm/test_viterbi.py
 
-KEPT = 1_500_000
+KEPT = 1_000_000
 UNKNOWN_PENALTY = 10.0
 _SAME = np.arange(256, dtype=np.uint8)
 
