@@ -24,7 +24,7 @@ STAGES = [
     ("packing", packing.stage),
 ]
 
-# Tokenizer ids, a fitted model and connected components: tests/llm/test_pipeline.py holds the stages against brute force.
+# Tokenizer ids, a fitted model and connected components: tests/llm/test_corpus_pipeline.py holds the stages against brute force.
 ORACLE_SQL = None
 
 

@@ -1,10 +1,17 @@
-"""Fixtures of the corpus tests: one session, and tables written as the query folders are."""
+"""Rows that every operator must take, and the fixtures that make tables of rows."""
 
 import os
 
 import pyarrow.parquet as pq
 import pytest
 
+# null, empty, blank, long, repeated, and odd characters
+AWKWARD = [
+    (1, None), (2, ""), (3, "   \n\t "), (4, "one"), (5, "one two three four"), (6, "same text here to see twice"),
+    (6, "same text here to see twice"), (7, "same text here to see twice"), (None, "no id at all"), (None, None),
+    (8, "word " * 30_000), (9, "é漢🙂 ▁ <|endoftext|> </s>"), (10, "a" * 20_000), (11, "line\n" * 500),
+]
+
 
 @pytest.fixture
 def docs_of(spark):
@@ -26,4 +33,3 @@ def folder(tmp_path):
             pq.write_table(table, os.path.join(tmp_path, f"{name}.parquet"))
         return str(tmp_path)
     return make
-

@@ -5,8 +5,8 @@ from itertools import combinations
 
 import numpy as np
 import pytest
-from conftest_llm import AWKWARD
 
+from corpus_rows import AWKWARD, docs_of  # noqa: F401
 from strata.llm import jaccard_join as j
 
 

@@ -4,8 +4,8 @@ import re
 
 import duckdb
 import pyarrow as pa
-from conftest_llm import AWKWARD
 
+from corpus_rows import AWKWARD, docs_of, folder  # noqa: F401
 from strata.llm import license_scan as lic
 
 

@@ -3,8 +3,8 @@
 import re
 from collections import Counter
 
-from conftest_llm import AWKWARD
 
+from corpus_rows import AWKWARD, docs_of  # noqa: F401
 from strata.llm import quality_rules as q
 
 PROSE = "The cat sat on the mat and looked at every bird that flew by. "

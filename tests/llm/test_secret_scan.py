@@ -4,7 +4,7 @@ import hashlib
 import random
 import re
 
-from conftest_llm import AWKWARD
+from corpus_rows import AWKWARD, docs_of  # noqa: F401
 from pyspark.sql import functions as F
 
 from strata.llm import secret_scan as s

@@ -9,8 +9,8 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+from corpus_rows import AWKWARD, docs_of  # noqa: F401
 import sentencepiece
-from conftest_llm import AWKWARD
 from tokenizers import Tokenizer
 
 from strata.llm import byte_bpe, packing, token_count, token_files, viterbi

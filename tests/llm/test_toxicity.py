@@ -3,8 +3,8 @@
 import random
 
 import numpy as np
-from conftest_llm import AWKWARD
 
+from corpus_rows import AWKWARD, docs_of  # noqa: F401
 from strata.llm import toxicity as t
 
 
