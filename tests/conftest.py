@@ -15,8 +15,6 @@ SF_CHECK = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     s = get_session("local[4]", "strata-tests", **{"spark.sql.shuffle.partitions": "8"})
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="strata-tests-"))
     yield s
     s.stop()
 
