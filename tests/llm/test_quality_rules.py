@@ -32,7 +32,7 @@ def test_base_counts_match_plain_python(docs_of):
 
 
 def test_each_line_rule_takes_its_lines(docs_of):
-    clean = "\n".join(f"Line {i} says something new about topic {i * i} and then ends." for i in range(20))
+    clean = "\n".join(" ".join(f"word{i}x{j}" for j in range(9)) + "." for i in range(20))
     bad = {
         "symbols": "buy### now$$$ this*** is%%% great&&& !!!",
         "shouting": "BUY!! THIS!! NOW!! OR!! NEVER!! AGAIN!! EVER!!",
