@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_rows, quoted
+from .common import map_rows, quoted, written
 from .textkit import mix, pieces, span_hashes, text_bytes, word_spans
 
 QUERY = "op10_toxicity"
@@ -124,6 +124,7 @@ def fit_ordinal(rows: np.ndarray, cols: np.ndarray, n_cols: int, grades: np.ndar
 
 
 def _featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(grade, text) to (grade, the text's distinct features)."""
     for batch in pieces(batches, "text"):
         rows, found = features(batch.column("text"))
         order = np.lexsort((found, rows))
@@ -131,9 +132,8 @@ def _featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = np.ones(len(rows), bool)
         first[1:] = (rows[1:] != rows[:-1]) | (found[1:] != found[:-1])
         ends = np.searchsorted(rows[first], np.arange(batch.num_rows + 1))
-        kept = found[first]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("grade"), pa.array([kept[a:b].tobytes() for a, b in zip(ends, ends[1:])], pa.binary())],
+            [batch.column("grade"), pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(found[first].view(np.int64)))],
             ["grade", "features"])
 
 
@@ -159,30 +159,38 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     sample = sample_labels(labels, doc_id, grade, per_class)  # at most 2 * per_class rows: small enough to broadcast
     texts = docs.select(F.col(quoted(doc_id)).alias("id"), F.col(quoted(text)).alias("text")).join(
         F.broadcast(sample), F.col("id") == F.col("labelled")).select("grade", "text")
-    got = texts.mapInArrow(_featurise, "grade int, features binary").limit(4 * per_class).toArrow()
-    grades = np.maximum(got.column("grade").to_numpy(), 0).astype(np.int64)
-    if len(grades) == 0 or grades.max() == 0 or grades.min() > 0:
+    seen = written(texts.mapInArrow(_featurise, "grade int, features array<long>"), "labelled")
+    sums = seen.agg(F.count("*").alias("n"), F.count_if(F.col("grade") > 0).alias("toxic"), F.max("grade").alias("top")).first()
+    if not 0 < sums["toxic"] < sums["n"]:
         return None
-    parts = [np.frombuffer(x, np.uint64) for x in got.column("features").to_pylist()]
-    rows = np.repeat(np.arange(len(parts)), [len(x) for x in parts])
-    ids, cols = np.unique(np.concatenate(parts), return_inverse=True)
-    toxic = (grades > 0).astype(float)
-    share, n = toxic.mean(), np.bincount(cols, minlength=len(ids))
-    hits = np.bincount(cols, toxic[rows], len(ids))
-    departs = np.where(n >= LEAST_DOCS, (hits - n * share) / np.sqrt(n * share * (1 - share)), 0)
-    top = np.lexsort((ids, -np.abs(departs)))[:n_features]
-    top = np.sort(top[departs[top] != 0])
-    if len(top) == 0:
-        top = np.array([0])
-    place = np.full(len(ids), -1)
-    place[top] = np.arange(len(top))
-    used = place[cols] >= 0
-    if grades.max() == 1:
-        strong = (departs > 0) & (hits >= 0.9 * n) & (place >= 0)
+    share = sums["toxic"] / sums["n"]
+    counts = seen.select((F.col("grade") > 0).cast("int").alias("toxic"), F.explode("features").alias("feature")).groupBy(
+        "feature").agg(F.count("*").alias("n"), F.sum("toxic").alias("hits")).where(F.col("n") >= LEAST_DOCS)
+    departs = (F.col("hits") - F.col("n") * share) / F.sqrt(F.col("n") * (share * (1 - share)))
+    chosen = counts.withColumn("departs", departs).where("departs <> 0").orderBy(
+        F.abs("departs").desc(), "feature").limit(n_features).toArrow()  # at most n_features rows
+    ids = chosen.column("feature").to_numpy().view(np.uint64)
+    order = np.argsort(ids)
+    ids = ids[order] if len(ids) else np.zeros(1, np.uint64)
+    hits, n = (chosen.column(c).to_numpy()[order] for c in ("hits", "n"))
+
+    def used(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = [np.flatnonzero(np.isin(ids, np.array(x, np.int64).view(np.uint64), assume_unique=True))
+                   for x in batch.column("features").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("grade"), pa.array(own, pa.list_(pa.int64()))], ["grade", "used"])
+
+    got = seen.mapInArrow(used, "grade int, used array<long>").toArrow()  # the sample's rows, chosen features only
+    grades = np.maximum(got.column("grade").to_numpy(), 0).astype(np.int64)
+    own = got.column("used").to_pylist()
+    rows = np.repeat(np.arange(len(own)), [len(x) for x in own])
+    cols = np.array([c for x in own for c in x], np.int64)
+    if sums["top"] == 1:
+        strong = (hits > n * share) & (hits >= 0.9 * n) if len(hits) else np.zeros(1, bool)
         grades = severity_grades(grades, rows, strong[cols].astype(float))
-        grades = np.searchsorted(np.unique(grades), grades)  # no empty grades when rates tie
-    w, cuts = fit_ordinal(rows[used], place[cols[used]], len(top), grades)
-    return OrdinalModel(ids[top], w, cuts)
+        grades = np.searchsorted(np.unique(grades), grades)  # no empty grades when counts tie
+    w, cuts = fit_ordinal(rows, cols, len(ids), grades)
+    return OrdinalModel(ids, w, cuts)
 
 
 def score(docs: DataFrame, model: OrdinalModel | None, text: str = "text", cut: float = CUT) -> DataFrame:
