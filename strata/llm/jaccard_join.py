@@ -98,11 +98,12 @@ def _classes(tokens: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of documents (doc, n, cls, bits), of shingles frequent in a chunk (tok, cnt), and of chunk sums."""
-    def told(doc, kind, n, cls, bits, short, tok, cnt):
+    """Rows of documents (doc, hash, n, cls, bits), of shingles frequent in a chunk (tok, cnt), and of chunk sums."""
+    def told(doc, kind, n, cls, bits, short, tok, cnt, hashed=None):
+        hashed = pa.nulls(len(doc), pa.int64()) if hashed is None else hashed
         return pa.RecordBatch.from_arrays(
-            [doc, pa.array(np.full(len(doc), kind, np.int32)), n, cls, bits, short, tok, cnt],
-            ["doc", "kind", "n", "cls", "bits", "short_bits", "tok", "cnt"])
+            [doc, hashed, pa.array(np.full(len(doc), kind, np.int32)), n, cls, bits, short, tok, cnt],
+            ["doc", "hash", "kind", "n", "cls", "bits", "short_bits", "tok", "cnt"])
 
     def counted(parts):
         toks, cnt = np.unique(np.concatenate(parts), return_counts=True)
@@ -130,7 +131,7 @@ def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 size += b - a
         rows = len(n)
         yield told(batch.column("doc"), 0, pa.array(n.astype(np.int32)), pa.array(cls), pa.array(bits, pa.binary()),
-                   pa.array(short, pa.binary()), pa.nulls(rows, pa.int64()), pa.nulls(rows, pa.int64()))
+                   pa.array(short, pa.binary()), pa.nulls(rows, pa.int64()), pa.nulls(rows, pa.int64()), batch.column("hash"))
         if size >= CHUNK:
             yield from counted(kept)
             kept, size, seen = [], 0, set()
@@ -412,13 +413,13 @@ def _across(lists: DataFrame, comps: DataFrame, classes: DataFrame) -> DataFrame
     return sorted_.mapInArrow(_cross, "a long, b long").distinct()
 
 
-def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per row of ``docs``: doc, n_shingles, cls (its class; null without shingles) and component_id."""
+def _placed(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """A row per row of ``docs`` (doc, hash of the text, n, cls), and a row per class (cls, its first id, comp)."""
     spark = docs.sparkSession
     keyed = docs.select(F.col(quoted(doc_id)).alias("doc"), F.col(quoted(text)).alias("text"))
     kind = keyed.schema["doc"].dataType.simpleString()
-    told = written(keyed.mapInArrow(
-        _profile, f"doc {kind}, kind int, n int, cls long, bits binary, short_bits binary, tok long, cnt long"), "profile")
+    told = written(keyed.withColumn("hash", F.xxhash64("text")).mapInArrow(
+        _profile, f"doc {kind}, hash long, kind int, n int, cls long, bits binary, short_bits binary, tok long, cnt long"), "profile")
     own = told.where("kind = 0")
     classes = written(own.where("n > 0").groupBy("cls", "n").agg(
         F.min("doc").alias("first"), F.any_value("bits").alias("bits"),
@@ -447,6 +448,12 @@ def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     joined = components(raised).withColumnRenamed("comp", "top").withColumnRenamed("node", "comp")
     placed = _with_comp(classes.select("cls", "first"), comps).join(joined, "comp", "left").select(
         "cls", "first", F.coalesce("top", "comp").alias("comp"))
+    return own.select("doc", "hash", "n", "cls"), placed
+
+
+def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per row of ``docs``: doc, n_shingles, cls (its class; null without shingles) and component_id."""
+    own, placed = _placed(docs, doc_id, text)
     lowest = placed.groupBy("comp").agg(F.min("first").alias("component_id"))
     of_class = placed.join(lowest, "comp").select(F.col("cls").alias("of"), "component_id")
     return own.join(of_class, (F.col("cls") == F.col("of")) & (F.col("n") > 0), "left").select(
@@ -460,11 +467,22 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: of every group of linked documents the one with the smallest id stays."""
-    found = jaccard_join(docs).select(F.col("doc").alias("of"), "component_id")
-    kept = written(found.where(F.col("of").eqNullSafe(F.col("component_id"))).groupBy("of").agg(
-        F.count("*").alias("copies")), "kept")
+    """Pipeline stage: of every group of linked documents one row with the smallest id stays.
+
+    Groups are told apart by their classes, not by ids: unlinked texts that
+    share an id, or have none, all stay. Rows without shingles are linked with
+    nothing, so each of them stays.
+    """
+    own, placed = _placed(docs, "doc_id", "text")
+    least = placed.groupBy("comp").agg(F.min(F.struct(F.col("first").isNull(), "first", "cls")).alias("least"))
+    least = least.select(F.col("least.cls").alias("of_cls"), F.col("least.first").alias("of_first"))
+    chosen = own.where("n > 0").join(least, (F.col("cls") == F.col("of_cls")) & F.col("doc").eqNullSafe(F.col("of_first")))
+    chosen = chosen.groupBy("cls", "doc").agg(F.min("hash").alias("of_hash"), F.count("*").alias("copies")).select(
+        F.col("doc").alias("of_doc"), "of_hash", "copies")
+    alone = own.where("n = 0").select(F.col("doc").alias("of_doc"), F.col("hash").alias("of_hash"), F.lit(1).cast("long").alias("copies"))
+    kept = written(chosen.union(alone.distinct()), "kept")
     few = kept.count() <= MAX_BROADCAST
-    once = docs.join(F.broadcast(kept) if few else kept, F.col("doc_id").eqNullSafe(F.col("of")))
-    again = once.where("copies > 1").select(*docs.columns).dropDuplicates(["doc_id"])
+    once = docs.withColumn("own_hash", F.xxhash64("text")).join(
+        F.broadcast(kept) if few else kept, F.col("doc_id").eqNullSafe(F.col("of_doc")) & (F.col("own_hash") == F.col("of_hash")))
+    again = once.where("copies > 1").dropDuplicates(["doc_id", "own_hash"]).select(*docs.columns)
     return once.where("copies = 1").select(*docs.columns).unionByName(again)

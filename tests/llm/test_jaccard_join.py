@@ -113,3 +113,29 @@ def test_stage_keeps_one_of_each_group(spark):
                                   (None, "alone without an id"), (7, "")], "doc_id long, text string")
     out = j.stage(spark, docs, "")
     assert sorted((r.doc_id or 0 for r in out.collect())) == [0, 3, 7, 9] and out.columns == docs.columns
+
+
+def brute_stage(rows):
+    """Texts that may stay for each group: of its rows with the smallest id, one; of rows without shingles, all."""
+    ids = [(i, text) for i, (_, text) in enumerate(rows)]  # ids of their own tell the groups apart
+    groups = {}
+    for (doc, text), (_, n, group) in zip(rows, brute(ids)):
+        groups.setdefault(("row", group) if n else ("alone", len(groups)), []).append((doc, text))
+    return [{x for x in group if x[0] == min((d for d, _ in group if d is not None), default=None)} for group in groups.values()]
+
+
+def test_stage_matches_brute_force(spark):
+    rng = random.Random(8)
+    rows = [(rng.choice([None, None, i % 25]), text) for i, (_, text) in enumerate(near_copies(6))] + AWKWARD
+    text = " ".join(f"t{i}" for i in range(50))
+    rows += [(None, ""), (None, "   "), (7, ""), (7, ""), (900, text), (901, text + " more"), (900, text + " less"),
+             (901, "another text of the same id"), (None, text), (902, "Same WORDS here"), (902, "same words  here")]
+    docs = spark.createDataFrame([(d, t, i) for i, (d, t) in enumerate(rows)], "doc_id long, text string, place int")
+    out = j.stage(spark, docs, "")
+    assert out.columns == docs.columns
+    left = [(r.doc_id, r.text) for r in out.collect()]
+    want = brute_stage(rows)
+    assert len(left) == len(want)
+    for choice in sorted(want, key=len):  # sets of one first; groups share no texts with shingles
+        left.remove(next(x for x in left if x in choice))
+    assert not left
