@@ -8,8 +8,11 @@ Features are the lower-cased words of a text and their first ``PREFIXES`` bytes,
 present or not. The model is fitted on a bounded sample of labelled rows: at
 most ``per_class`` toxic and ``per_class`` other documents (default 4096),
 the first by a hash of the id. Feature counts, the choice of the ``n_features``
-features that depart most from the sample's toxic share, the grades and the
-fit use all of that sample. Scoring reads every document and every word.
+features that depart most from the toxic share, the grades and the fit use all
+of that sample. Its rows are weighted by the labels of their class (toxic or
+other, counted over all labels) per sampled label of that class, so shares,
+thresholds and probabilities are those of all labels, whatever their number.
+Scoring reads every document and every word.
 
 Labels of two values (0/1) are refined to grades 0 to 3: toxic documents are
 cut at the terciles of how many different strongly toxic features they hold.
@@ -87,14 +90,17 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def fit_ordinal(rows: np.ndarray, cols: np.ndarray, n_cols: int, grades: np.ndarray, steps: int = 400,
-                rate: float = 1.0, decay: float = 1e-5) -> tuple[np.ndarray, np.ndarray]:
+                rate: float = 1.0, decay: float = 1e-5, weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Weights and thresholds of the cumulative-link model, by gradient steps with per-coordinate rates.
 
-    ``rows, cols`` are the places of ones in the feature matrix. Thresholds
-    are kept in order by writing their gaps as exponentials.
+    ``rows, cols`` are the places of ones in the feature matrix, ``weight``
+    the labels that each document stands for (one each if not given).
+    Thresholds are kept in order by writing their gaps as exponentials.
     """
     n, top = len(grades), int(grades.max())
-    share = np.clip([(grades >= k).mean() for k in range(1, top + 1)], 1e-3, 1 - 1e-3)
+    part = np.full(n, 1 / n) if weight is None else weight / weight.sum()
+    share = np.array([part[grades >= k].sum() for k in range(1, top + 1)])
+    share = np.clip(share, 1e-9, 1 - 1e-9)
     cuts = np.sort(np.log(1 / share - 1))
     free = np.concatenate([cuts[:1], np.log(np.maximum(np.diff(cuts), 0.1))])
     w = np.zeros(n_cols)
@@ -108,12 +114,12 @@ def fit_ordinal(rows: np.ndarray, cols: np.ndarray, n_cols: int, grades: np.ndar
         slope = above * (1 - above)
         low, high = above[index, grades], above[index, grades + 1]
         p = np.maximum(low - high, 1e-12)
-        d_low, d_high = slope[index, grades] / p, slope[index, grades + 1] / p
-        grad_w = -np.bincount(cols, (d_low - d_high)[rows], n_cols) / n + decay * w
+        d_low, d_high = part * slope[index, grades] / p, part * slope[index, grades + 1] / p
+        grad_w = -np.bincount(cols, (d_low - d_high)[rows], n_cols) + decay * w
         d_cut = np.zeros(top + 2)
         np.add.at(d_cut, grades, d_low)
         np.add.at(d_cut, grades + 1, -d_high)
-        d_cut = d_cut[1:-1] / n
+        d_cut = d_cut[1:-1]
         tail = np.cumsum(d_cut[::-1])[::-1]
         grad_t = np.concatenate([tail[:1], tail[1:] * gaps])
         past_w += grad_w**2
@@ -124,7 +130,7 @@ def fit_ordinal(rows: np.ndarray, cols: np.ndarray, n_cols: int, grades: np.ndar
 
 
 def _featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(grade, text) to (grade, the text's distinct features)."""
+    """(grade, weight, text) to (grade, weight, the text's distinct features)."""
     for batch in pieces(batches, "text"):
         rows, found = features(batch.column("text"))
         order = np.lexsort((found, rows))
@@ -133,17 +139,25 @@ def _featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first[1:] = (rows[1:] != rows[:-1]) | (found[1:] != found[:-1])
         ends = np.searchsorted(rows[first], np.arange(batch.num_rows + 1))
         yield pa.RecordBatch.from_arrays(
-            [batch.column("grade"), pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(found[first].view(np.int64)))],
-            ["grade", "features"])
+            [batch.column("grade"), batch.column("weight"),
+             pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(found[first].view(np.int64)))],
+            ["grade", "weight", "features"])
 
 
 def sample_labels(labels: DataFrame, doc_id: str, grade: str, per_class: int) -> DataFrame:
-    """At most ``per_class`` toxic and as many other ids, the first by a hash of the id."""
+    """At most ``per_class`` toxic and as many other ids, the first by a hash of the id.
+
+    ``weight`` is the number of labelled ids of the class that each of them stands for.
+    """
     known = labels.where(F.col(grade).isNotNull() & F.col(doc_id).isNotNull()).groupBy(
         F.col(doc_id).alias("labelled")).agg(F.max(F.col(grade).cast("int")).alias("grade"))
     order = [F.xxhash64("labelled"), F.col("labelled")]
-    return known.where("grade > 0").orderBy(*order).limit(per_class).unionByName(
-        known.where("grade <= 0").orderBy(*order).limit(per_class))
+    both = known.agg(F.count_if(F.col("grade") > 0).alias("toxic"), F.count_if(F.col("grade") <= 0).alias("other")).first()
+
+    def first(of: str, count: int) -> DataFrame:
+        return known.where(of).orderBy(*order).limit(per_class).withColumn("weight", F.lit(max(1.0, count / per_class)))
+
+    return first("grade > 0", both["toxic"]).unionByName(first("grade <= 0", both["other"]))
 
 
 def severity_grades(toxic: np.ndarray, rows: np.ndarray, strong: np.ndarray) -> np.ndarray:
@@ -158,14 +172,18 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     """The model of a bounded, hash-ordered sample of the labelled documents."""
     sample = sample_labels(labels, doc_id, grade, per_class)  # at most 2 * per_class rows: small enough to broadcast
     texts = docs.select(F.col(quoted(doc_id)).alias("id"), F.col(quoted(text)).alias("text")).join(
-        F.broadcast(sample), F.col("id") == F.col("labelled")).select("grade", "text")
-    seen = written(texts.mapInArrow(_featurise, "grade int, features array<long>"), "labelled")
-    sums = seen.agg(F.count("*").alias("n"), F.count_if(F.col("grade") > 0).alias("toxic"), F.max("grade").alias("top")).first()
+        F.broadcast(sample), F.col("id") == F.col("labelled")).select("grade", "weight", "text")
+    seen = written(texts.mapInArrow(_featurise, "grade int, weight double, features array<long>"), "labelled")
+    toxic = F.col("grade") > 0
+    sums = seen.agg(F.count("*").alias("n"), F.count_if(toxic).alias("toxic"), F.max("grade").alias("top"),
+                    F.max(F.when(toxic, F.col("weight"))).alias("stands"), F.max(F.when(~toxic, F.col("weight"))).alias("other")).first()
     if not 0 < sums["toxic"] < sums["n"]:
         return None
-    share = sums["toxic"] / sums["n"]
-    counts = seen.select((F.col("grade") > 0).cast("int").alias("toxic"), F.explode("features").alias("feature")).groupBy(
-        "feature").agg(F.count("*").alias("n"), F.sum("toxic").alias("hits")).where(F.col("n") >= LEAST_DOCS)
+    share = sums["toxic"] * sums["stands"] / (sums["toxic"] * sums["stands"] + (sums["n"] - sums["toxic"]) * sums["other"])
+    counts = seen.select(toxic.cast("int").alias("toxic"), F.explode("features").alias("feature")).groupBy(
+        "feature").agg(F.count("*").alias("docs"), F.sum("toxic").alias("bad")).where(F.col("docs") >= LEAST_DOCS)
+    counts = counts.select("feature", (F.col("bad") * sums["stands"]).alias("hits"), (
+        F.col("bad") * sums["stands"] + (F.col("docs") - F.col("bad")) * sums["other"]).alias("n"))
     departs = (F.col("hits") - F.col("n") * share) / F.sqrt(F.col("n") * (share * (1 - share)))
     chosen = counts.withColumn("departs", departs).where("departs <> 0").orderBy(
         F.abs("departs").desc(), "feature").limit(n_features).toArrow()  # at most n_features rows
@@ -178,9 +196,10 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
         for batch in batches:
             own = [np.flatnonzero(np.isin(ids, np.array(x, np.int64).view(np.uint64), assume_unique=True))
                    for x in batch.column("features").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("grade"), pa.array(own, pa.list_(pa.int64()))], ["grade", "used"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("grade"), batch.column("weight"), pa.array(own, pa.list_(pa.int64()))], ["grade", "weight", "used"])
 
-    got = seen.mapInArrow(used, "grade int, used array<long>").toArrow()  # the sample's rows, chosen features only
+    got = seen.mapInArrow(used, "grade int, weight double, used array<long>").toArrow()  # the sample's rows, chosen features only
     grades = np.maximum(got.column("grade").to_numpy(), 0).astype(np.int64)
     own = got.column("used").to_pylist()
     rows = np.repeat(np.arange(len(own)), [len(x) for x in own])
@@ -189,7 +208,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
         strong = (hits > n * share) & (hits >= 0.9 * n) if len(hits) else np.zeros(1, bool)
         grades = severity_grades(grades, rows, strong[cols].astype(float))
         grades = np.searchsorted(np.unique(grades), grades)  # no empty grades when counts tie
-    w, cuts = fit_ordinal(rows, cols, len(ids), grades)
+    w, cuts = fit_ordinal(rows, cols, len(ids), grades, weight=got.column("weight").to_numpy())
     return OrdinalModel(ids, w, cuts)
 
 

@@ -62,3 +62,22 @@ def test_awkward_rows_are_scored(docs_of, spark):
     got = t.score(docs_of(AWKWARD), model).collect()
     assert len(got) == len(AWKWARD) and all(0 <= r.severity <= 3 and r["a.b"] == "z" for r in got)
     assert t.score(spark.createDataFrame([], "doc_id long, text string"), model).count() == 0
+
+
+def test_verdicts_do_not_depend_on_the_sampling_rate(spark):
+    rng = random.Random(5)
+    rows, labels = [], []
+    for i in range(6000):  # every text with "slur" is toxic, a fifth of those with "hint"
+        sort = "slur" if i % 60 == 0 else "hint" if i % 10 == 1 else "plain"
+        words = [f"word{rng.randrange(60)}" for _ in range(12)] + [sort]
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(sort == "slur" or sort == "hint" and rng.random() < 0.2)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    known = spark.createDataFrame(labels, "doc_id long, toxic int")
+    above, below = ({r.doc_id: r for r in t.score(docs, t.fit(docs, known, n_features=40, per_class=n)).collect()}
+                    for n in (6000, 400))  # all labels, and all toxic ones with a fifteenth of the others
+    assert sum(above[i].toxic for i in above) < 200
+    same = sum(above[i].toxic == below[i].toxic for i in above)
+    assert same >= 0.97 * len(rows), same
+    mean = [sum(found[i].severity for i in found) for found in (above, below)]
+    assert 0.7 < mean[1] / mean[0] < 1.4, mean
