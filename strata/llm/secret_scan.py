@@ -21,7 +21,9 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from bisect import bisect_left
+from collections.abc import Callable, Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -82,6 +84,16 @@ def _random(token: str) -> bool:
     return min(kinds) >= 2 and turns >= len(token) // 5
 
 
+def _clear_of(spans: list[tuple[int, str, int]]) -> Callable[[int, int], bool]:
+    """Whether a part (start, end) overlaps none of the spans, which are sorted by start."""
+    starts, ends = [x[0] for x in spans], list(accumulate((x[2] for x in spans), max))
+
+    def clear(start: int, end: int) -> bool:
+        before = bisect_left(starts, end)  # spans that start before the part ends
+        return not before or ends[before - 1] <= start
+    return clear
+
+
 def weak_parts(text: str, strong: list[tuple[int, str, int]]) -> list[tuple[int, str, int]]:
     """(start, kind, end) of weak parts that overlap no strong span."""
     raw = text.encode("utf-8", "surrogatepass")
@@ -93,14 +105,8 @@ def weak_parts(text: str, strong: list[tuple[int, str, int]]) -> list[tuple[int,
         found += [(m.start(), "endpoint", m.end()) for m in ENDPOINT.finditer(text)]
     if b"\1" * 20 in raw.translate(_TO_TOKEN) and _DIGIT.search(raw):
         found += [(m.start(), "secret", m.end()) for m in RANDOM.finditer(text) if _random(m[0])]
-    out, at, ends = [], 0, 0
-    for part in sorted(found, key=lambda x: (x[0], _RANK[x[1]])):
-        while at < len(strong) and strong[at][0] < part[2]:
-            ends = max(ends, strong[at][2])
-            at += 1
-        if ends <= part[0]:
-            out.append(part)
-    return out
+    clear = _clear_of(strong)
+    return sorted((x for x in found if clear(x[0], x[2])), key=lambda x: (x[0], _RANK[x[1]]))
 
 
 _SPAN = pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())])

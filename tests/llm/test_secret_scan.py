@@ -85,3 +85,23 @@ def test_redaction_replaces_spans_only(docs_of):
 
 def test_empty_table(spark):
     assert s.scan(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_weak_parts_match_all_pairs():
+    url = "https://db.example.org/x?user=alice&token=abcdefgh1234"
+    assert s.weak_parts(url, s.strong_spans(url)) == [(25, "identifier", 35)]
+    texts = [t for _, t in rows() if t] + [url + " " + url, f"{url}&login=bob77 server=h.example {url}"]
+    lost = 0
+    for text in texts:
+        strong, parts = s.strong_spans(text), s.weak_parts(text, [])
+        want = [(a, k, b) for a, k, b in parts if not any(a < d and c < b for c, _, d in strong)]
+        got = s.weak_parts(text, strong)
+        assert [x for x in got if x[1] != "secret"] == [x for x in want if x[1] != "secret"]
+        assert set(want) <= set(got) and not any(a < d and c < b for a, _, b in got for c, _, d in strong)
+        lost += len(parts) - len(want)
+    assert lost
+
+
+def test_identifier_in_an_endpoint_is_linked_and_redacted(docs_of):
+    docs = docs_of([(1, "https://db.example.org/x?user=alice&token=abcdefgh1234 end")])
+    assert [r.text for r in s.redact(docs).collect()] == ["https://db.example.org/x?<SECRET>&<SECRET> end"]
