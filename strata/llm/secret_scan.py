@@ -2,7 +2,8 @@
 
 Each text is scanned once for strong spans (``assign``, ``access``, ``hex``)
 and for weak parts that mean little alone: account identifiers, random-looking
-secrets and endpoints. Weak parts are then interval-joined: within a scope of
+secrets (of 20 characters or more, URL-safe ones included, without an upper
+bound) and endpoints. Weak parts are then interval-joined: within a scope of
 ``scope`` code points, a weak secret counts if an identifier or an endpoint
 starts there too, a weak identifier if a secret does, an endpoint if both do.
 
@@ -46,7 +47,10 @@ LEAST_ASSIGN, LEAST_ACCESS, LEAST_HEX = 8, 16, 32
 IDENTIFIER = re.compile(
     r"""\b(?:user(?:name)?|login|client_?id|account_?id|access_?key_?id)["']?\x20*[:=]\x20*["']?([A-Za-z0-9._@+-]{3,})""",
     re.A | re.I)
-RANDOM = re.compile(r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{20,100}(?![A-Za-z0-9+/])")
+LEAST_RANDOM = 20
+# Whole tokens of any length, URL-safe ones and base64 padding included, and the pieces between their '-' and '_'.
+RANDOM = re.compile(r"[A-Za-z0-9+/_-]{18,}(?:={1,2}(?![A-Za-z0-9+/_=-]))?")
+PIECE = re.compile(r"[A-Za-z0-9+/]{20,}")
 ENDPOINT = re.compile(
     r"""\b(?:[a-z][a-z0-9+.-]*://[^\s"'<>]+|(?:host(?:name)?|endpoint|server)["']?\x20*[:=]\x20*["']?[A-Za-z0-9.-]+(?::[0-9]+)?)""",
     re.A | re.I)
@@ -59,8 +63,9 @@ _ASSIGN_WORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_k
 _IDENTIFIER_WORDS = (b"user", b"login", b"client", b"account", b"access")
 _ENDPOINT_WORDS = (b"://", b"host", b"endpoint", b"server")
 _TO_HEX = bytes(1 if chr(b) in "0123456789abcdef" else 0 for b in range(256))
-_TO_TOKEN = bytes(1 if chr(b).isascii() and (chr(b).isalnum() or chr(b) in "+/") else 0 for b in range(256))
+_TO_TOKEN = bytes(1 if chr(b).isascii() and (chr(b).isalnum() or chr(b) in "+/_=-") else 0 for b in range(256))
 _DIGIT = re.compile(rb"[0-9]")
+_MARKS = str.maketrans("", "", "-_=")
 
 
 def strong_spans(text: str) -> list[tuple[int, str, int]]:
@@ -78,7 +83,8 @@ def strong_spans(text: str) -> list[tuple[int, str, int]]:
 
 
 def _random(token: str) -> bool:
-    """Digits, upper and lower case, mixed rather than as one capital or one number."""
+    """Digits, upper and lower case, mixed rather than as one capital or one number; '-', '_' and '=' don't count."""
+    token = token.translate(_MARKS)
     kinds = (sum(c.isdigit() for c in token), sum(c.isupper() for c in token), sum(c.islower() for c in token))
     turns = sum(a.isalpha() != b.isalpha() or a.isupper() != b.isupper() for a, b in zip(token, token[1:]))
     return min(kinds) >= 2 and turns >= len(token) // 5
@@ -94,6 +100,17 @@ def _clear_of(spans: list[tuple[int, str, int]]) -> Callable[[int, int], bool]:
     return clear
 
 
+def _secrets(text: str, clear: Callable[[int, int], bool]) -> Iterator[tuple[int, int]]:
+    """(start, end) of random-looking tokens; of a token that is not random or not clear as a whole, those of its pieces."""
+    for m in RANDOM.finditer(text):
+        if len(m[0]) < LEAST_RANDOM:
+            continue
+        if clear(*m.span()) and _random(m[0]):
+            yield m.span()
+        else:
+            yield from (x.span() for x in PIECE.finditer(text, *m.span()) if clear(*x.span()) and _random(x[0]))
+
+
 def weak_parts(text: str, strong: list[tuple[int, str, int]]) -> list[tuple[int, str, int]]:
     """(start, kind, end) of weak parts that overlap no strong span."""
     raw = text.encode("utf-8", "surrogatepass")
@@ -103,9 +120,9 @@ def weak_parts(text: str, strong: list[tuple[int, str, int]]) -> list[tuple[int,
         found += [(m.start(), "identifier", m.end()) for m in IDENTIFIER.finditer(text)]
     if any(w in low for w in _ENDPOINT_WORDS):
         found += [(m.start(), "endpoint", m.end()) for m in ENDPOINT.finditer(text)]
-    if b"\1" * 20 in raw.translate(_TO_TOKEN) and _DIGIT.search(raw):
-        found += [(m.start(), "secret", m.end()) for m in RANDOM.finditer(text) if _random(m[0])]
     clear = _clear_of(strong)
+    if b"\1" * LEAST_RANDOM in raw.translate(_TO_TOKEN) and _DIGIT.search(raw):
+        found += [(a, "secret", b) for a, b in _secrets(text, clear)]
     return sorted((x for x in found if clear(x[0], x[2])), key=lambda x: (x[0], _RANK[x[1]]))
 
 

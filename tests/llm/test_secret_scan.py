@@ -105,3 +105,25 @@ def test_weak_parts_match_all_pairs():
 def test_identifier_in_an_endpoint_is_linked_and_redacted(docs_of):
     docs = docs_of([(1, "https://db.example.org/x?user=alice&token=abcdefgh1234 end")])
     assert [r.text for r in s.redact(docs).collect()] == ["https://db.example.org/x?<SECRET>&<SECRET> end"]
+
+
+def test_long_and_url_safe_tokens(docs_of):
+    rng = random.Random(6)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    token = lambda n, more: "".join(rng.choice(letters + more) for _ in range(n - 2)) + "a1"
+    tokens = [token(n, more) for n in (20, 100, 101, 300, 5000) for more in ("", "+/", "-_")]
+    tokens += ["aB3dE5-gH7jK9_mN1pQ3-rS5tU7_vW9xY1", token(62, "+/") + "==", "aB3dE5gH7jK9mN1pQ3=="]
+    docs = docs_of([(i, f"user=alice key {x} end") for i, x in enumerate(tokens)])
+    for r in s.scan(docs).collect():
+        assert [(x.start, s.KINDS[x.kind], x.end) for x in r.spans] == [
+            (0, "identifier", 10), (15, "secret", 15 + len(tokens[r.doc]))]
+    assert {r.text for r in s.redact(docs).collect()} == {"<SECRET> key <SECRET> end"}
+
+
+def test_pieces_of_longer_tokens():
+    piece = "aB3dE5gH7jK9mN1pQ3rS5"
+    plain = "-and-a-long-tail-of-plain-words" * 9
+    for text, start in ((piece + plain, 0), (f"sig={piece}", 4), (f"{piece}-token: abcdefgh1234", 0)):
+        assert [x for x in s.weak_parts(text, s.strong_spans(text)) if x[1] == "secret"] == [(start, "secret", start + len(piece))]
+    for text in ("a" * 20_000 + "1", "-" * 500 + "1", "=" * 500 + "1", "some-long-plain-words-2024-01-15-report"):
+        assert not s.weak_parts(text, [])
