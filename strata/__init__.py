@@ -6,7 +6,7 @@ The names below are the public API; the modules hold the rest.
 
 from .operators.dedup import dedup_latest, duplicate_keys
 from .operators.lambda_union import order_values, origin_counts, unify_orders, valued_orders
-from .operators.quality import (Between, CastsCleanly, DataQualityError, ExistsIn, NotNull, RuleSet, Unique, gate,
+from .operators.quality import (Between, CastsCleanly, DataQualityError, ExistsIn, NotNull, OrderIsTotal, RuleSet, Unique, gate,
                                 null_profile, observe_rules, report, run_rules, summary)
 from .operators.scd2 import point_in_time_join, scd2_as_of, scd2_current, scd2_initial, scd2_merge
 from .plans.maintenance import (compact, date_slice, expired_partitions, freshness, incremental_slice, inventory,
@@ -19,7 +19,7 @@ from .streaming.speed import has_required_keys, ingest_events, speed_filter
 
 __all__ = [
     "dedup_latest", "duplicate_keys", "order_values", "origin_counts", "unify_orders", "valued_orders",
-    "Between", "CastsCleanly", "DataQualityError", "ExistsIn", "NotNull", "RuleSet", "Unique", "gate",
+    "Between", "CastsCleanly", "DataQualityError", "ExistsIn", "NotNull", "OrderIsTotal", "RuleSet", "Unique", "gate",
     "null_profile",
     "observe_rules", "report", "run_rules", "summary", "point_in_time_join", "scd2_as_of", "scd2_current",
     "scd2_initial", "scd2_merge", "compact", "date_slice", "expired_partitions", "freshness", "incremental_slice",

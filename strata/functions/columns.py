@@ -75,8 +75,27 @@ def hour_parts(ts: str | Column) -> dict[str, Column]:
     return {"year": F.year(t), "month": F.month(t), "day": F.dayofmonth(t), "hour": F.hour(t)}
 
 
+def settled(column: Column) -> Column:
+    """``column``, computed once per row at this place of the plan.
+
+    A filter on a costly result (a parsed payload) is otherwise moved below
+    the projection that makes it, which repeats the whole expression for
+    every condition. Expressions that look non-deterministic stay where they
+    are; this condition is always true, and it is allowed on streams.
+    """
+    return F.when(F.spark_partition_id() >= 0, column)
+
+
 # ---------------------------------------------------------------- JSON
 
+def object_has_keys(parsed: str | Column, required: Sequence[str]) -> Column:
+    """True when the variant ``parsed`` is an object with every required key (null values count)."""
+    v = _c(parsed)
+    found = [F.try_variant_get(v, f"$['{k}']", "variant").isNotNull() for k in required]
+    # least() reads all of its arguments, so a parse that they share is made once
+    return F.coalesce(F.least(v.isNotNull(), F.lit(True), *found), F.lit(False))
+
+
 def has_required_keys(payload: str | Column, required: Sequence[str]) -> Column:
     """True when ``payload`` is a JSON object holding every required key.
 
@@ -84,7 +103,4 @@ def has_required_keys(payload: str | Column, required: Sequence[str]) -> Column:
     or truncated text, single-quoted objects, NaN and repeated keys are
     rejected (``try_parse_json`` is NULL for the last four). NULL → false.
     """
-    p = _c(payload)
-    req = F.array(*[F.lit(k) for k in required])
-    ok = F.try_parse_json(p).isNotNull() & (F.size(F.array_except(req, F.json_object_keys(p))) == 0)
-    return F.coalesce(ok, F.lit(False))
+    return object_has_keys(F.try_parse_json(_c(payload)), required)

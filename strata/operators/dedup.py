@@ -2,7 +2,7 @@
 
 ``dropDuplicates(keys)`` keeps an arbitrary survivor, so two runs (or two
 consumers of the same plan) may disagree. ``dedup_latest`` keeps the first
-row of each key under a *total* ordering.
+row of each key under a declared order.
 
 Plan shape: ``row_number() = 1`` lets Catalyst insert a partial
 ``WindowGroupLimit`` before the shuffle, so each map task sends at most one
@@ -26,16 +26,23 @@ def order_cols(order_by: Sequence[Column | str]) -> list[Column]:
     return [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in order_by]
 
 
-def dedup_latest(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column | str]) -> DataFrame:
+def dedup_latest(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column | str],
+                 total: bool = False) -> DataFrame:
     """Keep one row per ``keys``: the first under ``order_by``.
 
-    NULL keys form one group (as ``dropDuplicates`` does). All other columns
-    follow ``order_by`` as tie-breakers, so rows that tie are equal and the
-    survivor does not depend on the input order.
+    NULL keys form one group (as ``dropDuplicates`` does). Only the keys, the
+    order and what the caller reads reach the scan. Rows that tie on the whole
+    order are told apart by ``total``: all other columns then follow as
+    tie-breakers, at the price of reading and sorting them, so it belongs where
+    every column is read anyway (the silver write). ``quality.OrderIsTotal``
+    counts the ties that a declared order leaves.
     """
-    named = {c for c in order_by if isinstance(c, str)} | set(keys)
-    rest = [f.name for f in df.schema.fields if f.name not in named and not isinstance(f.dataType, (T.MapType, T.VariantType))]
-    w = Window.partitionBy(*keys).orderBy(*order_cols([*order_by, *sorted(rest)]))
+    order = list(order_by)
+    if total:
+        named = {c for c in order if isinstance(c, str)} | set(keys)
+        order += sorted(f.name for f in df.schema.fields
+                        if f.name not in named and not isinstance(f.dataType, (T.MapType, T.VariantType)))
+    w = Window.partitionBy(*keys).orderBy(*order_cols(order))
     return df.withColumn(_RN, F.row_number().over(w)).filter(F.col(_RN) == 1).drop(_RN)
 
 

@@ -36,6 +36,7 @@ EXP_NOT_NULL = "not_be_null"
 EXP_UNIQUE = "be_unique"
 EXP_BETWEEN = "be_between"
 EXP_EXISTS = "referential_integrity"
+EXP_TOTAL = "order_is_total"
 PASS = "PASS"
 FAIL = "FAIL"
 
@@ -79,6 +80,21 @@ class CastsCleanly:
     severity: str = ERROR
 
 
+@dataclass(frozen=True)
+class OrderIsTotal:
+    """The columns that choose a key's survivor tell its rows apart.
+
+    Counts the groups of rows that agree on ``columns`` (key and order of a
+    dedup) and differ elsewhere: there the survivor would be arbitrary. Equal
+    rows are no tie."""
+    columns: tuple[str, ...]
+    severity: str = WARN
+
+    def __init__(self, columns: Sequence[str], severity: str = WARN):
+        object.__setattr__(self, "columns", tuple(columns))
+        object.__setattr__(self, "severity", severity)
+
+
 @dataclass(frozen=True)
 class ExistsIn:
     column: str
@@ -124,6 +140,16 @@ def _unique(df: DataFrame, table: str, r: Unique) -> DataFrame:
                               "0", r.severity).alias("r")).select("r.*")
 
 
+def _order_is_total(df: DataFrame, table: str, r: OrderIsTotal) -> DataFrame:
+    """Groups whose other columns have more than one hash; min and max combine on the map side."""
+    rest = [c for c in df.columns if c not in r.columns]
+    value = F.xxhash64(*[F.col(c) for c in rest]) if rest else F.lit(0)
+    groups = df.groupBy(*r.columns).agg(F.min(value).alias("__lo"), F.max(value).alias("__hi"))
+    ties = groups.agg(F.count_if(F.col("__lo") < F.col("__hi")).alias("__ties"))
+    return ties.select(_result(table, EXP_TOTAL, ",".join(r.columns), F.col("__ties") > 0, F.col("__ties"), "0",
+                               r.severity).alias("r")).select("r.*")
+
+
 def _exists_in(df: DataFrame, table: str, r: ExistsIn) -> DataFrame:
     """Orphans via left_anti; a NULL child key never matches, so it is an orphan.
 
@@ -200,6 +226,8 @@ def run_rules(df: DataFrame, table: str, rules: Sequence) -> DataFrame:
     for r in rules:
         if isinstance(r, Unique) and r in uniques:
             parts.append(_unique(df, table, r))
+        elif isinstance(r, OrderIsTotal):
+            parts.append(_order_is_total(df, table, r))
         elif isinstance(r, ExistsIn):
             parts.append(_exists_in(df, table, r))
     out = parts[0]

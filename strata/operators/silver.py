@@ -15,8 +15,8 @@ from ..sources.testdata import UNKNOWN_CATEGORY
 from .dedup import dedup_latest
 
 # Dedup keys and survivor orderings per silver table (orderings are built
-# per call: a Column needs an active session). The orderings are
-# total over the fixture's duplicate rows (the last columns only break ties).
+# per call: a Column needs an active session). ``total=True`` (the silver write)
+# adds every other column, for deliveries whose rows tie on the declared order.
 ITEM_KEYS = ["order_id", "order_item_id"]
 def ITEM_ORDER():
     return [F.col("shipping_limit_date").desc_nulls_last(), "product_id", "seller_id",
@@ -42,42 +42,42 @@ def add_year_month(df: DataFrame, ts: str) -> DataFrame:
     return df.withColumns(year_month(ts))
 
 
-def clean_orders(orders: DataFrame) -> DataFrame:
+def clean_orders(orders: DataFrame, total: bool = False) -> DataFrame:
     """Orders: one row per order_id (latest purchase time wins), with year/month."""
-    deduped = dedup_latest(orders, ["order_id"], ORDER_ORDER())
+    deduped = dedup_latest(orders, ["order_id"], ORDER_ORDER(), total)
     return add_year_month(deduped, "order_purchase_timestamp")
 
 
-def clean_order_items(items: DataFrame) -> DataFrame:
-    return dedup_latest(items, ITEM_KEYS, ITEM_ORDER())
+def clean_order_items(items: DataFrame, total: bool = False) -> DataFrame:
+    return dedup_latest(items, ITEM_KEYS, ITEM_ORDER(), total)
 
 
-def clean_payments(payments: DataFrame) -> DataFrame:
-    deduped = dedup_latest(payments, PAYMENT_KEYS, PAYMENT_ORDER())
+def clean_payments(payments: DataFrame, total: bool = False) -> DataFrame:
+    deduped = dedup_latest(payments, PAYMENT_KEYS, PAYMENT_ORDER(), total)
     return deduped.select(*[f.name for f in C.PAYMENTS.fields])
 
 
-def clean_products(products: DataFrame) -> DataFrame:
-    return dedup_latest(products, ["product_id"], latest_first(products) + ["product_name", "product_category_name"])
+def clean_products(products: DataFrame, total: bool = False) -> DataFrame:
+    return dedup_latest(products, ["product_id"], latest_first(products) + ["product_name", "product_category_name"], total)
 
 
-def clean_sellers(sellers: DataFrame) -> DataFrame:
-    return dedup_latest(sellers, ["seller_id"], latest_first(sellers) + ["seller_name", "seller_state"])
+def clean_sellers(sellers: DataFrame, total: bool = False) -> DataFrame:
+    return dedup_latest(sellers, ["seller_id"], latest_first(sellers) + ["seller_name", "seller_state"], total)
 
 
-def clean_customers(customers: DataFrame) -> DataFrame:
-    return dedup_latest(customers, ["customer_id"], latest_first(customers) + ["customer_unique_id", "customer_state"])
+def clean_customers(customers: DataFrame, total: bool = False) -> DataFrame:
+    return dedup_latest(customers, ["customer_id"], latest_first(customers) + ["customer_unique_id", "customer_state"], total)
 
 
-def clean_geolocation(geo: DataFrame) -> DataFrame:
+def clean_geolocation(geo: DataFrame, total: bool = False) -> DataFrame:
     """One row per zip prefix: the lowest source row id survives."""
-    return dedup_latest(geo, ["geolocation_zip_code_prefix"], ["source_row_id"])
+    return dedup_latest(geo, ["geolocation_zip_code_prefix"], ["source_row_id"], total)
 
 
-def clean_reviews(reviews: DataFrame, single_key: bool = False) -> DataFrame:
+def clean_reviews(reviews: DataFrame, single_key: bool = False, total: bool = False) -> DataFrame:
     """Reviews keyed by (review_id, order_id); ``single_key`` keys by review_id only."""
     keys = ["review_id"] if single_key else ["review_id", "order_id"]
-    deduped = dedup_latest(reviews, keys, ["order_id", F.col("review_score").desc_nulls_last()])
+    deduped = dedup_latest(reviews, keys, ["order_id", F.col("review_score").desc_nulls_last()], total)
     return fill_review_text(deduped)
 
 

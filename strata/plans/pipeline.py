@@ -111,8 +111,8 @@ def raw_to_silver(spark: SparkSession, cfg: PipelineConfig) -> None:
     # orders of that range, and their items, are re-derived and replaced row by
     # row; the slice is taken after dedup, so the survivor of a key does not
     # depend on the range.
-    orders = S.clean_orders(orders_raw)
-    items = S.clean_order_items(C.enforce_schema(D.raw_order_items(spark, cfg.sf_dir), C.ORDER_ITEMS))
+    orders = S.clean_orders(orders_raw, total=True)
+    items = S.clean_order_items(C.enforce_schema(D.raw_order_items(spark, cfg.sf_dir), C.ORDER_ITEMS), total=True)
     orders_path, items_path = cfg.p("silver", "fact_orders"), cfg.p("silver", "fact_order_items")
     if cfg.date_range:
         _backfill_facts(spark, cfg, orders, items)
@@ -122,16 +122,16 @@ def raw_to_silver(spark: SparkSession, cfg: PipelineConfig) -> None:
         write_table(items, items_path, ["year", "month"], dynamic=True, cluster_by=["order_id"])
     # payments are laid out by payment_type, which a date range does not align
     # with, so they are always rewritten whole
-    write_table(S.clean_payments(D.raw_payments(spark, cfg.sf_dir)), cfg.p("silver", "fact_payments"),
+    write_table(S.clean_payments(D.raw_payments(spark, cfg.sf_dir), total=True), cfg.p("silver", "fact_payments"),
                 ["payment_type"], dynamic=True, cluster_by=["order_id"])
     # full-refresh dimensions: published by write + row check + swap
     dims = {
-        "dim_products": (S.clean_products(C.enforce_schema(D.raw_products(spark, cfg.sf_dir), C.PRODUCTS)), None),
-        "dim_sellers": (S.clean_sellers(C.enforce_schema(D.raw_sellers(spark, cfg.sf_dir), C.SELLERS)),
+        "dim_products": (S.clean_products(C.enforce_schema(D.raw_products(spark, cfg.sf_dir), C.PRODUCTS), total=True), None),
+        "dim_sellers": (S.clean_sellers(C.enforce_schema(D.raw_sellers(spark, cfg.sf_dir), C.SELLERS), total=True),
                         ["seller_state"]),
         "dim_geolocation": (S.clean_geolocation(C.enforce_schema(D.raw_geolocation(spark, cfg.sf_dir),
-                                                                 C.GEOLOCATION)), ["geolocation_state"]),
-        "fact_order_reviews": (S.clean_reviews(C.enforce_schema(D.raw_reviews(spark, cfg.sf_dir), C.REVIEWS)),
+                                                                 C.GEOLOCATION), total=True), ["geolocation_state"]),
+        "fact_order_reviews": (S.clean_reviews(C.enforce_schema(D.raw_reviews(spark, cfg.sf_dir), C.REVIEWS), total=True),
                                ["review_score"]),
         "dim_category_translation": (D.category_translation(spark), None),
     }
@@ -146,7 +146,7 @@ def raw_to_silver(spark: SparkSession, cfg: PipelineConfig) -> None:
         return
     delivery = C.enforce_schema(D.customer_updates(spark, cfg.sf_dir), C.CUSTOMERS) if cfg.customer_updates \
         else customers_raw
-    delivery = S.clean_customers(delivery)
+    delivery = S.clean_customers(delivery, total=True)
     if MT.path_exists(spark, dim_path):
         current = spark.read.parquet(dim_path).select(*delivery.columns, *K.META)
         new_dim = K.scd2_merge(current, delivery, "customer_id", cfg.as_of)

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.columns import settled
 from . import contracts as C
 
 
@@ -226,7 +227,7 @@ def event_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("order_value") < 1.0, F.substring(full, 1, (F.length(full) / 2).cast("int")))
         .otherwise(full)
     )
-    return ev.select(F.col("event_id"), payload.alias("value"), F.col("event_timestamp"))
+    return ev.select(F.col("event_id"), settled(payload).alias("value"), F.col("event_timestamp"))
 
 
 def weather_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import has_required_keys, hour_parts
+from ..functions.columns import has_required_keys, hour_parts, object_has_keys, settled  # noqa: F401
 from ..sources import contracts as C
 
 REJECT_REASON = "missing required keys or invalid JSON"
@@ -43,8 +43,11 @@ def ingest_events(payloads: DataFrame, schema: T.StructType = C.EVENTS,
     """
     required = list(required or [f.name for f in schema.fields])
     text = F.col(value_col).cast("string")
-    flagged = payloads.withColumn("__valid", has_required_keys(text, required))
-    valid = parse_events(flagged.filter("__valid"), schema, value_col)
+    # every payload is judged and parsed once: filters on the fields must not
+    # move below the parse, which would repeat it for every condition
+    flagged = payloads.withColumn("__json", settled(F.try_parse_json(text))) \
+        .withColumn("__valid", settled(object_has_keys("__json", required))).drop("__json")
+    valid = flagged.filter("__valid").select(settled(F.from_json(text, schema)).alias("data")).select("data.*")
     if watermark:
         valid = valid.withWatermark("event_timestamp", watermark)
     quarantine = flagged.filter(~F.col("__valid")).select(

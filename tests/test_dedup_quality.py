@@ -117,3 +117,14 @@ def test_chainable_rule_set(spark):
     assert rs.validate(halt=False) is False
     with pytest.raises(Q.DataQualityError):
         rs.validate(halt=True)
+
+
+def test_order_is_total_counts_ties(spark):
+    rows = [(1, "a", "x"), (1, "a", "y"), (1, "b", "x"),  # a tie on (k, t)
+            (2, "a", "x"), (2, "a", "x"),                 # equal rows: no tie
+            (None, "a", "x"), (None, "a", None)]          # a tie of a NULL key
+    df = spark.createDataFrame(rows, "k int, t string, v string")
+    r = Q.run_rules(df, "t", [Q.OrderIsTotal(["k", "t"])]).collect()
+    assert [(x.status, x.observed_value, x.severity) for x in r] == [("FAIL", 2.0, "warn")]
+    assert Q.run_rules(df, "t", [Q.OrderIsTotal(["k", "t", "v"])]).first().status == "PASS"
+    assert Q.run_rules(df.limit(0), "t", [Q.OrderIsTotal(["k", "t"])]).first().status == "PASS"
