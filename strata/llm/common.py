@@ -62,3 +62,13 @@ def map_rows(df: DataFrame, column: str, ddl: str,
     names = kept.columns
     plain = kept.toDF(*[f"c{i}" for i in range(len(names))])
     return plain.mapInArrow(run(f"c{names.index(column)}"), extended(plain, ddl)).toDF(*names, *added)
+
+
+def row_keys(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, text, k1, k2) of every row: rows of equal id and text share the 128-bit key, others don't.
+
+    Results found per key are joined back to all rows that hold it, so no row
+    needs a number of its own.
+    """
+    rows = docs.select(F.col(quoted(doc_id)).alias("doc_id"), F.col(quoted(text)).alias("text"))
+    return rows.select("*", F.xxhash64("doc_id", "text").alias("k1"), F.xxhash64(F.lit(1), "doc_id", "text").alias("k2"))
