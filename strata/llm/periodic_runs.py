@@ -5,9 +5,12 @@ least ``LEAST`` words and ``EXPONENT`` periods long. Periods are searched per
 octave, s <= q < 2s. A document is cut into overlapping tiles per octave: one
 boundary every s words, the tile from s words before it to 3s + GRAM words
 after it. A run of the octave covers, at some boundary b, the words b to b + 3q,
-so a tile matters only if the words at b come again q words on; such tiles
-alone become rows (one comparison of gram hashes per word and octave finds
-them) and are dealt evenly over the cluster, a long document's tiles too.
+and a run that leaves a tile covers the next tile's boundary with a period and a
+gram. So a tile matters only if the gram at b comes again q words on, and only
+beside a boundary from which on almost 3q words do (comparisons of hashes, one
+per word and octave, find them). Of a long run, tiles within give way to one link. The
+others alone become rows and are dealt evenly over the cluster, a long
+document's tiles too.
 
 Every tile is solved alone: the Z-function from its boundary on tells how
 far the words repeat q words later, the Z-function of the reversed tile how
@@ -40,7 +43,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import row_keys, written
-from .textkit import NOT_BLANK, pieces, row_counts, shingle_hashes, span_hashes, text_bytes, word_spans
+from .textkit import NOT_BLANK, pieces, powers, row_counts, shingle_hashes, span_hashes, text_bytes, word_spans
 
 QUERY = "op11_periodic_runs"
 ORACLE = None  # no checksum function in SQL: held against brute force in tests/llm/test_periodic_runs.py
@@ -55,24 +58,71 @@ RESULT = ("doc_id {kind}, n_runs long, start long, length long, period long, exp
           "runs_sha256 string, collapsed_sha256 string")
 
 
-def hot_tiles(words: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Per octave s: rows and boundaries (from the row's first word) of the tiles that may touch a run.
+def smallest_factors(n: int) -> np.ndarray:
+    """The smallest prime factor of every number up to n (of 0 and 1: themselves)."""
+    out = np.arange(n + 1)
+    for p in range(2, int(n ** 0.5) + 1):
+        if out[p] == p:
+            own = out[p * p::p]
+            own[own == np.arange(p * p, n + 1, p)] = p
+    return out
+
+
+def hot_tiles(words: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """Per octave s: rows and boundaries (from the row's first word) of the tiles that may hold an end of a run, and links.
 
     ``words``: hashes of all words, ``first``: where each row's words begin.
+    A boundary whose gram comes again after q words is a candidate. At one of
+    the first s words of a run even m = max(LEAST - 1, 3 q) - s + 1 words do,
+    which the hashes of both stretches tell: a strong candidate, unless the
+    stretch has a period that divides q. Candidates stay if they are linked to a
+    strong one by candidates of the same period at boundaries in a row. Where
+    strong ones follow each other, those between the first and the last are one
+    link (row, q, start, end): all their words repeat.
     """
     n = np.diff(first)
-    grams = {g: shingle_hashes(words, first, g) for g in (GRAM, LONG_GRAM)}
+    up, down = powers(len(words) + 1)
+    sums = np.zeros(len(words) + 1, np.uint64)
+    np.cumsum(words * up[:len(words)], out=sums[1:])
+
+    def same(x: np.ndarray, y: np.ndarray, m: np.ndarray) -> np.ndarray:
+        """Whether the m words from x on equal those from y on."""
+        return (sums[x + m] - sums[x]) * down[x] == (sums[y + m] - sums[y]) * down[y]
+
     s = 1
     while s * EXPONENT <= n.max(initial=0):
-        gram, offsets = grams[LONG_GRAM if 2 * s >= LONG_GRAM else GRAM]
-        count = np.diff(offsets)
-        row = np.repeat(np.arange(len(n)), count)
+        g = LONG_GRAM if 2 * s >= LONG_GRAM else GRAM
+        gram, offsets = shingle_hashes(words, first, g)
+        row = np.repeat(np.arange(len(n)), np.diff(offsets))
         place = np.arange(len(gram)) - offsets[row]
         block = place // s
-        back = np.minimum(place, place - (block - 1) * s)  # from the boundary one block earlier: the period
-        found = np.flatnonzero((block > 0) & (gram == gram[np.arange(len(gram)) - back]))
-        keys = np.unique(np.stack([row[found], place[found] - back[found]]), axis=1)
-        yield s, keys[0], keys[1]
+        back = place - (block - 1) * s  # from the boundary one block earlier: the period
+        found = np.flatnonzero((block > 0) & (gram == gram[np.arange(len(gram)) - np.minimum(place, back)]))
+        order = np.lexsort((place[found] - back[found], back[found], row[found]))
+        found = found[order]
+        row, q, at = row[found], back[found], place[found] - back[found]
+        x = first[row] + at
+        m = np.maximum(LEAST - 1, (EXPONENT - 1) * q) - s + 1
+        strong = at + q + m <= n[row]
+        strong[strong] = same(x[strong], (x + q)[strong], m[strong])
+        left, factors = np.where(strong, q, 1), smallest_factors(int(q.max(initial=1)))
+        while (left > 1).any():
+            factor = factors[left]
+            on = np.flatnonzero(left > 1)
+            part = q[on] // factor[on]
+            strong[on] &= ~same(x[on], x[on] + part, m[on] + q[on] - part)
+            left = left // np.maximum(factor, 1)
+        follows = np.zeros(len(row) + 1, bool)  # this candidate is the boundary after the one before
+        follows[1:-1] = (row[1:] == row[:-1]) & (q[1:] == q[:-1]) & (at[1:] == at[:-1] + s)
+        chain = np.cumsum(~follows[:-1]) - 1
+        kept = np.bincount(chain, strong, int((~follows[:-1]).sum()))[chain] > 0
+        on = np.concatenate([[False], strong, [False]])
+        before, after = on[:-2] & follows[:-1], on[2:] & follows[1:]
+        opens, closes = np.flatnonzero(strong & ~before & after), np.flatnonzero(strong & before & ~after)
+        links = np.stack([row[opens], q[opens], at[opens], at[closes] + q[closes] + m[closes]], axis=1)
+        kept &= ~(strong & before & after)
+        keys = np.unique(np.stack([row[kept], at[kept]]), axis=1)
+        yield s, keys[0], keys[1], links
         s *= 2
 
 
@@ -114,14 +164,15 @@ def fragments(codes: np.ndarray, boundary: int, octave: int) -> list[tuple[int,
     for q in range(octave, min(2 * octave, len(after))):
         right, left = z[q], back[base - q] if behind else 0
         start, end = boundary - left, boundary + q + right
-        cut = start == 0 or end == size
+        cut = end == size or start == 0 and boundary == octave
         if end - start >= max(LEAST, EXPONENT * q) or cut and right >= GRAM:
             out.append((q, start, end))
     return out
 
 
 def tiles_of(docs: DataFrame) -> DataFrame:
-    """Rows of ``row_keys`` as rows of two kinds: the row itself (octave 0; its text only if it has tiles), and its tiles.
+    """Rows of ``row_keys`` as rows of three kinds: the row itself (octave 0; its text only if it has tiles), its tiles
+    (octave s), and its links (octave -q, boundary: the length, no codes).
 
     A row without tiles has no runs, and its result is settled here.
     """
@@ -135,8 +186,14 @@ def tiles_of(docs: DataFrame) -> DataFrame:
             raw, hot, n = data.tobytes(), np.zeros(batch.num_rows, bool), np.diff(first)
             codes = pd.factorize(words)[0].astype("<i4")
             k1, k2 = (batch.column(c).to_numpy() for c in ("k1", "k2"))
-            for s, rows, at in hot_tiles(words, first):
+            for s, rows, at, links in hot_tiles(words, first):
                 hot[rows] = True
+                if len(links):
+                    row, q, start, end = links.T
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.nulls(len(row), batch.column("doc_id").type), pa.nulls(len(row), pa.string()), pa.array(k1[row]), pa.array(k2[row]),
+                         pa.array((-q).astype(np.int32)), pa.array((end - start).astype(np.int32)), pa.array(start.astype(np.int32)),
+                         pa.nulls(len(row), pa.binary()), pa.nulls(len(row), pa.string())], NAMES)
                 lo, hi = np.maximum(at - s, 0), np.minimum(at + 3 * s + LONG_GRAM, n[rows])
                 for a in range(0, len(rows), 4096):
                     part = slice(a, a + 4096)
@@ -159,14 +216,16 @@ NAMES = ["doc_id", "text", "k1", "k2", "octave", "boundary", "first", "codes", "
 
 
 def solved(tiles: DataFrame) -> DataFrame:
-    """Fragments (k1, k2, period, start, end) of tiles, which are dealt evenly, whatever document they are of."""
+    """Fragments (k1, k2, period, start, end) of tiles and links, which are dealt evenly, whatever document they are of."""
     dealt = tiles.repartition(int(tiles.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             k1, k2, octave, boundary, first = (batch.column(c).to_numpy() for c in ("k1", "k2", "octave", "boundary", "first"))
-            rows = [(i, q, first[i] + a, first[i] + b) for i, codes in enumerate(batch.column("codes").to_pylist())
-                    for q, a, b in fragments(np.frombuffer(codes, "<i4"), int(boundary[i]), int(octave[i]))]
+            rows = []
+            for i, codes in enumerate(batch.column("codes").to_pylist()):
+                own = [(-octave[i], 0, boundary[i])] if codes is None else fragments(np.frombuffer(codes, "<i4"), int(boundary[i]), int(octave[i]))
+                rows += [(i, q, first[i] + a, first[i] + b) for q, a, b in own]
             got = np.array(rows, np.int64).reshape(-1, 4)
             yield pa.RecordBatch.from_arrays([pa.array(k1[got[:, 0]]), pa.array(k2[got[:, 0]]), *(pa.array(c) for c in got[:, 1:].T)],
                                              ["k1", "k2", "period", "start", "end"])
@@ -209,7 +268,7 @@ def periodic_runs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     """
     tiled = written(tiles_of(row_keys(docs, doc_id, text)), "tiles")
     kind = docs.schema[doc_id].dataType.simpleString()
-    runs = written(stitched(solved(tiled.where("octave > 0"))), "runs")
+    runs = written(stitched(solved(tiled.where("octave <> 0"))), "runs")
     rows = tiled.where("octave = 0")
     busy = rows.where("text IS NOT NULL").select("doc_id", "text", "k1", "k2").join(runs, ["k1", "k2"], "left")
     schema = RESULT.format(kind=kind) + ", runs array<struct<start: long, length: long, period: long>>"
