@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 MODULES = (
     "quality_rules", "license_scan", "topk_search", "jaccard_join", "viterbi", "token_files", "token_count", "packing", "secret_scan", "toxicity",
-    "periodic_runs", "whitening",
+    "periodic_runs", "substring_dedup", "whitening",
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
