@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import row_keys, written
+from .common import discard, row_keys, written
 from .textkit import NOT_BLANK, pieces as text_pieces, powers, mix, ranges, row_counts, shingle_hashes, span_hashes, text_bytes, word_spans
 
 QUERY = "op12_substring_dedup"
@@ -194,7 +194,7 @@ NAMES = ["kind", "name", "place", "a", "b"]
 
 
 def repeated_spans(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """Repeated spans per row key (k1, k2, spans: array of at, edges, d1, d2; digests null where single edges were counted).
+    """Repeated spans per row key, written (k1, k2, spans: array of at, edges, d1, d2; digests null where single edges were counted).
 
     ``docs``: rows of ``row_keys``; ``found``: their ``piece_table``, written.
     """
@@ -216,14 +216,17 @@ def repeated_spans(docs: DataFrame, found: DataFrame) -> DataFrame:
         "k1", "k2", F.struct((F.col("at") + F.col("place")).cast("int").alias("at"), F.lit(1).cast("long").alias("edges"),
                              none.alias("d1"), none.alias("d2")).alias("span"))
     one = whole.unionByName(parts).distinct()  # rows of equal id and text have equal spans
-    return one.groupBy("k1", "k2").agg(F.collect_list("span").alias("spans"))
+    spans = written(one.groupBy("k1", "k2").agg(F.collect_list("span").alias("spans")), "spans")
+    discard(graph, paths, crowded, seen, known, twice, single)
+    return spans
 
 
 def substring_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", with_text: bool = False) -> DataFrame:
     """Per row: doc_id, n_words, n_removed, kept_sha256, removed (array of first word and end), and with_text the kept words as text."""
     rows = row_keys(docs, doc_id, text)
     found = written(piece_table(rows), "pieces")
-    spans = written(repeated_spans(rows, found), "spans")
+    spans = repeated_spans(rows, found)
+    discard(found)
     kind = rows.schema["doc_id"].dataType.simpleString()
     joined = rows.join(spans, ["k1", "k2"], "left").select("doc_id", "text", "spans")
 
