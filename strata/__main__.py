@@ -2,7 +2,7 @@
 
     python -m strata pipeline --sf-dir DIR --out ROOT --as-of 2024-01-01 [--stages raw_to_silver ...]
                               [--payload-dir DIR] [--customer-updates] [--date-range START END]
-                              [--catalog-db gold]
+                              [--catalog-db gold] [--sources tables.json]
     python -m strata query NAME --sf-dir DIR --out PATH
     python -m strata list
 
@@ -21,7 +21,8 @@ def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="strata")
     sub = ap.add_subparsers(dest="cmd", required=True)
     p = sub.add_parser("pipeline", help="run pipeline stages")
-    p.add_argument("--sf-dir", required=True)
+    p.add_argument("--sf-dir", default="", help="folder of the driver's tables (without --sources)")
+    p.add_argument("--sources", help="JSON file: raw table -> path, columns, defaults (sources.binding)")
     p.add_argument("--out", required=True)
     p.add_argument("--as-of", required=True)
     p.add_argument("--stages", nargs="*")
@@ -47,9 +48,13 @@ def main(argv: list[str] | None = None) -> int:
     spark = get_session()
     if args.cmd == "pipeline":
         from .plans import pipeline as P
+        from .sources.binding import BoundTables
+        if not args.sources and not args.sf_dir:
+            ap.error("--sf-dir or --sources is needed")
+        sources = BoundTables.from_json(open(args.sources).read()) if args.sources else None
         cfg = P.PipelineConfig(args.sf_dir, args.out, args.as_of, payload_dir=args.payload_dir,
                                customer_updates=args.customer_updates, halt_on_dq=not args.no_halt,
-                               catalog_database=args.catalog_db,
+                               catalog_database=args.catalog_db, sources=sources,
                                date_range=tuple(args.date_range) if args.date_range else None)
         res = P.run(spark, cfg, args.stages)
         print(json.dumps(res, default=str))

@@ -22,9 +22,9 @@ def ITEM_ORDER():
     return [F.col("shipping_limit_date").desc_nulls_last(), "product_id", "seller_id",
             F.col("price").desc_nulls_last()]
 PAYMENT_KEYS = ["order_id", "payment_sequential"]
-def PAYMENT_ORDER():
-    return [F.col("paid_at").desc_nulls_last(), "product_id", "seller_id",
-            F.col("payment_value").desc_nulls_last()]
+def PAYMENT_ORDER(payments: DataFrame):
+    ties = [c for c in ("product_id", "seller_id") if c in payments.columns]  # a delivery may lack them
+    return [F.col("paid_at").desc_nulls_last(), *ties, F.col("payment_value").desc_nulls_last()]
 def ORDER_ORDER():
     return [F.col("order_purchase_timestamp").desc_nulls_last(), "order_status", "customer_id"]
 
@@ -44,17 +44,17 @@ def add_year_month(df: DataFrame, ts: str) -> DataFrame:
 
 def clean_orders(orders: DataFrame, total: bool = False) -> DataFrame:
     """Orders: one row per order_id (latest purchase time wins), with year/month."""
-    deduped = dedup_latest(orders, ["order_id"], ORDER_ORDER(), total)
+    deduped = dedup_latest(orders, ["order_id"], latest_first(orders) + ORDER_ORDER(), total)
     return add_year_month(deduped, "order_purchase_timestamp")
 
 
 def clean_order_items(items: DataFrame, total: bool = False) -> DataFrame:
-    return dedup_latest(items, ITEM_KEYS, ITEM_ORDER(), total)
+    return dedup_latest(items, ITEM_KEYS, latest_first(items) + ITEM_ORDER(), total)
 
 
 def clean_payments(payments: DataFrame, total: bool = False) -> DataFrame:
-    deduped = dedup_latest(payments, PAYMENT_KEYS, PAYMENT_ORDER(), total)
-    return deduped.select(*[f.name for f in C.PAYMENTS.fields])
+    deduped = dedup_latest(payments, PAYMENT_KEYS, latest_first(payments) + PAYMENT_ORDER(payments), total)
+    return deduped.select(*[f.name for f in C.PAYMENTS.fields], *[c for c in ("updated_at",) if c in payments.columns])
 
 
 def clean_products(products: DataFrame, total: bool = False) -> DataFrame:
@@ -70,14 +70,14 @@ def clean_customers(customers: DataFrame, total: bool = False) -> DataFrame:
 
 
 def clean_geolocation(geo: DataFrame, total: bool = False) -> DataFrame:
-    """One row per zip prefix: the lowest source row id survives."""
-    return dedup_latest(geo, ["geolocation_zip_code_prefix"], ["source_row_id"], total)
+    """One row per zip prefix: the latest change, then the lowest source row id survives."""
+    return dedup_latest(geo, ["geolocation_zip_code_prefix"], latest_first(geo) + ["source_row_id"], total)
 
 
 def clean_reviews(reviews: DataFrame, single_key: bool = False, total: bool = False) -> DataFrame:
     """Reviews keyed by (review_id, order_id); ``single_key`` keys by review_id only."""
     keys = ["review_id"] if single_key else ["review_id", "order_id"]
-    deduped = dedup_latest(reviews, keys, ["order_id", F.col("review_score").desc_nulls_last()], total)
+    deduped = dedup_latest(reviews, keys, latest_first(reviews) + ["order_id", F.col("review_score").desc_nulls_last()], total)
     return fill_review_text(deduped)
 
 

@@ -38,7 +38,7 @@ from ..operators import quality as Q
 from ..operators import scd2 as K
 from ..operators import silver as S
 from ..sources import contracts as C
-from ..sources import testdata as D
+from ..sources.binding import CONTRACTS, KEYS, BoundTables, FixtureTables, contract_of
 from ..streaming import jobs
 from . import maintenance as MT
 from .serving import register_catalog
@@ -55,6 +55,11 @@ SILVER_PARTITIONS = {
 CLUSTERED = {"fact_orders": ["order_id"], "fact_order_items": ["order_id"], "fact_payments": ["order_id"],
              "dim_customers": ["customer_id"]}
 
+MOST = 1_000_000_000  # no price, freight or payment is larger
+# Silver tables whose columns are held against the contract. Partition columns come back as Spark reads them, so
+# tables laid out by a column of the contract are left out.
+AUDITED = {"orders": "fact_orders", "order_items": "fact_order_items", "products": "dim_products"}
+
 HOURLY_SCHEMA = T.StructType([T.StructField("window_start", T.TimestampType()),
                               T.StructField("window_end", T.TimestampType()),
                               T.StructField("order_status", T.StringType()),
@@ -73,8 +78,13 @@ class PipelineConfig:
     extra_gold: bool = True
     catalog_database: str | None = None   # register gold as catalog tables + serving views
     date_range: tuple[str, str] | None = None   # backfill: re-derive facts of these dates only (M7)
+    sources: BoundTables | None = None   # the user's raw tables; by default those of ``sf_dir``
     results: dict = field(default_factory=dict)
 
+    @property
+    def tables(self) -> BoundTables | FixtureTables:
+        return self.sources or FixtureTables(self.sf_dir, self.customer_updates)
+
     def p(self, *parts: str) -> str:
         return os.path.join(self.out_root, *parts)
 
@@ -98,42 +108,38 @@ def read_optional(spark: SparkSession, path: str, schema) -> DataFrame:
 def raw_to_silver(spark: SparkSession, cfg: PipelineConfig) -> None:
     # every raw delivery is projected onto its contract first (try_cast, missing
     # columns NULL-filled, extra columns dropped)
-    orders_raw = C.enforce_schema(D.raw_orders(spark, cfg.sf_dir), C.ORDERS)
-    customers_raw = C.enforce_schema(D.raw_customers(spark, cfg.sf_dir), C.CUSTOMERS)
+    raw = {name: cfg.tables.read(spark, name) for name in CONTRACTS}
     # soft gate on the raw deliveries (log only), as the reference does before dedup
-    soft = Q.union_results(
-        Q.run_rules(orders_raw, "raw_orders", [Q.NotNull("order_id", 0.01, Q.WARN), Q.Unique("order_id", Q.WARN)]),
-        Q.run_rules(customers_raw, "raw_customers",
-                    [Q.NotNull("customer_id", 0.01, Q.WARN), Q.Unique("customer_id", Q.WARN)]))
-    _log_results(cfg, soft)
+    soft = [Q.run_rules(raw["orders"], "raw_orders", [Q.NotNull("order_id", 0.01, Q.WARN), Q.Unique("order_id", Q.WARN)]),
+            Q.run_rules(raw["customers"], "raw_customers",
+                        [Q.NotNull("customer_id", 0.01, Q.WARN), Q.Unique("customer_id", Q.WARN)])]
+    soft += _quarantine_rejects(spark, cfg)
+    _log_results(cfg, Q.union_results(*soft))
 
     # facts: dynamic partition overwrite. With ``date_range`` (backfill) only
     # orders of that range, and their items, are re-derived and replaced row by
     # row; the slice is taken after dedup, so the survivor of a key does not
     # depend on the range.
-    orders = S.clean_orders(orders_raw, total=True)
-    items = S.clean_order_items(C.enforce_schema(D.raw_order_items(spark, cfg.sf_dir), C.ORDER_ITEMS), total=True)
+    orders = S.clean_orders(raw["orders"], total=True)
+    items = S.clean_order_items(raw["order_items"], total=True)
     orders_path, items_path = cfg.p("silver", "fact_orders"), cfg.p("silver", "fact_order_items")
     if cfg.date_range:
         _backfill_facts(spark, cfg, orders, items)
     else:
         write_table(orders, orders_path, ["year", "month"], dynamic=True, cluster_by=["order_id"])
-        items = S.items_with_order_partition(items, spark.read.parquet(orders_path))
+        items = S.items_with_order_partition(items, _silver(spark, cfg, "fact_orders"))
         write_table(items, items_path, ["year", "month"], dynamic=True, cluster_by=["order_id"])
     # payments are laid out by payment_type, which a date range does not align
     # with, so they are always rewritten whole
-    write_table(S.clean_payments(D.raw_payments(spark, cfg.sf_dir), total=True), cfg.p("silver", "fact_payments"),
+    write_table(S.clean_payments(raw["payments"], total=True), cfg.p("silver", "fact_payments"),
                 ["payment_type"], dynamic=True, cluster_by=["order_id"])
     # full-refresh dimensions: published by write + row check + swap
     dims = {
-        "dim_products": (S.clean_products(C.enforce_schema(D.raw_products(spark, cfg.sf_dir), C.PRODUCTS), total=True), None),
-        "dim_sellers": (S.clean_sellers(C.enforce_schema(D.raw_sellers(spark, cfg.sf_dir), C.SELLERS), total=True),
-                        ["seller_state"]),
-        "dim_geolocation": (S.clean_geolocation(C.enforce_schema(D.raw_geolocation(spark, cfg.sf_dir),
-                                                                 C.GEOLOCATION), total=True), ["geolocation_state"]),
-        "fact_order_reviews": (S.clean_reviews(C.enforce_schema(D.raw_reviews(spark, cfg.sf_dir), C.REVIEWS), total=True),
-                               ["review_score"]),
-        "dim_category_translation": (D.category_translation(spark), None),
+        "dim_products": (S.clean_products(raw["products"], total=True), None),
+        "dim_sellers": (S.clean_sellers(raw["sellers"], total=True), ["seller_state"]),
+        "dim_geolocation": (S.clean_geolocation(raw["geolocation"], total=True), ["geolocation_state"]),
+        "fact_order_reviews": (S.clean_reviews(raw["reviews"], total=True), ["review_score"]),
+        "dim_category_translation": (raw["translation"], None),
     }
     for name, (df, parts) in dims.items():
         MT.publish_swap(spark, df, cfg.p("silver", name), parts)
@@ -144,12 +150,12 @@ def raw_to_silver(spark: SparkSession, cfg: PipelineConfig) -> None:
     MT.recover(spark, dim_path)
     if cfg.date_range and MT.path_exists(spark, dim_path):
         return
-    delivery = C.enforce_schema(D.customer_updates(spark, cfg.sf_dir), C.CUSTOMERS) if cfg.customer_updates \
-        else customers_raw
-    delivery = S.clean_customers(delivery, total=True)
+    delivery = S.clean_customers(raw["customers"], total=True)
     if MT.path_exists(spark, dim_path):
-        current = spark.read.parquet(dim_path).select(*delivery.columns, *K.META)
-        new_dim = K.scd2_merge(current, delivery, "customer_id", cfg.as_of)
+        current = _silver(spark, cfg, "dim_customers").select(*delivery.columns, *K.META)
+        # a new change time alone is no new version
+        tracked = [c for c in delivery.columns if c not in ("customer_id", "updated_at")]
+        new_dim = K.scd2_merge(current, delivery, "customer_id", cfg.as_of, tracked=tracked)
     else:
         new_dim = K.scd2_initial(delivery, cfg.as_of)
     cfg.results["dim_customers_rows"] = MT.publish_swap(spark, new_dim, dim_path, ["customer_state"],
@@ -160,6 +166,25 @@ def raw_to_silver(spark: SparkSession, cfg: PipelineConfig) -> None:
         register_catalog(spark, silver, f"{cfg.catalog_database}_silver")
 
 
+def _silver(spark: SparkSession, cfg: PipelineConfig, table: str) -> DataFrame:
+    return spark.read.parquet(cfg.p("silver", table))
+
+
+def _quarantine_rejects(spark: SparkSession, cfg: PipelineConfig) -> list[DataFrame]:
+    """Rows with values that a contract cannot take go to dq/rejects, with the names of the columns, per table
+    and run date; their counts per column are results of the soft gate. One scan per table that has such columns."""
+    results = []
+    for name in CONTRACTS:
+        rejects = cfg.tables.rejects(spark, name)
+        if rejects is None:
+            continue
+        tagged = rejects.withColumn("run_date", F.lit(cfg.as_of).cast("date")).drop("table_name")
+        write_table(tagged, cfg.p("dq", "rejects", f"table_name={name}"), ["run_date"], dynamic=True)
+        rules = [Q.CastsCleanly(c, t, Q.WARN) for c, t in cfg.tables.converted(spark, name)]
+        results.append(Q.run_rules(cfg.tables.raw(spark, name), f"raw_{name}", rules))
+    return results
+
+
 def _backfill_facts(spark: SparkSession, cfg: PipelineConfig, orders: DataFrame, items: DataFrame) -> None:
     """Replace the orders of the date range, older copies of them, and their items; keep all other rows."""
     orders_path, items_path = cfg.p("silver", "fact_orders"), cfg.p("silver", "fact_order_items")
@@ -190,30 +215,43 @@ def dq_audit(spark: SparkSession, cfg: PipelineConfig) -> None:
                      Q.ExistsIn("customer_id", cust.filter("is_current"), "customer_id", Q.WARN)]),
         Q.run_rules(sv("fact_order_items"), "fact_order_items",
                     [Q.Unique(["order_id", "order_item_id"]), Q.ExistsIn("product_id", sv("dim_products"), "product_id"),
-                     Q.Between("quantity", 0, 1_000_000, Q.WARN)]),
+                     Q.Between("quantity", 0, 1_000_000, Q.WARN), Q.NotNull("price", 0.0, Q.WARN), Q.Between("price", 0, MOST, Q.WARN),
+                     Q.Between("freight_value", 0, MOST, Q.WARN)]),
+        Q.run_rules(sv("fact_payments"), "fact_payments",
+                    [Q.Unique(["order_id", "payment_sequential"]), Q.NotNull("payment_value", 0.0, Q.WARN),
+                     Q.Between("payment_value", 0, MOST, Q.WARN)]),
         Q.run_rules(sv("fact_order_reviews"), "fact_order_reviews", [Q.Between("review_score", 1, 5)]),
+        *(_schema_check(sv(table), name, table) for name, table in AUDITED.items()),
     )
     logged = _log_results(cfg, results)
     cfg.results["dq_passed"] = Q.gate(logged, halt=cfg.halt_on_dq)
 
 
+def _schema_check(silver: DataFrame, name: str, table: str) -> DataFrame:
+    """Columns of the contract that a silver table lacks or holds in another type (its keys' own types are right)."""
+    contract = T.StructType([f for f in contract_of(name, silver).fields if f.name in CONTRACTS[name].names])
+    return Q.schema_results(silver.select(*[c for c in silver.columns if c in contract.names]), contract, table,
+                            silver.sparkSession)
+
+
 def speed_layer(spark: SparkSession, cfg: PipelineConfig) -> None:
     """Drain the payload landing folder: ingest → raw events → processed events."""
     if not cfg.payload_dir:
         return
     ck = cfg.p("stream", "_checkpoints")
+    events = event_schema(spark, cfg)
     jobs.ingest_job(jobs.file_payload_source(spark, cfg.payload_dir), cfg.p("stream", "raw"),
-                    f"{ck}/ingest").awaitTermination()
+                    f"{ck}/ingest", schema=events).awaitTermination()
     customers = spark.read.parquet(cfg.p("silver", "dim_customers"))
     # dq_audit has checked one current row per customer, so the static side
     # needs no per-batch dedup
-    q = jobs.process_job(jobs.valid_event_source(spark, cfg.p("stream", "raw")), customers,
+    q = jobs.process_job(jobs.valid_event_source(spark, cfg.p("stream", "raw"), events), customers,
                          cfg.p("stream", "processed"), f"{ck}/processed",
                          customers_unique=cfg.results.get("dq_passed", False))
     # tumbling hourly demand per status, scored against the previous hours as
     # each window closes (real-time alerts); an independent query over the
     # same raw table, drained concurrently
-    h = jobs.demand_alerts_job(jobs.valid_event_source(spark, cfg.p("stream", "raw")).drop("is_valid"),
+    h = jobs.demand_alerts_job(jobs.valid_event_source(spark, cfg.p("stream", "raw"), events).drop("is_valid"),
                                cfg.p("stream", "hourly_counts"), cfg.p("stream", "demand_alerts"),
                                f"{ck}/hourly_counts")
     q.awaitTermination()
@@ -221,12 +259,18 @@ def speed_layer(spark: SparkSession, cfg: PipelineConfig) -> None:
     cfg.results["late_rows_dropped"] = jobs.dropped_by_watermark(q)
 
 
+def event_schema(spark: SparkSession, cfg: PipelineConfig) -> T.StructType:
+    """The event contract with the key types of the batch orders (text or whole numbers)."""
+    keys = {f.name: f.dataType for f in _silver(spark, cfg, "fact_orders").schema.fields}
+    return T.StructType([T.StructField(f.name, keys[f.name] if f.name in KEYS else f.dataType) for f in C.EVENTS.fields])
+
+
 def silver_to_gold(spark: SparkSession, cfg: PipelineConfig) -> None:
     sv = lambda t: spark.read.parquet(cfg.p("silver", t))
     customers = sv("dim_customers").filter("is_current")
     items, products, payments = sv("fact_order_items"), sv("dim_products"), sv("fact_payments")
     translation = sv("dim_category_translation")
-    processed_schema = T.StructType(C.EVENTS.fields + [T.StructField("customer_state", T.StringType()),
+    processed_schema = T.StructType(event_schema(spark, cfg).fields + [T.StructField("customer_state", T.StringType()),
                                                         T.StructField("customer_city", T.StringType())])
     stream = read_optional(spark, cfg.p("stream", "processed"), processed_schema)
     values = LU.order_values(payments)
@@ -255,9 +299,11 @@ def silver_to_gold(spark: SparkSession, cfg: PipelineConfig) -> None:
                                   ["year"]),
             "gold_discount_impact": (B.discount_impact(items), None),
             "gold_price_vs_volume": (GX.price_vs_volume(items, products), None),
-            "gold_weather_impact": (GX.weather_impact(orders, values, D.weather_hourly(spark, cfg.sf_dir)), None),
             "gold_co_purchase": (B.co_purchase_affinity(items, products), None),
         })
+        weather = cfg.tables.weather(spark)
+        if weather is not None:
+            gold["gold_weather_impact"] = (GX.weather_impact(orders, values, weather), None)
         hourly = read_optional(spark, cfg.p("stream", "hourly_counts"), HOURLY_SCHEMA)
         gold["gold_demand_anomalies"] = (B.demand_anomalies(hourly), None)
     # order-grain tables grow with the data: range-cluster them on their

@@ -251,4 +251,4 @@ def q_order_value_metrics(spark, sf):
 
 
 # Query groups register themselves on import.
-from . import q_brief, q_gold_extra, q_ops, q_quality, q_scd2, q_stream  # noqa: E402,F401
+from . import q_brief, q_gold_extra, q_ops, q_quality, q_scd2, q_sources, q_stream  # noqa: E402,F401

@@ -69,8 +69,8 @@ def _start(df: DataFrame, path: str, checkpoint: str, trigger: dict | None, part
     return w.trigger(**(trigger or {"availableNow": True})).start()
 
 
-RAW_SCHEMA = T.StructType(C.EVENTS.fields + [T.StructField("is_valid", T.BooleanType()),
-                                             T.StructField("arrived_at", T.TimestampType())])
+RAW_FIELDS = [T.StructField("is_valid", T.BooleanType()), T.StructField("arrived_at", T.TimestampType())]
+RAW_SCHEMA = T.StructType(C.EVENTS.fields + RAW_FIELDS)
 # One event: an order's status change at a time. A repeat of all three is a duplicate delivery.
 EVENT_KEY = ["order_id", "order_status", "event_timestamp"]
 
@@ -117,9 +117,10 @@ def quarantine(spark: SparkSession, raw_path: str) -> DataFrame:
     return spark.read.parquet(raw_path).filter(~F.col("is_valid").cast("boolean")).select("payload", "reason")
 
 
-def valid_event_source(spark: SparkSession, raw_path: str) -> DataFrame:
-    """The raw table as a stream of valid events only."""
-    return spark.readStream.format("parquet").schema(RAW_SCHEMA).load(raw_path).filter(F.col("is_valid"))
+def valid_event_source(spark: SparkSession, raw_path: str, schema: T.StructType = C.EVENTS) -> DataFrame:
+    """The raw table as a stream of valid events only; ``schema`` as in ``ingest_job``."""
+    raw = T.StructType(schema.fields + RAW_FIELDS)
+    return spark.readStream.format("parquet").schema(raw).load(raw_path).filter(F.col("is_valid"))
 
 
 def process_job(events: DataFrame, customers: DataFrame, processed_path: str, checkpoint: str,
