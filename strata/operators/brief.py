@@ -3,7 +3,8 @@
 * ``top_products_per_category`` — top-k products by units per category and
   month (the limit is the feature of this report);
 * ``demand_anomalies`` — hourly demand per status against the previous
-  ``k`` hours (mean, sample stddev, z-score), flagging spikes and drops;
+  ``k`` hours (mean, sample stddev, z-score), silent hours included, flagging
+  spikes, drops and falls to zero;
 * ``discount_impact`` — sales by discount band;
 * ``co_purchase_affinity`` — per product, how many orders also bought from
   each other category. Pairs are formed against the order's *distinct
@@ -13,7 +14,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from datetime import datetime
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import band, money_sum
@@ -41,27 +44,67 @@ def top_products_per_category(items: DataFrame, products: DataFrame, orders: Dat
     return agg.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
-def demand_anomalies(hourly: DataFrame, by: str = "order_status", k: int = ANOMALY_LOOKBACK_HOURS,
-                     z: float = ANOMALY_Z) -> DataFrame:
-    """z-score of each hour's event count against the previous ``k`` present hours.
+def demand_anomalies(hourly: DataFrame, by: str = "order_status", k: int = ANOMALY_LOOKBACK_HOURS, z: float = ANOMALY_Z,
+                     first: datetime | None = None, last: datetime | None = None, after: datetime | None = None) -> DataFrame:
+    """Each hour's event count per status against the ``k`` hours before it, hours without events included.
 
     Input: one row per (window_start, ``by``) with ``n_events`` (for example
-    ``speed.hourly_counts``). The window is ordered by time within each
-    status; its partitions hold aggregated hours, not events.
+    ``speed.hourly_counts``). A status is scored in every hour with events and
+    in up to ``k`` hours of silence after it, as far as the last hour of
+    the data: after that its baseline is silence too. The baseline are the
+    hours from ``k`` before to the one before, none before the first hour of the
+    data; hours without events count as 0 in it.
+
+    ``is_spike`` and ``is_drop``: the count lies more than ``z`` sample standard
+    deviations above or below the mean. ``is_drop`` also if it falls to zero
+    after at least k / 2 hours that all had events, however steady.
+
+    Silent hours come out of the present ones by ``sequence`` up to the status's
+    next hour, and the baseline is a window over a range of hours, exact
+    integers until the last division. Windows are per status over aggregated
+    hours, never over events. ``first`` and ``last`` replace the first and last
+    hour of ``hourly`` (a stream knows them), ``after`` keeps later hours only.
     """
-    w = Window.partitionBy(by).orderBy("window_start").rowsBetween(-k, -1)
-    n = F.col("n_events").cast("double")
-    out = hourly.select("window_start", by, "n_events",
-                        F.avg(n).over(w).alias("baseline_mean"),
-                        F.stddev_samp(n).over(w).alias("baseline_std"))
-    zs = F.when(F.col("baseline_std") > 0, (n - F.col("baseline_mean")) / F.col("baseline_std"))
+    kind = hourly.schema["window_start"].dataType
+
+    def hour(t: Column) -> Column:
+        return F.floor(F.unix_seconds(t.cast("timestamp")) / 3600)
+
+    def bound(given: datetime | None, of) -> Column:
+        if given is not None:
+            return hour(F.lit(given))
+        return hour(hourly.agg(of("window_start")).scalar())  # one value, found by a job of its own: no join
+
+    h = hourly.select(F.col(by), "n_events", hour(F.col("window_start")).alias("__h"), bound(first, F.min).alias("__first"),
+                      bound(last, F.max).alias("__last"))
+    following = F.lead("__h").over(Window.partitionBy(by).orderBy("__h"))
+    h = h.withColumn("__until", F.least(F.col("__h") + k, F.coalesce(following - 1, F.col("__last")), F.col("__last")))
+    spine = h.where(F.col("__until") >= F.col("__h")).select(
+        by, "n_events", "__h", "__first", F.explode(F.sequence("__h", "__until")).alias("__at"))
+    n = F.when(F.col("__at") == F.col("__h"), F.col("n_events")).otherwise(F.lit(0)).cast("long")
+    spine = spine.select(by, "__at", "__first", n.alias("n_events"))
+    w = Window.partitionBy(by).orderBy("__at").rangeBetween(-k, -1)
+    some = F.col("n_events")
+    out = spine.select(
+        F.col(by), "__at", "n_events", F.least(F.lit(k).cast("long"), F.col("__at") - F.col("__first")).alias("__n"),
+        F.coalesce(F.sum(some).over(w), F.lit(0)).alias("__s"), F.coalesce(F.sum(some * some).over(w), F.lit(0)).alias("__q"),
+        F.count_if(some > 0).over(w).alias("__busy"))
+    if after is not None:
+        out = out.where(F.col("__at") > hour(F.lit(after)))
+    hours = F.col("__n")
+    out = out.withColumns({
+        "baseline_mean": F.when(hours > 0, F.col("__s") / hours),
+        "baseline_std": F.when(hours > 1, F.sqrt((hours * F.col("__q") - F.col("__s") * F.col("__s")) / (hours * (hours - 1)))),
+    })
+    zs = F.when(F.col("baseline_std") > 0, (some - F.col("baseline_mean")) / F.col("baseline_std"))
+    silence = (some == 0) & (hours * 2 >= k) & (F.col("__busy") == hours)
     return out.select(
-        "window_start", by, "n_events",
+        F.timestamp_seconds(F.col("__at") * 3600).cast(kind).alias("window_start"), by, "n_events",
         F.round("baseline_mean", 4).alias("baseline_mean"),
         F.round("baseline_std", 4).alias("baseline_std"),
         F.round(zs, 4).alias("z_score"),
         F.coalesce(zs > z, F.lit(False)).alias("is_spike"),
-        F.coalesce(zs < -z, F.lit(False)).alias("is_drop"))
+        (F.coalesce(zs < -z, F.lit(False)) | silence).alias("is_drop"))
 
 
 def discount_band(col: str = "discount") -> F.Column:

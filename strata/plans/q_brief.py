@@ -29,13 +29,21 @@ def q_top_products(spark, sf):
 @query("demand_anomalies", O.sql(f"""
     WITH h AS (SELECT time_bucket(INTERVAL 1 HOUR, event_timestamp) AS window_start, order_status,
                       count(*) AS n_events FROM stream_orders GROUP BY 1, 2),
-    s AS (SELECT window_start, order_status, n_events,
-                 AVG(CAST(n_events AS DOUBLE)) OVER w AS m, STDDEV_SAMP(CAST(n_events AS DOUBLE)) OVER w AS sd
-          FROM h WINDOW w AS (PARTITION BY order_status ORDER BY window_start
-                              ROWS BETWEEN {_K} PRECEDING AND 1 PRECEDING)),
-    z AS (SELECT *, CASE WHEN sd > 0 THEN (n_events - m) / sd END AS zs FROM s)
-    SELECT window_start, order_status, n_events, ROUND(m, 4) AS baseline_mean, ROUND(sd, 4) AS baseline_std,
-           ROUND(zs, 4) AS z_score, COALESCE(zs > {_Z}, FALSE) AS is_spike, COALESCE(zs < -{_Z}, FALSE) AS is_drop
+    ends AS (SELECT min(window_start) AS lo, max(window_start) AS hi FROM h),
+    spine AS (SELECT s.order_status, t.ts AS window_start
+              FROM (SELECT DISTINCT order_status FROM h) s, ends, unnest(generate_series(lo, hi, INTERVAL 1 HOUR)) t(ts)),
+    full_h AS (SELECT p.window_start, p.order_status, COALESCE(h.n_events, 0) AS n, h.n_events IS NOT NULL AS present
+               FROM spine p LEFT JOIN h ON h.window_start = p.window_start AND h.order_status IS NOT DISTINCT FROM p.order_status),
+    s AS (SELECT window_start, order_status, n, AVG(CAST(n AS DOUBLE)) OVER w AS m, STDDEV_SAMP(CAST(n AS DOUBLE)) OVER w AS sd,
+                 count(*) OVER w AS hours, MIN(n) OVER w AS least_n,
+                 MAX(CASE WHEN present THEN window_start END) OVER (PARTITION BY order_status ORDER BY window_start) AS seen
+          FROM full_h WINDOW w AS (PARTITION BY order_status ORDER BY window_start
+                                   ROWS BETWEEN {_K} PRECEDING AND 1 PRECEDING)),
+    z AS (SELECT *, CASE WHEN sd > 1e-9 THEN (n - m) / sd END AS zs FROM s
+          WHERE window_start <= seen + to_hours({_K}))
+    SELECT window_start, order_status, CAST(n AS BIGINT) AS n_events, ROUND(m, 4) AS baseline_mean, ROUND(sd, 4) AS baseline_std,
+           ROUND(zs, 4) AS z_score, COALESCE(zs > {_Z}, FALSE) AS is_spike,
+           COALESCE(zs < -{_Z}, FALSE) OR (n = 0 AND hours * 2 >= {_K} AND COALESCE(least_n, 0) > 0) AS is_drop
     FROM z""", "stream_orders"))
 def q_demand_anomalies(spark, sf):
     hourly = speed.hourly_counts(Layers(spark, sf).stream_orders)

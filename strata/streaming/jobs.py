@@ -150,22 +150,33 @@ def dropped_by_watermark(query: StreamingQuery) -> int:
 def demand_alerts_job(events: DataFrame, counts_path: str, alerts_path: str, checkpoint: str,
                       lookback_hours: int = 24, z: float = 3.0, watermark: str = WATERMARK,
                       trigger: dict | None = None) -> StreamingQuery:
-    """Real-time demand anomalies (N4, streaming form).
+    """Real-time demand anomalies (N4, streaming form), hours without events included.
 
     Hourly windows are counted with a watermark; as windows close, each
     micro-batch (``foreachBatch``):
     1. writes its closed windows to ``counts_path``, partitioned by
        (window date, batch_id) with dynamic overwrite, so a retried batch
        replaces its own output and nothing else;
-    2. reads back only the windows of the last ``lookback_hours`` before its
-       earliest new window (a date filter prunes partitions), scores the new
-       windows against them, and writes the scores to ``alerts_path`` the same way.
-    Work per batch is bounded by the look-back, not by the history length.
+    2. scores, for all statuses, the hours after the last one that earlier
+       batches closed, up to the last one that this batch closed, and writes the
+       scores to ``alerts_path`` the same way. A batch closes all windows up to a
+       time at once, so these hours are final and each is scored once, in
+       whichever batch: the result is the same as ``demand_anomalies`` over
+       all counts, however the stream is cut. A status that falls silent is
+       scored as soon as another one closes an hour.
+    Read back are the hours that the scores can depend on (twice the look-back
+    before the last scored hour); the ends of the history come from its partition
+    dates. Work per batch does not grow with the history.
     """
     from ..operators.brief import demand_anomalies
 
     counts = speed.hourly_counts(events.withWatermark("event_timestamp", watermark))
 
+    def edge(history: DataFrame, of):
+        """The first or last hour of the counts: its date from the partitions, its hour from that date alone."""
+        date = history.agg(of("window_date")).first()[0]
+        return None if date is None else history.where(F.col("window_date") == F.lit(date)).agg(of("window_start")).first()[0]
+
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         # the batch holds only the windows that closed in it (a few rows per
@@ -173,20 +184,19 @@ def demand_alerts_job(events: DataFrame, counts_path: str, alerts_path: str, che
         # recomputed, so it is kept for the duration of this call
         batch = batch.persist()
         try:
-            first = batch.agg(F.min("window_start")).first()[0]
+            first, last = batch.agg(F.min("window_start"), F.max("window_start")).first()
             if first is None:
                 return
             tag = {"window_date": F.to_date("window_start"), "batch_id": F.lit(batch_id)}
             batch.withColumns(tag).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
                 .partitionBy("window_date", "batch_id").parquet(counts_path)
-            lo = first - timedelta(hours=lookback_hours)
-            recent = spark.read.parquet(counts_path).filter(
-                (F.col("window_date") >= F.lit(lo.date())) & (F.col("window_start") >= F.lit(lo)))
-            scored = demand_anomalies(recent.select("window_start", "order_status", "n_events"),
-                                      k=lookback_hours, z=z)
-            new = batch.select(F.col("window_start").alias("new_start"), F.col("order_status").alias("new_status"))
-            out = scored.join(new, (F.col("window_start") == F.col("new_start"))
-                              & F.col("order_status").eqNullSafe(F.col("new_status")), "left_semi")
+            closed = spark.read.parquet(counts_path).where(F.col("batch_id") <= batch_id)
+            done = edge(closed.where(F.col("batch_id") < batch_id), F.max)
+            origin = edge(closed, F.min)
+            lo = (done or first) - timedelta(hours=2 * lookback_hours)
+            recent = closed.where((F.col("window_date") >= F.lit(lo.date())) & (F.col("window_start") >= F.lit(lo)))
+            out = demand_anomalies(recent.select("window_start", "order_status", "n_events"), k=lookback_hours, z=z,
+                                   first=origin, last=last, after=done)
             out.withColumns(tag).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
                 .partitionBy("window_date", "batch_id").parquet(alerts_path)
         finally:

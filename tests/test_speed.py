@@ -1,9 +1,11 @@
 import datetime as dt
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from strata.sources import contracts as C
+from strata.operators.brief import demand_anomalies
 from strata.streaming import jobs, speed
 
 REQ = ["order_id", "customer_id"]
@@ -148,3 +150,43 @@ def test_demand_alerts_stream_flags_a_spike(spark, tmp_dir):
     # every closed window was scored exactly once
     assert a.groupBy("window_start", "order_status").count().filter("count > 1").count() == 0
     assert a.count() == spark.read.parquet(counts).count() == 31
+
+
+def _silent_events(t0):
+    """Steady views with one silent hour, buys that stop for two days, a status that comes late, a null status."""
+    rows = []
+    for h in range(100):
+        n = {"view": 0 if h == 40 else 5, "buy": (3 + h % 3) if h < 30 or h > 85 else 0, "new": 2 if h > 50 else 0, None: h % 2}
+        rows += [(h * 100 + i, 1, s, t0 + dt.timedelta(hours=h, minutes=i), 1.0) for s, c in n.items() for i in range(c)]
+    return rows
+
+
+@pytest.mark.parametrize("cuts", [(), (20, 61), (5, 29, 33, 41, 86)])
+def test_silent_hours_are_scored_alike_in_any_drains(spark, tmp_dir, cuts):
+    src, counts, alerts, ck = (os.path.join(tmp_dir, p) for p in ("raw", "counts", "alerts", "ck"))
+    t0 = dt.datetime(2024, 1, 10, 0, 0)
+    rows = _silent_events(t0)
+    at = [0, *(t0 + dt.timedelta(hours=c) for c in cuts), dt.datetime(2100, 1, 1)]
+    for lo, hi in zip([t0, *at[1:]], at[1:]):
+        _drop(spark, [r for r in rows if lo <= r[3] < hi], src)
+        jobs.demand_alerts_job(jobs.event_file_source(spark, src), counts, alerts, ck).awaitTermination()
+    jobs.demand_alerts_job(jobs.event_file_source(spark, src), counts, alerts, ck).awaitTermination()
+    cols = ["window_start", "order_status", "n_events", "baseline_mean", "baseline_std", "z_score", "is_spike", "is_drop"]
+    got = sorted(map(str, spark.read.parquet(alerts).select(cols).collect()))
+    closed = spark.read.parquet(counts)
+    last = closed.agg(F.max("window_start")).first()[0]
+    batch = spark.createDataFrame(rows, EVENT_COLS).where(F.col("event_timestamp") < F.lit(last + dt.timedelta(hours=1)))
+    want = demand_anomalies(speed.hourly_counts(batch)).select(cols).collect()
+    assert got == sorted(map(str, want)) and len(got) == len(set(got))
+    drops = {(r.order_status, (r.window_start - t0) // dt.timedelta(hours=1)) for r in want if r.is_drop}
+    assert {("view", 40), ("buy", 30)} <= drops and not any(s == "view" and h != 40 for s, h in drops)
+    hours = {(r.window_start - t0) // dt.timedelta(hours=1) for r in want if r.order_status == "buy" and r.n_events == 0}
+    assert hours == set(range(30, 54))  # a look-back's silence after the last sale, no more
+
+
+def test_anomalies_of_empty_and_far_hours(spark):
+    kind = "window_start timestamp, order_status string, n_events long"
+    assert demand_anomalies(spark.createDataFrame([], kind)).collect() == []
+    far = [(dt.datetime(1970, 1, 2), "a", 1), (dt.datetime(2024, 1, 1), "a", 2), (dt.datetime(2024, 1, 1, 3), "b", 1)]
+    got = demand_anomalies(spark.createDataFrame(far, kind)).collect()
+    assert len(got) == 25 + 4 + 1 and max(r.window_start for r in got) == dt.datetime(2024, 1, 1, 3)
