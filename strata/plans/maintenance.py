@@ -3,7 +3,7 @@ readiness, inventory, freshness and retention.
 
 Rewriting a table in place (read a path, overwrite the same path) deletes
 the data it is reading. Every rewrite here writes a new folder first,
-checks the row count, then swaps folders; a failed check leaves the old
+checks the rows, then swaps folders (compaction: files); a failed check leaves the old
 table untouched. A swap is two renames; if a run ends between them, ``recover``
 restores the old version. On object stores readers should go through a
 catalog location switch instead.
@@ -15,9 +15,8 @@ import uuid
 from collections.abc import Mapping, Sequence
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from ..functions.columns import as_date, in_date_range
 from .writers import write_table
@@ -84,28 +83,131 @@ def publish_swap(spark: SparkSession, df: DataFrame, path: str, partition_by: Se
     return written
 
 
-def count_files(spark: SparkSession, path: str) -> int:
-    df = spark.read.parquet(path)
-    return df.select(F.count_distinct(F.col("_metadata.file_path"))).first()[0]
+# Files under this share of the target size are worth merging.
+SMALL_SHARE = 0.75
+TARGET_BYTES = 256 << 20
+FILES_AT_ONCE = 50_000  # files that one rewrite reads; a table with more takes several rounds
+
+
+def list_files(spark: SparkSession, tables: Mapping[str, str]) -> DataFrame:
+    """(table_name, file_path, path, bytes, modified) of every data file, also files without rows.
+
+    Only listings are read (in Spark tasks once there are many folders), no
+    file is opened. A table without a folder, or an empty one, has no rows here.
+    """
+    out = spark.createDataFrame([], "table_name string, file_path string, path string, bytes long, modified timestamp")
+    for name, path in tables.items():
+        if not path_exists(spark, path):
+            continue
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+        out = out.unionByName(files.select(F.lit(name).alias("table_name"), F.col("_metadata.file_path").alias("file_path"), "path",
+                                           F.col("length").alias("bytes"), F.col("modificationTime").alias("modified")))
+    return out
+
+
+def compaction_plan(files: DataFrame, target_bytes: int) -> DataFrame:
+    """Files to rewrite (folder, file_path, path, bytes, bin): bins of small files of one folder, filled in order of path
+    up to the target size. A bin of one file is left alone, so is a file of ``SMALL_SHARE`` of the target or more."""
+    small = files.where(F.col("bytes") < int(target_bytes * SMALL_SHARE)).withColumn("folder", F.regexp_extract("path", "^(.*)/[^/]+$", 1))
+    before = F.sum("bytes").over(Window.partitionBy("folder").orderBy("path").rowsBetween(Window.unboundedPreceding, -1))
+    binned = small.withColumn("bin", F.floor(F.coalesce(before, F.lit(0)) / target_bytes))
+    mates = F.count(F.lit(1)).over(Window.partitionBy("folder", "bin"))
+    return binned.withColumn("mates", mates).where("mates > 1").select("folder", "file_path", "path", "bytes", "bin")
+
+
+def _contents(df: DataFrame, columns: Sequence[str]) -> tuple[int, object]:
+    """Row count and an order-free sum of row hashes."""
+    row = F.xxhash64(F.to_json(F.struct(*columns))) if columns else F.lit(0)
+    got = df.agg(F.count(F.lit(1)), F.sum(row.cast("decimal(38,0)"))).first()
+    return got[0], got[1]
 
 
 def compact(spark: SparkSession, path: str, partition_by: Sequence[str] | None = None,
             target_files: int | None = None, cluster_by: Sequence[str] | None = None,
-            max_records_per_file: int | None = None) -> dict:
-    """Rewrite a table into fewer, larger files, keeping its partition layout (M1/M2)."""
-    src = spark.read.parquet(path)
-    before_rows = src.count()
-    before_files = count_files(spark, path)
-    staging = path.rstrip("/") + f".__compact_{uuid.uuid4().hex[:8]}"
-    write_table(src, staging, partition_by, cluster_by=list(cluster_by or []), num_partitions=target_files,
-                max_records_per_file=max_records_per_file)
-    after_rows = spark.read.parquet(staging).count()
-    if after_rows != before_rows:
-        fs, s = _fs(spark, staging)
-        fs.delete(s, True)
-        raise PublishError(f"compaction of {path} changed the row count: {before_rows} → {after_rows}")
-    swap(spark, path, staging)
-    return {"rows": before_rows, "files_before": before_files, "files_after": count_files(spark, path)}
+            max_records_per_file: int | None = None, target_bytes: int = TARGET_BYTES) -> dict:
+    """Merge small files of each partition folder into files of about ``target_bytes`` (M1/M2).
+
+    Only files that are in a bin with others are read and rewritten; a second
+    run finds none. A heavy partition has several bins, so no task writes more
+    than one file of the target size. Folders keep their names, no partition
+    value is parsed. ``target_files`` sets the target by the table's size instead.
+    ``partition_by`` is not needed any more and kept for callers that name it.
+
+    New files are written to a hidden folder of the table, their rows are held
+    against the old ones (count and sum of row hashes), and a journal of the
+    moves is written. Then old files move to the hidden folder and new ones to their
+    place. A run that ends in between is finished by ``finish_compaction``, which
+    every compaction calls first.
+    """
+    finish_compaction(spark, path)
+    done = {"rows": 0, "files_rewritten": 0}
+    before = files = list_files(spark, {"t": path})
+    n_before, size = before.agg(F.count(F.lit(1)), F.sum("bytes")).first()
+    if target_files:
+        target_bytes = max(1, -(-(size or 0) // target_files))
+    while True:
+        chosen = compaction_plan(files, target_bytes).orderBy("folder", "bin", "path").limit(FILES_AT_ONCE + 1).collect()
+        if len(chosen) > FILES_AT_ONCE:  # whole bins only
+            last = (chosen[-1]["folder"], chosen[-1]["bin"])
+            chosen = [r for r in chosen if (r["folder"], r["bin"]) != last] or chosen
+        if not chosen:
+            break
+        done["rows"] += _rewrite(spark, path, chosen, cluster_by, max_records_per_file)
+        done["files_rewritten"] += len(chosen)
+        if len(chosen) < FILES_AT_ONCE // 2:
+            break
+        files = list_files(spark, {"t": path})
+    return done | {"files_before": n_before, "files_after": list_files(spark, {"t": path}).count()}
+
+
+def _rewrite(spark: SparkSession, path: str, chosen: list, cluster_by: Sequence[str] | None, max_records: int | None) -> int:
+    """Rewrite the chosen files, one new file per bin; returns their rows."""
+    bins = {key: i for i, key in enumerate(dict.fromkeys((r["folder"], r["bin"]) for r in chosen))}
+    work = f"{path.rstrip('/')}/_compact-{uuid.uuid4().hex[:8]}"
+    plan = spark.createDataFrame([(r["file_path"], bins[r["folder"], r["bin"]]) for r in chosen], "__file string, __bin int")
+    old = spark.read.option("recursiveFileLookup", "true").option("mergeSchema", "true").parquet(*[r["path"] for r in chosen])
+    columns = old.columns
+    placed = old.select("*", F.col("_metadata.file_path").alias("__file")).join(plan, "__file").drop("__file")
+    placed = placed.repartitionById(len(bins), F.col("__bin"))
+    if cluster_by:
+        placed = placed.sortWithinPartitions(*[c for c in cluster_by if c in columns])
+    write_table(placed, f"{work}/new", ["__bin"], max_records_per_file=max_records)
+    new = spark.read.schema(old.schema).option("recursiveFileLookup", "true").parquet(f"{work}/new")
+    rows, digest = _contents(old, columns)
+    if _contents(new, columns) != (rows, digest):
+        remove_path(spark, work)
+        raise PublishError(f"compaction of {path} changed the rows of {len(chosen)} files")
+    folders = [""] * len(bins)
+    for (folder, _), i in bins.items():
+        folders[i] = folder
+    written = list_files(spark, {"t": f"{work}/new"}).select("path").collect()
+    moves = [(r["path"], f"{work}/old/{i}") for i, r in enumerate(chosen)]
+    moves += [(r["path"], f"{folders[int(r['path'].split('/__bin=')[1].split('/')[0])]}/{r['path'].rsplit('/', 1)[1]}") for r in written]
+    steps = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(moves)], "step int, source string, target string")
+    steps.coalesce(1).write.mode("overwrite").parquet(f"{work}/journal")
+    finish_compaction(spark, path)
+    return rows
+
+
+def finish_compaction(spark: SparkSession, path: str) -> int:
+    """Carry out the moves of journals that a compaction left; unfinished rewrites without one are removed. Returns the moves made."""
+    fs, p = _fs(spark, path)
+    made = 0
+    if not fs.exists(p) or not fs.isDirectory(p):
+        return made
+    jvm = spark.sparkContext._jvm
+    for work in [str(st.getPath()) for st in fs.listStatus(p) if st.getPath().getName().startswith("_compact-")]:
+        if path_exists(spark, f"{work}/journal/_SUCCESS"):
+            fs.mkdirs(_fs(spark, f"{work}/old")[1])
+            steps = spark.read.schema("step int, source string, target string").parquet(f"{work}/journal").orderBy("step").collect()
+            for r in steps:  # a step that is done has no source any more
+                source, target = (jvm.org.apache.hadoop.fs.Path(r[c]) for c in ("source", "target"))
+                if fs.exists(source):
+                    if not fs.rename(source, target):
+                        raise PublishError(f"could not move {r['source']} to {r['target']}")
+                    made += 1
+        remove_path(spark, work)
+    return made
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -210,61 +312,54 @@ def recover(spark: SparkSession, path: str) -> bool:
     return True
 
 
-def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
-    if not path_exists(spark, path):
-        return None
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:  # e.g. a folder without data files
-        return None
-
-
 def file_stats(spark: SparkSession, tables: Mapping[str, str]) -> DataFrame:
-    """Per table and file: path, bytes, modification time, rows (from ``_metadata``).
+    """(table_name, file_path, bytes, modified, rows) of every data file, files without rows included.
 
-    Only file metadata and row counts are read; the scan's ReadSchema is empty."""
-    parts = []
+    Rows come from the files' footers: the scan reads no column (its ReadSchema is empty), only row group counts."""
+    counts = None
     for name, path in tables.items():
-        df = _read_or_none(spark, path)
-        if df is None:
+        if not path_exists(spark, path):
             continue
-        m = F.col("_metadata")
-        per_file = df.select(m.file_path.alias("file_path"), m.file_size.alias("file_size"),
-                             m.file_modification_time.alias("modified")) \
-            .groupBy("file_path").agg(F.max("file_size").alias("bytes"), F.max("modified").alias("modified"),
-                                      F.count(F.lit(1)).alias("rows"))
-        parts.append(per_file.withColumn("table_name", F.lit(name)))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        # one declared column that is never read: nothing is inferred, so a folder of empty files will do
+        scan = spark.read.schema("__unread int").option("recursiveFileLookup", "true").parquet(path)
+        own = scan.select(F.lit(name).alias("table_name"), F.col("_metadata.file_path").alias("file_path")) \
+            .groupBy("table_name", "file_path").agg(F.count(F.lit(1)).alias("rows"))
+        counts = own if counts is None else counts.unionByName(own)
+    files = list_files(spark, tables).drop("path")
+    if counts is None:
+        return files.withColumn("rows", F.lit(0).cast("long"))
+    return files.join(counts, ["table_name", "file_path"], "left").withColumn("rows", F.coalesce("rows", F.lit(0)))
+
+
+def _for_all(spark: SparkSession, tables: Mapping[str, str], found: DataFrame, zero: Sequence[str]) -> DataFrame:
+    """``found`` (a row per table) with a row for every declared table; ``zero`` columns are 0 where there was none."""
+    names = spark.createDataFrame([(n,) for n in tables], "table_name string")
+    out = names.join(found, "table_name", "left")
+    return out.withColumns({c: F.coalesce(c, F.lit(0)) for c in zero})
 
 
 def inventory(spark: SparkSession, tables: Mapping[str, str]) -> DataFrame:
-    """Files, bytes and rows per table (M4)."""
-    return file_stats(spark, tables).groupBy("table_name").agg(
+    """Files, bytes and rows per table (M4); tables without files are there with zeros."""
+    found = file_stats(spark, tables).groupBy("table_name").agg(
         F.count(F.lit(1)).alias("n_files"), F.sum("bytes").alias("bytes"), F.sum("rows").alias("rows"))
+    return _for_all(spark, tables, found, ["n_files", "bytes", "rows"])
 
 
 def freshness(spark: SparkSession, tables: Mapping[str, str], as_of: datetime | str) -> DataFrame:
-    """Per table: files and mean / max age in seconds of its files at ``as_of`` (M6, V4)."""
+    """Per table: files and mean / max age in seconds of its files at ``as_of`` (M6, V4); from listings alone.
+
+    A table without files has no age."""
     ref = F.lit(str(as_of)).cast("timestamp")
     age = (F.unix_micros(ref) - F.unix_micros(F.col("modified"))) / 1_000_000
-    return file_stats(spark, tables).groupBy("table_name").agg(
+    found = list_files(spark, tables).groupBy("table_name").agg(
         F.count(F.lit(1)).alias("n_files"), F.avg(age).alias("mean_age_seconds"),
         F.max(age).alias("max_age_seconds"))
+    return _for_all(spark, tables, found, ["n_files"])
 
 
 def readiness(spark: SparkSession, tables: Mapping[str, str]) -> DataFrame:
-    """Per source: files, rows, ready (≥ 1 file) — missing sources included (M3)."""
-    missing = [(n, 0, 0) for n, p in tables.items() if _read_or_none(spark, p) is None]
-    present = {n: p for n, p in tables.items() if n not in {m[0] for m in missing}}
-    if not present:
-        return spark.createDataFrame(missing, "table_name string, n_files long, rows long") \
-            .withColumn("ready", F.lit(False))
-    out = inventory(spark, present).select("table_name", "n_files", "rows")
-    if missing:
-        out = out.unionByName(spark.createDataFrame(missing, "table_name string, n_files long, rows long"))
+    """Per source: files, rows, ready (≥ 1 file), missing sources and files without rows included (M3)."""
+    out = inventory(spark, tables).select("table_name", "n_files", "rows")
     return out.withColumn("ready", F.col("n_files") > 0)
 
 

@@ -46,12 +46,7 @@ from .writers import write_table
 
 STAGES = ["raw_to_silver", "dq_audit", "speed_layer", "silver_to_gold", "maintenance"]
 
-# Layout of the silver tables.
-SILVER_PARTITIONS = {
-    "fact_orders": ["year", "month"], "fact_order_items": ["year", "month"], "fact_payments": ["payment_type"],
-    "fact_order_reviews": ["review_score"], "dim_customers": ["customer_state"], "dim_sellers": ["seller_state"],
-    "dim_geolocation": ["geolocation_state"],
-}
+# Order of the rows within the files of the silver tables.
 CLUSTERED = {"fact_orders": ["order_id"], "fact_order_items": ["order_id"], "fact_payments": ["order_id"],
              "dim_customers": ["customer_id"]}
 
@@ -323,7 +318,7 @@ def silver_to_gold(spark: SparkSession, cfg: PipelineConfig) -> None:
 def maintenance(spark: SparkSession, cfg: PipelineConfig) -> None:
     tables = {f"silver/{t}": cfg.p("silver", t) for t in MT.list_tables(spark, cfg.p("silver"))}
     for table in MT.list_tables(spark, cfg.p("silver")):
-        MT.compact(spark, cfg.p("silver", table), SILVER_PARTITIONS.get(table), cluster_by=CLUSTERED.get(table))
+        MT.compact(spark, cfg.p("silver", table), cluster_by=CLUSTERED.get(table))
     write_table(MT.inventory(spark, tables), cfg.p("ops", "inventory"))
 
 

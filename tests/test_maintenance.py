@@ -126,3 +126,87 @@ def test_retention_deletes_only_expired_partitions(spark, tmp_dir):
     assert removed == sorted(f"day={d}" for d in range(1, 12))
     left = spark.read.parquet(path)
     assert left.count() == 90 - 11 * 3 and left.agg(F.min("day")).first()[0] == 12
+
+
+def _hash(df):
+    return sorted(map(str, df.collect()))
+
+
+def test_compaction_rewrites_small_files_only_and_once(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "t")
+    rows = [(i, "007" if i % 10 else "8", "x" * 50) for i in range(4000)]
+    df = spark.createDataFrame(rows, "id long, part string, v string")
+    write_table(df.where("part = '8'").coalesce(1), path, ["part"])
+    write_table(df.where("part = '007'").repartition(30), path, ["part"], mode="append")
+    big = _files(path + "/part=8")
+    sizes = sum(os.path.getsize(f) for f in _files(path + "/part=007"))
+    before = {f: os.path.getmtime(f) for f in big}
+    target = sizes // 4
+    stats = MT.compact(spark, path, target_bytes=target, cluster_by=["id"])
+    after = _files(path)
+    assert stats["files_rewritten"] == 30 and stats["files_before"] == 31 and stats["files_after"] == len(after)
+    heavy = [f for f in after if "part=007" in f]  # the folder keeps its name, the heavy partition has several files
+    assert 3 <= len(heavy) <= 5 and {f: os.path.getmtime(f) for f in big} == before
+    read = spark.read.schema("id long, v string, part string").parquet(path)
+    assert _hash(read.select("id", "part", "v")) == _hash(df)
+    times = {f: os.path.getmtime(f) for f in after}
+    again = MT.compact(spark, path, target_bytes=max(os.path.getsize(f) for f in heavy))
+    assert again["rows"] == again["files_rewritten"] == 0
+    assert {f: os.path.getmtime(f) for f in _files(path)} == times
+    assert not [f for f in os.listdir(path) if f.startswith("_compact")]
+
+
+@pytest.mark.parametrize("moves", [0, 1, 5, 12])
+def test_interrupted_compaction_is_finished(spark, tmp_dir, monkeypatch, moves):
+    path = os.path.join(tmp_dir, "t")
+    df = spark.range(1000).withColumn("p", F.col("id") % 2)
+    write_table(df.repartition(6), path, ["p"])
+    real, made = MT._fs, []
+
+    class Stopped(Exception):
+        pass
+
+    class Fs:
+        def __init__(self, fs):
+            self.fs = fs
+
+        def __getattr__(self, name):
+            if name == "rename":
+                if len(made) == moves:
+                    raise Stopped
+                made.append(1)
+            return getattr(self.fs, name)
+
+    monkeypatch.setattr(MT, "_fs", lambda s, p: (lambda f, q: (Fs(f), q))(*real(s, p)))
+    with pytest.raises(Stopped):
+        MT.compact(spark, path)
+    monkeypatch.setattr(MT, "_fs", real)
+    MT.finish_compaction(spark, path)
+    assert _hash(spark.read.parquet(path).select("id")) == _hash(df.select("id"))
+    assert len(_files(path)) == 2 and MT.compact(spark, path)["files_rewritten"] == 0
+
+
+def test_file_facts_keep_missing_and_empty_tables(spark, tmp_dir):
+    import pyarrow.parquet as pq
+    full, empty, folder = (os.path.join(tmp_dir, n) for n in ("full", "empty", "folder"))
+    _small_table(spark, full)
+    spark.range(0).coalesce(1).write.parquet(empty)
+    os.makedirs(folder)
+    tables = {"full": full, "empty": empty, "folder": folder, "missing": full + "_no", "one": _files(full)[0]}
+    facts = {r.file_path: r for r in MT.file_stats(spark, {"full": full}).collect()}
+    want = {f: (os.path.getsize(f), pq.read_metadata(f).num_rows) for f in _files(full)}
+    assert {k.removeprefix("file:"): (r.bytes, r.rows) for k, r in facts.items()} == want
+    ages = [(r.modified - dt.datetime(1970, 1, 1)).total_seconds() - os.path.getmtime(k.removeprefix("file:")) for k, r in facts.items()]
+    assert max(map(abs, ages)) < 1  # the session's zone is UTC
+    inv = {r.table_name: (r.n_files, r.rows) for r in MT.inventory(spark, tables).collect()}
+    assert inv == {"full": (len(want), 300), "empty": (1, 0), "folder": (0, 0), "missing": (0, 0), "one": (1, inv["one"][1])}
+    ready = {r.table_name: r.ready for r in MT.readiness(spark, tables).collect()}
+    assert ready == {"full": True, "empty": True, "folder": False, "missing": False, "one": True}
+    fresh = {r.table_name: (r.n_files, r.mean_age_seconds) for r in MT.freshness(spark, tables, "2100-01-01 00:00:00").collect()}
+    assert fresh["missing"] == (0, None) and fresh["folder"] == (0, None) and fresh["empty"][1] > 0
+    assert MT.freshness(spark, {"missing": full + "_no"}, "2100-01-01").count() == 1
+    assert MT.readiness(spark, {"missing": full + "_no"}).first().ready is False
+    plan = MT.file_stats(spark, {"full": full})._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<>" in plan
+    listing = MT.freshness(spark, {"full": full}, "2100-01-01")._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan parquet" not in listing
