@@ -234,43 +234,84 @@ def incremental_slice(df: DataFrame, col: str, low, high) -> DataFrame:
     return df.filter((c > F.lit(str(low)).cast(dtype)) & (c <= F.lit(str(high)).cast(dtype)))
 
 
+def in_partitions(df: DataFrame, columns: Sequence[str], partitions: Sequence) -> Column:
+    """A row's partition is one of ``partitions`` (rows or tuples of values), as literals, so that scans are pruned to them."""
+    cond = F.lit(False)
+    for values in partitions:
+        one = F.lit(True)
+        for c, v in zip(columns, values):
+            one = one & (df[c].isNull() if v is None else df[c] == F.lit(v))
+        cond = cond | one
+    return cond
+
+
 def replace_rows(spark: SparkSession, new: DataFrame, path: str, partition_by: Sequence[str],
-                 stale: DataFrame | None = None, keys: Sequence[str] = (), outside: Column | None = None) -> None:
+                 stale: DataFrame | None = None, keys: Sequence[str] = (), inside: Column | None = None) -> None:
     """Replace some rows of a table by ``new``; every other row stays.
 
     Replaced are the rows whose ``keys`` are in ``stale`` and those for which
-    ``outside`` does not hold. Only partitions that lose or gain rows are
-    rewritten: their remaining rows are joined to the new ones in a staging
-    folder, which then overwrites exactly these partitions. A partition left
-    without rows is removed. So a slice that covers part of a partition, or a
-    row that moves to another one, neither loses nor doubles anything.
+    ``inside`` holds. Only partitions that lose or gain rows are rewritten: their
+    remaining rows are joined to the new ones in a staging folder, which then
+    overwrites exactly these partitions. A partition left without rows is
+    removed. So a slice that covers part of a partition, or a row that moves to
+    another one, neither loses nor doubles anything.
+
+    What is read of the old table: the touched partitions whole; to find them,
+    the columns of ``inside`` (a date range is pushed to the scan) and, with
+    ``stale``, the keys. Their list, at most one entry per partition, is a
+    literal of the plan, so nothing else is scanned. A run that ends while it
+    overwrites is finished by ``finish_replace``, which the next one calls first.
     """
     parts = list(partition_by)
+    finish_replace(spark, path, parts)
     staging = path.rstrip("/") + f".__replace_{uuid.uuid4().hex[:8]}"
     if not path_exists(spark, path):
         write_table(new, path, parts)
         return
     old = spark.read.parquet(path).select(*new.columns)
-    stays = F.lit(True) if outside is None else F.coalesce(outside, F.lit(True))
-    # one row per touched partition: bounded by the number of partitions
-    touched = new.select(*parts).union(old.filter(~stays).select(*parts))
-    kept = old.filter(stays)
+    touched = new.select(*parts)
+    if inside is not None:
+        touched = touched.union(old.filter(inside).select(*parts))
     if stale is not None:
         stale = stale.select(*keys).distinct()
-        touched = touched.union(old.join(stale, list(keys), "left_semi").select(*parts))
-        kept = kept.join(stale, list(keys), "left_anti")
-    write_table(touched.distinct(), f"{staging}/touched")
-    touched = spark.read.schema(new.select(*parts).schema).parquet(f"{staging}/touched")
-    kept = kept.select(*new.columns)
-    kept = kept.join(touched, _null_safe(kept, touched, parts), "left_semi")
+        touched = touched.union(old.select(*keys, *parts).join(stale, list(keys), "left_semi").select(*parts))
+    touched = [tuple(r) for r in touched.distinct().collect()]  # at most one row per partition
+    kept = old.filter(in_partitions(old, parts, touched))
+    if inside is not None:
+        kept = kept.filter(~F.coalesce(inside, F.lit(False)))
+    if stale is not None:
+        kept = kept.join(stale, list(keys), "left_anti").select(*new.columns)
     write_table(new.unionByName(kept), f"{staging}/rows", parts)
-    rows = spark.read.schema(new.schema).parquet(f"{staging}/rows")
+    write_table(spark.createDataFrame(touched, new.select(*parts).schema), f"{staging}/touched")
+    _publish_replaced(spark, path, staging, new.schema, parts)
+
+
+def _publish_replaced(spark: SparkSession, path: str, staging: str, schema, parts: Sequence[str]) -> None:
+    rows = spark.read.schema(schema).parquet(f"{staging}/rows")
+    touched = spark.read.schema(rows.select(*parts).schema).parquet(f"{staging}/touched")
     write_table(rows, path, parts, mode="overwrite", dynamic=True)
     left = rows.select(*parts).distinct()
     delete_partitions(spark, path, touched.join(left, _null_safe(touched, left, parts), "left_anti"), parts)
     remove_path(spark, staging)
 
 
+def finish_replace(spark: SparkSession, path: str, partition_by: Sequence[str]) -> int:
+    """Overwrite again what an interrupted ``replace_rows`` had staged whole; what was staged in part is removed.
+
+    Overwriting the same partitions by the same rows twice changes nothing."""
+    fs, pattern = _fs(spark, path.rstrip("/") + ".__replace_*")
+    done = 0
+    for st in fs.globStatus(pattern) or []:
+        staging = str(st.getPath())
+        if path_exists(spark, f"{staging}/touched/_SUCCESS"):
+            schema = spark.read.parquet(path).schema  # partition columns come last here, as in the staged folders
+            _publish_replaced(spark, path, staging, schema, list(partition_by))
+            done += 1
+        else:
+            remove_path(spark, staging)
+    return done
+
+
 def _null_safe(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> Column:
     cond = F.lit(True)
     for c in columns:
@@ -290,7 +331,7 @@ def backfill(df: DataFrame, out_path: str, ts_col: str, start, end, partition_by
     inside = in_date_range(ts_col, start, end, df.schema[ts_col].dataType)
     if transform is not None:
         part = transform(part)
-    replace_rows(df.sparkSession, part, out_path, partition_by, part if keys else None, keys, ~inside)
+    replace_rows(df.sparkSession, part, out_path, partition_by, part if keys else None, keys, inside)
 
 
 def recover(spark: SparkSession, path: str) -> bool:
@@ -374,6 +415,21 @@ def expired_partitions(df: DataFrame, partition_cols: Sequence[str], date_expr:
         .withColumn("expired", F.col("__d") < cutoff).drop("__d")
 
 
+def expired_folders(spark: SparkSession, table_path: str, partition_cols: Sequence[str], retention_days: int,
+                    as_of: date | str) -> DataFrame:
+    """Partition folders by date (year, month, day among the partition columns) with an ``expired`` flag (M8).
+
+    One row per folder: its partition values as they are written in its name,
+    its files, and whether its date lies before ``as_of - retention_days``. Only
+    listings are read. Folders without a date (NULL) never expire.
+    """
+    files = list_files(spark, {"t": table_path})
+    values = [F.regexp_extract("path", rf"/{c}=([^/]+)/", 1).alias(c) for c in partition_cols]
+    per = files.select(*values).groupBy(*partition_cols).agg(F.count(F.lit(1)).alias("n_files"))
+    day = F.try_make_timestamp(*[F.col(c).try_cast("int") for c in ("year", "month", "day")], F.lit(0), F.lit(0), F.lit(0)).cast("date")
+    cutoff = F.date_sub(as_date(as_of), retention_days)
+    return per.withColumn("expired", F.coalesce(day < cutoff, F.lit(False)))
+
 
 def delete_partitions(spark: SparkSession, table_path: str, partitions: DataFrame,
                       partition_cols: Sequence[str]) -> list[str]:

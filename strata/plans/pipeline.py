@@ -73,6 +73,7 @@ class PipelineConfig:
     extra_gold: bool = True
     catalog_database: str | None = None   # register gold as catalog tables + serving views
     date_range: tuple[str, str] | None = None   # backfill: re-derive facts of these dates only (M7)
+    retention_days: int = 365        # raw stream events older than this are removed by the maintenance stage (M8)
     sources: BoundTables | None = None   # the user's raw tables; by default those of ``sf_dir``
     results: dict = field(default_factory=dict)
 
@@ -319,6 +320,11 @@ def maintenance(spark: SparkSession, cfg: PipelineConfig) -> None:
     tables = {f"silver/{t}": cfg.p("silver", t) for t in MT.list_tables(spark, cfg.p("silver"))}
     for table in MT.list_tables(spark, cfg.p("silver")):
         MT.compact(spark, cfg.p("silver", table), cluster_by=CLUSTERED.get(table))
+    raw = cfg.p("stream", "raw")
+    if MT.path_exists(spark, raw):
+        keys = ["is_valid", *jobs.RAW_PARTITIONS]
+        old = MT.expired_folders(spark, raw, keys, cfg.retention_days, cfg.as_of).where("expired")
+        cfg.results["expired_partitions"] = MT.delete_partitions(spark, raw, old, keys)
     write_table(MT.inventory(spark, tables), cfg.p("ops", "inventory"))
 
 

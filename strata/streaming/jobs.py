@@ -114,13 +114,14 @@ def quarantine(spark: SparkSession, raw_path: str) -> DataFrame:
 
     Partition discovery types the flag as a string, so it is cast; the filter
     still prunes to the reject folders."""
-    return spark.read.parquet(raw_path).filter(~F.col("is_valid").cast("boolean")).select("payload", "reason")
+    # the sink's log still names files that retention has removed
+    return spark.read.option("ignoreMissingFiles", "true").parquet(raw_path).filter(~F.col("is_valid").cast("boolean")).select("payload", "reason")
 
 
 def valid_event_source(spark: SparkSession, raw_path: str, schema: T.StructType = C.EVENTS) -> DataFrame:
     """The raw table as a stream of valid events only; ``schema`` as in ``ingest_job``."""
     raw = T.StructType(schema.fields + RAW_FIELDS)
-    return spark.readStream.format("parquet").schema(raw).load(raw_path).filter(F.col("is_valid"))
+    return spark.readStream.format("parquet").schema(raw).option("ignoreMissingFiles", "true").load(raw_path).filter(F.col("is_valid"))
 
 
 def process_job(events: DataFrame, customers: DataFrame, processed_path: str, checkpoint: str,

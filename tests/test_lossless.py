@@ -112,3 +112,58 @@ print("kept")
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     got = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=240)
     assert "kept" in got.stdout, got.stderr[-2000:]
+
+
+def test_backfill_scans_only_touched_partitions(spark, tmp_dir, monkeypatch):
+    path = f"{tmp_dir}/orders"
+    rows = [(i, datetime(2024, 1 + i % 12, 1 + i % 28), "a") for i in range(400)]
+    write_table(orders(spark, rows), path, ["year", "month"])
+    plans, real = [], MT.write_table
+
+    def spy(df, p, *a, **k):
+        if p.endswith("/rows"):
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return real(df, p, *a, **k)
+    monkeypatch.setattr(MT, "write_table", spy)
+    MT.backfill(orders(spark, [(i, t, "b") for i, t, _ in rows]), path, "order_purchase_timestamp", "2024-03-10", "2024-03-15",
+                ["year", "month"])
+    scan = [ln for ln in plans[0].splitlines() if "FileScan parquet" in ln]
+    assert len(scan) == 1 and "(year" in scan[0].split("PartitionFilters")[1] and "= 3" in scan[0].split("PartitionFilters")[1]
+    assert not any(f"= {m})" in scan[0] for m in (1, 2, 4, 12))
+    got = spark.read.parquet(path)
+    assert got.count() == 400 and got.where("order_status = 'b'").select("month").distinct().collect()[0].month == 3
+
+
+@pytest.mark.parametrize("stop", ["overwrite", "delete"])
+def test_interrupted_replace_is_finished(spark, tmp_dir, monkeypatch, stop):
+    path = f"{tmp_dir}/orders"
+    write_table(orders(spark, [(1, datetime(2024, 1, 5), "a"), (2, datetime(2024, 2, 5), "a"), (3, datetime(2024, 5, 5), "a")]), path,
+                ["year", "month"])
+    new = orders(spark, [(1, datetime(2024, 2, 7), "b")])
+    args = (new, path, "order_purchase_timestamp", "2024-01-01", "2024-02-28", ["year", "month"])
+    real_write, real_delete = MT.write_table, MT.delete_partitions
+
+    def fail(*a, **k):
+        raise KeyboardInterrupt
+    monkeypatch.setattr(MT, "write_table", lambda df, p, *a, **k: fail() if stop == "overwrite" and p == path else real_write(df, p, *a, **k))
+    if stop == "delete":
+        monkeypatch.setattr(MT, "delete_partitions", fail)
+    with pytest.raises(KeyboardInterrupt):
+        MT.backfill(*args, keys=["order_id"])
+    monkeypatch.setattr(MT, "write_table", real_write)
+    monkeypatch.setattr(MT, "delete_partitions", real_delete)
+    assert MT.finish_replace(spark, path, ["year", "month"]) == 1
+    got = sorted((r.order_id, r.month, r.order_status) for r in spark.read.parquet(path).collect())
+    assert got == [(1, 2, "b"), (3, 5, "a")] and os.listdir(tmp_dir) == ["orders"]
+
+
+def test_retention_of_raw_events_reads_listings_only(spark, tmp_dir):
+    path = f"{tmp_dir}/raw"
+    rows = [(i, 2023 + i % 2, 1 + i % 3, None if i == 5 else 7, i % 24) for i in range(60)]
+    write_table(spark.createDataFrame(rows, "id long, year int, month int, day int, hour int"), path, ["year", "month", "day", "hour"])
+    found = MT.expired_folders(spark, path, ["year", "month", "day", "hour"], 30, "2024-03-01")
+    assert "FileScan parquet" not in found._jdf.queryExecution().executedPlan().toString()
+    removed = MT.delete_partitions(spark, path, found.where("expired"), ["year", "month", "day", "hour"])
+    left = spark.read.parquet(path)
+    assert removed and {(r.year, r.month, r.day) for r in left.collect()} == {
+        (y, m, d) for _, y, m, d, _ in rows if d is None or date(y, m, d) >= date(2024, 1, 31)}
