@@ -12,7 +12,7 @@ Layout under ``out_root``::
                                  replaces exactly the partitions it produces)
     silver/dim_*/, reviews       full-refresh tables, published by write + row check + swap
     silver/dim_customers/        SCD2 dimension, published by write + row check + swap
-    stream/raw (valid + rejected payloads), stream/processed, stream/hourly_counts,
+    stream/raw (valid + rejected payloads), stream/processed, stream/late, stream/hourly_counts,
     stream/demand_alerts, stream/_checkpoints
     gold/<table>/...             gold tables, published by swap (lambda_orders first, read back)
     dq/results                   DQ result log (append)
@@ -238,12 +238,11 @@ def speed_layer(spark: SparkSession, cfg: PipelineConfig) -> None:
     events = event_schema(spark, cfg)
     jobs.ingest_job(jobs.file_payload_source(spark, cfg.payload_dir), cfg.p("stream", "raw"),
                     f"{ck}/ingest", schema=events).awaitTermination()
-    customers = spark.read.parquet(cfg.p("silver", "dim_customers"))
-    # dq_audit has checked one current row per customer, so the static side
-    # needs no per-batch dedup
+    # the dimension is looked up per micro-batch and reduced to one current row
+    # per customer there, whatever other stages have checked
+    customers = jobs.folder_dimension(cfg.p("silver", "dim_customers"))
     q = jobs.process_job(jobs.valid_event_source(spark, cfg.p("stream", "raw"), events), customers,
-                         cfg.p("stream", "processed"), f"{ck}/processed",
-                         customers_unique=cfg.results.get("dq_passed", False))
+                         cfg.p("stream", "processed"), f"{ck}/processed")
     # tumbling hourly demand per status, scored against the previous hours as
     # each window closes (real-time alerts); an independent query over the
     # same raw table, drained concurrently
@@ -252,7 +251,10 @@ def speed_layer(spark: SparkSession, cfg: PipelineConfig) -> None:
                                f"{ck}/hourly_counts")
     q.awaitTermination()
     h.awaitTermination()
+    # what the watermark dropped goes to a table of its own, which gold reads too
     cfg.results["late_rows_dropped"] = jobs.dropped_by_watermark(q)
+    jobs.late_rows_job(jobs.valid_event_source(spark, cfg.p("stream", "raw"), events), customers, cfg.p("stream", "processed"),
+                       cfg.p("stream", "late"), f"{ck}/late").awaitTermination()
 
 
 def event_schema(spark: SparkSession, cfg: PipelineConfig) -> T.StructType:
@@ -268,7 +270,8 @@ def silver_to_gold(spark: SparkSession, cfg: PipelineConfig) -> None:
     translation = sv("dim_category_translation")
     processed_schema = T.StructType(event_schema(spark, cfg).fields + [T.StructField("customer_state", T.StringType()),
                                                         T.StructField("customer_city", T.StringType())])
-    stream = read_optional(spark, cfg.p("stream", "processed"), processed_schema)
+    stream = read_optional(spark, cfg.p("stream", "processed"), processed_schema).select(*processed_schema.names).unionByName(
+        read_optional(spark, cfg.p("stream", "late"), processed_schema).select(*processed_schema.names))
     values = LU.order_values(payments)
     unified = LU.valued_orders(LU.unify_orders(sv("fact_orders"), stream), values)
     # one materialisation: every gold table sees the same survivors and values

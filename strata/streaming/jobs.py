@@ -5,6 +5,7 @@
   by validity and event year/month/day/hour; rejects keep their raw text).
 * ``process_job``: raw event stream → watermark → speed filter → dedup
   within the watermark → current-customer enrichment → processed table.
+* ``late_rows_job``: raw events that the watermark kept out of it → late table.
 * ``hourly_counts_job``: raw event stream → watermark → tumbling hourly
   counts per status, appended once each window closes.
 * ``demand_alerts_job``: the same counts, scored against the preceding hours
@@ -19,7 +20,10 @@ scheduled form); pass ``{"processingTime": "5 minutes"}`` for a long-running one
 
 from __future__ import annotations
 
-from datetime import timedelta
+from collections.abc import Callable
+from datetime import datetime, timedelta, timezone
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -124,16 +128,92 @@ def valid_event_source(spark: SparkSession, raw_path: str, schema: T.StructType
     return spark.readStream.format("parquet").schema(raw).option("ignoreMissingFiles", "true").load(raw_path).filter(F.col("is_valid"))
 
 
-def process_job(events: DataFrame, customers: DataFrame, processed_path: str, checkpoint: str,
+def folder_dimension(path: str) -> Callable[[SparkSession], tuple[DataFrame, str]]:
+    """A published dimension, looked up anew whenever it is called: its rows as they are now, and the version they are.
+
+    The version is the folder's modification time (UTC), which every publish by swap changes."""
+    def current(spark: SparkSession) -> tuple[DataFrame, str]:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        millis = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p).getModificationTime()
+        return spark.read.parquet(path), datetime.fromtimestamp(millis / 1000, timezone.utc).strftime("%Y-%m-%dT%H:%M:%S.%f")
+    return current
+
+
+def process_job(events: DataFrame, customers: DataFrame | Callable, processed_path: str, checkpoint: str,
                 watermark: str = WATERMARK, trigger: dict | None = None,
                 customers_unique: bool = False) -> StreamingQuery:
-    """Speed layer: filter, dedup within the watermark, enrich, append."""
+    """Speed layer: filter, dedup within the watermark, enrich, append.
+
+    ``customers`` is a DataFrame, fixed for the life of the query (its files are
+    listed once), or a function such as ``folder_dimension(path)``: then every
+    micro-batch asks for the dimension as it is at that time, so a long-running
+    query follows its publishes, and names the version in ``dim_version``. Such a
+    query writes by (event_date, batch_id), overwriting only its own batch, so
+    a retried batch replaces itself, and readers can prune by date.
+    """
     arrival = ["arrived_at"] if "arrived_at" in events.columns else []
     ev = events.select(*[f.name for f in C.EVENTS.fields], *arrival).withWatermark("event_timestamp", watermark)
     ev = speed.dedup_events(speed.speed_filter(ev), EVENT_KEY)
-    out = speed.with_lateness(speed.enrich_events(ev, customers, static_unique=customers_unique),
-                              F.col("arrived_at") if arrival else None, watermark)
-    return _start(out, processed_path, checkpoint, trigger)
+
+    def enriched(rows: DataFrame, dim: DataFrame) -> DataFrame:
+        return speed.with_lateness(speed.enrich_events(rows, dim, static_unique=customers_unique),
+                                   F.col("arrived_at") if arrival else None, watermark)
+
+    if not callable(customers):
+        return _start(enriched(ev, customers), processed_path, checkpoint, trigger)
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        dim, version = customers(batch.sparkSession)
+        _write_batch(enriched(batch, dim).withColumn("dim_version", F.lit(version)), batch_id, processed_path)
+
+    w = ev.writeStream.outputMode("append").foreachBatch(on_batch).option("checkpointLocation", checkpoint)
+    return w.trigger(**(trigger or {"availableNow": True})).start()
+
+
+def _write_batch(rows: DataFrame, batch_id: int, path: str) -> None:
+    tagged = rows.withColumns({"event_date": F.to_date("event_timestamp"), "batch_id": F.lit(batch_id)})
+    tagged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("event_date", "batch_id").parquet(path)
+
+
+def late_rows_job(events: DataFrame, customers: Callable, processed_path: str, late_path: str, checkpoint: str,
+                  watermark: str = WATERMARK, trigger: dict | None = None) -> StreamingQuery:
+    """The late lane (T7): events that the watermark kept out of the processed table, each once.
+
+    To be run after ``process_job`` has drained the same raw table: what passes
+    the speed filter is then in ``processed_path`` (also repeats of it, by
+    ``EVENT_KEY``) or was dropped as late. Each micro-batch looks its events up
+    there and in the late lane's earlier batches, reading only the dates that it
+    holds, and writes the missing ones, enriched like the others. Gold reads both.
+    """
+    arrival = ["arrived_at"] if "arrived_at" in events.columns else []
+    ev = speed.speed_filter(events.select(*[f.name for f in C.EVENTS.fields], *arrival))
+    key_types = T.StructType([f for f in events.select(*EVENT_KEY).schema.fields])
+
+    def known(spark: SparkSession, path: str, dates: list, before: int | None) -> DataFrame | None:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
+            return None
+        schema = T.StructType(key_types.fields + [T.StructField("event_date", T.DateType()), T.StructField("batch_id", T.LongType())])
+        rows = spark.read.schema(schema).parquet(path).where(F.col("event_date").isin(dates))
+        rows = rows if before is None else rows.where(F.col("batch_id") < before)
+        return rows.select(*[F.col(c).alias(f"k_{c}") for c in EVENT_KEY])
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        dates = [r[0] for r in batch.select(F.to_date("event_timestamp")).distinct().collect() if r[0] is not None]  # one per day
+        rows = speed.dedup_events(batch, EVENT_KEY)
+        for path, before in ((processed_path, None), (late_path, batch_id)):
+            there = known(spark, path, dates, before)
+            if there is not None:
+                same = reduce(and_, [rows[c].eqNullSafe(there[f"k_{c}"]) for c in EVENT_KEY])
+                rows = rows.join(there, same, "left_anti")
+        dim, version = customers(spark)
+        out = speed.with_lateness(speed.enrich_events(rows, dim), F.col("arrived_at") if arrival else None, watermark)
+        _write_batch(out.withColumn("dim_version", F.lit(version)), batch_id, late_path)
+
+    w = ev.writeStream.outputMode("append").foreachBatch(on_batch).option("checkpointLocation", checkpoint)
+    return w.trigger(**(trigger or {"availableNow": True})).start()
 
 
 def hourly_counts_job(events: DataFrame, out_path: str, checkpoint: str, watermark: str = WATERMARK,

@@ -20,6 +20,9 @@ def test_pipeline_end_to_end_and_scd2_rerun(spark, tmp_dir):
     alerts = spark.read.parquet(lake("stream", "demand_alerts"))  # closed hours, silent ones too
     assert alerts.where("n_events > 0").count() == spark.read.parquet(lake("stream", "hourly_counts")).count()
     assert spark.read.parquet(lake("gold", "gold_demand_anomalies")).count() > 0
+    assert ("event_date", "date") in spark.read.parquet(lake("stream", "processed")).dtypes
+    late = P.read_optional(spark, lake("stream", "late"), "order_id long")  # one drain: no row came too late
+    assert late.count() == res["late_rows_dropped"] == 0
     assert spark.read.parquet(lake("gold", "gold_top_products")).count() > 0
     orders = spark.read.parquet(lake("gold", "lambda_orders"))
     origins = {r.origin for r in orders.select("origin").distinct().collect()}
