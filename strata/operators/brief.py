@@ -135,3 +135,54 @@ def co_purchase_affinity(items: DataFrame, products: DataFrame) -> DataFrame:
     order_cats = ip.select("order_id", F.col("product_category_name").alias("co_category")).distinct()
     pairs = ip.join(order_cats, "order_id").filter(F.col("co_category") != F.col("product_category_name"))
     return pairs.groupBy("product_id", "co_category").agg(F.count(F.lit(1)).alias("n_orders"))
+
+
+def frequent_itemsets(items: DataFrame, min_orders: int, max_size: int = 3, order_key: str = "order_id",
+                      product_key: str = "product_id") -> DataFrame:
+    """Sets of 1 to ``max_size`` products that at least ``min_orders`` orders hold together (N6): items (sorted), n_orders.
+
+    Baskets are the orders' distinct products; NULL orders and products take no
+    part. Supports are counted on prefix trees: products are ranked by
+    frequency, each order sends every product's conditional prefix to the
+    partition of that product, and a partition mines its own tree. No
+    basket is cut and no pair within an order is written out.
+    """
+    from pyspark.ml.fpm import FPGrowth
+
+    seen = items.where(F.col(order_key).isNotNull() & F.col(product_key).isNotNull()).select(order_key, product_key).distinct()
+    # an item of too few orders is in no frequent set; dropping it first keeps giant orders small
+    often = seen.groupBy(product_key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_orders).select(product_key)
+    baskets = seen.join(often, product_key).groupBy(order_key).agg(F.collect_list(product_key).alias("items")).select("items")
+    n = baskets.count()
+    kind = baskets.schema["items"].dataType
+    if n == 0:
+        return items.sparkSession.createDataFrame([], f"items {kind.simpleString()}, n_orders long")
+    # the share that a support of min_orders is of all baskets, a half below so that rounding up meets it exactly
+    model = FPGrowth(itemsCol="items", minSupport=max(0.0, (min_orders - 0.5) / n)).fit(baskets)
+    sets = model.freqItemsets.where(F.size("items") <= max_size)
+    return sets.select(F.sort_array("items").alias("items"), F.col("freq").alias("n_orders"))
+
+
+def product_candidates(items: DataFrame, orders: DataFrame, min_orders: int, min_confidence: float = 0.0) -> DataFrame:
+    """Products a customer has not bought that go with one they have.
+
+    Per (customer_id, candidate): the best rule among frequent pairs, antecedent
+    -> candidate: ``because`` (the product bought; the smaller on a tie),
+    n_orders (orders with both) and confidence (their share of the antecedent's
+    orders). Rules come from ``frequent_itemsets``; customers meet them by the
+    product they bought, so work grows with purchases times rules per product.
+    """
+    sets = frequent_itemsets(items, min_orders, 2)
+    single = sets.where(F.size("items") == 1).select(F.col("items")[0].alias("because"), F.col("n_orders").alias("n_because"))
+    pairs = sets.where(F.size("items") == 2)
+    rules = pairs.select(F.explode(F.array(F.struct(F.col("items")[0].alias("because"), F.col("items")[1].alias("candidate")),
+                                           F.struct(F.col("items")[1].alias("because"), F.col("items")[0].alias("candidate")))).alias("r"),
+                         "n_orders").select("r.*", "n_orders").join(single, "because")
+    rules = rules.withColumn("confidence", F.col("n_orders") / F.col("n_because")).where(F.col("confidence") >= min_confidence)
+    bought = items.select("order_id", "product_id").join(orders.select("order_id", "customer_id"), "order_id") \
+        .where(F.col("customer_id").isNotNull()).select("customer_id", "product_id").distinct()
+    offers = bought.withColumnRenamed("product_id", "because").join(rules, "because")
+    best = offers.groupBy("customer_id", "candidate").agg(F.max(F.struct("confidence", "n_orders")).alias("b"),
+                                                          F.min_by("because", F.struct(-F.col("confidence"), -F.col("n_orders"), "because")).alias("because"))
+    fresh = best.join(bought.withColumnRenamed("product_id", "candidate"), ["customer_id", "candidate"], "left_anti")
+    return fresh.select("customer_id", "candidate", "because", "b.n_orders", "b.confidence")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ..operators import brief as B
 from ..streaming import speed
 from . import oracle as O
@@ -72,3 +74,46 @@ def q_discount_impact(spark, sf):
 def q_co_purchase(spark, sf):
     L = Layers(spark, sf)
     return B.co_purchase_affinity(L.items, L.products)
+
+
+_PAIRS = """
+    ip AS (SELECT DISTINCT order_id, product_id FROM s_items WHERE order_id IS NOT NULL AND product_id IS NOT NULL),
+    one AS (SELECT product_id, count(*) AS n FROM ip GROUP BY 1),
+    two AS (SELECT a.product_id AS x, b.product_id AS y, count(*) AS n
+            FROM ip a JOIN ip b ON a.order_id = b.order_id AND a.product_id < b.product_id GROUP BY 1, 2)"""
+MIN_ORDERS = 2  # fixed value: orders that must hold a set
+
+
+@query("frequent_itemsets", O.sql(f"""
+    WITH {_PAIRS},
+    three AS (SELECT a.product_id AS x, b.product_id AS y, c.product_id AS z, count(*) AS n
+              FROM ip a JOIN ip b ON a.order_id = b.order_id AND a.product_id < b.product_id
+              JOIN ip c ON a.order_id = c.order_id AND b.product_id < c.product_id GROUP BY 1, 2, 3)
+    SELECT 1 AS size, x AS first_product, CAST(NULL AS BIGINT) AS second_product, CAST(NULL AS BIGINT) AS third_product, n AS n_orders
+    FROM (SELECT product_id AS x, n FROM one WHERE n >= {MIN_ORDERS}) o
+    UNION ALL SELECT 2, x, y, NULL, n FROM two WHERE n >= {MIN_ORDERS}
+    UNION ALL SELECT 3, x, y, z, n FROM three WHERE n >= {MIN_ORDERS}""", "s_items"))
+def q_frequent_itemsets(spark, sf):
+    sets = B.frequent_itemsets(Layers(spark, sf).items, MIN_ORDERS)
+    return sets.select(F.size("items").alias("size"), F.get("items", F.lit(0)).alias("first_product"),
+                       F.get("items", F.lit(1)).alias("second_product"), F.get("items", F.lit(2)).alias("third_product"), "n_orders")
+
+
+@query("product_candidates", O.sql(f"""
+    WITH {_PAIRS},
+    rules AS (SELECT x AS because, y AS candidate, n FROM two WHERE n >= {MIN_ORDERS}
+              UNION ALL SELECT y, x, n FROM two WHERE n >= {MIN_ORDERS}),
+    r AS (SELECT because, candidate, rules.n AS n_orders, rules.n / one.n AS confidence
+          FROM rules JOIN one ON because = product_id),
+    bought AS (SELECT DISTINCT o.customer_id, i.product_id FROM s_items i JOIN s_orders o ON i.order_id = o.order_id
+               WHERE o.customer_id IS NOT NULL),
+    best AS (SELECT b.customer_id, r.candidate, r.because, r.n_orders, r.confidence,
+                    row_number() OVER (PARTITION BY b.customer_id, r.candidate
+                                       ORDER BY r.confidence DESC, r.n_orders DESC, r.because) AS k
+             FROM bought b JOIN r ON b.product_id = r.because)
+    SELECT customer_id, candidate, because, n_orders, confidence FROM best
+    WHERE k = 1 AND NOT EXISTS (SELECT 1 FROM bought x WHERE x.customer_id = best.customer_id AND x.product_id = best.candidate)""",
+                                      "s_items", "s_orders"))
+def q_product_candidates(spark, sf):
+    L = Layers(spark, sf)
+    return B.product_candidates(L.items, L.orders, MIN_ORDERS)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ..operators import gold_extra as GX
 from ..sources import testdata as D
 from . import oracle as O
@@ -124,3 +126,25 @@ def q_weather_impact(spark, sf):
 def q_sales_obt(spark, sf):
     L = Layers(spark, sf)
     return GX.sales_obt(L.unified_orders, L.order_values, L.items, L.products, L.customers)
+
+
+# Stations report every few hours, and a reading stands for so long.
+READING_EACH_HOURS = 6
+READING_HOLDS = 3 * 3600
+
+
+@query("orders_weather_asof", O.sql(f"""
+    WITH w AS (SELECT date_trunc('hour', ts) AS obs_hour,
+                      CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS temperature
+               FROM events WHERE hour(ts) % {READING_EACH_HOURS} = 0 GROUP BY 1)
+    SELECT u.order_id, u.order_purchase_timestamp,
+           CASE WHEN u.order_purchase_timestamp <= w.obs_hour + to_seconds({READING_HOLDS}) THEN w.obs_hour END AS obs_hour,
+           CASE WHEN u.order_purchase_timestamp <= w.obs_hour + to_seconds({READING_HOLDS}) THEN w.temperature END AS temperature
+    FROM unified u ASOF LEFT JOIN w ON u.order_purchase_timestamp >= w.obs_hour""", "unified"))
+def q_orders_weather_asof(spark, sf):
+    """Every order with the nearest earlier weather reading, at most three hours old."""
+    from ..operators.asof import asof_join
+    from ..sources import testdata as D
+    readings = D.weather_hourly(spark, sf).where(F.hour("obs_hour") % READING_EACH_HOURS == 0)
+    orders = Layers(spark, sf).unified_orders.select("order_id", "order_purchase_timestamp")
+    return asof_join(orders, readings, "order_purchase_timestamp", "obs_hour", ["obs_hour", "temperature"], READING_HOLDS)
