@@ -85,14 +85,16 @@ def text_keyed_tables(spark: SparkSession, sf_dir: str, root: str) -> BoundTable
     WITH o AS (SELECT order_id, year, month, order_purchase_timestamp AS bought,
                       CASE WHEN order_status = 'F' THEN order_purchase_timestamp + to_days(CAST(order_id % 20 AS INTEGER)) END AS delivered
                FROM s_orders),
-    i AS (SELECT order_id, CASE WHEN order_id % {BAD_PRICE_EACH} = 0 AND order_item_id = 1 THEN NULL ELSE price END AS price FROM s_items),
+    i AS (SELECT order_id, CASE WHEN order_id % {BAD_PRICE_EACH} = 0 AND order_item_id = 1 THEN NULL ELSE price END AS price FROM raw_items
+          QUALIFY ROW_NUMBER() OVER (PARTITION BY order_id, order_item_id ORDER BY shipping_limit_date DESC NULLS LAST,
+                   'p' || product_id, 's' || seller_id, price DESC NULLS LAST) = 1),  -- ids are ordered as text here
     per AS (SELECT order_id, count(*) AS n_items, count(price) AS n_priced, SUM(price) AS revenue FROM i GROUP BY order_id)
     SELECT o.year, o.month, count(*) AS n_orders, count(delivered) AS n_delivered,
            count(CASE WHEN delivered > bought + to_days({LATE_AFTER_DAYS}) THEN 1 END) AS n_late,
            CAST(SUM(date_diff('day', bought, delivered)) AS BIGINT) AS delivery_days,
            CAST(COALESCE(SUM(n_items), 0) AS BIGINT) AS n_items, CAST(COALESCE(SUM(n_priced), 0) AS BIGINT) AS n_priced,
            CAST(SUM(revenue) AS DOUBLE) AS revenue
-    FROM o LEFT JOIN per ON o.order_id = per.order_id GROUP BY o.year, o.month""", "s_orders", "s_items"))
+    FROM o LEFT JOIN per ON o.order_id = per.order_id GROUP BY o.year, o.month""", "s_orders", "raw_items"))
 def q_bound_delivery_times(spark, sf) -> DataFrame:
     """Delivery times and revenue per month from raw tables with text ids, bound by contract and taken to silver.
 
