@@ -91,8 +91,10 @@ def delivered_only(orders: DataFrame, status_col: str = "order_status", delivere
 
 
 def null_columns(df: DataFrame, cols: list[str] | None = None) -> list[str]:
-    """Columns that are entirely NULL, found with one aggregate pass."""
-    cols = cols or df.columns
+    """Columns that are entirely NULL, found with one aggregate pass (none for no columns)."""
+    cols = df.columns if cols is None else cols
+    if not cols:
+        return []
     counts = df.agg(*[F.count(F.col(c)).alias(c) for c in cols]).first()
     return [c for c in cols if counts[c] == 0]
 
@@ -123,9 +125,15 @@ def items_with_order_partition(items: DataFrame, orders: DataFrame) -> DataFrame
     return items.join(orders.select("order_id", "year", "month"), "order_id", "left")
 
 
+def with_geo(df: DataFrame, geo_dim: DataFrame, zip_col: str) -> DataFrame:
+    """``df`` ⟕ deduplicated geolocation on its zip prefix column."""
+    g = geo_dim.select(F.col("geolocation_zip_code_prefix").alias(zip_col), "geolocation_lat", "geolocation_lng")
+    return df.join(g, zip_col, "left")
+
+
 def customers_with_geo(customers: DataFrame, geo_dim: DataFrame) -> DataFrame:
-    """customers ⟕ deduplicated geolocation on zip prefix."""
-    g = geo_dim.select(
-        F.col("geolocation_zip_code_prefix").alias("customer_zip_code_prefix"),
-        "geolocation_lat", "geolocation_lng")
-    return customers.join(g, "customer_zip_code_prefix", "left")
+    return with_geo(customers, geo_dim, "customer_zip_code_prefix")
+
+
+def sellers_with_geo(sellers: DataFrame, geo_dim: DataFrame) -> DataFrame:
+    return with_geo(sellers, geo_dim, "seller_zip_code_prefix")

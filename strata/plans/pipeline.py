@@ -38,7 +38,7 @@ from ..operators import quality as Q
 from ..operators import scd2 as K
 from ..operators import silver as S
 from ..sources import contracts as C
-from ..sources.binding import CONTRACTS, KEYS, BoundTables, FixtureTables, contract_of
+from ..sources.binding import CARRIED, CONTRACTS, KEYS, BoundTables, FixtureTables, contract_of
 from ..streaming import jobs
 from . import maintenance as MT
 from .serving import register_catalog
@@ -130,8 +130,11 @@ def raw_to_silver(spark: SparkSession, cfg: PipelineConfig) -> None:
     write_table(S.clean_payments(raw["payments"], total=True), cfg.p("silver", "fact_payments"),
                 ["payment_type"], dynamic=True, cluster_by=["order_id"])
     # full-refresh dimensions: published by write + row check + swap
+    products = S.clean_products(raw["products"], total=True)
+    # carried columns that the delivery never fills are left out (one pass over them alone)
+    unfilled = S.null_columns(raw["products"], [c for c in products.columns if c in CARRIED["products"]])
     dims = {
-        "dim_products": (S.clean_products(raw["products"], total=True), None),
+        "dim_products": (products.drop(*unfilled), None),
         "dim_sellers": (S.clean_sellers(raw["sellers"], total=True), ["seller_state"]),
         "dim_geolocation": (S.clean_geolocation(raw["geolocation"], total=True), ["geolocation_state"]),
         "fact_order_reviews": (S.clean_reviews(raw["reviews"], total=True), ["review_score"]),

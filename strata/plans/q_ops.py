@@ -16,7 +16,7 @@ from .layers import Layers
 from .q_quality import _results
 from .q_stream import _VALID_EVENTS, valid_events
 from .registry import AS_OF, REGISTRY, publish, query
-from .serving import register_views
+from .serving import VIEW_SQL, register_views
 from .writers import write_table
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -143,21 +143,23 @@ def q_expired_partitions(spark, sf):
 
 # ---------------------------------------------------------------- serving views
 
-def _serving(spark, sf):
+def _serving(spark, sf, view):
+    """The rows of one serving view: only the base table that it reads is planned and registered."""
     L = Layers(spark, sf)
-    cat = G.sales_by_category(L.items, L.products, L.unified_orders, L.translation)
-    register_views(spark, {
-        "gold_sales_by_region": G.sales_by_region(L.unified_orders, L.customers),
-        "gold_sales_by_category": cat,
-        "gold_sales_by_payment": G.sales_by_payment(L.payments, L.unified_orders),
-        "dq_results_log": _results(spark, sf, ["not_null", "unique", "between", "exists"]),
-    })
+    base = VIEW_SQL[view][0]
+    tables = {
+        "gold_sales_by_region": lambda: G.sales_by_region(L.unified_orders, L.customers),
+        "gold_sales_by_category": lambda: G.sales_by_category(L.items, L.products, L.unified_orders, L.translation),
+        "gold_sales_by_payment": lambda: G.sales_by_payment(L.payments, L.unified_orders),
+        "dq_results_log": lambda: _results(spark, sf, ["not_null", "unique", "between", "exists"]),
+    }
+    register_views(spark, {base: tables[base]()}, [view])
+    return spark.sql(f"SELECT * FROM {view}")
 
 
 @query("view_sales_by_region", O.sql(_REGION.format(src="unified", where=""), "unified", "cur_customers"))
 def q_view_region(spark, sf):
-    _serving(spark, sf)
-    return spark.sql("SELECT * FROM v_sales_by_region")
+    return _serving(spark, sf, "v_sales_by_region")
 
 
 @query("view_sales_by_category", O.sql("""
@@ -169,8 +171,7 @@ def q_view_region(spark, sf):
     GROUP BY 1, o.year, o.month""",
                                        "s_items", "s_products", "unified", "translation"))
 def q_view_category(spark, sf):
-    _serving(spark, sf)
-    return spark.sql("SELECT * FROM v_sales_by_category")
+    return _serving(spark, sf, "v_sales_by_category")
 
 
 @query("view_payment_metrics", O.sql("""
@@ -179,21 +180,19 @@ def q_view_category(spark, sf):
     FROM s_payments p JOIN unified o ON p.order_id = o.order_id
     GROUP BY p.payment_type, o.year, o.month""", "s_payments", "unified"))
 def q_view_payment(spark, sf):
-    _serving(spark, sf)
-    return spark.sql("SELECT * FROM v_payment_metrics")
+    return _serving(spark, sf, "v_payment_metrics")
 
 
 @query("view_file_latency", None)
 def q_view_latency(spark, sf):
     MT.freshness(spark, _table_paths(sf), FRESHNESS_AS_OF).createOrReplaceTempView("pipeline_file_freshness")
-    register_views(spark, {})
+    register_views(spark, {}, ["v_pipeline_latency"])
     return spark.sql("SELECT * FROM v_pipeline_latency")
 
 
 @query("view_dq_audit_summary", REGISTRY["dq_summary"][1])
 def q_view_dq(spark, sf):
-    _serving(spark, sf)
-    return spark.sql("SELECT * FROM v_dq_audit_summary")
+    return _serving(spark, sf, "v_dq_audit_summary")
 
 
 

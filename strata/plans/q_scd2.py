@@ -110,3 +110,14 @@ def q_scd2_pit(spark, sf):
     facts = L.stream_orders.select("order_id", "customer_id", "event_timestamp")
     dim = merged_dim(spark, sf, "on_change")
     return K.point_in_time_join(facts, dim, KEY, "event_timestamp", ["customer_state"])
+
+
+@query("scd2_point_in_time_orders", _with(f"""
+SELECT f.order_id, f.customer_id, f.order_purchase_timestamp, f.origin, m.customer_state, m.effective_date, m.end_date
+FROM unified f LEFT JOIN merged m
+  ON f.customer_id = m.{KEY} AND m.effective_date <= CAST(f.order_purchase_timestamp AS DATE)
+ AND CAST(f.order_purchase_timestamp AS DATE) < m.end_date""", "unified", merged=True))
+def q_scd2_pit_orders(spark, sf):
+    """Every order, batch and stream, with the customer version valid on its date (J14); no version before the first load."""
+    facts = Layers(spark, sf).unified_orders.select("order_id", "customer_id", "order_purchase_timestamp", "origin")
+    return K.point_in_time_join(facts, merged_dim(spark, sf, "on_change"), KEY, "order_purchase_timestamp", ["customer_state"])

@@ -77,6 +77,24 @@ def q_customers_dedup(spark, sf):
     return Layers(spark, sf).customers
 
 
+@query("sellers_geo", O.sql("""
+    SELECT s.seller_zip_code_prefix, s.seller_id, s.seller_name, s.seller_state, g.geolocation_lat, g.geolocation_lng
+    FROM s_sellers s LEFT JOIN s_geo g ON s.seller_zip_code_prefix = g.geolocation_zip_code_prefix""", "s_sellers", "s_geo"))
+def q_sellers_geo(spark, sf):
+    L = Layers(spark, sf)
+    return S.sellers_with_geo(L.sellers, L.geolocation)
+
+
+@query("products_without_null_columns", O.sql("""
+    SELECT product_id, product_name, product_brand, product_category_name, product_size,
+           CAST(list_price AS DOUBLE) AS list_price FROM s_products""", "s_products"))
+def q_products_without_null_columns(spark, sf):
+    """Name and description length are never filled in the shop's products; one pass finds and drops them."""
+    none = F.lit(None).cast("int")
+    delivered = Layers(spark, sf).products.withColumns({"product_name_length": none, "product_description_length": none})
+    return publish(S.drop_null_columns(delivered))
+
+
 @query("silver_orders_partition_cols", O.sql("SELECT * FROM s_orders", "s_orders"))
 def q_orders_partition_cols(spark, sf):
     return Layers(spark, sf).orders

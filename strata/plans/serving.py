@@ -7,7 +7,7 @@ client issuing SQL gets Catalyst's pruning and pushdown through the view.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,13 +29,13 @@ VIEW_SQL = {
 }
 
 
-def register_views(spark: SparkSession, tables: Mapping[str, DataFrame]) -> list[str]:
-    """Register the base tables, then every serving view whose inputs exist."""
+def register_views(spark: SparkSession, tables: Mapping[str, DataFrame], views: Sequence[str] | None = None) -> list[str]:
+    """Register the base tables, then the serving views (all, or those named) whose inputs exist."""
     for name, df in tables.items():
         df.createOrReplaceTempView(name)
     made = []
     for view, (base, body) in VIEW_SQL.items():
-        if spark.catalog.tableExists(base):
+        if (views is None or view in views) and spark.catalog.tableExists(base):
             spark.sql(f"CREATE OR REPLACE TEMP VIEW {view} AS {body}")
             made.append(view)
     return made
