@@ -6,6 +6,10 @@ secrets (of 20 characters or more, URL-safe ones included, without an upper
 bound) and endpoints. Weak parts are then interval-joined: within a scope of
 ``scope`` code points, a weak secret counts if an identifier or an endpoint
 starts there too, a weak identifier if a secret does, an endpoint if both do.
+No part supports one that it overlaps: a secret inside an endpoint is not
+supported by endpoints, and parts inside one do not support endpoints. So an
+ordinary link with a mixed id in its path is left alone. Inside an endpoint a
+token ends at a slash.
 
 The join never pairs parts. Places are cut into buckets as wide as the scope;
 per document, class and bucket only the first and last start are kept, which
@@ -51,12 +55,17 @@ LEAST_RANDOM = 20
 # Whole tokens of any length, URL-safe ones and base64 padding included, and the pieces between their '-' and '_'.
 RANDOM = re.compile(r"[A-Za-z0-9+/_-]{18,}(?:={1,2}(?![A-Za-z0-9+/_=-]))?")
 PIECE = re.compile(r"[A-Za-z0-9+/]{20,}")
+# The same inside an endpoint, where '/' ends a token.
+RANDOM_WITHIN = re.compile(r"[A-Za-z0-9+_-]{18,}(?:={1,2}(?![A-Za-z0-9+_=-]))?")
+PIECE_WITHIN = re.compile(r"[A-Za-z0-9+]{20,}")
 ENDPOINT = re.compile(
     r"""\b(?:[a-z][a-z0-9+.-]*://[^\s"'<>]+|(?:host(?:name)?|endpoint|server)["']?\x20*[:=]\x20*["']?[A-Za-z0-9.-]+(?::[0-9]+)?)""",
     re.A | re.I)
 
 KINDS = ("assign", "access", "hex", "identifier", "secret", "endpoint")
 _RANK = {kind: i for i, kind in enumerate(KINDS)}
+# While parts are linked: identifiers and secrets inside an endpoint, by the kind they are.
+WITHIN = {_RANK["identifier"]: 6, _RANK["secret"]: 7}
 SCOPE = 256
 
 _ASSIGN_WORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
@@ -100,15 +109,27 @@ def _clear_of(spans: list[tuple[int, str, int]]) -> Callable[[int, int], bool]:
     return clear
 
 
-def _secrets(text: str, clear: Callable[[int, int], bool]) -> Iterator[tuple[int, int]]:
-    """(start, end) of random-looking tokens; of a token that is not random or not clear as a whole, those of its pieces."""
+def _secrets(text: str, clear: Callable[[int, int], bool], apart: Callable[[int, int], bool]) -> Iterator[tuple[int, int]]:
+    """(start, end) of random-looking tokens; of a token that is not random or not clear as a whole, those of its pieces.
+
+    ``apart``: whether a part lies outside all endpoints.
+    """
+    def tokens(start: int, end: int, whole: re.Pattern, piece: re.Pattern) -> Iterator[tuple[int, int]]:
+        for m in whole.finditer(text, start, end):
+            if len(m[0]) < LEAST_RANDOM:
+                continue
+            if clear(*m.span()) and _random(m[0]):
+                yield m.span()
+            else:
+                yield from (x.span() for x in piece.finditer(text, *m.span()) if clear(*x.span()) and _random(x[0]))
+
     for m in RANDOM.finditer(text):
-        if len(m[0]) < LEAST_RANDOM:
-            continue
-        if clear(*m.span()) and _random(m[0]):
-            yield m.span()
-        else:
-            yield from (x.span() for x in PIECE.finditer(text, *m.span()) if clear(*x.span()) and _random(x[0]))
+        yield from tokens(*m.span(), RANDOM, PIECE) if apart(*m.span()) else tokens(*m.span(), RANDOM_WITHIN, PIECE_WITHIN)
+
+
+def endpoints(text: str) -> list[tuple[int, str, int]]:
+    """(start, kind, end) of the endpoints, by start."""
+    return [(m.start(), "endpoint", m.end()) for m in ENDPOINT.finditer(text)]
 
 
 def weak_parts(text: str, strong: list[tuple[int, str, int]]) -> list[tuple[int, str, int]]:
@@ -118,11 +139,11 @@ def weak_parts(text: str, strong: list[tuple[int, str, int]]) -> list[tuple[int,
     found = []
     if any(w in low for w in _IDENTIFIER_WORDS):
         found += [(m.start(), "identifier", m.end()) for m in IDENTIFIER.finditer(text)]
-    if any(w in low for w in _ENDPOINT_WORDS):
-        found += [(m.start(), "endpoint", m.end()) for m in ENDPOINT.finditer(text)]
+    there = endpoints(text) if any(w in low for w in _ENDPOINT_WORDS) else []
+    found += there
     clear = _clear_of(strong)
     if b"\1" * LEAST_RANDOM in raw.translate(_TO_TOKEN) and _DIGIT.search(raw):
-        found += [(a, "secret", b) for a, b in _secrets(text, clear)]
+        found += [(a, "secret", b) for a, b in _secrets(text, clear, _clear_of(there))]
     return sorted((x for x in found if clear(x[0], x[2])), key=lambda x: (x[0], _RANK[x[1]]))
 
 
@@ -136,7 +157,10 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for text in batch.column("text").to_pylist():
             spans = strong_spans(text or "")
             strong.append([{"start": a, "kind": _RANK[k], "end": b} for a, k, b in spans])
-            weak.append([{"start": a, "kind": _RANK[k], "end": b} for a, k, b in weak_parts(text or "", spans)])
+            parts = weak_parts(text or "", spans)
+            apart = _clear_of(endpoints(text)) if any(k != "endpoint" for _, k, _ in parts) else None
+            weak.append([{"start": a, "kind": _RANK[k] if k == "endpoint" or apart(a, b) else WITHIN[_RANK[k]], "end": b}
+                         for a, k, b in parts])
             digest.append(hashlib.sha256(",".join(f"{k}:{a}:{b}" for a, k, b in spans).encode()).hexdigest())
         counts = [pa.array([sum(x["kind"] == k for x in spans) for spans in strong], pa.int64()) for k in range(3)]
         yield pa.RecordBatch.from_arrays(
@@ -152,17 +176,23 @@ _SCANNED = "n_assign long, n_access long, n_hex long, base_sha256 string, " \
 def link_parts(parts: DataFrame, keys: list[str], scope: int = SCOPE) -> DataFrame:
     """The weak parts that complementary parts of the same keys lie close to.
 
-    ``parts`` has the key columns, kind (place in KINDS), start and end;
-    access identifiers and assigned secrets take part as complements.
+    ``parts`` has the key columns, kind (place in KINDS, or its code in WITHIN
+    for a part inside an endpoint), start and end; access identifiers and
+    assigned secrets take part as complements. Returned kinds are places in KINDS.
     """
-    cls = (F.when(F.col("kind").isin(_RANK["access"], _RANK["identifier"]), "identifier")
+    own = F.col("kind")
+    for plain, code in WITHIN.items():
+        own = F.when(F.col("kind") == code, plain).otherwise(own)
+    cls = (F.when(F.col("kind") == WITHIN[_RANK["identifier"]], "inner identifier")
+           .when(F.col("kind") == WITHIN[_RANK["secret"]], "inner secret")
+           .when(F.col("kind").isin(_RANK["access"], _RANK["identifier"]), "identifier")
            .when(F.col("kind").isin(_RANK["assign"], _RANK["secret"]), "secret").otherwise("endpoint"))
     parts = parts.withColumn("cls", cls).withColumn("bucket", F.floor(F.col("start") / scope))
     near = (parts.groupBy(*keys, "cls", "bucket").agg(F.min("start").alias("low"), F.max("start").alias("high"))
             .withColumn("shift", F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1))))
             .select(*[F.col(k).alias(f"near_{k}") for k in keys], F.col("cls").alias("near_cls"),
                     (F.col("bucket") + F.col("shift")).alias("near_bucket"), "low", "high", "shift"))
-    weak = parts.where(F.col("kind").isin(_RANK["identifier"], _RANK["secret"], _RANK["endpoint"]))
+    weak = parts.where(F.col("kind").isin(_RANK["identifier"], _RANK["secret"], _RANK["endpoint"], *WITHIN.values()))
     on = F.col("bucket") == F.col("near_bucket")
     for k in keys:
         on &= F.col(k).eqNullSafe(F.col(f"near_{k}"))
@@ -171,13 +201,13 @@ def link_parts(parts: DataFrame, keys: list[str], scope: int = SCOPE) -> DataFra
              .otherwise(F.col("low") <= F.col("start") + scope))
     met = weak.join(near, on & close & (F.col("cls") != F.col("near_cls")))
     flags = met.groupBy(*keys, "start", "kind", "end").agg(
-        F.bool_or(F.col("near_cls") == "identifier").alias("by_identifier"),
-        F.bool_or(F.col("near_cls") == "secret").alias("by_secret"),
-        F.bool_or(F.col("near_cls") == "endpoint").alias("by_endpoint"))
-    told = (F.when(F.col("kind") == _RANK["secret"], F.col("by_identifier") | F.col("by_endpoint"))
-            .when(F.col("kind") == _RANK["identifier"], F.col("by_secret"))
-            .otherwise(F.col("by_identifier") & F.col("by_secret")))
-    return flags.where(told).select(*keys, "start", "kind", "end")
+        *[F.bool_or(F.col("near_cls") == c).alias(c) for c in ("identifier", "inner identifier", "secret", "inner secret", "endpoint")])
+    by_identifier, by_secret = (F.col(c) | F.col(f"inner {c}") for c in ("identifier", "secret"))
+    told = (F.when(F.col("kind") == _RANK["secret"], by_identifier | F.col("endpoint"))
+            .when(F.col("kind") == WITHIN[_RANK["secret"]], by_identifier)
+            .when(F.col("kind") == _RANK["endpoint"], F.col("identifier") & F.col("secret"))
+            .otherwise(by_secret))
+    return flags.where(told).select(*keys, "start", own.cast("int").alias("kind"), "end")
 
 
 def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", scope: int = SCOPE) -> DataFrame:

@@ -127,3 +127,44 @@ def test_pieces_of_longer_tokens():
         assert [x for x in s.weak_parts(text, s.strong_spans(text)) if x[1] == "secret"] == [(start, "secret", start + len(piece))]
     for text in ("a" * 20_000 + "1", "-" * 500 + "1", "=" * 500 + "1", "some-long-plain-words-2024-01-15-report"):
         assert not s.weak_parts(text, [])
+
+
+def test_ordinary_links_are_left_alone(docs_of):
+    mixed = "aB3dE5fG7hI9jK1lM3nO5pQ7"
+    links = [f"see https://cdn.example.org/{mixed} for the picture", f"https://v.example.com/watch/{mixed}/part?x={mixed}#t",
+             f"get ftp://files.example.net/a/{mixed}.zip and https://cdn.example.org/{mixed}", f"//cdn.example.org/{mixed}",
+             f"host: img.example.org https://img.example.org/{mixed}/{mixed}"]
+    docs = docs_of(list(enumerate(links)))
+    assert [len(r.spans) for r in s.scan(docs).collect()] == [0] * len(links)
+    assert {r.doc_id: r.text for r in s.redact(docs).collect()} == dict(enumerate(links))
+
+
+def test_parts_inside_one_endpoint(docs_of):
+    mixed = "aB3dE5fG7hI9jK1lM3nO5pQ7"
+    got = {r.doc: [(s.KINDS[x.kind], x.start, x.end) for x in r.spans] for r in s.scan(docs_of([
+        (1, f"https://db.example.org/{mixed}?user=alice"),         # linked with each other, not with the endpoint
+        (2, f"user=alice gets https://db.example.org/p/{mixed}"),  # the token alone, without the host
+        (3, f"{mixed} at https://db.example.org/p"),               # a secret beside an endpoint
+        (4, f"https://db.example.org/?user=alice and {mixed}"),    # the identifier inside it and the secret outside
+    ])).collect()}
+    assert got[1] == [("secret", 23, 47), ("identifier", 48, 58)]
+    assert got[2] == [("identifier", 0, 10), ("secret", 41, 65)]
+    assert got[3] == [("secret", 0, 24)]
+    assert got[4] == [("identifier", 24, 34), ("secret", 39, 63)]
+
+
+def test_inner_parts_match_all_pairs(spark):
+    rng = random.Random(2)
+    parts = sorted({(d, 0, rng.choice([0, 1, 3, 4, 5, 6, 7]), rng.randrange(6000)) for d in range(6) for _ in range(40)})
+    parts = [(*p, p[3] + 5) for p in parts]
+    cls = {0: "secret", 4: "secret", 7: "inner secret", 1: "identifier", 3: "identifier", 6: "inner identifier", 5: "endpoint"}
+    want = set()
+    for d, _, k, a, b in parts:
+        near = {cls[k2] for d2, _, k2, a2, _ in parts if d2 == d and abs(a2 - a) <= 256}
+        ident, secret = {"identifier", "inner identifier"} & near, {"secret", "inner secret"} & near
+        if (k == 4 and (ident or "endpoint" in near) or k == 7 and ident or k in (3, 6) and secret
+                or k == 5 and {"identifier", "secret"} <= near):
+            want.add((d, a, {6: 3, 7: 4}.get(k, k), b))
+    df = spark.createDataFrame(parts, "doc long, hash long, kind int, start int, end int")
+    got = {(r.doc, r.start, r.kind, r.end) for r in s.link_parts(df, ["doc", "hash"]).collect()}
+    assert got == want and want
