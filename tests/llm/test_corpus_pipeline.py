@@ -40,4 +40,4 @@ def test_query_matches_sql(spark, name):
 
 def test_entry_lists_every_operator():
     names = E.queries()
-    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 11)} and "pipeline" in names
+    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 14)} and "pipeline" in names
