@@ -1,7 +1,7 @@
 """Quality rules: line-first cleaning, then a verdict per document.
 
 Every line of a text is judged on its own (punctuation, navigation and
-boilerplate rules); failing lines are taken out; a document that loses more
+boilerplate rules, all by shares of the line); failing lines are taken out; a document that loses more
 than ``max_lost`` of its word characters, or that fails the base limits, is
 rejected. Everything is one projection over built-in functions: no shuffle,
 no Python, and a row's result depends on that row alone.
@@ -28,6 +28,8 @@ QUERY = "op1_quality_rules"
 SPACE = r"[\x20\x09-\x0D]+"
 SYMBOLS = "[#*$%&|<>]"
 SEPARATOR = r"(?:^|[\x20\x09-\x0D])[|>»•·]"
+PUNCTUATION = r"[\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E]"
+SENTENCE_END = "[.!?]"
 
 # Words of navigation bars and phrases of page furniture.
 NAVIGATION = (
@@ -40,6 +42,13 @@ BOILERPLATE = (
     "sign up for our newsletter", "lorem ipsum", "powered by", "skip to content", "back to top",
 )
 
+# A line of over 40 % punctuation has two marks with at most one character between them, or is short.
+_DENSE = rf"(?s){PUNCTUATION}.?{PUNCTUATION}|^.{{0,7}}$"
+# A line of two words or more, 60 % of them of a bar, has two of those with at most one word between them.
+_ANY_NAVIGATION = f"(?:{'|'.join(NAVIGATION)})"
+_NAVIGATION_NEAR = f"(?<![a-z]){_ANY_NAVIGATION}[^a-z]+(?:[a-z]+[^a-z]+)?{_ANY_NAVIGATION}(?![a-z])"
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
 
 @dataclass(frozen=True)
 class LineRules:
@@ -48,13 +57,18 @@ class LineRules:
     min_words: int = 50             # fewer words fail the base limit
     max_repeat_percent: int = 50    # more words in repeated 3-word windows fail the base limit
     max_symbol_percent: int = 8     # punctuation: symbols per 100 characters of a line
+    max_mark_percent: int = 40      # punctuation: ASCII punctuation marks per 100 characters of a line (40 or more)
     max_shout_marks: int = 5        # punctuation: "!!" marks in a line
     max_separators: int = 3         # navigation: "|", ">" or bullet separators between blanks
-    nav_line_chars: int = 100       # navigation: lines up to so many characters ...
-    nav_words_percent: int = 60     # ... of whose two or more words so many percent are navigation words
-    boilerplate_line_chars: int = 200  # boilerplate phrases fail lines up to so many characters
+    nav_words_percent: int = 60     # navigation: of a line's two or more words so many percent (60 or more) fail it
+    boilerplate_percent: int = 30   # boilerplate: sentences with a phrase make up so many percent of the line
+    sentence_chars: int = 200       # ... where a longer sentence counts with so many characters
     max_lost_percent: int = 50      # a document that loses more word characters is rejected
 
+    def __post_init__(self):
+        if self.max_mark_percent < 40 or self.nav_words_percent < 60:
+            raise ValueError("the tests before these two rules hold from 40 % punctuation and 60 % navigation words on")
+
 
 def _words(text: Column) -> Column:
     return F.array_remove(F.split(text, SPACE), "")
@@ -64,26 +78,36 @@ def _count(text: Column, pattern: str) -> Column:
     return F.size(F.split(text, pattern)) - 1
 
 
-def line_fails(line: Column, has_symbols: Column, has_shout: Column, rules: LineRules) -> Column:
+def line_fails(line: Column, has_symbols: Column, has_shout: Column, has_bar: Column, has_phrase: Column,
+               rules: LineRules) -> Column:
     """True for a line that one of the three rule groups rejects; blank lines pass.
 
-    The flags say that the whole text holds a symbol or a separator, or a
-    "!!"; without them those rules are not evaluated per line.
+    Every rule is a share of the line, so lines of any length are judged alike.
+    The flags say that the whole text holds a symbol or a separator, a "!!",
+    navigation words side by side, or a boilerplate phrase; without them those
+    rules cannot hold and are not evaluated per line.
     """
     punctuation = (
         (has_symbols & (_count(line, SYMBOLS) * 100 > F.length(line) * rules.max_symbol_percent))
         | (has_shout & (_count(line, "!!") > rules.max_shout_marks))
+        | (line.rlike(_DENSE) & (_count(line, PUNCTUATION) * 100 > F.length(line) * rules.max_mark_percent))
     )
     separators = has_symbols & (_count(line, SEPARATOR) > rules.max_separators)
-    bar = (F.length(line) <= rules.nav_line_chars) & F.exists(
+    bar = has_bar & F.lower(line).rlike(_NAVIGATION_NEAR) & F.exists(
         F.array(F.array_remove(F.split(F.lower(line), "[^a-z]+"), "")),
         lambda words: (F.size(words) >= 2) & (
             F.size(F.filter(words, lambda w: w.isin(*NAVIGATION))) * 100 >= F.size(words) * rules.nav_words_percent))
-    phrase = (F.length(line) <= rules.boilerplate_line_chars) & F.exists(
-        F.array(F.lower(line)), lambda low: reduce(or_, [F.contains(low, F.lit(p)) for p in BOILERPLATE]))
+    sentences = F.filter(F.split(F.translate(line, _UPPER, _LOWER), SENTENCE_END), _phrase_in)
+    covered = F.aggregate(sentences, F.lit(0), lambda n, x: n + F.least(F.length(x), F.lit(rules.sentence_chars)))
+    phrase = has_phrase & _phrase_in(F.lower(line)) & F.exists(
+        F.array(covered), lambda n: (n > 0) & (n * 100 >= F.length(line) * rules.boilerplate_percent))
     return punctuation | separators | bar | phrase
 
 
+def _phrase_in(low: Column) -> Column:
+    return reduce(or_, [F.contains(low, F.lit(p)) for p in BOILERPLATE])
+
+
 def _window_hashes(words: Column) -> Column:
     """A 64-bit hash of every 3-word window; windows are compared within one text only."""
     return F.when(F.size(words) >= 3, F.transform(
@@ -124,11 +148,14 @@ def quality_rules(docs: DataFrame, text: str = "text", rules: LineRules = LineRu
         "worded": F.filter("lines", lambda x: x.rlike(r"[^\x20\x09-\x0D]")),
         "hashes": settled(_window_hashes(F.col("words"))),
         "has_shout": F.contains(body, F.lit("!!")),
+        "has_bar": settled(F.lower(body).rlike(_NAVIGATION_NEAR)),
+        "has_phrase": settled(_phrase_in(F.lower(body))),
     })
     has_symbols = (F.col("n_symbols") > 0) | F.contains(body, F.lit("»")) | F.contains(body, F.lit("•")) | F.contains(
         body, F.lit("·"))
     step = step.withColumn("bad", settled(F.transform(
-        "lines", lambda x: line_fails(x, has_symbols, F.col("has_shout"), rules))))
+        "lines", lambda x: line_fails(
+            x, has_symbols, F.col("has_shout"), F.col("has_bar"), F.col("has_phrase"), rules))))
     step = step.withColumns({
         "n_dup_lines": (F.size("worded") - F.size(F.array_distinct("worded"))).cast("long"),
         "n_lines": F.size("worded").cast("long"),
@@ -171,13 +198,17 @@ def _sql_words(text: str) -> str:
 
 
 _NAV_WORDS = "list_filter(regexp_split_to_array(lower(l), '[^a-z]+'), lambda w: w <> '')"
+_COVERED = f"""list_sum(list_transform(list_filter(
+      string_split_regex(translate(l, '{_UPPER}', '{_LOWER}'), '{SENTENCE_END}'), lambda x: regexp_matches(x, '{"|".join(BOILERPLATE)}')),
+      lambda x: least(length(x), {_R.sentence_chars})))"""
 _FAILS = f"""
       (len(string_split_regex(l, '{SYMBOLS}')) - 1) * 100 > length(l) * {_R.max_symbol_percent}
+      OR len(regexp_extract_all(l, '{PUNCTUATION}')) * 100 > length(l) * {_R.max_mark_percent}
       OR len(string_split(l, '!!')) - 1 > {_R.max_shout_marks}
       OR len(regexp_extract_all(l, '{SEPARATOR}')) > {_R.max_separators}
-      OR (length(l) <= {_R.nav_line_chars} AND len({_NAV_WORDS}) >= 2
+      OR (len({_NAV_WORDS}) >= 2
           AND len(list_filter({_NAV_WORDS}, lambda w: w IN {NAVIGATION})) * 100 >= len({_NAV_WORDS}) * {_R.nav_words_percent})
-      OR (length(l) <= {_R.boilerplate_line_chars} AND regexp_matches(lower(l), '{"|".join(BOILERPLATE)}'))"""
+      OR coalesce({_COVERED} * 100 >= length(l) * {_R.boilerplate_percent}, false)"""
 ORACLE = f"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS t FROM documents

@@ -1,10 +1,13 @@
 """Quality rules against plain Python, line rules one by one, and awkward rows."""
 
+import random
 import re
 from collections import Counter
 
+import duckdb
+import pyarrow as pa
 
-from corpus_rows import AWKWARD, docs_of  # noqa: F401
+from corpus_rows import AWKWARD, docs_of, folder  # noqa: F401
 from strata.llm import quality_rules as q
 
 PROSE = "The cat sat on the mat and looked at every bird that flew by. "
@@ -39,6 +42,12 @@ def test_each_line_rule_takes_its_lines(docs_of):
         "separators": "Home | News | Sport | Weather | Culture",
         "navigation": "Home About Contact Login",
         "boilerplate": "Copyright 2020 Example Ltd. All rights reserved.",
+        "long bar": " ".join(w.title() for w in q.NAVIGATION) + " " + "Home Search " * 20,
+        "bar with other words": "Home alpha Search beta Menu",
+        "long notice": "This website uses cookies so that it can give every visitor the best experience that is possible on it, "
+                       "to count visits and to show the pages that fit. If you go on we take it that you accept cookies from us "
+                       "and from our partners.",
+        "dashes": "-" * 300, "dotted": ". . . . . . . . . . . .", "short marks": "-a=c?b-",
     }
     rows = [(i, f"{clean}\n{line}") for i, line in enumerate(bad.values())] + [(99, clean)]
     got = {r.doc_id: r for r in q.quality_rules(docs_of(rows)).collect()}
@@ -47,6 +56,28 @@ def test_each_line_rule_takes_its_lines(docs_of):
     assert (got[99].n_bad_lines, got[99].cleaned_text, got[99].kept) == (0, clean, True)
 
 
+def test_long_lines_of_prose_pass(docs_of):
+    filler = " ".join(f"word{i}" for i in range(300))
+    lines = [f"{filler} read more {filler}", f"Go home. {filler}", f"{filler}. We read more of it. {filler}",
+             "She said: \"No!\" (He -- the cook -- said: \"Yes...\")", "home is where about half of them search and then go on"]
+    got = q.quality_rules(docs_of([(i, line) for i, line in enumerate(lines)])).collect()
+    assert [(r.doc_id, r.n_bad_lines) for r in got if r.n_bad_lines] == []
+
+
+def test_sql_agrees_on_lines_of_every_length(spark, folder):
+    rng = random.Random(5)
+    parts = [*q.NAVIGATION, *q.BOILERPLATE, "word", "Straße", "-", "==", "!!", ".", "| a", "?", "Lorem Ipsum", "x" * 40]
+    texts = ["\n".join(" ".join(rng.choices(parts, [1] * (len(parts) - 9) + [rng.choice((1, 30, 300, 900))] + [3] * 8, k=rng.randrange(1, 60)))
+                       for _ in range(8)) for _ in range(120)]
+    d = folder(documents=pa.table({"doc_id": pa.array(range(len(texts)), pa.int64()), "text": texts}))
+    names = q.query(spark, d).columns
+    got = sorted(tuple(r) for r in q.query(spark, d).collect())
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{d}/documents.parquet'")
+    assert got == sorted(con.execute(f"SELECT {', '.join(names)} FROM ({q.ORACLE})").fetchall())
+    assert 100 < sum(r[names.index("n_bad_lines")] for r in got) < 900
+
+
 def test_document_that_loses_too_much_is_rejected(docs_of):
     junk = "\n".join(f"spam{i}### offer{i}$$$ deal{i}*** cash{i}%%%" for i in range(30))
     got = {r.doc_id: r for r in q.quality_rules(docs_of([(1, junk), (2, junk + "\n" + PROSE)])).collect()}
