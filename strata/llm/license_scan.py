@@ -3,13 +3,17 @@
 Rolling word k-grams of every text are hashed and joined to the positions of
 the same k-grams in the templates. A hit at text word p and template word t
 votes for the diagonal p - t. Votes are summed per diagonal; neighbouring
-diagonals (words added or left out in a copy) are merged; the spans that get
-enough votes are verified word by word.
+diagonals (words added or left out in a copy) are merged; runs of diagonals that
+continue each other in the template are joined across an insertion or an omission of up to
+the template's length; the spans that get enough votes are verified word by
+word. Enough is what a copy with the least share to report must still have,
+wherever its changed words are (``least_votes``).
 
 Short phrases vote with 2-grams and must get every vote of one diagonal, which
 is the phrase standing there word for word. Longer templates vote with 4-grams;
 their verified share is the share of template words found on the merged
-diagonals.
+diagonals. A copy whose changed words take up to 1 - LEAST_SHARE of the template is
+always found; a moved stretch counts if it keeps four words in a row.
 
 The template side is broadcast: it is a parameter of the operator, checked to
 have at most MAX_TEMPLATE_WORDS words. Text k-grams are never shuffled; only
@@ -23,6 +27,8 @@ columns pass through; an input column named like a result is replaced.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -64,9 +70,8 @@ TEXTS = {
 
 SHORT, LONG = 2, 4          # words in a voting k-gram of phrases and of longer templates
 MAX_TEMPLATE_WORDS = 20_000
-MAX_BROADCAST = 500_000     # texts to verify: their keys are broadcast up to so many, else shuffled
+MAX_BROADCAST = 500_000     # texts to verify: their hashes (8 bytes each) are broadcast up to so many, else shuffled
 GAP = 8                     # diagonals up to so many words apart are merged
-LEAST_VOTES = 0.3           # share of a template's k-grams that must vote before a span is verified
 LEAST_SHARE = 0.8           # verified share from which a template's label is reported
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -81,6 +86,14 @@ def text_words(text: Column) -> Column:
     return F.array_remove(F.split(low, SEPARATORS), "")
 
 
+def least_votes(n_words: int) -> int:
+    """Votes that a copy of a template keeps at least when 1 - LEAST_SHARE of its words change and it is cut once.
+
+    A changed word spoils LONG k-grams at most, an insertion LONG - 1."""
+    changed = math.floor(n_words * (1 - LEAST_SHARE) + 1e-9)
+    return max(1, n_words - (LONG - 1) - LONG * changed - (LONG - 1))
+
+
 def _grams(words: Column, k: int) -> Column:
     empty = F.array().cast("array<bigint>")
     return F.when(F.size(words) >= k, F.transform(
@@ -90,17 +103,17 @@ def _grams(words: Column, k: int) -> Column:
 
 def template_positions(spark: SparkSession, phrases: dict[str, str], texts: dict[str, str]) -> DataFrame:
     """h, label, exact, t (position), n_grams, words: a row per k-gram of every template."""
-    rows = [(label, True, text.split()) for text, label in phrases.items()]
-    rows += [(label, False, text.split()) for label, text in texts.items()]
+    rows = [(label, True, text.split(), 0) for text, label in phrases.items()]
+    rows += [(label, False, text.split(), least_votes(len(text.split()))) for label, text in texts.items()]
     if sum(len(r[2]) for r in rows) > MAX_TEMPLATE_WORDS:
         raise ValueError(f"templates have more than {MAX_TEMPLATE_WORDS} words in all")
     short = [r[2] for r in rows if len(r[2]) < (SHORT if r[1] else LONG)]
     if short:
         raise ValueError(f"templates too short to vote: {short}")
-    table = spark.createDataFrame(rows, "label string, exact boolean, words array<string>")
+    table = spark.createDataFrame(rows, "label string, exact boolean, words array<string>, least int")
     grams = F.when(F.col("exact"), _grams(F.col("words"), SHORT)).otherwise(_grams(F.col("words"), LONG))
     return table.withColumn("template", F.hash("label", "words")).select(
-        "label", "exact", "template", F.when(~F.col("exact"), F.col("words")).alias("template_words"),
+        "label", "exact", "template", "least", F.when(~F.col("exact"), F.col("words")).alias("template_words"),
         F.size(grams).alias("n_grams"), F.posexplode(grams).alias("t", "h"))
 
 
@@ -121,13 +134,23 @@ def verified_spans(votes_: DataFrame, keyed: DataFrame, templates: DataFrame) ->
     """Spans of the longer templates: doc, hash, label, share."""
     by = W.partitionBy("doc", "hash", "template").orderBy("diagonal")
     apart = F.col("diagonal") - F.lag("diagonal").over(by) > GAP
-    runs = (votes_.where(~F.col("exact")).withColumn("apart", F.coalesce(apart, F.lit(False)).cast("int"))
+    near = (votes_.where(~F.col("exact")).withColumn("apart", F.coalesce(apart, F.lit(False)).cast("int"))
             .withColumn("run", F.sum("apart").over(by)))
-    spans = runs.groupBy("doc", "hash", "template", "label", "n_grams", "run").agg(
+    runs = near.groupBy("doc", "hash", "template", "label", "run").agg(
+        F.array_distinct(F.flatten(F.collect_list("voted"))).alias("voted"), F.collect_list("diagonal").alias("diagonals"))
+    whole = templates.where(~F.col("exact")).select("template", "template_words", "least").distinct()
+    runs = runs.join(F.broadcast(whole), "template").select(
+        "*", F.array_min("diagonals").alias("from_d"), F.array_max("diagonals").alias("to_d"),
+        F.array_min("voted").alias("from_t"), F.array_max("voted").alias("to_t"))
+    then = W.partitionBy("doc", "hash", "template").orderBy("from_d")
+    inserted = F.col("from_t") > F.lag("to_t").over(then)
+    left_out = F.col("to_t") < F.lag("from_t").over(then)
+    goes_on = (F.col("from_d") - F.lag("to_d").over(then) <= F.size("template_words")) & (inserted | left_out)
+    spans = runs.withColumn("own", (~F.coalesce(goes_on, F.lit(False))).cast("int")).withColumn(
+        "span", F.sum("own").over(then)).groupBy("doc", "hash", "template", "label", "template_words", "least", "span").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("voted")))).alias("n_voted"),
-        F.collect_list("diagonal").alias("diagonals")).where(F.col("n_voted") >= F.col("n_grams") * LEAST_VOTES)
-    whole = templates.where(~F.col("exact")).select("template", "template_words").distinct()
-    spans = written(spans.join(F.broadcast(whole), "template"), "spans")
+        F.flatten(F.collect_list("diagonals")).alias("diagonals")).where(F.col("n_voted") >= F.col("least"))
+    spans = written(spans.drop("least", "n_voted"), "spans")
     same = F.col("doc").eqNullSafe(F.col("of_doc")) & (F.col("hash") == F.col("of_hash"))
     met = spans.join(_only(keyed, spans), same).withColumn("words", text_words(F.col("text")))
     found = F.filter(F.sequence(F.lit(0), F.size("template_words") - 1), lambda t: F.exists(
@@ -139,10 +162,11 @@ def verified_spans(votes_: DataFrame, keyed: DataFrame, templates: DataFrame) ->
 def _only(keyed: DataFrame, spans: DataFrame) -> DataFrame:
     """The texts that spans were found in, once each, before they are cut into words."""
     of = spans.select(F.col("doc").alias("of_doc"), F.col("hash").alias("of_hash")).distinct()
-    small = of.count() <= MAX_BROADCAST
+    hashes = spans.select(F.col("hash").alias("of_hash")).distinct()
+    if hashes.count() <= MAX_BROADCAST:
+        keyed = keyed.join(F.broadcast(hashes), F.col("hash") == F.col("of_hash"), "left_semi")
     same = F.col("doc").eqNullSafe(F.col("of_doc")) & (F.col("hash") == F.col("of_hash"))
-    return keyed.join(F.broadcast(of) if small else of, same).select("of_doc", "of_hash", "text").dropDuplicates(
-        ["of_doc", "of_hash"])
+    return keyed.join(of, same).select("of_doc", "of_hash", "text").dropDuplicates(["of_doc", "of_hash"])
 
 
 RESULT = ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
@@ -184,6 +208,7 @@ def _sql_list(table: dict[str, str]) -> str:
     return ", ".join(f"('{a}', '{b}')" for a, b in table.items())
 
 
+_LEAST = ", ".join(f"('{label}', '{passage}', {least_votes(len(passage.split()))})" for label, passage in TEXTS.items())
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ORACLE = rf"""
 WITH d AS (
@@ -192,25 +217,35 @@ WITH d AS (
 ), p AS (
   SELECT label, string_split(phrase, ' ') AS tw FROM (VALUES {_sql_list(PHRASES)}) AS v(phrase, label)
 ), x AS (
-  SELECT label, string_split(passage, ' ') AS tw FROM (VALUES {_sql_list(TEXTS)}) AS v(label, passage)
+  SELECT label, string_split(passage, ' ') AS tw, least FROM (VALUES {_LEAST}) AS v(label, passage, least)
 ), i AS (
   SELECT doc_id, w, unnest(range(len(w))) AS i FROM d
 ), base AS (
   SELECT doc_id, label, i AS place FROM i JOIN p ON w[i + 1] = tw[1] AND w[i + 1:i + len(tw)] = tw
 ), tg AS (
-  SELECT label, tw, unnest(range(len(tw) - {LONG - 1})) AS t FROM x
+  SELECT label, tw, least, unnest(range(len(tw) - {LONG - 1})) AS t FROM x
 ), hit AS (
-  SELECT DISTINCT doc_id, label, len(tw) - {LONG - 1} AS n, t, i - t AS diagonal
+  SELECT DISTINCT doc_id, label, len(tw) AS n, least, t, i - t AS diagonal
   FROM i JOIN tg ON w[i + 1] = tw[t + 1] AND w[i + 2] = tw[t + 2] AND w[i + 3] = tw[t + 3] AND w[i + 4] = tw[t + 4]
 ), apart AS (
   SELECT *, coalesce(diagonal - lag(diagonal) OVER (PARTITION BY doc_id, label ORDER BY diagonal) > {GAP}, false) AS a FROM hit
 ), run AS (
   SELECT *, sum(a::INT) OVER (PARTITION BY doc_id, label ORDER BY diagonal ROWS UNBOUNDED PRECEDING) AS run FROM apart
+), many AS (
+  SELECT doc_id, label, n, run, min(diagonal) AS from_d, max(diagonal) AS to_d, min(t) AS from_t, max(t) AS to_t
+  FROM run GROUP BY doc_id, label, n, run
+), own AS (
+  SELECT *, coalesce(from_d - lag(to_d) OVER o <= n AND (from_t > lag(to_t) OVER o OR to_t < lag(from_t) OVER o), false) AS goes_on
+  FROM many WINDOW o AS (PARTITION BY doc_id, label ORDER BY from_d)
+), part AS (
+  SELECT doc_id, label, run, sum((NOT goes_on)::INT) OVER (PARTITION BY doc_id, label ORDER BY from_d ROWS UNBOUNDED PRECEDING) AS span
+  FROM own
 ), span AS (
-  SELECT doc_id, label, run, list(DISTINCT diagonal) AS ds FROM run
-  GROUP BY doc_id, label, run, n HAVING count(DISTINCT t) >= n * {LEAST_VOTES}
+  SELECT run.doc_id, run.label, span, list(DISTINCT diagonal) AS ds
+  FROM run JOIN part ON run.doc_id = part.doc_id AND run.label = part.label AND run.run = part.run
+  GROUP BY run.doc_id, run.label, span, least HAVING count(DISTINCT t) >= least
 ), ver AS (
-  SELECT span.doc_id, span.label, run, len(tw) AS n,
+  SELECT span.doc_id, span.label, len(tw) AS n,
          len(list_filter(range(len(tw)), lambda t: len(list_filter(ds, lambda g: g + t >= 0 AND w[g + t + 1] = tw[t + 1])) > 0)) AS m
   FROM span JOIN x ON span.label = x.label JOIN d ON d.doc_id = span.doc_id
 ), f AS (

@@ -1,5 +1,7 @@
 """License scan: base places against plain Python, diagonals and merging, awkward rows, the SQL."""
 
+import math
+import random
 import re
 
 import duckdb
@@ -26,6 +28,8 @@ def rows():
         (20, "x y z " + " ".join(mit) + " MIT License, cc-by cc by"), (21, " ".join(mit[:20] + ["foo", "bar"] + mit[20:])),
         (22, " ".join(mit[:30])), (23, "GNU General-Public\nLICENSE"), (24, " ".join(mit).upper() + lic.TEXTS["gpl-text"]),
         (25, "cc byK apacKe license cc by" + " cc by" * 50), (26, " ".join(mit[:10] + mit[12:40] + ["q"] * 9 + mit[40:])),
+        *[(40 + k, " ".join(mit[:25] + ["of", "the"] * k + mit[25 + k:])) for k in range(12)],
+        (28, " ".join("zzz" if i % 5 == 4 else x for i, x in enumerate(mit))), (29, " ".join(mit[30:] + mit[:30])),
         (27, "gnu general public gnu general public license license")]
 
 
@@ -45,6 +49,36 @@ def test_base_places_and_labels(docs_of):
     assert "gpl-text" in by[24].labels and "mit-text" in by[24].labels
 
 
+def test_every_copy_of_the_least_share_is_found(docs_of):
+    """Words changed anywhere, up to 1 - LEAST_SHARE of a template: the share of unchanged words, counted here one by one, is a lower bound."""
+    rng = random.Random(3)
+    cases = []
+    for label, text in lic.TEXTS.items():
+        w = text.split()
+        most = math.floor(len(w) * (1 - lic.LEAST_SHARE) + 1e-9)
+        for changed in [range(most), range(len(w) - most, len(w)), [i * 5 + 4 for i in range(most)],
+                        *[rng.sample(range(len(w)), most) for _ in range(12)]]:
+            copy = ["zzz" if i in set(changed) else x for i, x in enumerate(w)]
+            cases.append((label, sum(a == b for a, b in zip(copy, w)) / len(w), ["before"] * rng.randrange(9) + copy + ["after"]))
+    got = {r.doc_id: r for r in lic.license_scan(docs_of([(i, " ".join(c[2])) for i, c in enumerate(cases)])).collect()}
+    for i, (label, share, copy) in enumerate(cases):
+        assert label in got[i].labels.split(",") and got[i].score >= share >= lic.LEAST_SHARE, (label, copy)
+
+
+def test_long_insertions_and_omissions_are_joined(docs_of):
+    mit = lic.TEXTS["mit-text"].split()
+    n = len(mit)
+    docs = [(k, " ".join(mit[:25] + [f"w{i}" for i in range(k)] + mit[25:])) for k in (9, 12, 40, n)]
+    docs += [(200, " ".join(mit[:20] + mit[31:])), (201, " ".join(mit[:25] + [f"w{i}" for i in range(n + 1)] + mit[25:])),
+             (202, " ".join(mit[:30] + ["w"] * 20 + mit[:30]))]
+    got = {r.doc_id: r for r in lic.license_scan(docs_of(docs)).collect()}
+    assert all((got[k].labels, got[k].score) == ("mit-text", 1.0) for k in (9, 12, 40, n))
+    # an omitted word may stand by chance where the other diagonal expects it
+    assert got[200].labels == "mit-text" and (n - 11) / n <= got[200].score <= (n - 9) / n
+    assert got[201].labels == "" and got[201].score == (n - 25) / n  # further apart than the template is long: two parts
+    assert got[202].labels == "" and got[202].score == 30 / n        # one half twice is no whole
+
+
 def test_sql_agrees(spark, folder):
     table = pa.table({"doc_id": pa.array([r[0] for r in rows() if r[0]], pa.int64()),
                       "text": pa.array([r[1] for r in rows() if r[0]], pa.string())})
