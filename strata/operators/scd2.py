@@ -15,7 +15,8 @@ Modes:
 
 Incoming NULL keys never match a version; they are left out of the merge
 and returned by ``scd2_rejects``. Duplicate incoming keys are reduced to one
-row deterministically first. The merge is one full outer join on the key. A
+row deterministically first. ``strata.plans.scd2_store`` keeps a dimension by key bucket, so a
+merge rewrites only buckets that change. The merge is one full outer join on the key. A
 delivery dated before the current version of one of its keys is an error.
 """
 
@@ -47,7 +48,9 @@ def scd2_initial(df: DataFrame, as_of: date | str | Column) -> DataFrame:
 
 
 def scd2_current(dim: DataFrame) -> DataFrame:
-    return dim.filter(F.col("is_current"))
+    """Current versions; of a dimension stored by bucket only their partitions are scanned."""
+    current = F.col("is_current")
+    return dim.filter((F.col("is_history") == 0) & current if "is_history" in dim.columns else current)
 
 
 def scd2_as_of(dim: DataFrame, as_of: date | str | Column) -> DataFrame:

@@ -183,10 +183,15 @@ def _rewrite(spark: SparkSession, path: str, chosen: list, cluster_by: Sequence[
     written = list_files(spark, {"t": f"{work}/new"}).select("path").collect()
     moves = [(r["path"], f"{work}/old/{i}") for i, r in enumerate(chosen)]
     moves += [(r["path"], f"{folders[int(r['path'].split('/__bin=')[1].split('/')[0])]}/{r['path'].rsplit('/', 1)[1]}") for r in written]
+    move_files(spark, path, work, moves)
+    return rows
+
+
+def move_files(spark: SparkSession, path: str, work: str, moves: Sequence[tuple[str, str]]) -> None:
+    """Carry out moves of files in their order, from a journal in ``work``, a ``_compact-`` folder of the table, which is removed then."""
     steps = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(moves)], "step int, source string, target string")
     steps.coalesce(1).write.mode("overwrite").parquet(f"{work}/journal")
     finish_compaction(spark, path)
-    return rows
 
 
 def finish_compaction(spark: SparkSession, path: str) -> int:
@@ -203,6 +208,7 @@ def finish_compaction(spark: SparkSession, path: str) -> int:
             for r in steps:  # a step that is done has no source any more
                 source, target = (jvm.org.apache.hadoop.fs.Path(r[c]) for c in ("source", "target"))
                 if fs.exists(source):
+                    fs.mkdirs(target.getParent())
                     if not fs.rename(source, target):
                         raise PublishError(f"could not move {r['source']} to {r['target']}")
                     made += 1

@@ -41,6 +41,7 @@ from ..sources import contracts as C
 from ..sources.binding import CARRIED, CONTRACTS, KEYS, BoundTables, FixtureTables, contract_of
 from ..streaming import jobs
 from . import maintenance as MT
+from . import scd2_store as SS
 from .serving import register_catalog
 from .writers import write_table
 
@@ -150,15 +151,10 @@ def raw_to_silver(spark: SparkSession, cfg: PipelineConfig) -> None:
     if cfg.date_range and MT.path_exists(spark, dim_path):
         return
     delivery = S.clean_customers(raw["customers"], total=True)
-    if MT.path_exists(spark, dim_path):
-        current = _silver(spark, cfg, "dim_customers").select(*delivery.columns, *K.META)
-        # a new change time alone is no new version
-        tracked = [c for c in delivery.columns if c not in ("customer_id", "updated_at")]
-        new_dim = K.scd2_merge(current, delivery, "customer_id", cfg.as_of, tracked=tracked)
-    else:
-        new_dim = K.scd2_initial(delivery, cfg.as_of)
-    cfg.results["dim_customers_rows"] = MT.publish_swap(spark, new_dim, dim_path, ["customer_state"],
-                                                        cluster_by=["customer_id"])
+    # a new change time alone is no new version
+    tracked = [c for c in delivery.columns if c not in ("customer_id", "updated_at")]
+    merged = SS.merge(spark, dim_path, delivery, "customer_id", cfg.as_of, tracked)
+    cfg.results["dim_customers_rows"] = merged["rows"]
     if cfg.catalog_database:
         # external catalog tables over the silver folders (W1), partitions recovered
         silver = {t: cfg.p("silver", t) for t in MT.list_tables(spark, cfg.p("silver"))}
@@ -208,10 +204,10 @@ def dq_audit(spark: SparkSession, cfg: PipelineConfig) -> None:
     cust = sv("dim_customers")
     results = Q.union_results(
         Q.run_rules(cust, "dim_customers", [Q.NotNull("customer_id")]),
-        Q.run_rules(cust.filter("is_current"), "dim_customers_current", [Q.Unique("customer_id")]),
+        Q.run_rules(K.scd2_current(cust), "dim_customers_current", [Q.Unique("customer_id")]),
         Q.run_rules(sv("fact_orders"), "fact_orders",
                     [Q.NotNull("order_id"), Q.Unique("order_id"),
-                     Q.ExistsIn("customer_id", cust.filter("is_current"), "customer_id", Q.WARN)]),
+                     Q.ExistsIn("customer_id", K.scd2_current(cust), "customer_id", Q.WARN)]),
         Q.run_rules(sv("fact_order_items"), "fact_order_items",
                     [Q.Unique(["order_id", "order_item_id"]), Q.ExistsIn("product_id", sv("dim_products"), "product_id"),
                      Q.Between("quantity", 0, 1_000_000, Q.WARN), Q.NotNull("price", 0.0, Q.WARN), Q.Between("price", 0, MOST, Q.WARN),
@@ -268,7 +264,7 @@ def event_schema(spark: SparkSession, cfg: PipelineConfig) -> T.StructType:
 
 def silver_to_gold(spark: SparkSession, cfg: PipelineConfig) -> None:
     sv = lambda t: spark.read.parquet(cfg.p("silver", t))
-    customers = sv("dim_customers").filter("is_current")
+    customers = K.scd2_current(sv("dim_customers"))
     items, products, payments = sv("fact_order_items"), sv("dim_products"), sv("fact_payments")
     translation = sv("dim_category_translation")
     processed_schema = T.StructType(event_schema(spark, cfg).fields + [T.StructField("customer_state", T.StringType()),

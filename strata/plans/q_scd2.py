@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..operators import scd2 as K
+from ..session import ensure_checkpoint_dir
 from ..sources import testdata as D
 from . import oracle as O
+from . import scd2_store as SS
 from .layers import Layers
 from .registry import query
 
@@ -87,6 +91,15 @@ def q_scd2_merge_on_change(spark, sf):
     return merged_dim(spark, sf, "on_change")
 
 
+@query("scd2_bucketed_merge", _with(_ON_CHANGE))
+def q_scd2_bucketed(spark, sf):
+    """K2 on the stored dimension: first load and second delivery in a table by key bucket under the checkpoint folder."""
+    path = f"{ensure_checkpoint_dir(spark)}/scd2-{uuid.uuid4().hex[:8]}"
+    SS.merge(spark, path, Layers(spark, sf).customers, KEY, FIRST_LOAD, ATTRS)
+    SS.merge(spark, path, D.customer_updates(spark, sf), KEY, SECOND_LOAD, ATTRS)
+    return SS.versions(spark, path).select(KEY, *ATTRS, *K.META)
+
+
 @query("scd2_as_of", _with(f"""
 SELECT p.as_of_date, m.* FROM merged m
 JOIN (VALUES {", ".join(f"(DATE '{d}')" for d in PROBES)}) p(as_of_date)
