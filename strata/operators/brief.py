@@ -14,18 +14,22 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import band, money_sum
+from ..session import scratch_path
 
 # Discount bands (upper bounds, exclusive) and anomaly settings.
 DISCOUNT_BANDS = [(0.03, "low"), (0.06, "mid")]
 DISCOUNT_TOP_BAND = "high"
 ANOMALY_LOOKBACK_HOURS = 24
 ANOMALY_Z = 3.0
+PAIR_BLOCK = 64  # fixed value: items of an order that one row pairs with as many others
 
 
 def top_products_per_category(items: DataFrame, products: DataFrame, orders: DataFrame, k: int = 3) -> DataFrame:
@@ -137,30 +141,64 @@ def co_purchase_affinity(items: DataFrame, products: DataFrame) -> DataFrame:
     return pairs.groupBy("product_id", "co_category").agg(F.count(F.lit(1)).alias("n_orders"))
 
 
+def _pairs(groups: DataFrame, by: Sequence[str], last: str, block: int = PAIR_BLOCK) -> DataFrame:
+    """(by..., left, right), left < right: the pairs among every group's items (column ``items``, distinct).
+
+    A group of more than ``block`` items is cut into blocks and each two of
+    them make a row of their own, spread over all tasks, so that no task and
+    no row holds the pairs of one giant group.
+    """
+    few = groups.where(F.size("items") <= block).select(*by, F.col("items").alias("l"), F.col("items").alias("r"))
+    parts = F.transform(F.sequence(F.lit(0), F.floor((F.size("items") - 1) / block).cast("int")),
+                        lambda i: F.slice("items", i * block + 1, block))
+    many = groups.where(F.size("items") > block).select(*by, F.sort_array("items").alias("items")).select(*by, parts.alias("parts"))
+    many = many.select(*by, "parts", F.posexplode("parts").alias("at", "l"))
+    many = many.select(*by, "l", F.posexplode(F.slice("parts", F.col("at") + 1, F.size("parts"))).alias("to", "r"))
+    many = many.repartition(*by, "l", "to").drop("to")
+    both = few.unionByName(many).select(*by, "r", F.explode("l").alias("left"))
+    return both.select(*by, "left", F.explode("r").alias("right")).where(F.col("left") < F.col("right")) \
+        .withColumnsRenamed({"left": last, "right": "__next"})
+
+
 def frequent_itemsets(items: DataFrame, min_orders: int, max_size: int = 3, order_key: str = "order_id",
                       product_key: str = "product_id") -> DataFrame:
     """Sets of 1 to ``max_size`` products that at least ``min_orders`` orders hold together (N6): items (sorted), n_orders.
 
     Baskets are the orders' distinct products; NULL orders and products take no
-    part. Supports are counted on prefix trees: products are ranked by
-    frequency, each order sends every product's conditional prefix to the
-    partition of that product, and a partition mines its own tree. No
-    basket is cut and no pair within an order is written out.
+    part. Sets grow by one product at a time: two frequent sets of an order that
+    differ in their last product only make a set of the next size, which is
+    counted over all orders, so nothing larger than ``max_size`` is formed and
+    sets that hold an infrequent one are left out early. Baskets and the
+    frequent sets of each size are stored under the checkpoint folder, which
+    is when they are counted. No basket is cut.
     """
-    from pyspark.ml.fpm import FPGrowth
-
-    seen = items.where(F.col(order_key).isNotNull() & F.col(product_key).isNotNull()).select(order_key, product_key).distinct()
+    spark = items.sparkSession
+    root = scratch_path(spark, "itemsets", uuid.uuid4().hex)
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{root}/{name}")
+        return spark.read.parquet(f"{root}/{name}")
+
+    seen = items.where(F.col(order_key).isNotNull() & F.col(product_key).isNotNull()) \
+        .select(F.col(order_key).alias("__o"), F.col(product_key).alias("__1"))
+    baskets = kept(seen.repartition("__o").distinct().groupBy("__o").agg(F.collect_list("__1").alias("items")), "baskets")
+    n_orders = F.count(F.lit(1)).alias("n_orders")
+    least = F.col("n_orders") >= min_orders
+    one = kept(baskets.select(F.explode("items").alias("__1")).groupBy("__1").agg(n_orders).where(least), "1")
+    sets = one.select(F.array("__1").alias("items"), "n_orders")
     # an item of too few orders is in no frequent set; dropping it first keeps giant orders small
-    often = seen.groupBy(product_key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_orders).select(product_key)
-    baskets = seen.join(often, product_key).groupBy(order_key).agg(F.collect_list(product_key).alias("items")).select("items")
-    n = baskets.count()
-    kind = baskets.schema["items"].dataType
-    if n == 0:
-        return items.sparkSession.createDataFrame([], f"items {kind.simpleString()}, n_orders long")
-    # the share that a support of min_orders is of all baskets, a half below so that rounding up meets it exactly
-    model = FPGrowth(itemsCol="items", minSupport=max(0.0, (min_orders - 0.5) / n)).fit(baskets)
-    sets = model.freqItemsets.where(F.size("items") <= max_size)
-    return sets.select(F.sort_array("items").alias("items"), F.col("freq").alias("n_orders"))
+    giant = F.size("items") > PAIR_BLOCK
+    often = baskets.where(giant).select("__o", F.explode("items").alias("__1")).join(one.select("__1"), "__1", "left_semi")
+    groups = baskets.where(~giant).unionByName(often.groupBy("__o").agg(F.collect_list("__1").alias("items")))
+    for size in range(2, max_size + 1):
+        names = [f"__{i}" for i in range(1, size + 1)]
+        held = _pairs(groups, ["__o", *names[:-2]], names[-2]).withColumnRenamed("__next", names[-1])
+        often = kept(held.groupBy(*names).agg(n_orders).where(least), str(size))
+        sets = sets.unionByName(often.select(F.array(*names).alias("items"), "n_orders"))
+        if size < max_size:
+            groups = held.join(often.select(*names), names, "left_semi") \
+                .groupBy("__o", *names[:-1]).agg(F.collect_list(names[-1]).alias("items")).where(F.size("items") > 1)
+    return sets
 
 
 def product_candidates(items: DataFrame, orders: DataFrame, min_orders: int, min_confidence: float = 0.0) -> DataFrame:

@@ -59,3 +59,18 @@ def test_nothing_to_find(spark):
     empty = spark.createDataFrame([], ITEMS)
     assert B.frequent_itemsets(empty, 2).collect() == []
     assert B.product_candidates(empty, spark.createDataFrame([], ORDERS), 2).collect() == []
+
+
+def test_large_sets_of_equal_orders_are_never_formed(spark):
+    """Equal orders of 70 products: 2**70 sets are frequent, those of up to 3 products are found all the same."""
+    rows = [(o, p) for o in (1, 2) for p in range(70)] + [(3, p) for p in range(60, 130)] + [(3, 60)]
+    got = {tuple(r["items"]): r.n_orders for r in B.frequent_itemsets(spark.createDataFrame(rows, ITEMS), 2).collect()}
+    assert len(got) == 70 + 70 * 69 // 2 + 70 * 69 * 68 // 6
+    assert got[(60,)] == got[(60, 61)] == got[(60, 65, 69)] == 3 and got[(0,)] == got[(0, 69)] == got[(0, 1, 69)] == 2
+
+
+def test_pairs_of_giant_groups_come_once(spark):
+    groups = spark.createDataFrame([(1, [7, 3, 5, 1, 9, 2, 8]), (2, [4]), (3, [6, 5])], "o long, items array<long>")
+    for block in (1, 2, 3, 64):
+        got = sorted((r.o, r.x, r["__next"]) for r in B._pairs(groups, ["o"], "x", block).collect())
+        assert got == sorted([(1, *c) for c in combinations([1, 2, 3, 5, 7, 8, 9], 2)] + [(3, 5, 6)]), block
