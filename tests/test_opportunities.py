@@ -74,3 +74,11 @@ def test_pairs_of_giant_groups_come_once(spark):
     for block in (1, 2, 3, 64):
         got = sorted((r.o, r.x, r["__next"]) for r in B._pairs(groups, ["o"], "x", block).collect())
         assert got == sorted([(1, *c) for c in combinations([1, 2, 3, 5, 7, 8, 9], 2)] + [(3, 5, 6)]), block
+
+
+def test_candidates_from_large_equal_orders(spark):
+    rows = [(o, p) for o in (1, 2, 3) for p in range(60)] + [(4, 0)]
+    orders = [(1, 10), (2, 10), (3, 11), (4, 12)]
+    got = B.product_candidates(spark.createDataFrame(rows, ITEMS), spark.createDataFrame(orders, ORDERS), 2).collect()
+    assert {(r.customer_id, r.candidate): (r.because, r.n_orders, r.confidence) for r in got} == {
+        (12, p): (0, 3, 0.75) for p in range(1, 60)}
