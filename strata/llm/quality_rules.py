@@ -46,7 +46,8 @@ BOILERPLATE = (
 _DENSE = rf"(?s){PUNCTUATION}.?{PUNCTUATION}|^.{{0,7}}$"
 # A line of two words or more, 60 % of them of a bar, has two of those with at most one word between them.
 _ANY_NAVIGATION = f"(?:{'|'.join(NAVIGATION)})"
-_NAVIGATION_NEAR = f"(?<![a-z]){_ANY_NAVIGATION}[^a-z]+(?:[a-z]+[^a-z]+)?{_ANY_NAVIGATION}(?![a-z])"
+_NAVIGATION_START = f"(?=[{''.join(sorted({w[0] for w in NAVIGATION}))}])(?<![a-z])"
+_NAVIGATION_NEAR = f"{_NAVIGATION_START}{_ANY_NAVIGATION}[^a-z]+(?:[a-z]+[^a-z]+)?{_ANY_NAVIGATION}(?![a-z])"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -140,22 +141,23 @@ def quality_rules(docs: DataFrame, text: str = "text", rules: LineRules = LineRu
     rest = [c for c in docs.columns if c.lower() not in RESULT]
     body = F.coalesce(F.col("text"), F.lit(""))
     step = docs.select(F.struct(*[F.col(quoted(c)) for c in rest]).alias("row"), F.col(quoted(text)).alias("text"))
-    step = step.withColumns({"words": settled(_words(body)), "lines": F.split(body, "\n")})
+    step = step.withColumns({"words": settled(_words(body)), "lines": settled(F.split(body, "\n")), "low": settled(F.lower(body))})
     step = step.withColumns({
         "n_words": F.size("words").cast("long"),
         "word_chars": F.length(F.array_join("words", "")).cast("long"),
         "n_symbols": _count(body, SYMBOLS).cast("long"),
         "worded": F.filter("lines", lambda x: x.rlike(r"[^\x20\x09-\x0D]")),
         "hashes": settled(_window_hashes(F.col("words"))),
-        "has_shout": F.contains(body, F.lit("!!")),
-        "has_bar": settled(F.lower(body).rlike(_NAVIGATION_NEAR)),
-        "has_phrase": settled(_phrase_in(F.lower(body))),
+        "has_shout": settled(F.contains(body, F.lit("!!"))),
+        "has_bar": settled(F.col("low").rlike(_NAVIGATION_NEAR)),
+        "has_phrase": settled(_phrase_in(F.col("low"))),
     })
-    has_symbols = (F.col("n_symbols") > 0) | F.contains(body, F.lit("»")) | F.contains(body, F.lit("•")) | F.contains(
-        body, F.lit("·"))
+    # settled like the other flags: a search of the whole text must not be repeated for every line
+    step = step.withColumn("has_symbols", settled(
+        (F.col("n_symbols") > 0) | F.contains(body, F.lit("»")) | F.contains(body, F.lit("•")) | F.contains(body, F.lit("·"))))
     step = step.withColumn("bad", settled(F.transform(
         "lines", lambda x: line_fails(
-            x, has_symbols, F.col("has_shout"), F.col("has_bar"), F.col("has_phrase"), rules))))
+            x, F.col("has_symbols"), F.col("has_shout"), F.col("has_bar"), F.col("has_phrase"), rules))))
     step = step.withColumns({
         "n_dup_lines": (F.size("worded") - F.size(F.array_distinct("worded"))).cast("long"),
         "n_lines": F.size("worded").cast("long"),
