@@ -125,6 +125,17 @@ def items_with_order_partition(items: DataFrame, orders: DataFrame) -> DataFrame
     return items.join(orders.select("order_id", "year", "month"), "order_id", "left")
 
 
+def items_by_order(items: DataFrame, orders: DataFrame, total: bool = False) -> DataFrame:
+    """``clean_order_items`` with the order's year/month, from raw items in one exchange: rows are brought together by
+    order, which holds for the dedup and for the join. Items of no order, however many, meet no order and keep the
+    dedup of their own, which reduces them before they are sent."""
+    of_order = items.where(F.col("order_id").isNotNull()).repartition("order_id")
+    of_order = items_with_order_partition(clean_order_items(of_order, total), orders)
+    loose = clean_order_items(items.where(F.col("order_id").isNull()), total)
+    kinds = {c: F.lit(None).cast(of_order.schema[c].dataType) for c in ("year", "month")}
+    return of_order.unionByName(loose.withColumns(kinds))
+
+
 def with_geo(df: DataFrame, geo_dim: DataFrame, zip_col: str) -> DataFrame:
     """``df`` ⟕ deduplicated geolocation on its zip prefix column."""
     g = geo_dim.select(F.col("geolocation_zip_code_prefix").alias(zip_col), "geolocation_lat", "geolocation_lng")

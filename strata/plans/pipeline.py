@@ -118,13 +118,12 @@ def raw_to_silver(spark: SparkSession, cfg: PipelineConfig) -> None:
     # row; the slice is taken after dedup, so the survivor of a key does not
     # depend on the range.
     orders = S.clean_orders(raw["orders"], total=True)
-    items = S.clean_order_items(raw["order_items"], total=True)
     orders_path, items_path = cfg.p("silver", "fact_orders"), cfg.p("silver", "fact_order_items")
     if cfg.date_range:
-        _backfill_facts(spark, cfg, orders, items)
+        _backfill_facts(spark, cfg, orders, S.clean_order_items(raw["order_items"], total=True))
     else:
         write_table(orders, orders_path, ["year", "month"], dynamic=True, cluster_by=["order_id"])
-        items = S.items_with_order_partition(items, _silver(spark, cfg, "fact_orders"))
+        items = S.items_by_order(raw["order_items"], _silver(spark, cfg, "fact_orders"), total=True)
         write_table(items, items_path, ["year", "month"], dynamic=True, cluster_by=["order_id"])
     # payments are laid out by payment_type, which a date range does not align
     # with, so they are always rewritten whole
