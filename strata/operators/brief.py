@@ -160,8 +160,20 @@ def _pairs(groups: DataFrame, by: Sequence[str], last: str, block: int = PAIR_BL
         .withColumnsRenamed({"left": last, "right": "__next"})
 
 
+def _kept(df: DataFrame, root: str, name: str) -> DataFrame:
+    df.write.parquet(f"{root}/{name}")
+    return df.sparkSession.read.parquet(f"{root}/{name}")
+
+
+def order_baskets(items: DataFrame, root: str, order_key: str = "order_id", product_key: str = "product_id") -> DataFrame:
+    """(__o, items): the distinct products of every order, stored under ``root``; NULL orders and products take no part."""
+    seen = items.where(F.col(order_key).isNotNull() & F.col(product_key).isNotNull()) \
+        .select(F.col(order_key).alias("__o"), F.col(product_key).alias("__1"))
+    return _kept(seen.repartition("__o").groupBy("__o").agg(F.collect_set("__1").alias("items")), root, "baskets")
+
+
 def frequent_itemsets(items: DataFrame, min_orders: int, max_size: int = 3, order_key: str = "order_id",
-                      product_key: str = "product_id") -> DataFrame:
+                      product_key: str = "product_id", baskets: DataFrame | None = None) -> DataFrame:
     """Sets of 1 to ``max_size`` products that at least ``min_orders`` orders hold together (N6): items (sorted), n_orders.
 
     Baskets are the orders' distinct products; NULL orders and products take no
@@ -170,21 +182,14 @@ def frequent_itemsets(items: DataFrame, min_orders: int, max_size: int = 3, orde
     counted over all orders, so nothing larger than ``max_size`` is formed and
     sets that hold an infrequent one are left out early. Baskets and the
     frequent sets of each size are stored under the checkpoint folder, which
-    is when they are counted. No basket is cut.
+    is when they are counted. No basket is cut. A caller that has the items'
+    ``order_baskets`` hands them over as ``baskets``.
     """
-    spark = items.sparkSession
-    root = scratch_path(spark, "itemsets", uuid.uuid4().hex)
-
-    def kept(df: DataFrame, name: str) -> DataFrame:
-        df.write.parquet(f"{root}/{name}")
-        return spark.read.parquet(f"{root}/{name}")
-
-    seen = items.where(F.col(order_key).isNotNull() & F.col(product_key).isNotNull()) \
-        .select(F.col(order_key).alias("__o"), F.col(product_key).alias("__1"))
-    baskets = kept(seen.repartition("__o").distinct().groupBy("__o").agg(F.collect_list("__1").alias("items")), "baskets")
+    root = scratch_path(items.sparkSession, "itemsets", uuid.uuid4().hex)
+    baskets = order_baskets(items, root, order_key, product_key) if baskets is None else baskets
     n_orders = F.count(F.lit(1)).alias("n_orders")
     least = F.col("n_orders") >= min_orders
-    one = kept(baskets.select(F.explode("items").alias("__1")).groupBy("__1").agg(n_orders).where(least), "1")
+    one = _kept(baskets.select(F.explode("items").alias("__1")).groupBy("__1").agg(n_orders).where(least), root, "1")
     sets = one.select(F.array("__1").alias("items"), "n_orders")
     # an item of too few orders is in no frequent set; dropping it first keeps giant orders small
     giant = F.size("items") > PAIR_BLOCK
@@ -193,7 +198,7 @@ def frequent_itemsets(items: DataFrame, min_orders: int, max_size: int = 3, orde
     for size in range(2, max_size + 1):
         names = [f"__{i}" for i in range(1, size + 1)]
         held = _pairs(groups, ["__o", *names[:-2]], names[-2]).withColumnRenamed("__next", names[-1])
-        often = kept(held.groupBy(*names).agg(n_orders).where(least), str(size))
+        often = _kept(held.groupBy(*names).agg(n_orders).where(least), root, str(size))
         sets = sets.unionByName(often.select(F.array(*names).alias("items"), "n_orders"))
         if size < max_size:
             groups = held.join(often.select(*names), names, "left_semi") \
@@ -209,18 +214,28 @@ def product_candidates(items: DataFrame, orders: DataFrame, min_orders: int, min
     n_orders (orders with both) and confidence (their share of the antecedent's
     orders). Rules come from ``frequent_itemsets``; customers meet them by the
     product they bought, so work grows with purchases times rules per product.
+
+    A candidate's rules are ranked once, from 1, before they meet the customers,
+    and rank 0 is the product itself: the least rank a customer has for a product
+    is its best rule, or 0 if they have bought it. Baskets are stored once, for
+    the rules and for the purchases, beside the products that rules name.
     """
-    sets = frequent_itemsets(items, min_orders, 2)
+    root = scratch_path(items.sparkSession, "candidates", uuid.uuid4().hex)
+    baskets = order_baskets(items, root)
+    sets = frequent_itemsets(items, min_orders, 2, baskets=baskets)
     single = sets.where(F.size("items") == 1).select(F.col("items")[0].alias("because"), F.col("n_orders").alias("n_because"))
     pairs = sets.where(F.size("items") == 2)
     rules = pairs.select(F.explode(F.array(F.struct(F.col("items")[0].alias("because"), F.col("items")[1].alias("candidate")),
                                            F.struct(F.col("items")[1].alias("because"), F.col("items")[0].alias("candidate")))).alias("r"),
                          "n_orders").select("r.*", "n_orders").join(single, "because")
     rules = rules.withColumn("confidence", F.col("n_orders") / F.col("n_because")).where(F.col("confidence") >= min_confidence)
-    bought = items.select("order_id", "product_id").join(orders.select("order_id", "customer_id"), "order_id") \
-        .where(F.col("customer_id").isNotNull()).select("customer_id", "product_id").distinct()
-    offers = bought.withColumnRenamed("product_id", "because").join(rules, "because")
-    best = offers.groupBy("customer_id", "candidate").agg(F.max(F.struct("confidence", "n_orders")).alias("b"),
-                                                          F.min_by("because", F.struct(-F.col("confidence"), -F.col("n_orders"), "because")).alias("because"))
-    fresh = best.join(bought.withColumnRenamed("product_id", "candidate"), ["customer_id", "candidate"], "left_anti")
-    return fresh.select("customer_id", "candidate", "because", "b.n_orders", "b.confidence")
+    best_first = Window.partitionBy("candidate").orderBy(F.col("confidence").desc(), F.col("n_orders").desc(), "because")
+    rules = rules.select("candidate", "because", "n_orders", "confidence", F.row_number().over(best_first).alias("__rank"))
+    named = _kept(pairs.select(F.explode("items").alias("because")).distinct(), root, "named")
+    bought = baskets.join(orders.select(F.col("order_id").alias("__o"), "customer_id"), "__o").where(F.col("customer_id").isNotNull()) \
+        .select("customer_id", F.explode("items").alias("because"))
+    bought = bought.join(named, "because", "left_semi").distinct()  # products of no rule have nothing to offer
+    itself = named.select("because", F.col("because").alias("candidate"), F.lit(0).alias("__rank"))
+    offers = bought.join(rules.select("because", "candidate", "__rank").unionByName(itself), "because")
+    best = offers.groupBy("customer_id", "candidate").agg(F.min("__rank").alias("__rank")).where(F.col("__rank") > 0)
+    return best.join(rules, ["candidate", "__rank"]).select("customer_id", "candidate", "because", "n_orders", "confidence")

@@ -18,9 +18,10 @@ from .dedup import dedup_latest
 # per call: a Column needs an active session). ``total=True`` (the silver write)
 # adds every other column, for deliveries whose rows tie on the declared order.
 ITEM_KEYS = ["order_id", "order_item_id"]
+def ITEM_PRODUCT_ORDER():
+    return [F.col("shipping_limit_date").desc_nulls_last(), "product_id"]
 def ITEM_ORDER():
-    return [F.col("shipping_limit_date").desc_nulls_last(), "product_id", "seller_id",
-            F.col("price").desc_nulls_last()]
+    return [*ITEM_PRODUCT_ORDER(), "seller_id", F.col("price").desc_nulls_last()]
 PAYMENT_KEYS = ["order_id", "payment_sequential"]
 def PAYMENT_ORDER(payments: DataFrame):
     ties = [c for c in ("product_id", "seller_id") if c in payments.columns]  # a delivery may lack them
@@ -136,6 +137,13 @@ def items_by_order(items: DataFrame, orders: DataFrame, total: bool = False) ->
     return of_order.unionByName(loose.withColumns(kinds))
 
 
+def products_by_order(items: DataFrame) -> DataFrame:
+    """order_id and product_id of ``clean_order_items`` where there is an order, in one exchange by order, which also holds
+    for grouping by it. The order up to the product settles the survivor's product; what breaks ties after it is not read."""
+    of_order = items.where(F.col("order_id").isNotNull()).repartition("order_id")
+    return dedup_latest(of_order, ITEM_KEYS, latest_first(items) + ITEM_PRODUCT_ORDER()).select("order_id", "product_id")
+
+
 def with_geo(df: DataFrame, geo_dim: DataFrame, zip_col: str) -> DataFrame:
     """``df`` ⟕ deduplicated geolocation on its zip prefix column."""
     g = geo_dim.select(F.col("geolocation_zip_code_prefix").alias(zip_col), "geolocation_lat", "geolocation_lng")

@@ -53,6 +53,10 @@ class Layers:
     def items(self) -> DataFrame:
         return S.clean_order_items(self.raw_items)
 
+    @cached_property
+    def order_products(self) -> DataFrame:
+        return S.products_by_order(self.raw_items)
+
     @cached_property
     def payments(self) -> DataFrame:
         return S.clean_payments(self.raw_payments)

@@ -94,7 +94,7 @@ MIN_ORDERS = 2  # fixed value: orders that must hold a set
     UNION ALL SELECT 2, x, y, NULL, n FROM two WHERE n >= {MIN_ORDERS}
     UNION ALL SELECT 3, x, y, z, n FROM three WHERE n >= {MIN_ORDERS}""", "s_items"))
 def q_frequent_itemsets(spark, sf):
-    sets = B.frequent_itemsets(Layers(spark, sf).items, MIN_ORDERS)
+    sets = B.frequent_itemsets(Layers(spark, sf).order_products, MIN_ORDERS)
     return sets.select(F.size("items").alias("size"), F.get("items", F.lit(0)).alias("first_product"),
                        F.get("items", F.lit(1)).alias("second_product"), F.get("items", F.lit(2)).alias("third_product"), "n_orders")
 
@@ -116,4 +116,4 @@ def q_frequent_itemsets(spark, sf):
                                       "s_items", "s_orders"))
 def q_product_candidates(spark, sf):
     L = Layers(spark, sf)
-    return B.product_candidates(L.items, L.orders, MIN_ORDERS)
+    return B.product_candidates(L.order_products, L.orders, MIN_ORDERS)
